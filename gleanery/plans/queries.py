@@ -1,6 +1,428 @@
-def queries():
-    return {}
+"""Queries over the library's own operators, and the oracle SQL of those that SQL can express."""
 
+from __future__ import annotations
 
-def oracle_sql():
-    return {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gleanery.functions import text as T
+from gleanery.operators import chat, graph, mining, minhash, ranking, vectors
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_ORACLE)
+
+
+def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+# Decorated tables: the same expressions here and in the oracles.
+_SUFFIX = {0: " ssn 123-45-6789", 1: " nsfw", 2: " exploit kit", 3: " stupid"}
+DOCS_RISK = "(SELECT *, text || CASE doc_id % 11 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _SUFFIX.items()) + " ELSE '' END AS rtext FROM documents)"
+CONV_DEC = "(SELECT conv_id, turn, role, CASE WHEN role = 'user' AND (conv_id + turn) % 5 = 0 THEN 'No, ' WHEN role = 'user' AND (conv_id + turn) % 7 = 0 THEN 'thanks ' WHEN role = 'assistant' AND (conv_id + turn) % 4 = 0 THEN 'Sorry, ' ELSE '' END || text AS text FROM conversations)"
+_L, _R = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
+
+
+def _has(name: str, col: str = "rtext") -> str:
+    return f"CASE WHEN regexp_matches({col}, '(?i){_L}({T.LEXICON[name]}){_R}') THEN 1.0 ELSE 0.0 END"
+
+
+def docs_risk(spark: SparkSession, sf: str) -> DataFrame:
+    d = _t(spark, sf, "documents")
+    suffix = F.coalesce(*[F.when(F.col("doc_id") % 11 == k, F.lit(v)) for k, v in _SUFFIX.items()], F.lit(""))
+    return d.withColumn("text", F.concat("text", suffix))
+
+
+def docs_par(spark: SparkSession, sf: str) -> DataFrame:
+    return _t(spark, sf, "documents").withColumn("text", F.replace("text", F.lit("\n"), F.lit("\n\n")))
+
+
+def conv_dec(spark: SparkSession, sf: str) -> DataFrame:
+    c = _t(spark, sf, "conversations")
+    k = F.col("conv_id") + F.col("turn")
+    pre = F.when((F.col("role") == "user") & (k % 5 == 0), "No, ").when((F.col("role") == "user") & (k % 7 == 0), "thanks ").when((F.col("role") == "assistant") & (k % 4 == 0), "Sorry, ").otherwise("")
+    return c.select("conv_id", "turn", "role", F.concat(pre, F.col("text")).alias("text"))
+
+
+_SCORED = "SELECT *, " + ", ".join(f"{_has(k)} AS {k}_score" for k in T.LEXICON) + f" FROM {DOCS_RISK}"
+_ANY = " OR ".join(f"{k}_score > 0" for k in T.LEXICON)
+
+
+@query(f"""SELECT lang, count(*) AS n_docs, count(*) FILTER ({_ANY} OR rtext = '') AS quarantine_docs, count(*) FILTER (NOT ({_ANY} OR rtext = '')) AS clean_docs,
+  {", ".join(f"CAST(sum({k}_score) AS DOUBLE) AS {k}_docs" for k in T.LEXICON)} FROM ({_SCORED}) GROUP BY lang""")
+def zone_routing_by_lang(spark, sf):
+    return mining.zone_routing(docs_risk(spark, sf), "lang")
+
+
+_TAGS = "concat_ws(',', " + ", ".join(f"CASE WHEN {k}_score > 0 THEN '{k}' END" for k in T.LEXICON) + ")"
+_NTOK = r"greatest(1, len(list_filter(regexp_split_to_array({}, '[\s\x0b\x{{85}}\x{{A0}}]+'), lambda t: t <> '')))"
+
+
+@query(f"""SELECT doc_id, sha256(rtext) AS checksum, left(sha256(rtext), 24) AS doc_uid, left(sha256(rtext), 2) AS prefix, CAST(octet_length(encode(rtext)) AS BIGINT) AS bytes,
+  CAST({_NTOK.format("rtext")} AS BIGINT) AS n_tokens, {", ".join(f"CAST({k}_score AS DOUBLE) AS {k}_score" for k in T.LEXICON)}, {_TAGS} AS risk_tags,
+  CASE WHEN {_ANY} THEN 'red_quarantine' ELSE 'silver_normalized' END AS zone, ({_ANY}) AS quarantine FROM ({_SCORED})""")
+def doc_catalog(spark, sf):
+    return mining.catalog(docs_risk(spark, sf)).withColumn("risk_tags", F.array_join("risk_tags", ","))
+
+
+@query(r"SELECT doc_id, regexp_replace(regexp_replace(nfc_normalize(text), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS text FROM documents")
+def norm_text(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", T.norm_text(F.col("text")).alias("text"))
+
+
+@query(r"SELECT page_id, sha256(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?>.*?</script>', ' ', 'g'), '(?is)<style.*?>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g')) AS text_sha256 FROM pages")
+def html_to_text(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", F.sha2(T.html_to_text(F.col("html")), 256).alias("text_sha256"))
+
+
+@query()
+def paragraph_chunks(spark, sf):
+    return mining.paragraph_chunks(docs_par(spark, sf))
+
+
+@query()
+def chunk_scores(spark, sf):
+    chunks = mining.scored(mining.paragraph_chunks(docs_risk(spark, sf)))
+    return chunks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunk_count"), *[F.max(f"{k}_score").alias(f"{k}_score") for k in T.LEXICON])
+
+
+def _flag(k: str, yes: str) -> str:
+    return f"CASE WHEN max({k}_score) > 0 THEN '{yes}' ELSE 'unknown' END"
+
+
+@query(f"""SELECT 'documents' AS dataset_id, '2027-01-01' AS review_by, count(*) FILTER ({_ANY}) AS quarantine_docs, count(*) FILTER (NOT ({_ANY})) AS clean_docs,
+  {_flag("pii", "present-high")} AS pii, {_flag("nsfw", "present")} AS nsfw, {_flag("toxicity", "present")} AS toxic FROM ({_SCORED})""")
+def dataset_card(spark, sf):
+    return mining.dataset_card(docs_risk(spark, sf), "documents", "2027-01-01")
+
+
+@query(f"SELECT l.toxic, count(*) AS n, CAST(sum({_has('toxicity', 'd.text')}) AS DOUBLE) AS flagged FROM documents d JOIN labels l USING (doc_id) GROUP BY l.toxic")
+def quality_vs_labels(spark, sf):
+    d = mining.scored(_t(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "toxicity_score")
+    return d.join(_t(spark, sf, "labels"), "doc_id").groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.sum("toxicity_score").alias("flagged"))
+
+
+@query(r"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[\s\x0b\x{85}\x{A0}]+'), lambda t: t <> '') AS t FROM documents)
+  SELECT doc_id, CAST(i / 600 AS BIGINT) AS idx, sha256(left(array_to_string(t[i + 1 : i + 800], ' '), 8000)) AS text_sha256
+  FROM (SELECT doc_id, t, unnest(range(0, len(t), 600)) AS i FROM d)""")
+def token_windows(spark, sf):
+    return mining.token_windows(_t(spark, sf, "documents")).select("doc_id", "idx", F.sha2("text", 256).alias("text_sha256"))
+
+
+_NORM = r"sha256(regexp_replace(regexp_replace(nfc_normalize(text), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g'))"
+
+
+@query(f"SELECT doc_id, norm_hash, min(doc_id) OVER (PARTITION BY norm_hash) AS canonical_id FROM (SELECT doc_id, {_NORM} AS norm_hash FROM documents)")
+def exact_dedupe_map(spark, sf):
+    return mining.exact_dedupe_map(_t(spark, sf, "documents"))
+
+
+@query()
+def minhash_pairs(spark, sf):
+    """Pairs of distinct texts with a five-word Jaccard of .88 or more, over 32 bands of 4."""
+    d = _t(spark, sf, "documents")
+    sig = minhash.signatures(d).cache()
+    nodes = sig.groupBy("same").agg(F.min("id").alias("id"), F.min_by("sig", "id").alias("sig")).select("id", "sig").cache()
+    return minhash.similar_pairs(nodes, d, 0.88, 32, 4)
+
+
+_LINES = "list_filter(string_split(text, chr(10)), lambda x: x <> '')"
+
+
+@query(f"SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, CASE WHEN len(l) > 0 THEN 1 - len(list_distinct(l)) / len(l) ELSE 0.0 END AS dup_ratio FROM (SELECT doc_id, {_LINES} AS l FROM documents)")
+def line_dup_ratio(spark, sf):
+    return mining.line_dup_ratio(_t(spark, sf, "documents"))
+
+
+@query(f"""SELECT doc_id, n_tokens, dup_ratio, n_tokens >= 60 AND dup_ratio <= 0.9 AS keep FROM (SELECT doc_id, CAST({_NTOK.format("text")} AS BIGINT) AS n_tokens,
+  CASE WHEN len(l) > 0 THEN 1 - len(list_distinct(l)) / len(l) ELSE 0.0 END AS dup_ratio FROM (SELECT doc_id, text, {_LINES} AS l FROM documents))""")
+def quality_gate(spark, sf):
+    return mining.quality_gate(_t(spark, sf, "documents"))
+
+
+@query("SELECT CAST(conv_id AS VARCHAR) AS conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS seq, CAST(turn AS VARCHAR) AS node_id, CASE WHEN turn > 0 THEN CAST(turn - 1 AS VARCHAR) END AS parent_id, turn AS depth FROM conversations")
+def conv_turns(spark, sf):
+    c = _t(spark, sf, "conversations")
+    return chat.tree_order(c.select("conv_id", F.col("turn").alias("node_id"), F.when(F.col("turn") > 0, F.col("turn") - 1).alias("parent_id"), F.col("turn").alias("create_time")))
+
+
+# a binary tree over every conversation's turns: node k hangs below (k - 1) // 2, later turns come first
+@query("""WITH RECURSIVE n AS (SELECT conv_id, turn, CASE WHEN turn > 0 THEN (turn - 1) // 2 END AS up FROM conversations),
+  w AS (SELECT conv_id, turn, up, 0 AS depth, [turn] AS path FROM n WHERE up IS NULL
+    UNION ALL SELECT n.conv_id, n.turn, n.up, w.depth + 1, list_append(w.path, -n.turn) FROM n JOIN w ON n.conv_id = w.conv_id AND n.up = w.turn)
+  SELECT CAST(conv_id AS VARCHAR) AS conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY path) - 1 AS seq, CAST(turn AS VARCHAR) AS node_id, CAST(up AS VARCHAR) AS parent_id, CAST(depth AS BIGINT) AS depth FROM w""")
+def tree_order(spark, sf):
+    c = _t(spark, sf, "conversations")
+    return chat.tree_order(c.select("conv_id", F.col("turn").alias("node_id"), F.when(F.col("turn") > 0, F.expr("(turn - 1) div 2")).alias("parent_id"), (1000 - F.col("turn")).alias("create_time")))
+
+
+@query("SELECT conv_id, count(*) AS n_messages, count(*) FILTER (role = 'tool') AS n_tool, count(*) FILTER (role = 'user') AS n_user, count(*) FILTER (role = 'assistant') AS n_assistant FROM conversations GROUP BY conv_id")
+def conv_counts(spark, sf):
+    return chat.conversation_counts(_t(spark, sf, "conversations"))
+
+
+@query(r"SELECT page_id, array_to_string(list_sort(list_distinct(regexp_extract_all(url || ' see (' || url || ')', '(?i)https?://[^\s" + '"' + r")]+', 0))), ' ') AS urls FROM pages")
+def url_extract(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", F.array_join(T.urls(F.concat("url", F.lit(" see ("), "url", F.lit(")"))), " ").alias("urls"))
+
+
+_TOOLS = """(SELECT conv_id, turn AS seq, CASE WHEN (conv_id + turn) % 6 = 5 THEN 'tool' ELSE role END AS role, CASE WHEN turn % 3 = 1 THEN 'web' WHEN turn % 3 = 2 THEN 'all' END AS recipient,
+  CASE WHEN (conv_id + turn) % 6 = 5 THEN 'py' END AS author_name, text FROM conversations)"""
+
+
+def _tools(spark, sf):
+    c = _t(spark, sf, "conversations")
+    tool = (F.col("conv_id") + F.col("turn")) % 6 == 5
+    return c.select("conv_id", F.col("turn").alias("seq"), F.when(tool, "tool").otherwise(F.col("role")).alias("role"), F.when(F.col("turn") % 3 == 1, "web").when(F.col("turn") % 3 == 2, "all").alias("recipient"), F.when(tool, "py").alias("author_name"), "text")
+
+
+@query(f"""SELECT conv_id, seq, role = 'assistant' AND recipient IS NOT NULL AND recipient <> 'all' AS tool_call, role = 'tool' AS tool_result,
+  CASE WHEN role = 'assistant' AND recipient <> 'all' THEN recipient WHEN role = 'tool' THEN author_name END AS tool_name FROM {_TOOLS}""")
+def tool_classify(spark, sf):
+    return chat.classify_tools(_tools(spark, sf)).select("conv_id", "seq", "tool_call", "tool_result", "tool_name")
+
+
+@query(f"""SELECT conv_id, seq, CASE WHEN role = 'tool' THEN author_name ELSE recipient END AS tool_name, CASE WHEN role = 'tool' THEN 'result' ELSE 'call' END AS direction, left(text, 200) AS text_preview
+  FROM {_TOOLS} WHERE role = 'tool' OR (role = 'assistant' AND recipient <> 'all')""")
+def tool_traces(spark, sf):
+    return chat.tool_traces(_tools(spark, sf)).drop("urls")
+
+
+@query("SELECT conv_id, turn, trim(concat_ws(chr(10), CASE WHEN turn % 2 = 0 THEN text END, role)) AS text FROM conversations")
+def content_text(spark, sf):
+    part = lambda kind, text: F.struct(F.lit(kind).alias("content_type"), text.alias("text"))
+    parts = F.array(part("text", F.when(F.col("turn") % 2 == 0, F.col("text"))), part("image_asset_pointer", F.lit(None).cast("string")), part("text", F.col("role")))
+    return _t(spark, sf, "conversations").select("conv_id", "turn", chat.content_text(parts).alias("text"))
+
+
+@query("""WITH t AS (SELECT conv_id, turn, role, sum(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS c, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations),
+  s AS (SELECT u.conv_id, u.turn AS start_seq, coalesce(min(a.turn), max(u.last)) AS end_seq FROM t u LEFT JOIN t a ON a.conv_id = u.conv_id AND a.role = 'assistant' AND a.c = u.c + 3 WHERE u.role = 'user' GROUP BY u.conv_id, u.turn)
+  SELECT conv_id, start_seq, end_seq, end_seq - start_seq + 1 AS n_turns FROM s WHERE end_seq - start_seq >= 1""")
+def sft_segments(spark, sf):
+    return chat.sft_segments(_t(spark, sf, "conversations"))
+
+
+@query(f"""WITH c AS {CONV_DEC}, f AS (SELECT *, role = 'user' AND regexp_matches(text, '(?i)^no{_R}') AS fix, role = 'user' AND regexp_matches(text, '(?i){_L}(thanks|ok|great|got it){_R}') AS ack FROM c),
+  a AS (SELECT * FROM c WHERE role = 'assistant' AND text <> ''),
+  h AS (SELECT a.conv_id, a.turn AS i, a.text AS said, min(f.turn) AS s, arg_min(f.fix, f.turn) AS fix FROM a JOIN f ON f.conv_id = a.conv_id AND f.turn BETWEEN a.turn + 1 AND a.turn + 6 AND (f.fix OR f.ack) GROUP BY ALL),
+  p AS (SELECT h.conv_id, h.i, min(b.turn) AS k, h.s AS prompt_end, 'user_correction' AS signal FROM h JOIN a b ON b.conv_id = h.conv_id AND b.turn BETWEEN h.s + 1 AND h.i + 6 WHERE h.fix GROUP BY ALL
+    UNION ALL SELECT a.conv_id, a.turn, min(b.turn), a.turn, 'apology_followup' FROM a JOIN a b ON b.conv_id = a.conv_id AND b.turn BETWEEN a.turn + 1 AND a.turn + 6 WHERE regexp_matches(a.text, '(?i){_L}(sorry|my bad|apologize){_R}') GROUP BY ALL)
+  SELECT p.conv_id, i AS rejected_seq, k AS chosen_seq, prompt_end, signal, x.text AS rejected, y.text AS chosen FROM p JOIN a x ON x.conv_id = p.conv_id AND x.turn = i JOIN a y ON y.conv_id = p.conv_id AND y.turn = k""")
+def dpo_pairs(spark, sf):
+    return chat.preference_pairs(conv_dec(spark, sf))
+
+
+@query("SELECT conv_id, turn AS seq, CAST(to_json({'role': role, 'content': text}) AS VARCHAR) AS message FROM conversations WHERE role IN ('system', 'user', 'assistant')")
+def flat_sft(spark, sf):
+    return chat.flat_sft(_t(spark, sf, "conversations"))
+
+
+@query("SELECT conv_id, turn, role FROM conversations WHERE contains(lower(concat_ws(' ', text, role)), 'the an')")
+def message_search(spark, sf):
+    return chat.search(_t(spark, sf, "conversations"), "The An", ["text", "role"]).select("conv_id", "turn", "role")
+
+
+_CODE = "(SELECT conv_id, turn, text || CASE WHEN conv_id % 3 = 0 THEN chr(10) || '```python' || chr(10) || 'print(' || turn || ')' || chr(10) || '```' ELSE '' END AS text FROM conversations)"
+
+
+@query(f"""SELECT conv_id, turn, instr(text, '```python') + 9 AS "start", length(text) - 3 AS "end", 'print(' || turn || ')' || chr(10) AS code FROM {_CODE} WHERE conv_id % 3 = 0""")
+def code_spans(spark, sf):
+    fence = F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit("\n```python\nprint("), F.col("turn").cast("string"), F.lit(")\n```"))).otherwise("")
+    return chat.code_spans(_t(spark, sf, "conversations").select("conv_id", "turn", F.concat("text", fence).alias("text")), ["conv_id", "turn"])
+
+
+_TOKS = r"SELECT conv_id * 1000 + turn AS pos, unnest(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda t: t <> '')) AS token, generate_subscripts(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda t: t <> ''), 1) AS k FROM conversations"
+
+
+def _texts(spark, sf):
+    return _t(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("pos"), "text")
+
+
+@query(f"SELECT token, row_number() OVER (ORDER BY f) - 1 AS idx FROM (SELECT token, min(row(pos, k)) AS f FROM ({_TOKS}) GROUP BY token)")
+def vocab(spark, sf):
+    return vectors.vocabulary(_texts(spark, sf))
+
+
+@query(f"SELECT pos, token, count(*) AS cnt FROM ({_TOKS}) GROUP BY pos, token")
+def bow_counts(spark, sf):
+    return vectors.bow(_texts(spark, sf))
+
+
+@query(f"""WITH b AS (SELECT pos, token, count(*) AS cnt FROM ({_TOKS}) GROUP BY pos, token), p AS (SELECT conv_id * 1000 AS pos_a, conv_id * 1000 + turn AS pos_b FROM conversations WHERE turn > 0)
+  SELECT pos_a, pos_b, CAST((SELECT coalesce(sum(cnt * cnt), 0) FROM b WHERE pos = pos_a) + (SELECT coalesce(sum(cnt * cnt), 0) FROM b WHERE pos = pos_b)
+    - 2 * (SELECT coalesce(sum(x.cnt * y.cnt), 0) FROM b x JOIN b y USING (token) WHERE x.pos = pos_a AND y.pos = pos_b) AS BIGINT) AS sqdist FROM p""")
+def pair_sqdist(spark, sf):
+    pairs = _t(spark, sf, "conversations").where("turn > 0").select((F.col("conv_id") * 1000).alias("pos_a"), (F.col("conv_id") * 1000 + F.col("turn")).alias("pos_b"))
+    return vectors.squared_distances(vectors.bow(_texts(spark, sf)), pairs)
+
+
+def _vecs(spark, sf):
+    return _t(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), "label")
+
+
+@query()
+def kmeans_labels(spark, sf):
+    return vectors.kmeans(_vecs(spark, sf).select("id", "vec"), 5)
+
+
+@query("""WITH d AS (SELECT a.vec_id AS id, a.label, b.label AS other, sum(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))) AS s, count(*) AS n FROM embeddings a, embeddings b GROUP BY ALL),
+  ab AS (SELECT id, label, max(CASE WHEN other = label AND n > 1 THEN s / (n - 1) END) AS a, min(CASE WHEN other <> label THEN s / n END) AS b FROM d GROUP BY ALL)
+  SELECT CAST(label AS BIGINT) AS label, round(avg(coalesce((b - a) / nullif(greatest(a, b), 0), 0)), 6) AS silhouette FROM ab GROUP BY label""")
+def silhouette_by_label(spark, sf):
+    return vectors.silhouette(_vecs(spark, sf)).groupBy("label").agg(F.round(F.avg("silhouette"), 6).alias("silhouette"))
+
+
+def _rankings(spark, sf):
+    d = _t(spark, sf, "documents").select("doc_id", "n_chars", F.length("source").alias("k"))
+    a = d.select(F.lit(0).alias("list_id"), F.col("doc_id").alias("doc"), (F.col("n_chars") % 97 + 1).alias("rank"))
+    b = d.where("doc_id % 3 <> 0").select(F.lit(1).alias("list_id"), F.col("doc_id").alias("doc"), (F.col("n_chars") % 31 + 1).alias("rank"))
+    return a.union(b)
+
+
+_RANKS = "(SELECT 0 AS list_id, doc_id AS doc, n_chars % 97 + 1 AS rank FROM documents UNION ALL SELECT 1, doc_id, n_chars % 31 + 1 FROM documents WHERE doc_id % 3 <> 0)"
+
+
+@query(f"SELECT doc, round(sum(0.5 / (60.0 + rank)), 9) AS score FROM {_RANKS} GROUP BY doc")
+def rrf_fusion(spark, sf):
+    return ranking.rrf(_rankings(spark, sf), n_lists=2).withColumn("score", F.round("score", 9))
+
+
+@query(f"""WITH r AS (SELECT list_id, doc, CAST(rank AS DOUBLE) AS score FROM {_RANKS}), s AS (SELECT list_id, avg(score) AS m, coalesce(nullif(stddev_pop(score), 0), 1) AS sd, min(score) AS lo FROM r GROUP BY list_id)
+  SELECT d.doc, round(sum(coalesce((r.score - m) / sd, (lo - m) / sd)) / 2, 6) AS score FROM (SELECT DISTINCT doc FROM r) d CROSS JOIN s LEFT JOIN r ON r.doc = d.doc AND r.list_id = s.list_id GROUP BY d.doc""")
+def z_fusion(spark, sf):
+    r = _rankings(spark, sf).select("list_id", "doc", F.col("rank").cast("double").alias("score"))
+    return ranking.z_fusion(r, 2).withColumn("score", F.round("score", 6))
+
+
+_FEATURES = {"cross": "doc_id % 7 - 3", "dense_sim": "doc_id % 5 / 5.0D", "bm25": "doc_id % 11 / 11.0D", "authority": "CASE WHEN doc_id % 4 > 0 THEN doc_id % 4 / 4.0D END", "length": "n_chars / 10000.0D", "recency_days": "doc_id % 90 / 1.0D"}
+
+
+@query("""SELECT doc_id, round(1 / (1 + exp(-(1.2 * (doc_id % 7 - 3) + 0.6 * (doc_id % 5) / 5.0 + 0.3 * (doc_id % 11) / 11.0 + 0.2 * (doc_id % 4) / 4.0 - 0.1 * n_chars / 10000.0
+  - 0.2 * CASE WHEN doc_id % 90 = 0 THEN 365 ELSE doc_id % 90 END / 30.0))), 9) AS rerank FROM documents""")
+def rerank_score(spark, sf):
+    d = _t(spark, sf, "documents").select("doc_id", *[F.expr(x).cast("double").alias(k) for k, x in _FEATURES.items()])
+    return ranking.reranked(d).select("doc_id", F.round("rerank", 9).alias("rerank"))
+
+
+_M = "SELECT doc_id, doc_id % 10 / 10.0 AS ess, doc_id % 9 / 9.0 AS ci, doc_id % 4 AS di, doc_id % 8 / 8.0 AS tc, doc_id % 6 / 6.0 AS sp, doc_id % 23 = 0 AS ir FROM documents"
+
+
+@query(f"""SELECT doc_id, CASE WHEN ir THEN 'G' WHEN ess >= .65 AND ci >= .7 AND di >= 2 AND tc >= .6 THEN 'A' WHEN ess >= .65 AND ci < .4 AND di >= 2 THEN 'B' WHEN tc < .4 THEN 'D'
+  WHEN ess >= .45 AND di > 2 AND ci >= .55 THEN 'E' WHEN sp >= .65 AND ess >= .45 THEN 'F' WHEN ess < .3 THEN 'C' ELSE 'H' END AS mode FROM ({_M})""")
+def answer_mode(spark, sf):
+    i = F.col("doc_id")
+    return _t(spark, sf, "documents").select("doc_id", T.answer_mode(i % 10 / 10.0, i % 9 / 9.0, i % 4, i % 8 / 8.0, i % 6 / 6.0, i % 23 == 0).alias("mode"))
+
+
+def _cands(spark, sf):
+    return _t(spark, sf, "documents").select(F.col("lang").alias("query_id"), F.col("source").alias("doc_uid"), F.col("doc_id").alias("chunk_id"), (F.col("n_chars") % 1000 / 1000.0).alias("score"), F.col("doc_id").alias("pos"))
+
+
+@query("""SELECT query_id, doc_uid, chunk_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM
+  (SELECT *, row_number() OVER (PARTITION BY query_id, doc_uid ORDER BY score DESC, chunk_id) AS c FROM (SELECT lang AS query_id, source AS doc_uid, doc_id AS chunk_id, n_chars % 1000 / 1000.0 AS score FROM documents)) WHERE c <= 2) WHERE rank <= 10""")
+def mmr_nosim(spark, sf):
+    return ranking.mmr_no_similarity(_cands(spark, sf)).select("query_id", "doc_uid", "chunk_id", F.col("rank").cast("long").alias("rank"))
+
+
+@query()
+def mmr_cosine(spark, sf):
+    e = _vecs(spark, sf).where("id % 100 = 7")
+    near = vectors.knn(_vecs(spark, sf).select("id", "vec"), e.select("id", "vec"), 50)
+    c = near.join(_vecs(spark, sf).select(F.col("id").alias("dst"), "vec", "label"), "dst")
+    return ranking.mmr(c.select(F.col("src").alias("query_id"), F.col("label").cast("string").alias("doc_uid"), F.col("dst").alias("chunk_id"), "score", F.col("vec").alias("embedding"), F.col("rank").alias("pos")))
+
+
+@query("""SELECT '[CONTEXT-BLOCK v1]' || chr(10) || string_agg('<doc id="' || source || '" chunk="' || doc_id || '" title="" source="" ts="">' || chr(10) || '<pre>' || chr(10) || text || chr(10) || '</pre>' || chr(10) || '</doc>' || chr(10) || '-----8<-----', chr(10) ORDER BY n_chars DESC, doc_id)
+  || chr(10) || 'END OF CONTEXT-BLOCK' AS context FROM (SELECT * FROM documents ORDER BY n_chars DESC, doc_id LIMIT 5)""")
+def context_envelope(spark, sf):
+    d = _t(spark, sf, "documents").orderBy(F.col("n_chars").desc(), "doc_id").limit(5)
+    return ranking.context_envelope(d.select(F.struct(-F.col("n_chars"), "doc_id").alias("rank"), F.col("source").alias("doc_uid"), F.col("doc_id").cast("string").alias("chunk_id"), "text"))
+
+
+_KNN = """SELECT src, dst, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY score DESC, dst) AS rank FROM (SELECT a.vec_id AS src, b.vec_id AS dst,
+  round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS score FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0)) WHERE rank <= 20"""
+
+
+def _knn(spark, sf):
+    v = _vecs(spark, sf).select("id", "vec")
+    return vectors.knn(v, v.where("id % 100 = 0")).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query(_KNN)
+def knn_edges(spark, sf):
+    return _knn(spark, sf)
+
+
+@query(f"SELECT src, round(avg(score), 5) AS density FROM ({_KNN}) GROUP BY src")
+def knn_density(spark, sf):
+    return _knn(spark, sf).groupBy("src").agg(F.round(F.avg("score"), 5).alias("density"))
+
+
+_EDGES = "(SELECT DISTINCT o_custkey AS src, l_suppkey AS dst FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_returnflag = 'R')"
+
+
+def _edges(spark, sf):
+    o, li = _t(spark, sf, "orders"), _t(spark, sf, "lineitem").where("l_returnflag = 'R'")
+    return o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("src"), F.col("l_suppkey").alias("dst")).distinct()
+
+
+@query(f"""WITH e AS {_EDGES}, b AS (SELECT DISTINCT src AS node FROM e WHERE src % 10 = 0), n AS (SELECT count(*) AS n FROM b), deg AS (SELECT src, count(*) AS deg FROM e GROUP BY src),
+  r0 AS (SELECT node, 1.0::DOUBLE / n AS rank FROM b, n),
+  r1 AS (SELECT node, sum(x) AS rank FROM (SELECT dst AS node, .85 * rank / deg AS x FROM r0 JOIN deg ON deg.src = node JOIN e ON e.src = node UNION ALL SELECT node, (.15 + .85 * (SELECT coalesce(sum(rank), 0) FROM r0 WHERE node NOT IN (SELECT src FROM deg))) / n FROM b, n) GROUP BY node),
+  r2 AS (SELECT node, sum(x) AS rank FROM (SELECT dst AS node, .85 * rank / deg AS x FROM r1 JOIN deg ON deg.src = node JOIN e ON e.src = node UNION ALL SELECT node, (.15 + .85 * (SELECT coalesce(sum(rank), 0) FROM r1 WHERE node NOT IN (SELECT src FROM deg))) / n FROM b, n) GROUP BY node)
+  SELECT node, round(sum(rank), 9) AS rank FROM r2 GROUP BY node""")
+def pagerank(spark, sf):
+    e = _edges(spark, sf).cache()
+    seeds = e.where("src % 10 = 0").select(F.col("src").alias("node")).distinct()
+    return graph.personalised_pagerank(e, seeds, rounds=2).withColumn("rank", F.round("rank", 9))
+
+
+@query()
+def communities(spark, sf):
+    return graph.communities(_knn(spark, sf).select("src", "dst"))
+
+
+_BM = r"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS t FROM documents),
+  c AS (SELECT doc_id, len(t) AS len, len(list_filter(t, lambda x: x = 'idiot')) AS t0, len(list_filter(t, lambda x: x = 'pour')) AS t1, len(list_filter(t, lambda x: x = 'under')) AS t2 FROM d),
+  s AS (SELECT count(*) AS n, avg(len) AS a, count(*) FILTER (t0 > 0) AS d0, count(*) FILTER (t1 > 0) AS d1, count(*) FILTER (t2 > 0) AS d2 FROM c)
+  SELECT doc_id, round(""" + " + ".join(f"ln(1 + (n - d{i} + .5) / (d{i} + .5)) * t{i} * 2.2 / (t{i} + 1.2 * (.25 + .75 * len / a))" for i in range(3)) + ", 6) AS bm25 FROM c, s WHERE t0 + t1 + t2 > 0"
+
+
+@query(f"SELECT * FROM ({_BM}) ORDER BY bm25 DESC, doc_id LIMIT 20")
+def bm25_topk(spark, sf):
+    return ranking.bm25(_t(spark, sf, "documents"), ["idiot", "pour", "under"]).select("doc_id", F.round("bm25", 6).alias("bm25")).orderBy(F.col("bm25").desc(), "doc_id").limit(20)
+
+
+@query("""SELECT l_orderkey * 10 + l_linenumber AS chunk_id, l_orderkey AS norm_cid, o_custkey AS blob_cid, c_nationkey AS source_id, n_name AS uri
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey""")
+def provenance_trace(spark, sf):
+    chunks = _t(spark, sf, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("chunk_id"), F.col("l_orderkey").alias("norm_cid"))
+    ext = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("norm_cid"), F.col("o_custkey").alias("blob_cid"))
+    blobs = _t(spark, sf, "customer").select(F.col("c_custkey").alias("blob_cid"), F.col("c_nationkey").alias("source_id"))
+    return graph.provenance(chunks, ext, blobs, _t(spark, sf, "nation").select(F.col("n_nationkey").alias("source_id"), F.col("n_name").alias("uri")))
+
+
+@query("SELECT lang AS grp, min(doc_id) AS first_id, count(*) AS n FROM documents GROUP BY lang")
+def catalog_groups(spark, sf):
+    return _t(spark, sf, "documents").groupBy(F.col("lang").alias("grp")).agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
