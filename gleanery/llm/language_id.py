@@ -104,13 +104,18 @@ def fit(docs: DataFrame, per_language: int = SAMPLE, min_count: int = MIN_COUNT)
     """Learn from text and lang of the rows of ``docs`` with neither null."""
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where("lang is not null and text is not null")
-    langs = [r[0] for r in d.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGUAGES + 1).collect()]
+    counts = [tuple(r) for r in d.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()]
+    langs = sorted(lang for lang, _ in counts)
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages do not fit in a slot")
-    langs.sort()
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # ids first (the text is not sorted), then the texts of at most per_language x languages rows
-    pick = d.select("doc_id", "lang").withColumn("k", F.row_number().over(w)).where(F.col("k") <= per_language).select("doc_id").distinct()
+    if not langs:
+        return Filter([], np.zeros(SLOTS, np.uint64))
+    # ids first (the text is not sorted), then the texts of at most per_language x languages rows.  Hashes over twice the
+    # share a language's sample needs can't be among its smallest, so a language that holds most rows is not ranked whole
+    cut = F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, int((1 << 62) * min(1.0, 2 * max(per_language, 500) / n)))])
+    pick = d.select("lang", F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 62) - 1)).alias("h"), "doc_id").where(F.col("h") <= cut[F.col("lang")])
+    pick = pick.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("k") <= per_language)
+    pick = pick.select("doc_id").distinct()
     d = d.join(F.broadcast(pick), "doc_id", "left_semi")
     number = {x: i for i, x in enumerate(langs)}
 
