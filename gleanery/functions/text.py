@@ -34,6 +34,12 @@ def norm_text(c: Column) -> Column:
     return strip(F.regexp_replace(nfc(c), "\n{3,}", "\n\n"))
 
 
+def normalize_recipe(c: Column) -> Column:
+    """Recipe v1: NFKC, runs of Unicode white space to one space, stripped; case stays; null stays null."""
+    wide = F.when(c.isNotNull(), F.call_function("java_method", F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), F.coalesce(c, F.lit("")), F.lit(True)))
+    return F.trim(F.regexp_replace(wide, r"(?U)\s+", " "))
+
+
 def html_to_text(c: Column) -> Column:
     """Scripts, styles and tags each to one space; character references stay."""
     for pattern in (r"(?is)<script.*?>.*?</script>", r"(?is)<style.*?>.*?</style>", r"<[^>]+>"):
@@ -84,6 +90,17 @@ def epoch_iso(c: Column) -> Column:
     return F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.when(us % 1_000_000 != 0, F.date_format(at, ".SSSSSS")).otherwise(""), F.lit("+00:00"))
 
 
+def epoch_ms_iso(c: Column) -> Column:
+    """Seconds since the epoch to ISO 8601 with milliseconds and Z; null is a dash."""
+    return F.coalesce(F.date_format(F.timestamp_millis(F.floor(c * 1000).cast("long")), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), F.lit("—"))
+
+
+def squeezed(c: Column, longest: int = 120) -> Column:
+    """White space runs to one space; longer texts are cut and end in an ellipsis."""
+    one = F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " "))
+    return F.when(F.length(one) > longest, F.concat(F.left(one, F.lit(longest - 1)), F.lit("…"))).otherwise(one)
+
+
 MODE_LIMITS = {"ess_hi": 0.65, "ci_hi": 0.70, "tc_dom": 0.60, "ci_lo": 0.40, "tc_amb": 0.40, "ess_mid": 0.45, "di_broad": 2.0, "ci_mid": 0.55, "sp_hi": 0.65, "ess_lo": 0.30}
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions import text as T
+from gleanery.functions.content import envelope
 
 _FENCE = re.compile(r"```(?:\w+)?\n(.*?)```", re.S)
 
@@ -17,7 +18,7 @@ _FENCE = re.compile(r"```(?:\w+)?\n(.*?)```", re.S)
 def tree_order(nodes: DataFrame, max_depth: int = 10_000) -> DataFrame:
     """conv_id, seq, node_id, parent_id, depth: depth-first order of (conv_id, node_id, parent_id, create_time).
 
-    Roots have no parent.  Siblings go by time, a missing or zero time last, then by id; a node is visited once; one
+    Roots have no parent.  Siblings go by time, a missing time last, then by id; a node is visited once; one
     whose parent doesn't exist is unreachable.  One conversation is one group; the walk is iterative, so depth is no
     matter.
     """
@@ -26,7 +27,7 @@ def tree_order(nodes: DataFrame, max_depth: int = 10_000) -> DataFrame:
         kids: dict = {}
         seen = set()
         for node, parent, at in zip(*(table.column(c).to_pylist() for c in ("node_id", "parent_id", "create_time"))):
-            kids.setdefault(parent, []).append(((at or 1e300), node))
+            kids.setdefault(parent, []).append((1e300 if at is None else at, node))
         rows, todo = [], [(n, None, 0) for _, n in sorted(kids.get(None, []), reverse=True)]
         while todo:
             node, parent, depth = todo.pop()
@@ -46,7 +47,7 @@ def classify_tools(turns: DataFrame) -> DataFrame:
     """Adds tool_call, tool_result, tool_name from role, recipient and author_name."""
     call = F.coalesce((F.col("role") == "assistant") & F.col("recipient").isNotNull() & (F.col("recipient") != "all"), F.lit(False))
     result = F.coalesce(F.col("role") == "tool", F.lit(False))
-    name = F.when(call, F.col("recipient")).when(result, F.coalesce(F.col("author_name"), F.when(F.col("recipient") != "all", F.col("recipient"))))
+    name = F.when(call, F.col("recipient")).when(result, F.nullif(F.col("author_name"), F.lit("")))
     return turns.withColumns({"tool_call": call, "tool_result": result, "tool_name": name})
 
 
@@ -55,13 +56,12 @@ def content_text(parts: Column) -> Column:
     return T.strip(F.array_join(F.transform(F.filter(parts, lambda p: p["text"].isNotNull()), lambda p: p["text"]), "\n"))
 
 
-def assets(parts: Column) -> Column:
-    """The parts whose content type ends in ``_asset_pointer``."""
-    return F.filter(parts, lambda p: p["content_type"].endswith("_asset_pointer"))
-
-
-def _turn(*fields: str) -> Column:
-    return F.struct(*fields)
+def ordered_turns(nodes: DataFrame) -> DataFrame:
+    """The nodes of exports (``sources.files.conversation_nodes``) in depth-first order with seq, depth and the tool
+    columns.  A child that no node describes is a turn with null fields."""
+    links = nodes.select("conv_id", F.explode("children").alias("node_id"), F.col("node_id").alias("parent_id")).union(nodes.where("parent_id is null").select("conv_id", "node_id", F.lit(None).cast("string")))
+    order = tree_order(links.join(nodes.select("conv_id", "node_id", "create_time"), ["conv_id", "node_id"], "left")).select("conv_id", "seq", "node_id", "depth")
+    return classify_tools(order.join(nodes.drop("children"), ["conv_id", "node_id"], "left"))
 
 
 def sft_segments(turns: DataFrame, exchanges: int = 3, conv: str = "conv_id", seq: str = "turn") -> DataFrame:
@@ -101,6 +101,48 @@ def preference_pairs(turns: DataFrame, lookahead: int = 6, conv: str = "conv_id"
     return a.union(b).where("next is not null").select(conv, F.col("i").alias("rejected_seq"), F.col("next.s").alias("chosen_seq"), "prompt_end", "signal", F.col("said").alias("rejected"), F.col("next.reply").alias("chosen"))
 
 
+def _within(spans: DataFrame, turns: DataFrame, lo: str, hi: str, block: int = 32) -> DataFrame:
+    """Every span (conv_id, lo, hi) with each turn (conv_id, seq) in it.  An equi-join on blocks of seq: a key holds at most
+    ``block`` turns however long the conversation, and a span goes to the few blocks it touches."""
+    s = spans.withColumn("_b", F.explode(F.sequence(F.floor(F.col(lo) / block), F.floor(F.col(hi) / block))))
+    t = turns.withColumn("_b", F.floor(F.col("seq") / block))
+    return s.join(t, ["conv_id", "_b"]).where(F.col("seq").between(F.col(lo), F.col(hi))).drop("_b")
+
+
+def _enveloped(turns: DataFrame) -> DataFrame:
+    """conv_id, seq, m, tool: the turn as a message (null for other roles), and whether it is a call or a result."""
+    have = set(turns.columns)
+    col = lambda c, kind: F.col(c) if c in have else F.lit(None).cast(kind)
+    tool_call, tool_result = (F.coalesce(col(c, "boolean"), F.lit(False)) for c in ("tool_call", "tool_result"))
+    m = envelope(F.col("role"), F.col("text"), tool_call, tool_result, col("tool_name", "string"), col("recipient", "string"), col("raw_content", "string"))
+    return turns.select("conv_id", "seq", m.alias("m"), (tool_call | tool_result).alias("tool"))
+
+
+def _in_order(m: str = "m") -> Column:
+    """Messages by seq; what they hold need not be orderable."""
+    by = F.array_sort(F.collect_list(F.struct("seq", m)), lambda a, b: F.when(a["seq"] < b["seq"], -1).when(a["seq"] > b["seq"], 1).otherwise(0))
+    return F.transform(by, lambda x: x[m])
+
+
+def sft_records(turns: DataFrame, exchanges: int = 3) -> DataFrame:
+    """messages, meta (conv_id, start_seq, end_seq, has_tools): the segments of ``sft_segments`` as training records;
+    ``turns`` is (conv_id, seq, role, text) and, if known, end_turn, the tool columns and raw_content."""
+    spans = sft_segments(turns, exchanges, "conv_id", "seq").select("conv_id", "start_seq", "end_seq")
+    got = _within(spans, _enveloped(turns), "start_seq", "end_seq").groupBy("conv_id", "start_seq", "end_seq").agg(_in_order().alias("messages"), F.bool_or("tool").alias("has_tools"))
+    return got.select(F.filter("messages", lambda m: m.isNotNull()).alias("messages"), F.struct("conv_id", "start_seq", "end_seq", "has_tools").alias("meta"))
+
+
+def pair_records(turns: DataFrame, lookahead: int = 6, before: int = 6) -> DataFrame:
+    """prompt_messages, rejected, chosen, signals, meta (rejected_seq, chosen_seq, conv_id): the pairs of
+    ``preference_pairs`` with their context, from ``before`` turns ahead of the rejected reply to the end of the prompt."""
+    pairs = preference_pairs(turns, lookahead, "conv_id", "seq").withColumn("_lo", F.greatest(F.col("rejected_seq") - before, F.lit(0)))
+    keys = ["conv_id", "rejected_seq", "chosen_seq", "prompt_end", "signal", "rejected", "chosen"]
+    got = _within(pairs, _enveloped(turns), "_lo", "prompt_end").groupBy(*keys).agg(_in_order().alias("messages"))
+    return got.select(
+        F.filter("messages", lambda m: m.isNotNull()).alias("prompt_messages"), "rejected", "chosen", F.create_map("signal", F.lit(True)).alias("signals"), F.struct("rejected_seq", "chosen_seq", "conv_id").alias("meta")
+    )
+
+
 def flat_sft(turns: DataFrame, conv: str = "conv_id", seq: str = "turn") -> DataFrame:
     """One row a turn of a known role."""
     return turns.where(F.col("role").isin("system", "user", "assistant")).select(conv, F.col(seq).alias("seq"), F.to_json(F.struct(F.col("role"), F.coalesce("text", F.lit("")).alias("content"))).alias("message"))
@@ -116,8 +158,12 @@ def search(turns: DataFrame, needle: str, fields: list[str]) -> DataFrame:
 
 
 def tool_traces(turns: DataFrame) -> DataFrame:
+    """conv_id, seq, tool_name, direction, text_preview, urls, and where known payload and time, of calls and results."""
     d = classify_tools(turns).where("tool_call or tool_result")
-    return d.select("conv_id", "seq", "tool_name", F.when(F.col("tool_call"), "call").otherwise("result").alias("direction"), F.left("text", F.lit(200)).alias("text_preview"), T.urls(F.col("text")).alias("urls"))
+    name = F.coalesce("tool_name", F.nullif(F.col("recipient"), F.lit("")), F.lit("tool"))
+    more = [F.col(c).alias(n) for c, n in (("raw_content", "payload"), ("create_time_iso", "time")) if c in d.columns]
+    links = F.col("urls") if "urls" in d.columns else T.urls(F.col("text"))
+    return d.select("conv_id", "seq", name.alias("tool_name"), F.when(F.col("tool_call"), "call").otherwise("result").alias("direction"), F.left(F.coalesce("text", F.lit("")), F.lit(200)).alias("text_preview"), links.alias("urls"), *more)
 
 
 def tree_text(turns: DataFrame) -> DataFrame:

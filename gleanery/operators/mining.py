@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,6 +64,17 @@ def paragraph_chunks(docs: DataFrame, least: int = 120, most: int = 900, id_col:
     return d.select("id", F.posexplode("chunks").alias("idx", "c")).select(F.col("id").alias(id_col), F.col("idx").cast("long").alias("idx"), F.col("c.start").alias("offset_start"), F.col("c.end").alias("offset_end"), F.col("c.text").alias("text"))
 
 
+def chunk_arrays(docs: DataFrame, least: int = 120, most: int = 900) -> DataFrame:
+    """Adds chunks: an array of (start, end, text, *_score) in the row of its document."""
+
+    @F.pandas_udf("array<struct<start:long,end:long,text:string>>")
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda x: [{"start": s, "end": e, "text": t} for s, e, t in pack_paragraphs(x or "", least, most)])
+
+    d = docs.withColumn("_cut", cut(F.col("text")))
+    return d.withColumn("chunks", F.transform("_cut", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["text"].alias("text"), *[v.alias(f"{k}_score") for k, v in T.safety_scores(c["text"]).items()]))).drop("_cut")
+
+
 def token_windows(docs: DataFrame, size: int = 800, overlap: int = 200, longest: int = 8000) -> DataFrame:
     """doc_id, idx, text: windows of ``size`` tokens every ``size - overlap``, cut at ``longest`` characters."""
     toks = T.tokens(F.coalesce("text", F.lit("")))
@@ -98,11 +110,17 @@ def zone_routing(docs: DataFrame, by: str) -> DataFrame:
     return d.groupBy(by).agg(F.count(F.lit(1)).alias("n_docs"), F.count_if("quarantine").alias("quarantine_docs"), F.count_if(~F.col("quarantine")).alias("clean_docs"), *[F.sum(f"{k}_score").alias(f"{k}_docs") for k in T.LEXICON])
 
 
-def dataset_card(docs: DataFrame, dataset_id: str, review_by: str) -> DataFrame:
-    """One row for the corpus; an empty corpus gives zero counts."""
-    d = routed(scored(docs), F.coalesce("text", F.lit("")) == "")
+def card_of(routed_docs: DataFrame, dataset_id: str, review_by: str) -> DataFrame:
+    """One row for the corpus of (quarantine, *_score); an empty corpus gives zero counts."""
     flag = lambda k, yes: F.when(F.coalesce(F.bool_or(F.col(f"{k}_score") > 0), F.lit(False)), yes).otherwise("unknown")
-    return d.agg(F.count_if("quarantine").alias("quarantine_docs"), F.count_if(~F.col("quarantine")).alias("clean_docs"), flag("pii", "present-high").alias("pii"), flag("nsfw", "present").alias("nsfw"), flag("toxicity", "present").alias("toxic")).select(F.lit(dataset_id).alias("dataset_id"), F.lit(review_by).alias("review_by"), "*")
+    return routed_docs.agg(F.count_if("quarantine").alias("quarantine_docs"), F.count_if(~F.col("quarantine")).alias("clean_docs"), flag("pii", "present-high").alias("pii"), flag("nsfw", "present").alias("nsfw"), flag("toxicity", "present").alias("toxic")).select(
+        F.lit(dataset_id).alias("dataset_id"), F.lit(review_by).alias("review_by"), "*"
+    )
+
+
+def dataset_card(docs: DataFrame, dataset_id: str, review_by: str) -> DataFrame:
+    """The card of documents that are yet to be scored."""
+    return card_of(routed(scored(docs), F.coalesce("text", F.lit("")) == ""), dataset_id, review_by)
 
 
 def exact_dedupe_map(docs: DataFrame) -> DataFrame:

@@ -93,3 +93,63 @@ def context_envelope(docs: DataFrame, boundary: str = "-----8<-----") -> DataFra
 
 def reranked(features: DataFrame) -> DataFrame:
     return features.withColumn("rerank", T.rerank_score(*[F.col(c) for c in ("cross", "dense_sim", "bm25", "authority", "length", "recency_days")]))
+
+
+def inverted_index(docs: DataFrame, fields: tuple[str, ...] = ("text",)) -> DataFrame:
+    """term, doc_id, field, tf: postings of the named fields; one shuffle, with counts combined before it."""
+    toks = lambda c: F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    parts = [docs.select("doc_id", F.lit(c).alias("field"), F.explode(toks(c)).alias("term")) for c in fields]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.union(p)
+    return every.groupBy("term", "doc_id", "field").agg(F.count(F.lit(1)).alias("tf"))
+
+
+# fixed values: what an answer in a mode must do (the other modes have no policy)
+POLICIES = {
+    "A": "POLICY: SYNTHESIZE\nRULES:\n- Integrate facts from multiple sources; prefer primary + recent.\n- Each non-obvious sentence ends with a citation.\n- Include version/date numbers explicitly.",
+    "B": "POLICY: CONTRAST\nRULES:\n- List positions A vs B with evidence tables (source, date, authority).\n- Decide which is stronger and why (recency, primary source, consistency).\n- Cite every claim; if unresolved, state what would resolve it.",
+    "C": "POLICY: REPORT_ONLY\nRULES:\n- Do not generalize beyond quoted evidence.\n- Output three sections: (1) What we found (verbatim, brief) (2) Limits (why insufficient) (3) Next search plan (terms/sources/windows).\n- Every bullet ends with a citation [D<ID>:C<chunk>].",
+}
+
+
+def policy(mode: F.Column, texts: dict[str, str] = POLICIES) -> F.Column:
+    """The policy text of an answer mode; null if it has none."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for p in texts.items() for x in p]), mode)
+
+
+def hybrid_search(chunks: DataFrame, query: list[str], query_vector: list[float], pool: int = 100, k: int = 10, lam: float = 0.7, cap: int = 2) -> DataFrame:
+    """rank, doc_uid, chunk_id, score, text: lexical and dense retrieval, fused, reranked, diversified.
+
+    ``chunks`` is (doc_uid, chunk_id, text, embedding) and, if known, authority and recency_days.  Both retrievers keep
+    the ``pool`` best (a top-k per task before anything is shuffled), ranks are fused, the pool is scored by
+    ``rerank_score`` with the fused score as the cross feature, and MMR picks k.  Only the pool carries texts.
+    """
+    have = set(chunks.columns)
+    lex = bm25(chunks.select(F.col("chunk_id").alias("doc_id"), "text"), query).orderBy(F.col("bm25").desc(), "doc_id").limit(pool)
+    q = [float(x) for x in query_vector]
+    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    v = F.col("embedding").cast("array<double>")
+    qv = F.array(*[F.lit(x) for x in q])
+    dot = F.aggregate(F.zip_with(v, qv, lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    dense = chunks.select(F.col("chunk_id").alias("doc_id"), (dot / F.greatest(norm(v) * norm(qv), F.lit(1e-12))).alias("dense_sim")).orderBy(F.col("dense_sim").desc(), "doc_id").limit(pool)
+    ranked = lambda d, c, i: d.select(F.lit(i).alias("list_id"), F.col("doc_id").alias("doc"), F.row_number().over(Window.partitionBy(F.lit(i)).orderBy(F.col(c).desc(), "doc_id")).alias("rank"))  # noqa: E731  of a pool
+    fused = rrf(ranked(lex, "bm25", 0).union(ranked(dense, "dense_sim", 1)), n_lists=2)
+    rows = fused.join(lex, fused.doc == lex.doc_id, "left").drop("doc_id").join(dense.withColumnRenamed("doc_id", "_d"), F.col("doc") == F.col("_d"), "left")
+    rows = chunks.join(F.broadcast(rows), F.col("chunk_id") == F.col("doc"))  # at most two pools
+    zero = F.lit(None).cast("double")
+    feature = lambda c: F.col(c).cast("double") if c in have else zero
+    score = T.rerank_score(F.col("score"), F.col("dense_sim"), F.col("bm25"), feature("authority"), F.length("text") / 10_000.0, feature("recency_days"))
+    rows = rows.select(F.lit("q").alias("query_id"), "doc_uid", "chunk_id", score.alias("score"), "embedding", "text", F.col("chunk_id").alias("pos"))
+    best = mmr(rows.drop("text"), k, lam, cap)
+    return best.join(rows, ["query_id", "chunk_id"]).select("rank", "doc_uid", "chunk_id", "score", "text")
+
+
+def ranking_quality(runs: DataFrame, k: int = 10) -> DataFrame:
+    """query_id, ndcg, mrr of (query_id, rank, gain) with every judged document of a query in it (null rank: not found)."""
+    gain = F.pow(F.lit(2.0), F.col("gain")) - 1
+    ideal = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("gain").desc()))
+    d = runs.withColumn("best", ideal)
+    at = lambda r: F.sum(F.when(F.col(r) <= k, gain / F.log2(F.col(r) + 1)))
+    q = d.groupBy("query_id").agg(at("rank").alias("dcg"), at("best").alias("idcg"), F.min(F.when(F.col("gain") > 0, F.col("rank"))).alias("first"))
+    return q.select("query_id", F.coalesce(F.col("dcg") / F.nullif(F.col("idcg"), F.lit(0.0)), F.lit(0.0)).alias("ndcg"), F.coalesce(1.0 / F.col("first"), F.lit(0.0)).alias("mrr"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,14 @@ def _blocks(b: pa.RecordBatch, col: int) -> np.ndarray:
     return np.array(b.column(col).to_pylist(), np.float64).reshape(b.num_rows, -1)
 
 
+def _query_blocks(frame: DataFrame, block: int) -> Iterator[list]:
+    """The rows of (id, ...) in parts of about ``block``, dealt by the hash of the id; one part at a time is gathered."""
+    n = -(-frame.count() // block)
+    for k in range(n):
+        if part := frame.where(F.pmod(F.xxhash64("id"), F.lit(n)) == k).collect():
+            yield part
+
+
 def kmeans(points: DataFrame, k: int, rounds: int = 10) -> DataFrame:
     """id, label of (id, vec): the first point, then the farthest from those chosen; exactly ``rounds`` assignments, ties to
     the first; an empty cluster keeps its centre.  Only k centres and k sums pass the driver."""
@@ -108,10 +116,7 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = 4096)
     """src, dst, score, rank: for every query the k rows with the largest cosine, itself not counted, ties to the smaller
     id.  Exact.  Queries go out in blocks of bounded size; each task keeps k rows a query before anything is shuffled."""
     out = None
-    q = queries.select(F.col("id").cast("long").alias("id"), "vec").orderBy("id")
-    ids = [r.id for r in q.select("id").toLocalIterator()]
-    for at in range(0, len(ids), block):
-        part = q.where(F.col("id").between(ids[at], ids[min(at + block, len(ids)) - 1])).collect()
+    for part in _query_blocks(queries.select(F.col("id").cast("long").alias("id"), "vec"), block):
         qi, qv = np.array([r.id for r in part]), np.array([r.vec for r in part], np.float64)
         qv /= np.maximum(np.linalg.norm(qv, axis=1, keepdims=True), 1e-12)
         held = vectors.sparkSession.sparkContext.broadcast((qi, qv))
@@ -143,10 +148,8 @@ def silhouette(points: DataFrame, block: int = 4096) -> DataFrame:
     Points go out in blocks of bounded size, each task adds up distances per block point and label.
     """
     p = points.select(F.col("id").cast("long").alias("id"), "vec", F.col("label").cast("long").alias("label"))
-    ids = [r.id for r in p.select("id").orderBy("id").toLocalIterator()]
     out = None
-    for at in range(0, len(ids), block):
-        part = p.where(F.col("id").between(ids[at], ids[min(at + block, len(ids)) - 1])).collect()
+    for part in _query_blocks(p, block):
         held = p.sparkSession.sparkContext.broadcast((np.array([r.id for r in part]), np.array([r.vec for r in part], np.float64)))
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
@@ -177,3 +180,76 @@ def choose_best_k(points: DataFrame, k_min: int = 2, k_max: int = 10) -> int:
         if score is not None and score > best:
             best, best_k = score, k
     return best_k
+
+
+Embedder = Callable[[list[str]], np.ndarray]
+
+
+def hashed_words(dim: int = 64) -> Embedder:
+    """An embedder without a model: word counts hashed to ``dim`` signed places, unit length."""
+
+    def embed(texts: list[str]) -> np.ndarray:
+        import xxhash
+
+        out = np.zeros((len(texts), dim), np.float32)
+        for i, t in enumerate(texts):
+            h = np.fromiter((xxhash.xxh64_intdigest(w) for w in t.lower().split()), np.uint64)
+            np.add.at(out[i], (h % np.uint64(dim)).astype(np.int64), np.where(h >> np.uint64(63), 1.0, -1.0).astype(np.float32))
+        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+
+    return embed
+
+
+def mean_pool(tokens: np.ndarray) -> np.ndarray:
+    """The mean of token vectors; a single vector is its own mean."""
+    return tokens if tokens.ndim == 1 else tokens.mean(axis=0)
+
+
+def embedded(texts: DataFrame, make: Callable[[], Embedder], id_col: str = "id", text_col: str = "text", batch: int = 128) -> DataFrame:
+    """id, embedding: ``make`` builds the embedder once a task (a model is loaded there, not on the driver), which gets
+    ``batch`` texts at a time; null text counts as empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        embed = make()
+        for b in batches:
+            for lo in range(0, b.num_rows, batch):
+                v = np.asarray(embed(b.column(1).slice(lo, batch).to_pylist()), np.float32)
+                yield pa.record_batch([b.column(0).slice(lo, batch), pa.array(list(v), pa.list_(pa.float32()))], names=["id", "embedding"])
+
+    d = texts.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    return d.mapInArrow(run, f"id {dict(d.dtypes)['id']}, embedding array<float>")
+
+
+def ml_kmeans(points: DataFrame, k: int, seed: int = 42, rounds: int = 20) -> DataFrame:
+    """id, label of (id, vec) by Spark ML's K-means with its parallel k-means++ start."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    d = points.select("id", array_to_vector(F.col("vec").cast("array<double>")).alias("features"))
+    model = KMeans(k=k, seed=seed, maxIter=rounds, initMode="k-means||").fit(d)
+    return model.transform(d).select("id", F.col("prediction").cast("long").alias("label"))
+
+
+def cluster_terms(texts: DataFrame, top: int = 3) -> DataFrame:
+    """label, nth, token, weight of (label, text): class-based tf-idf, tf * ln(1 + A / f) with f a token's count in all
+    clusters and A the mean number of tokens a cluster; ties to the smaller token."""
+    tf = texts.select("label", F.explode(T.tokens(F.lower(F.coalesce("text", F.lit(""))))).alias("token")).groupBy("label", "token").agg(F.count(F.lit(1)).alias("tf"))
+    f = tf.groupBy("token").agg(F.sum("tf").alias("f"))
+    mean = tf.agg((F.sum("tf") / F.count_distinct("label")).alias("a"))
+    w = tf.join(f, "token").join(F.broadcast(mean)).select("label", "token", (F.col("tf") * F.log(1 + F.col("a") / F.col("f"))).alias("weight"))
+    nth = F.row_number().over(Window.partitionBy("label").orderBy(F.col("weight").desc(), "token"))
+    return w.withColumn("nth", nth).where(F.col("nth") <= top).select("label", F.col("nth").cast("long").alias("nth"), "token", "weight")
+
+
+def inspected(members: DataFrame, n: int = 5) -> DataFrame:
+    """label, size, previews of (label, pos, text): the first ``n`` texts of each cluster by position, cut for display."""
+    d = members.select("label", "pos", T.preview(F.coalesce("text", F.lit(""))).alias("shown"))
+    size = d.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    head = d.withColumn("nth", F.row_number().over(Window.partitionBy("label").orderBy("pos"))).where(F.col("nth") <= n)
+    head = head.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("nth", "shown"))).alias("h"))
+    return size.join(head, "label").select("label", "size", F.col("h.shown").alias("previews"))
+
+
+def first_code_line(code: F.Column) -> F.Column:
+    """What a snippet's preview shows: the first line of the stripped code; empty for a blank one."""
+    return F.coalesce(F.get(F.split(T.strip(code), "\n"), 0), F.lit(""))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.functions import text as T
-from gleanery.operators import chat, graph, mining, minhash, ranking, vectors
+from gleanery.operators import chat, entities, graph, lake, literature, mining, minhash, ranking, simhash, vectors
+from gleanery.streaming.routing import windowed_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -423,6 +424,190 @@ def provenance_trace(spark, sf):
     return graph.provenance(chunks, ext, blobs, _t(spark, sf, "nation").select(F.col("n_nationkey").alias("source_id"), F.col("n_name").alias("uri")))
 
 
-@query("SELECT lang AS grp, min(doc_id) AS first_id, count(*) AS n FROM documents GROUP BY lang")
+# a small literature catalog, the same rows here and in the oracles
+_ITEMS = [
+    {"id": "a1", "title": "Dense | sparse", "year": 2020, "type": "paper", "tags": ["retrieval", "dense"], "url": "https://example.org/a1"},
+    {"id": "b2", "title": "Fusing ranks", "year": 2009, "type": "paper", "tags": ["fusion"], "url": "https://example.org/b2"},
+    {"id": "c3", "title": "Late interaction", "year": 2021, "type": "paper", "tags": ["reranking", "late-interaction"], "url": None},
+    {"id": "d4", "title": "Sparse again", "year": 2018, "type": "book", "tags": ["sparse", "retrieval"], "url": "ftp://example.org/d4"},
+    {"id": "b2", "title": None, "year": 2010, "type": "note", "tags": ["evaluation"], "url": "https://example.org/b2x"},
+]
+_sql = lambda x: "NULL" if x is None else str(x) if isinstance(x, int) else "[" + ", ".join(map(_sql, x)) + "]" if isinstance(x, list) else "'" + str(x).replace("'", "''") + "'"
+_ITEM_ROWS = "(SELECT * FROM (VALUES " + ", ".join(f"({k}, " + ", ".join(_sql(i[c]) for c in ("id", "title", "year", "type", "tags", "url")) + ")" for k, i in enumerate(_ITEMS)) + ") AS t(pos, id, title, year, type, tags, url))"
+_GROUP_ROWS = "(VALUES " + ", ".join(f"({g}, {_sql(t)}, {k}, {_sql(x)})" for g, (t, ts) in enumerate(literature.GROUPS) for k, x in enumerate(ts)) + ")"
+_BY_GROUP = f"""WITH i AS {_ITEM_ROWS}, g(grp, group_title, k, tag) AS {_GROUP_ROWS}, h AS (SELECT grp, group_title, id, min(k * 1000 + pos) AS low FROM (SELECT pos, id, unnest(tags) AS tag FROM i) JOIN g USING (tag) GROUP BY ALL),
+  n AS (SELECT grp, group_title, id, low % 1000 AS pos, row_number() OVER (PARTITION BY grp ORDER BY low) AS nth FROM h)"""
+
+
+@query(_BY_GROUP + " SELECT grp, group_title, nth, n.id, title, year, url FROM n JOIN i USING (pos)")
 def catalog_groups(spark, sf):
-    return _t(spark, sf, "documents").groupBy(F.col("lang").alias("grp")).agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    return literature.by_group(literature.items(spark, _ITEMS)).select("grp", "group_title", F.col("nth").cast("long").alias("nth"), "id", "title", "year", "url")
+
+
+@query(f"""WITH i AS {_ITEM_ROWS} SELECT id, 'no title' AS problem FROM i WHERE title IS NULL UNION ALL SELECT id, 'no url' FROM i WHERE false
+  UNION ALL SELECT id, 'url' FROM i WHERE NOT regexp_matches(url, '^https?://') UNION ALL SELECT id, 'id twice' FROM i GROUP BY id HAVING count(*) > 1""")
+def catalog_problems(spark, sf):
+    return literature.problems(literature.items(spark, _ITEMS))
+
+
+@query(_BY_GROUP + """, r AS (SELECT grp, string_agg('| ' || replace(n.id, '|', '\\|') || ' | ' || replace(coalesce(title, ''), '|', '\\|') || ' | ' || year || ' | ' || type || ' | ' || CASE WHEN url IS NULL THEN '' ELSE '[link](' || url || ')' END || ' |', chr(10) ORDER BY nth) AS x FROM n JOIN i USING (pos) GROUP BY grp)
+  SELECT grp, '## ' || group_title || chr(10) || chr(10) || coalesce('| ID | Title | Year | Type | Link |' || chr(10) || '|---|---|---:|---|---|' || chr(10) || x || chr(10), '_(no entries yet)_' || chr(10)) AS section FROM (SELECT DISTINCT grp, group_title FROM g) LEFT JOIN r USING (grp)""")
+def catalog_report(spark, sf):
+    return literature.report(literature.items(spark, _ITEMS))
+
+
+def _seq_turns(spark, sf):
+    return conv_dec(spark, sf).withColumnRenamed("turn", "seq")
+
+
+_MSG = "to_json({'role': role, 'content': text})"
+
+
+@query(f"""WITH t AS (SELECT conv_id, turn, role, text, sum(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS c, max(turn) OVER (PARTITION BY conv_id) AS last FROM {CONV_DEC}),
+  s AS (SELECT u.conv_id, u.turn AS start_seq, coalesce(min(a.turn), max(u.last)) AS end_seq FROM t u LEFT JOIN t a ON a.conv_id = u.conv_id AND a.role = 'assistant' AND a.c = u.c + 3 WHERE u.role = 'user' GROUP BY u.conv_id, u.turn)
+  SELECT s.conv_id, start_seq, end_seq, sha256('[' || string_agg({_MSG}, ',' ORDER BY t.turn) || ']') AS messages_sha256 FROM s JOIN t ON t.conv_id = s.conv_id AND t.turn BETWEEN start_seq AND end_seq WHERE end_seq - start_seq >= 1 GROUP BY ALL""")
+def sft_records(spark, sf):
+    return chat.sft_records(_seq_turns(spark, sf)).select("meta.conv_id", "meta.start_seq", "meta.end_seq", F.sha2(F.to_json("messages"), 256).alias("messages_sha256"))
+
+
+@query(f"""WITH p AS ({{pairs}}) SELECT p.conv_id, rejected_seq, chosen_seq, signal, sha256('[' || string_agg({_MSG}, ',' ORDER BY t.turn) || ']') AS prompt_sha256
+  FROM p JOIN {CONV_DEC} t ON t.conv_id = p.conv_id AND t.turn BETWEEN rejected_seq - 6 AND prompt_end GROUP BY ALL""".replace("{pairs}", _ORACLE["dpo_pairs"]))
+def pair_records(spark, sf):
+    d = chat.pair_records(_seq_turns(spark, sf))
+    return d.select("meta.conv_id", "meta.rejected_seq", "meta.chosen_seq", F.map_keys("signals")[0].alias("signal"), F.sha2(F.to_json("prompt_messages"), 256).alias("prompt_sha256"))
+
+
+@query("SELECT conv_id, turn AS seq, repeat('  ', CAST(turn AS INT)) || '└─ [' || role || '] ' || text AS line FROM conversations")
+def tree_text(spark, sf):
+    return chat.tree_text(_t(spark, sf, "conversations").select("conv_id", F.col("turn").alias("seq"), F.col("turn").alias("depth"), "role", "text"))
+
+
+@query(r"SELECT doc_id, CASE WHEN length(t) > 120 THEN left(t, 119) || '…' ELSE t END AS shown, left(regexp_replace(source || ' ' || doc_id, '[^\w\-]+', '_', 'g'), 80) AS file FROM (SELECT *, trim(regexp_replace(text, '[\s\x0b\x{85}\x{A0}]+', ' ', 'g')) AS t FROM documents)")
+def previews(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", T.squeezed(F.col("text")).alias("shown"), T.safe_name(F.concat("source", F.lit(" "), F.col("doc_id").cast("string"))).alias("file"))
+
+
+@query(f"SELECT doc_id, length(text) AS chars, CAST({_NTOK.format('text')} AS BIGINT) AS tokens FROM documents")
+def text_stats(spark, sf):
+    stats = F.from_json(lake.text_stats(F.col("text"), F.lit("und")), "chars long, tokens long")
+    return _t(spark, sf, "documents").select("doc_id", stats.alias("s")).select("doc_id", "s.chars", "s.tokens")
+
+
+@query()
+def recipe_normalized(spark, sf):
+    """All documents through extraction and recipe v1, with both near-duplicate signatures."""
+    d = _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("blob_cid"), "text")
+    return lake.normalized(lake.extractions(d)).drop("text", "minhash_sig")
+
+
+@query()
+def simhash_signatures(spark, sf):
+    return simhash.simhash64(_t(spark, sf, "documents"))
+
+
+@query()
+def simhash_pairs(spark, sf):
+    """Candidate pairs of the banded search whose 64-bit signatures differ in at most 8 bits."""
+    d = _t(spark, sf, "documents")
+    nodes = minhash.signatures(d).groupBy("same").agg(F.min("id").alias("id"), F.min_by("sig", "id").alias("sig")).select("id", "sig")
+    s = simhash.simhash64(d)
+    pairs = minhash.candidates(nodes, 32, 4).join(s.withColumnsRenamed({"doc_id": "a", "simhash64": "sa"}), "a").join(s.withColumnsRenamed({"doc_id": "b", "simhash64": "sb"}), "b")
+    return pairs.select("a", "b", simhash.hamming(F.col("sa"), F.col("sb")).alias("bits")).where("bits <= 8")
+
+
+@query(r"""WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(text, ' ')) AS t FROM documents) SELECT doc_id, count(*) AS n_chunks FROM (SELECT doc_id, unnest(range(0, count(*), 600)) FROM w GROUP BY doc_id) GROUP BY doc_id""")
+def lake_chunks(spark, sf):
+    """Windows over texts that are single-spaced already but for their line feeds: as many as their tokens ask for."""
+    n = _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("norm_cid"), "text")
+    return lake.window_chunks(n).groupBy(F.col("norm_cid").cast("long").alias("doc_id")).agg(F.count(F.lit(1)).alias("n_chunks"))
+
+
+@query("SELECT doc_id FROM labels l WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id AND d.doc_id % 7 <> 0)")
+def provenance_orphans(spark, sf):
+    return lake.orphans(_t(spark, sf, "labels").select("doc_id"), _t(spark, sf, "documents").where("doc_id % 7 <> 0"), "doc_id")
+
+
+@query(r"""WITH d AS (SELECT doc_id, text || ' see https://example.org/' || doc_id AS text FROM documents), m AS (SELECT doc_id, CAST(""" + _NTOK.format("text") + r""" AS BIGINT) AS token_len, length(text) AS n,
+  greatest(1, len(regexp_extract_all(text, '[.!?]+([\s\x0b]|$)', 0))) AS ends, list_sum(list_transform(regexp_extract_all(text, '(?i)https?://[^\s\x0b")]+', 0), lambda u: length(u))) AS links, list_filter(string_split(text, chr(10)), lambda x: x <> '') AS l FROM d)
+  SELECT doc_id, token_len, round(token_len / ends, 6) AS readability, round(links / n, 6) AS link_density, round(CASE WHEN len(l) > 0 THEN 1 - len(list_distinct(l)) / len(l) ELSE 0 END, 6) AS dup_ratio FROM m""")
+def doc_metrics(spark, sf):
+    d = _t(spark, sf, "documents").select("doc_id", F.concat("text", F.lit(" see https://example.org/"), F.col("doc_id").cast("string")).alias("text"))
+    return lake.metrics(d).select("doc_id", "token_len", *[F.round(c, 6).alias(c) for c in ("readability", "link_density", "dup_ratio")])
+
+
+@query("SELECT l.doc_id, coalesce(n_chars % 100 <= 20, false) OR coalesce(quality >= 1, false) AS promote FROM documents d JOIN labels l USING (doc_id)")
+def hot_set(spark, sf):
+    d = _t(spark, sf, "documents").join(_t(spark, sf, "labels"), "doc_id").select("doc_id", (F.col("n_chars") % 100).alias("age_days"), "quality")
+    return lake.promoted(d, recent_days=20, min_quality=1).select("doc_id", "promote")
+
+
+@query("SELECT node, version, name FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY version DESC) AS k FROM (SELECT doc_id % 50 AS node, doc_id AS version, source AS name FROM documents)) WHERE k = 1")
+def graph_upsert(spark, sf):
+    d = _t(spark, sf, "documents").select((F.col("doc_id") % 50).alias("node"), F.col("doc_id").alias("version"), F.col("source").alias("name"))
+    return graph.upsert(d.where("version % 2 = 0"), d.where("version % 2 = 1"), ["node"], "version")
+
+
+_NAMES = [(1, "idiot"), (2, "pour"), (3, "Under"), (4, "the")]
+
+
+@query("WITH g(entity_id, name) AS (VALUES " + ", ".join(f"({i}, '{n.lower()}')" for i, n in _NAMES) + r"), w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS name FROM documents) SELECT doc_id AS chunk_id, entity_id, count(*) AS n FROM w JOIN g USING (name) GROUP BY ALL")
+def entity_mentions(spark, sf):
+    g = spark.createDataFrame(_NAMES, "entity_id int, name string")
+    return entities.mentions(_t(spark, sf, "documents").select(F.col("doc_id").alias("chunk_id"), "text"), g, 1).groupBy("chunk_id", "entity_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(r"""WITH tf AS (SELECT lang AS label, token, count(*) AS tf FROM (SELECT lang, unnest(list_filter(regexp_split_to_array(lower(text), '[\s\x0b\x{85}\x{A0}]+'), lambda t: t <> '')) AS token FROM documents WHERE lang IS NOT NULL) GROUP BY ALL),
+  f AS (SELECT token, sum(tf) AS f FROM tf GROUP BY token), a AS (SELECT sum(tf) / count(DISTINCT label) AS a FROM tf), w AS (SELECT label, token, tf * ln(1 + a / f) AS weight FROM tf JOIN f USING (token), a)
+  SELECT label, nth, token, round(weight, 4) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY weight DESC, token) AS nth FROM w) WHERE nth <= 3""")
+def cluster_terms(spark, sf):
+    d = _t(spark, sf, "documents").where("lang is not null").select(F.col("lang").alias("label"), "text")
+    return vectors.cluster_terms(d).withColumn("weight", F.round("weight", 4))
+
+
+@query("""WITH s AS (SELECT lang AS label, doc_id AS pos, CASE WHEN length(text) > 120 THEN left(text, 117) || '…' ELSE text END AS shown, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS k, count(*) OVER (PARTITION BY lang) AS size FROM documents WHERE lang IS NOT NULL)
+  SELECT label, max(size) AS size, string_agg(shown, chr(30) ORDER BY k) AS previews FROM s WHERE k <= 5 GROUP BY label""")
+def cluster_inspect(spark, sf):
+    d = _t(spark, sf, "documents").where("lang is not null").select(F.col("lang").alias("label"), F.col("doc_id").alias("pos"), "text")
+    return vectors.inspected(d).withColumn("previews", F.array_join("previews", "\x1e"))
+
+
+@query()
+def ml_kmeans_labels(spark, sf):
+    return vectors.ml_kmeans(_vecs(spark, sf).select("id", "vec"), 5)
+
+
+@query()
+def hashed_embeddings(spark, sf):
+    return vectors.embedded(_texts(spark, sf), vectors.hashed_words, "pos")
+
+
+@query(r"SELECT term, doc_id, 'text' AS field, count(*) AS tf FROM (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda t: t <> '')) AS term FROM documents) GROUP BY ALL")
+def inverted_index(spark, sf):
+    return ranking.inverted_index(_t(spark, sf, "documents"))
+
+
+@query()
+def hybrid_search(spark, sf):
+    """Documents that have a vector of the same number, searched by three words and the vector of row 0."""
+    v = _vecs(spark, sf).select("id", F.col("vec").alias("embedding"))
+    d = _t(spark, sf, "documents").select(F.col("source").alias("doc_uid"), F.col("doc_id").alias("chunk_id"), "text")
+    first = v.where("id = 0").first()
+    return ranking.hybrid_search(d.join(v, d.chunk_id == v.id).drop("id"), ["idiot", "pour", "under"], list(first.embedding))
+
+
+@query(f"SELECT doc_id, CASE mode " + " ".join(f"WHEN '{m}' THEN '{x.splitlines()[0]}'" for m, x in ranking.POLICIES.items()) + f" END AS policy FROM ({_ORACLE['answer_mode']})")
+def answer_policy(spark, sf):
+    return answer_mode(spark, sf).select("doc_id", F.get(F.split(ranking.policy(F.col("mode")), "\n"), 0).alias("policy"))
+
+
+@query("""WITH r AS (SELECT conv_id AS query_id, turn + 1 AS rank, length(text) % 4 AS gain FROM conversations), b AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY gain DESC) AS best FROM r)
+  SELECT query_id, round(coalesce(sum(CASE WHEN rank <= 10 THEN (pow(2, gain) - 1) / log2(rank + 1) END) / nullif(sum(CASE WHEN best <= 10 THEN (pow(2, gain) - 1) / log2(best + 1) END), 0), 0), 6) AS ndcg, round(coalesce(1.0 / min(CASE WHEN gain > 0 THEN rank END), 0), 6) AS mrr FROM b GROUP BY query_id""")
+def ranking_quality(spark, sf):
+    r = _t(spark, sf, "conversations").select(F.col("conv_id").alias("query_id"), (F.col("turn") + 1).alias("rank"), (F.length("text") % 4).alias("gain"))
+    return ranking.ranking_quality(r).select("query_id", F.round("ndcg", 6).alias("ndcg"), F.round("mrr", 6).alias("mrr"))
+
+
+@query("SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) AS n FROM events GROUP BY ALL")
+def event_windows(spark, sf):
+    """Outside the reference: what the windowed stream counts, over the whole table at once."""
+    return windowed_counts(_t(spark, sf, "events")).select("event_type", "start", "n")

@@ -3,20 +3,30 @@
 from __future__ import annotations
 
 import codecs
+import fnmatch
 import mimetypes
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gleanery.functions.content import deep_urls, part_assets, part_types, parts_text
+from gleanery.functions.text import epoch_iso
 
-def scan(spark: SparkSession, path: str, include: str | None = None, exclude: str | None = None) -> DataFrame:
-    """path, mime, bytes, checksum, modified_ts, content of every regular file below ``path``."""
+
+def scan(spark: SparkSession, path: str, include: str | None = None, exclude: str | None = None, empty: bool = False) -> DataFrame:
+    """path, mime, bytes, checksum, modified_ts, content of every regular file below ``path``; names that begin with a dot
+    or an underscore are left out.  Spark's listing passes over files without a byte; ``empty`` adds them, from a listing
+    on the driver of file states alone."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
     if include:
         reader = reader.option("pathGlobFilter", include)
-    d = reader.load(path)
+    d = reader.load(path).select("path", "length", "modificationTime", "content")
+    if empty:
+        rows = [r for r in _empty_files(spark, path) if not include or fnmatch.fnmatch(r[0].rsplit("/", 1)[1], include)]
+        none = spark.createDataFrame(rows, "path string, ms long")
+        d = d.union(none.select("path", F.lit(0).cast("long"), F.timestamp_millis("ms"), F.lit(b"")))
     if exclude:
         d = d.where(~F.col("path").rlike(exclude))
     known = F.create_map(*[F.lit(x) for e, m in sorted(mimetypes.types_map.items()) for x in (e, m)])
@@ -24,28 +34,45 @@ def scan(spark: SparkSession, path: str, include: str | None = None, exclude: st
     return d.select("path", F.coalesce(F.try_element_at(known, ext), F.lit("application/octet-stream")).alias("mime"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("checksum"), F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("modified_ts"), "content")
 
 
-def decode_bytes(data: bytes) -> str:
-    """By byte order mark, else UTF-8 where valid, else Latin-1; what cannot be decoded is left out."""
+def _empty_files(spark: SparkSession, root: str) -> list[tuple[str, int]]:
+    p = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found, every = [], p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True)
+    while every.hasNext():
+        f = every.next()
+        if f.getLen() == 0 and not f.getPath().getName().startswith((".", "_")):
+            found.append((f.getPath().toString(), f.getModificationTime()))
+    return found
+
+
+def detect_charset(data: bytes) -> str:
+    """By byte order mark, else UTF-8 where the first 100,000 bytes are valid (a cut character at their end aside), else Latin-1."""
     for mark, name in ((codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF32_LE, "utf-32"), (codecs.BOM_UTF32_BE, "utf-32"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16")):
         if data.startswith(mark):
-            return data.decode(name, "ignore")
+            return name
     try:
-        return data.decode("utf-8")
+        codecs.getincrementaldecoder("utf-8")().decode(data[:100_000])
+        return "utf-8"
     except UnicodeDecodeError:
-        return data.decode("latin-1")
+        return "latin-1"
+
+
+def decode_bytes(data: bytes) -> str:
+    """What cannot be decoded is left out."""
+    return data.decode(detect_charset(data), "ignore")
 
 
 def decoded(files: DataFrame) -> DataFrame:
-    """Adds text; html has its scripts, styles and tags removed."""
+    """Adds charset and text (normalized); html has its scripts, styles and tags removed."""
     from gleanery.functions.text import html_to_text, norm_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.record_batch([*b.columns[:-1], pa.array([decode_bytes(x) if x is not None else None for x in b.column(b.num_columns - 1).to_pylist()], pa.string())], names=[*b.schema.names[:-1], "text"])
+            data = [x.as_py() for x in b.column(b.num_columns - 1)]
+            yield pa.record_batch([*b.columns[:-1], pa.array([detect_charset(x) if x is not None else None for x in data], pa.string()), pa.array([decode_bytes(x) if x is not None else None for x in data], pa.string())], names=[*b.schema.names[:-1], "charset", "text"])
 
     names = [c for c in files.columns if c != "content"]
     shape = ", ".join(f"{n} {t}" for n, t in files.select(*names).dtypes)
-    d = files.select(*names, "content").mapInArrow(run, f"{shape}, text string")
+    d = files.select(*names, "content").mapInArrow(run, f"{shape}, charset string, text string")
     html = F.lower("path").rlike(r"\.html?$") if "path" in names else F.lit(False)
     return d.withColumn("text", norm_text(F.when(html, html_to_text(F.col("text"))).otherwise(F.col("text"))))
 
@@ -64,35 +91,75 @@ def chat_pairs(spark: SparkSession, path: str, strict: bool = False) -> DataFram
     return out
 
 
+def in_file_order(df: DataFrame, name: str) -> DataFrame:
+    """Adds ``name``: 0, 1, ... in order of reading.  Two levels: a number within each partition and, by broadcast, how
+    many rows come before that partition; one row a partition is gathered."""
+    d = df.withColumn("_m", F.monotonically_increasing_id()).select("*", F.shiftright("_m", 33).alias("_p"), F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)).alias("_k"))
+    size = d.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
+    before = size.select("_p", F.coalesce(F.sum("_c").over(Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    return d.join(F.broadcast(before), "_p").withColumn(name, (F.col("_k") + F.col("_b")).cast("long")).drop("_m", "_p", "_k", "_b")
+
+
 def messages(spark: SparkSession, path: str) -> DataFrame:
-    """message_index, content: of JSON lines each line's content, else of the ``messages`` of a JSON file."""
+    """message_index, content: of JSON lines each line's content, else of the ``messages`` of a JSON file.  Content that
+    is no string counts as its JSON text; an index is a place in the order of reading."""
     if path.endswith(".jsonl"):
-        d = spark.read.schema("content string").json(path)
-        return d.select(F.monotonically_increasing_id().alias("message_index"), "content")
+        return in_file_order(spark.read.schema("content string").json(path), "message_index").select("message_index", "content")
     d = spark.read.schema("messages array<struct<content:string>>").option("multiLine", "true").json(path)
     return d.select(F.posexplode("messages").alias("message_index", "m")).select(F.col("message_index").cast("long"), F.col("m.content").alias("content"))
 
 
-NODE = "struct<id:string,parent:string,children:array<string>,message:struct<author:struct<role:string,name:string>,create_time:double,recipient:string,end_turn:boolean,status:string,content:struct<content_type:string,parts:array<variant>>>>"
-CONVERSATION = f"struct<conversation_id:string,id:string,title:string,mapping:map<string,{NODE}>>"
+CONVERSATION = "struct<conversation_id:string,id:string,title:string,mapping:map<string,variant>>"
 
 
-def conversation_nodes(spark: SparkSession, path: str) -> DataFrame:
-    """Nodes of conversation exports (files hold one object or an array): conv_id, title, node_id, parent_id, create_time,
-    role, author_name, recipient, end_turn, status, parts, text.  A file that isn't JSON gives no node."""
-    raw = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.json").text(path)
+def conversation_nodes(spark: SparkSession, path: str, null_text: str = "None") -> DataFrame:
+    """Nodes of conversation exports (files hold one object or an array).  A file that isn't JSON gives no node.
+
+    conv_id (conversation_id, id or title; else a digest of the file's path and the place in it), title, node_id,
+    parent_id, children, create_time, create_time_iso, role, author_name, recipient, end_turn, status, type, part_types, text,
+    assets, urls (of every string anywhere in the node), raw_content (JSON).  ``null_text`` is what a part's null text counts as.
+    """
+    raw = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True).select("value", F.input_file_name().alias("file"))
     many = F.from_json("value", f"array<{CONVERSATION}>")
     one = F.array(F.from_json("value", CONVERSATION))
-    c = raw.select(F.explode(F.when(F.ltrim("value").startswith("["), many).otherwise(one)).alias("c")).where("c.mapping is not null")
-    n = c.select(F.coalesce("c.conversation_id", "c.id", "c.title").alias("conv_id"), F.coalesce("c.title", F.lit("(untitled)")).alias("title"), F.explode("c.mapping").alias("node_id", "n"))
-    kinds = F.col("n.message.content.parts")
-    part = lambda p: F.when(F.schema_of_variant(p) == "STRING", F.try_variant_get(p, "$", "string")).otherwise(F.try_variant_get(p, "$.text", "string"))
-    text = F.array_join(F.filter(F.transform(kinds, part), lambda x: x.isNotNull()), "\n")
-    return n.select("conv_id", "title", "node_id", F.col("n.parent").alias("parent_id"), F.col("n.message.create_time").alias("create_time"), F.col("n.message.author.role").alias("role"), F.col("n.message.author.name").alias("author_name"), F.col("n.message.recipient").alias("recipient"), F.col("n.message.end_turn").alias("end_turn"), F.col("n.message.status").alias("status"), F.trim(text).alias("text"))
+    c = raw.select("file", F.posexplode(F.when(F.ltrim("value").startswith("["), many).otherwise(one)).alias("at", "c")).where("c.mapping is not null")
+    blank = lambda x: F.nullif(x, F.lit(""))
+    conv_id = F.coalesce(blank(F.col("c.conversation_id")), blank(F.col("c.id")), blank(F.col("c.title")), F.sha2(F.concat_ws("|", "file", F.col("at").cast("string")), 256))
+    n = c.select(conv_id.alias("conv_id"), F.coalesce("c.title", F.lit("(untitled)")).alias("title"), F.explode("c.mapping").alias("node_id", "n"))
+    get = lambda path, kind="string": F.try_variant_get("n", f"$.{path}", kind)
+    m = "message"
+    n = n.select(
+        "conv_id", "title", "node_id", get("parent").alias("parent_id"), F.coalesce(get("children", "array<string>"), F.array().cast("array<string>")).alias("children"), get(f"{m}.create_time", "double").alias("create_time"), get(f"{m}.author.role").alias("role"), get(f"{m}.author.name").alias("author_name"),
+        get(f"{m}.recipient").alias("recipient"), get(f"{m}.end_turn", "boolean").alias("end_turn"), get(f"{m}.status").alias("status"), get(f"{m}.content.content_type").alias("type"),
+        F.coalesce(get(f"{m}.content.parts", "array<variant>"), F.array().cast("array<variant>")).alias("parts"), get(f"{m}.content", "variant").alias("content"), F.to_json("n").alias("node"),
+    )
+    return n.select(
+        "conv_id", "title", "node_id", "parent_id", "children", "create_time", epoch_iso(F.col("create_time")).alias("create_time_iso"), "role", "author_name", "recipient", "end_turn", "status", "type",
+        part_types(F.col("type"), F.col("parts")).alias("part_types"), parts_text(F.col("type"), F.col("parts"), null_text).alias("text"), part_assets(F.col("parts")).alias("assets"), deep_urls(F.col("node")).alias("urls"), F.to_json("content").alias("raw_content"),
+    )
+
+
+def write_parquet(df: DataFrame, path: str, schema: str) -> None:
+    """Replace a catalog table.  The schema is stated, so an empty table is valid, too."""
+    shape = df.sparkSession.createDataFrame([], schema).schema
+    df.select(*[F.col(f.name).cast(f.dataType) for f in shape]).write.mode("overwrite").parquet(path)
+
+
+def write_placeholder(spark: SparkSession, path: str, schema: str) -> None:
+    """An empty table of that schema, unless something is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        spark.createDataFrame([], schema).write.parquet(path)
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def write_card(card: DataFrame, path: str) -> None:
+    """The one-row dataset card as JSON text."""
+    card.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false", "pretty": "true"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_jsonl(df: DataFrame, path: str, nulls: bool = True) -> None:
+    """Replace a folder of JSON lines; without ``nulls`` fields that are null are left out."""
+    df.write.mode("overwrite").option("ignoreNullFields", str(not nulls).lower()).json(path)
 
 
 def store_blobs(files: DataFrame, path: str) -> None:
@@ -102,19 +169,60 @@ def store_blobs(files: DataFrame, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         new = new.join(spark.read.parquet(path).select("checksum"), "checksum", "left_anti")
-    new.withColumn("prefix", F.left("checksum", F.lit(2))).write.mode("append").partitionBy("prefix").parquet(path)
+    new.withColumn("prefix", F.left("checksum", F.lit(2))).write.mode("append").option("compression", "zstd").partitionBy("prefix").parquet(path)
 
 
-def write_zones(docs: DataFrame, root: str) -> None:
+def write_zones(rows: DataFrame, root: str, kind: str = "docs") -> None:
     """Clean and quarantined rows under physically separate roots, by checksum prefix."""
     for z in ("silver_normalized", "red_quarantine"):
-        docs.where(F.col("zone") == z).write.mode("overwrite").partitionBy("prefix").parquet(f"{root}/{z}")
+        rows.where(F.col("zone") == z).write.mode("overwrite").partitionBy("prefix").parquet(f"{root}/{z}/{kind}")
 
 
-def log_run(spark: SparkSession, path: str, run_id: str, kind: str, params: dict) -> None:
+def log_run(spark: SparkSession, path: str, run_id: str, kind: str, params: dict, counts: dict | None = None, status: str = "ok") -> None:
+    """Append one line to the run log; ``counts`` are a step's inputs and outputs (see ``counted``)."""
     import json
 
-    spark.createDataFrame([(run_id, kind, json.dumps(params, sort_keys=True), "ok")], "run_id string, kind string, params string, status string").coalesce(1).write.mode("append").json(path)
+    row = (run_id, kind, json.dumps(params, sort_keys=True), json.dumps(counts, sort_keys=True) if counts else None, status)
+    spark.createDataFrame([row], "run_id string, kind string, params string, counts string, status string").coalesce(1).write.mode("append").json(path)
+
+
+def counted(df: DataFrame, name: str):
+    """(df, observation): the rows are counted as an action passes them; no extra pass."""
+    from pyspark.sql import Observation
+
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def list_files(spark: SparkSession, root: str, ending: str) -> list[str]:
+    """Paths below ``root`` with that ending, hidden folders included (Spark's own listing leaves them out).  For a
+    bounded set such as repository configurations."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found, every = [], p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True)
+    while every.hasNext():
+        if (at := every.next().getPath().toString()).endswith(ending):
+            found.append(at)
+    return sorted(found)
+
+
+def repositories(spark: SparkSession, root: str, remote: str | None = None) -> DataFrame:
+    """source, dest, origin of the repositories below ``root``; with ``remote`` of those with a remote that contains it."""
+    found = list_files(spark, root, "/.git/config")
+    if not found:
+        return spark.createDataFrame([], "source string, dest string, origin string")
+    d = spark.read.text(found, wholetext=True).select(F.input_file_name().alias("path"), "value")
+    d = d.withColumn("urls", F.regexp_extract_all("value", F.lit(r"(?m)^\s*url\s*=\s*(\S+)"), F.lit(1)))
+    d = d.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "urls", F.regexp_extract("value", r'(?s)\[remote "origin"\][^\[]*?\burl\s*=\s*(\S+)', 1).alias("origin"))
+    if remote:
+        d = d.where(F.exists("urls", lambda u: F.contains(u, F.lit(remote))))
+    return repo_manifest(d.select("path")).join(d.select(F.regexp_extract("path", r"^(.*)/\.git/", 1).alias("source"), "origin"), "source").select("source", "dest", "origin")
+
+
+def version_labels(lines: DataFrame) -> DataFrame:
+    """label, version (array of numbers) of the lines (value) ``* Label: name`` that end in a dotted version."""
+    label = F.regexp_extract("value", r"^\s*\*?\s*(?:Label:\s*)?(.*?)\s*$", 1)
+    v = F.regexp_extract(label, r"(\d+(?:\.\d+)+|\d+)\s*$", 1)
+    return lines.select(label.alias("label"), F.transform(F.split(v, r"\."), lambda x: F.try_to_number(x, F.lit("999999999")).cast("int")).alias("version")).where(F.col("label").rlike(r"\d\s*$"))
 
 
 def repo_manifest(paths: DataFrame) -> DataFrame:

@@ -165,7 +165,7 @@ def test_chat_sources(spark, tmp_path):
     m.write_text(json.dumps({"messages": [{"content": "a"}, {"content": "b"}]}))
     assert [r.content for r in files.messages(spark, str(m)).orderBy("message_index").collect()] == ["a", "b"]
     c = tmp_path / "c.json"
-    node = lambda i, up, t: {"id": i, "parent": up, "message": {"author": {"role": "user"}, "create_time": t, "content": {"parts": ["hi " + i, {"text": "x"}]}}}
+    node = lambda i, up, t: {"id": i, "parent": up, "message": {"author": {"role": "user"}, "create_time": t, "content": {"content_type": "text", "parts": ["hi " + i, {"text": "x"}]}}, "children": ["k"] if i == "r" else []}
     c.write_text(json.dumps([{"conversation_id": "c1", "title": None, "mapping": {"r": node("r", None, 1.0), "k": node("k", "r", 2.0)}}]))
     n = files.conversation_nodes(spark, str(c))
     assert {(r.node_id, r.text) for r in n.collect()} == {("r", "hi r\nx"), ("k", "hi k\nx")}
@@ -197,3 +197,195 @@ def test_stream(spark, tmp_path):
     q = zone_stream(spark.readStream.schema("doc_id long, text string").parquet(str(tmp_path / "s"))).writeStream.format("memory").queryName("zones").start()
     q.processAllAvailable(), q.stop()
     assert spark.sql("select count(*) from zones where quarantine").first()[0] == 1
+
+
+def message(node, up, kids, role, content, t=None, **more):
+    return {"id": node, "parent": up, "children": kids, "message": {"author": {"role": role, "name": more.pop("name", None)}, "create_time": t, "content": content, **more}}
+
+
+def test_export_content(spark, tmp_path):
+    """Parts of every kind, assets, links behind escapes, a child that no node describes, ids that are missing."""
+    parts = ["see https:\/\/x.y\/a".replace("\\/", "/"), {"content_type": "image_asset_pointer", "size_bytes": 5, "asset_pointer": "s://1"}, {"content_type": "t", "text": None}, {"text": {"k": 1}}, {"text": "end "}]
+    av = {"content_type": "real_time_user_audio_video_asset_pointer", "audio_asset_pointer": {"asset_pointer": "s://2", "format": "wav"}}
+    mapping = {
+        "r": {"id": "r", "parent": None, "children": ["b", "a", "gone"], "message": None},
+        "a": message("a", "r", [], "user", {"content_type": "multimodal_text", "parts": parts}, 0.0, metadata={"deep": [{"u": 'q "https://z.w/b" (https://z.w/c)'}]}),
+        "b": message("b", "r", ["c"], "assistant", {"content_type": "code", "parts": ["run()"]}, 2.5, recipient="web", end_turn=False),
+        "c": message("c", "b", [], "tool", {"content_type": "tool_result", "parts": [av]}, None, name="web"),
+    }
+    (tmp_path / "a.json").write_text(json.dumps({"title": "T", "mapping": mapping}))
+    (tmp_path / "b.json").write_text("not json")
+    (tmp_path / "c.json").write_text(json.dumps([{"mapping": {"x": message("x", None, [], "user", {"content_type": "other", "parts": ["no"]}, 1.5)}}]))
+    turns = chat.ordered_turns(files.conversation_nodes(spark, str(tmp_path))).orderBy("conv_id", "seq").collect()
+    t = {r.node_id: r for r in turns}
+    assert [r.node_id for r in turns if r.conv_id == "T"] == ["r", "a", "b", "c", "gone"] and t["gone"].depth == 1 and t["gone"].role is None
+    assert t["a"].text == 'see https://x.y/a\nNone\n{"k":1}\nend' and t["a"].part_types == ["str", "image_asset_pointer", "t", "dict", "dict"]
+    assert t["a"].urls == ["https://x.y/a", "https://z.w/b", "https://z.w/c"]
+    assert [tuple(x) for x in t["a"].assets] == [("image_asset_pointer", None, 5, "s://1")]
+    assert [(x.content_type, x.asset_pointer) for x in t["c"].assets] == [("real_time_user_audio_video_asset_pointer", None), ("audio_asset_pointer", "s://2")]
+    assert (t["b"].tool_call, t["b"].tool_name, t["b"].end_turn, t["b"].create_time_iso) == (True, "web", False, "1970-01-01T00:00:02.500000+00:00")
+    assert (t["c"].tool_result, t["c"].tool_name) == (True, "web") and t["x"].text == "" and len(t["x"].conv_id) == 64
+
+
+def test_training_sets(spark, tmp_path):
+    from gleanery.plans.mine import training_sets
+
+    say = lambda x: {"content_type": "text", "parts": [x]}
+    chain = [("user", say("q"), {}), ("assistant", say("a1"), {}), ("user", say("No, wrong"), {}), ("assistant", {"content_type": "code", "parts": ["f()"]}, {"recipient": "web"}), ("tool", {"content_type": "tool_result", "parts": ["42 https://x.y"]}, {"name": "web"}), ("assistant", say("a2"), {}), ("critic", say("hm"), {})]
+    ids = [f"n{i}" for i in range(len(chain))]
+    mapping = {n: message(n, ids[i - 1] if i else None, ids[i + 1 : i + 2], r, c, float(i), **more) for i, (n, (r, c, more)) in enumerate(zip(ids, chain))}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/x.json").write_text(json.dumps([{"conversation_id": "c", "mapping": mapping}]))
+    assert training_sets(spark, str(tmp_path / "in"), str(tmp_path / "out")) == {"sft": 2, "dpo_pairs": 1, "tool_traces": 2}
+    lines = lambda name: [json.loads(x) for f in sorted((tmp_path / "out" / name).glob("part-*")) for x in f.read_text().splitlines()]
+    sft = sorted(lines("sft"), key=lambda r: r["meta"]["start_seq"])
+    assert sft[0]["meta"] == {"conv_id": "c", "start_seq": 0, "end_seq": 5, "has_tools": True}
+    assert sft[0]["messages"][3] == {"role": "assistant", "tool_call": {"name": "web", "arguments": {"content_type": "code", "parts": ["f()"]}}}
+    assert sft[0]["messages"][4] == {"role": "tool", "name": "web", "content": {"content_type": "tool_result", "parts": ["42 https://x.y"]}}
+    assert [m["role"] for m in sft[1]["messages"]] == ["user", "assistant", "tool", "assistant"] and sft[1]["meta"]["end_seq"] == 6
+    (pair,) = lines("dpo_pairs")
+    assert (pair["rejected"], pair["chosen"], pair["signals"], pair["meta"]) == ("a1", "f()", {"user_correction": True}, {"rejected_seq": 1, "chosen_seq": 3, "conv_id": "c"})
+    assert [m["content"] for m in pair["prompt_messages"]] == ["q", "a1", "No, wrong"]
+    tools = sorted(lines("tool_traces"), key=lambda r: r["seq"])
+    assert [(x["direction"], x["tool_name"], x["urls"]) for x in tools] == [("call", "web", []), ("result", "web", ["https://x.y"])]
+
+
+def test_mine_dataset(spark, tmp_path):
+    from gleanery.plans.mine import mine_dataset
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.txt").write_text("A clean paragraph.\n\nAnother one.")
+    (tmp_path / "in/b.txt").write_text("explicit nsfw words")
+    (tmp_path / "in/c.txt").write_text("A clean paragraph.\n\nAnother one.")
+    (tmp_path / "in/d.txt").write_text("")
+    assert mine_dataset(spark, str(tmp_path / "in"), str(tmp_path / "out"), "ds", "2027-01-01") == {"quarantine_docs": 2, "clean_docs": 2}
+    docs = {r.source_path.rsplit("/", 1)[1]: r for r in spark.read.parquet(str(tmp_path / "out/catalog/docs.parquet")).collect()}
+    assert docs["a.txt"].doc_uid == docs["c.txt"].doc_uid and (docs["a.txt"].quarantine, docs["a.txt"].chunk_count) == (False, 1)
+    assert docs["b.txt"].risk_tags == ["nsfw"] and docs["d.txt"].risk_tags == ["non_text"] and docs["d.txt"].chunk_count == 0
+    chunks = spark.read.parquet(str(tmp_path / "out/catalog/chunks.parquet"))
+    assert chunks.count() == 3 and chunks.select("chunk_id").distinct().count() == 2
+    assert spark.read.parquet(str(tmp_path / "out/bronze_raw")).count() == 3
+    assert spark.read.parquet(str(tmp_path / "out/red_quarantine/docs")).count() == 2 and spark.read.parquet(str(tmp_path / "out/silver_normalized/chunks")).count() == 2
+    card = json.loads("".join(f.read_text() for f in (tmp_path / "out/catalog/ds.card").glob("part-*")))
+    assert card["nsfw"] == "present" and card["pii"] == "unknown" and card["clean_docs"] == 2
+    (tmp_path / "none").mkdir()
+    assert mine_dataset(spark, str(tmp_path / "none"), str(tmp_path / "out2"), "ds", "2027-01-01") == {"quarantine_docs": 0, "clean_docs": 0}
+    assert spark.read.parquet(str(tmp_path / "out2/catalog/chunks.parquet")).count() == 0
+
+
+def test_lake_chain(spark):
+    """The stages' ids repeat, every chunk can be traced, canonical chunks are unique, spans map back."""
+    from gleanery.operators import lake
+
+    f = spark.createDataFrame([("p1", "text/plain", 9, "h1"), ("p2", "text/plain", 9, "h1"), ("p3", "text/plain", 5, "h3")], "path string, mime string, bytes long, checksum string")
+    src = lake.sources(f, 1_700_000_000_000, "CC0").union(lake.sources(f.where("path = 'p3'").withColumn("path", F.lit("p4")), 1_700_000_000_001, "MIT"))
+    ext = lake.extractions(spark.createDataFrame([("h1", "ﬁne  text\u00a0here " * 900), ("h3", "a b"), ("h4", None)], "blob_cid string, text string"))
+    norm = lake.normalized(ext).cache()
+    chunks = lake.window_chunks(norm).cache()
+    assert lake.blobs(src, "s").count() == 2 and src.select("source_id").distinct().count() == 4
+    assert norm.orderBy(F.length("text")).first().text == "a b" and norm.where("text like 'fine text here fine%'").count() == 1
+    assert {r.norm_hash for r in norm.collect()} == {r.norm_hash for r in lake.normalized(ext).collect()}
+    assert chunks.join(norm.select("norm_cid", F.col("text").alias("whole")), "norm_cid").where("substring(whole, cast(span_start as int) + 1, cast(span_end - span_start as int)) <> text").count() == 0
+    assert lake.orphans(chunks, norm, "norm_cid").count() == 0 and lake.orphans(norm, ext.limit(0), "ext_cid").count() == 2
+    mapping = lake.dedupe_map(chunks)
+    assert lake.canonical(chunks, mapping).select("canonical_chunk_id").distinct().count() == mapping.count() == chunks.select("text").distinct().count()
+    assert {tuple(r.licenses) for r in lake.with_license(chunks, norm, ext, src).collect()} == {("CC0",), ("CC0", "MIT")}
+
+
+def test_fragments_rebuild_files(spark):
+    import hashlib
+
+    from gleanery.operators import lake
+
+    rng = np.random.default_rng(1)
+    a = rng.bytes(300_000)
+    b = a[:100_000] + b"inserted" + a[100_000:]
+    d = spark.createDataFrame([(hashlib.sha256(x).hexdigest(), bytearray(x)) for x in (a, b, b"")], "checksum string, content binary")
+    rows = lake.fragments(d, 16).orderBy("checksum", "idx").collect()
+    for x in (a, b):
+        mine = [r for r in rows if r.checksum == hashlib.sha256(x).hexdigest()]
+        assert b"".join(bytes(r.content) for r in mine) == x and all(len(r.content) <= 64 * 1024 for r in mine)
+    assert len({r.frag_cid for r in rows}) < len(rows) - 5  # most fragments are shared
+
+
+def test_entity_mentions_brute_force(spark):
+    from gleanery.operators import entities
+
+    g = spark.createDataFrame([(1, "New York"), (2, "York"), (3, None), (4, "")], "entity_id int, name string")
+    c = spark.createDataFrame([(7, "In new  york, york."), (8, None), (9, "")], "chunk_id long, text string")
+    got = {(r.chunk_id, r.entity_id, r.offset_start, r.offset_end) for r in entities.mentions(c, g).collect()}
+    assert got == {(7, 1, 3, 12), (7, 2, 8, 12), (7, 2, 14, 18)}
+
+
+def test_simhash_brute_force(spark):
+    from gleanery.operators import simhash
+
+    docs = ["one two three four five six", "one two three four five seven", "", None, "x"]
+    got = {r.doc_id: r.simhash64 for r in simhash.simhash64(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()}
+    assert got[2] == got[3] == 0 and got[0] != got[4]
+    for i, t in enumerate(docs[:2]):
+        h = [int(x) for x in minhash.shingle_hashes(t, 3)]
+        m = (1 << 64) - 1
+        h = [(x ^ x >> 32) * 0xD6E8FEB86659FD93 & m for x in h]
+        h = [x ^ x >> 32 for x in h]
+        assert got[i] & m == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_catalog_and_config(spark, tmp_path):
+    from gleanery.config import load_config
+    from gleanery.operators import literature
+
+    (tmp_path / "c.yaml").write_text("foo: 1\nitems:\n- {id: a, title: 'x|y', year: 2000, type: paper, tags: [dense, fusion], url: 'https://u'}\n")
+    assert load_config(str(tmp_path / "c.yaml"))["foo"] == load_config(str(tmp_path / "c.yaml"), spark)["foo"] == 1
+    c = literature.load_items(spark, str(tmp_path / "c.yaml"))
+    assert literature.problems(c).count() == 0
+    lines = [r.section for r in literature.report(c).orderBy("grp").collect()]
+    assert len(lines) == len(literature.GROUPS) and "| a | x\\|y | 2000 | paper | [link](https://u) |\n" in lines[0] and lines[1].endswith("_(no entries yet)_\n")
+
+
+def test_repositories(spark, tmp_path):
+    for name, url in (("one", "git@host:team/one.git"), ("two", "https://else/two")):
+        (tmp_path / name / ".git").mkdir(parents=True)
+        (tmp_path / name / ".git/config").write_text(f'[core]\n\tbare = false\n[remote "origin"]\n\turl = {url}\n')
+    got = files.repositories(spark, str(tmp_path), "team/").collect()
+    assert [(r.source, r.origin) for r in got] == [(str(tmp_path / "one"), "git@host:team/one.git")] and got[0].dest.startswith("one_")
+    assert files.repositories(spark, str(tmp_path)).count() == 2
+    v = files.version_labels(spark.createDataFrame([("* Label: Tools for X-15.3",), ("no version",)], "value string")).collect()
+    assert [(r.label, r.version) for r in v] == [("Tools for X-15.3", [15, 3])]
+
+
+def test_run_log_and_placeholders(spark, tmp_path):
+    d, seen = files.counted(spark.range(5), "n")
+    d.write.format("noop").mode("overwrite").save()
+    files.log_run(spark, str(tmp_path / "runs"), "r1", "normalize", {"recipe_v": "v1"}, {"outputs": seen.get["rows"]})
+    files.log_run(spark, str(tmp_path / "runs"), "r2", "chunk", {})
+    assert {(r.run_id, r.status) for r in spark.read.json(str(tmp_path / "runs")).collect()} == {("r1", "ok"), ("r2", "ok")}
+    for _ in range(2):
+        files.write_placeholder(spark, str(tmp_path / "p"), "a string, b long")
+    assert spark.read.parquet(str(tmp_path / "p")).columns == ["a", "b"]
+
+
+def test_messages_are_numbered_in_order(spark, tmp_path):
+    (tmp_path / "m.jsonl").write_text("".join(json.dumps({"content": f"c{i}"}) + "\n" for i in range(2000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        assert [r.content for r in files.messages(spark, str(tmp_path / "m.jsonl")).orderBy("message_index").collect()] == [f"c{i}" for i in range(2000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_hybrid_search(spark):
+    rows = [(f"d{i % 3}", i, ("apple " if i in (2, 5) else "") + "other words", [1.0, 0.0] if i in (2, 7) else [0.0, 1.0]) for i in range(12)]
+    c = spark.createDataFrame(rows, "doc_uid string, chunk_id long, text string, embedding array<double>")
+    got = ranking.hybrid_search(c, ["apple"], [1.0, 0.0], pool=5, k=3).orderBy("rank").collect()
+    assert got[0].chunk_id == 2 and len(got) == 3
+    assert ranking.hybrid_search(c.limit(0), ["apple"], [1.0, 0.0]).count() == 0
+
+
+def test_ml_kmeans_and_embedder(spark):
+    d = spark.createDataFrame([(i, [x, 0.0]) for i, x in enumerate([0.0, 0.1, 10.0, 10.1])], "id long, vec array<double>")
+    lab = [r.label for r in vectors.ml_kmeans(d, 2).orderBy("id").collect()]
+    assert lab[0] == lab[1] != lab[2] == lab[3]
+    e = vectors.embedded(spark.createDataFrame([(1, "a b"), (2, "b a"), (3, None)], "id long, text string"), vectors.hashed_words).orderBy("id").collect()
+    assert e[0].embedding == e[1].embedding and len(e[2].embedding) == 64 and vectors.mean_pool(np.array([[1.0, 2.0], [3.0, 4.0]])).tolist() == [2.0, 3.0]
+    assert one(spark, "\n  x = 1\ny", vectors.first_code_line) == "x = 1" and one(spark, " \n", vectors.first_code_line) == ""
