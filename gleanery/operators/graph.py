@@ -41,3 +41,47 @@ def communities(edges: DataFrame, rounds: int = 5, save=lambda df: df) -> DataFr
 def provenance(chunks: DataFrame, extractions: DataFrame, blobs: DataFrame, sources: DataFrame) -> DataFrame:
     """chunk_id, norm_cid, blob_cid, source_id, uri: three equi-joins down the chain."""
     return chunks.join(extractions, "norm_cid").join(blobs, "blob_cid").join(sources, "source_id").select("chunk_id", "norm_cid", "blob_cid", "source_id", "uri")
+
+
+def connected_components(edges: DataFrame, save=lambda df: df.checkpoint(), max_rounds: int = 60) -> DataFrame:
+    """Smallest reachable node of every node that has an edge.
+
+    ``edges`` has long columns (a, b); loops, repeats and either direction are fine, nulls are ignored.  Returns
+    (node, component).
+
+    Contraction: each node hooks onto its smallest neighbour, the resulting forest is flattened by pointer
+    jumping, and the edges are rewritten to the roots.  Every root that still has an edge absorbs at least one
+    other node a round, so the rounds are logarithmic in the size of the largest component whatever its shape;
+    all steps are joins and partial aggregations, nothing is gathered per component.  ``save`` materialises a frame
+    (by default a checkpoint, whose folder the session must have).
+    """
+    e = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
+    e = save(e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    levels: list[DataFrame] = []
+    for _ in range(max_rounds):
+        if e.isEmpty():
+            break
+        both = e.union(e.select("b", "a"))
+        hook = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("p")).select("node", F.least("node", "p").alias("p"))
+        hook = save(hook)
+        while True:  # flatten: depth halves each time
+            up = hook.select(F.col("node").alias("p"), F.col("p").alias("pp"))
+            nxt = save(hook.join(up, "p", "left").select("node", F.coalesce("pp", "p").alias("q"), "p"))
+            moved = not nxt.where("q <> p").isEmpty()
+            hook = nxt.select("node", F.col("q").alias("p"))
+            if not moved:
+                break
+        levels.append(hook)
+        ra = hook.select(F.col("node").alias("a"), F.col("p").alias("x"))
+        rb = hook.select(F.col("node").alias("b"), F.col("p").alias("y"))
+        e = e.join(ra, "a").join(rb, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        e = save(e)
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    if not levels:
+        return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    found = levels.pop()
+    while levels:  # a root of one round is a node of the next, if it still had an edge
+        up = found.select(F.col("node").alias("p"), F.col("p").alias("pp"))
+        found = levels.pop().join(up, "p", "left").select("node", F.coalesce("pp", "p").alias("p"))
+    return found.select("node", F.col("p").alias("component"))

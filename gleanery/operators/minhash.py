@@ -57,46 +57,105 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return cols.mapInArrow(run, "id long, same binary, n long, sig binary")
 
 
+SKETCH_CUT = 36  # of 128 sketch bits; a pair at .68 differs in 20 on average, with a deviation of 4
+BLOCK, OVERLAP = 2048, 64
+
+
+def sketch(sig: np.ndarray) -> np.ndarray:
+    """Rows of two 64-bit words: the lowest bit of each signature value.  Two texts differ in (1 - Jaccard) / 2 of them."""
+    return np.packbits((sig & 1).astype(np.uint8), axis=1).view(np.uint64)
+
+
+def spanning_edges(sk: np.ndarray, cut: int = SKETCH_CUT) -> list[tuple[int, int]]:
+    """Edges of a minimum spanning tree over the sketches' distances, those over ``cut`` left out.  Whatever joins below
+    some distance is joined by tree edges below it, so a bucket of n members need not give its n^2 / 2 pairs."""
+    n = len(sk)
+    best = np.bitwise_count(sk ^ sk[0]).sum(axis=1, dtype=np.int64)
+    up = np.zeros(n, np.int64)
+    best[0] = 1 << 30
+    out = []
+    for _ in range(n - 1):
+        j = int(np.argmin(best))
+        if best[j] <= cut:
+            out.append((int(up[j]), j))
+        best[j] = 1 << 30
+        d = np.bitwise_count(sk ^ sk[j]).sum(axis=1, dtype=np.int64)
+        closer = (d < best) & (best < 1 << 30)
+        best[closer], up[closer] = d[closer], j
+    return out
+
+
 def candidates(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(a, b), a < b: of every bucket of a band, each member with the bucket's first and with its neighbour in an order
-    of the band's own.  Two pairs a member at most, however large the bucket; buckets are read as sorted runs."""
+    """(a, b), a < b: of every bucket of a band a spanning tree, nearest sketches first (see ``spanning_edges``).
+
+    Buckets are read as sorted runs.  One of over ``BLOCK`` members goes in overlapping blocks of an order by rotated
+    sketch, in which alike members are neighbours more often than not; the rotation is the band's own.  So memory is
+    bounded, and a member brings at most one pair a band and block, however large the bucket.
+    """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sig = b.column(1)
             for lo in range(0, b.num_rows, 2000):
                 ids = b.column(0).slice(lo, 2000)
-                part = [np.frombuffer(s, "<u4") for s in sig.slice(lo, 2000).to_pylist()]
+                part = np.frombuffer(b"".join(sig.slice(lo, 2000).to_pylist()), "<u4").reshape(-1, PERMS)
+                sk = sketch(part).view(np.int64)
+                s1, s2 = pa.array(sk[:, 0]), pa.array(sk[:, 1])
                 for band in range(bands):
-                    h = [xxhash.xxh64_intdigest(s[band * rows : (band + 1) * rows].tobytes(), band) for s in part]
-                    yield pa.record_batch([pa.array(np.full(len(h), band, np.int32)), pa.array(np.array(h, np.uint64).view(np.int64)), ids], names=["band", "key", "id"])
+                    h = [xxhash.xxh64_intdigest(x, band) for x in np.ascontiguousarray(part[:, band * rows : (band + 1) * rows]).view(f"V{4 * rows}").ravel().tolist()]
+                    yield pa.record_batch([pa.array(np.full(len(h), band, np.int32)), pa.array(np.array(h, np.uint64).view(np.int64)), ids, s1, s2], names=["band", "key", "id", "s1", "s2"])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, first, before = None, 0, 0
+        held: list[np.ndarray] = []  # the open bucket: columns id, s1, s2
+        key = None
+        a: list[int] = []
+        b: list[int] = []
+
+        def close(rows: np.ndarray) -> None:
+            if len(rows) == 2:
+                if int(np.bitwise_count((rows[0, 1:] ^ rows[1, 1:]).view(np.uint64)).sum()) <= SKETCH_CUT:
+                    a.append(int(rows[0, 0])), b.append(int(rows[1, 0]))
+            elif len(rows) > 2:
+                for i, j in spanning_edges(np.ascontiguousarray(rows[:, 1:]).view(np.uint64)):
+                    a.append(int(rows[i, 0])), b.append(int(rows[j, 0]))
+
+        def shut() -> None:
+            if held:
+                close(np.concatenate(held))
+                held.clear()
+
         for batch in batches:
-            band, key, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
-            if not len(ids):
+            band, hashed, *rest = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            if not len(hashed):
                 continue
-            a, b = [], []
-            new = np.ones(len(ids), bool)
-            new[1:] = (band[1:] != band[:-1]) | (key[1:] != key[:-1])
-            new[0] = last != (int(band[0]), int(key[0]))
-            for i in np.flatnonzero(~new).tolist():
-                if i == 0 or new[i - 1]:
-                    first = int(ids[i - 1]) if i else first
-                prev = int(ids[i - 1]) if i else before
-                x = int(ids[i])
-                a.append(prev), b.append(x)
-                if first != prev:
-                    a.append(first), b.append(x)
-            if new[-1]:
-                first = int(ids[-1])
-            last, before = (int(band[-1]), int(key[-1])), int(ids[-1])
+            rows = np.stack(rest, axis=1).astype(np.int64)
+            ends = [*(np.flatnonzero((band[1:] != band[:-1]) | (hashed[1:] != hashed[:-1])) + 1).tolist(), len(rows)]
+            lo = 0
+            for hi in ends:
+                mine = (int(band[lo]), int(hashed[lo]))
+                if mine != key:
+                    shut()
+                    key = mine
+                    if hi - lo == 1 and hi < len(rows):  # alone in its bucket
+                        lo = hi
+                        continue
+                held.append(rows[lo:hi])
+                while sum(map(len, held)) > BLOCK:
+                    whole = np.concatenate(held)
+                    close(whole[:BLOCK])
+                    held[:] = [whole[BLOCK - OVERLAP :]]
+                lo = hi
+            if a:
+                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                a.clear(), b.clear()
+        shut()
+        if a:
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = nodes.select("id", "sig").mapInArrow(keys, "band int, key long, id long").withColumn("turn", F.xxhash64("band", "id")).select("band", "key", "turn", "id")
-    found = dealt.repartition(n, "band", "key").sortWithinPartitions("band", "key", "turn").mapInArrow(pairs, "a long, b long")
+    dealt = nodes.select("id", "sig").mapInArrow(keys, "band int, key long, id long, s1 long, s2 long")
+    turned = F.expr("shiftleft(s1, (band * 3) % 64) | shiftrightunsigned(s1, 64 - (band * 3) % 64)")
+    found = dealt.repartition(n, "band", "key").sortWithinPartitions("band", "key", turned, "id").mapInArrow(pairs, "a long, b long")
     return found.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -141,3 +200,19 @@ def similar_pairs(nodes: DataFrame, docs: DataFrame, threshold: float, bands: in
     ids = open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(ids, "id", "left_semi").dropDuplicates(["id"])
     return sure.union(exact_jaccard(open_, texts, width).where(F.col("jaccard") >= threshold).select("a", "b"))
+
+
+def near_dedupe_map(docs: DataFrame, threshold: float, bands: int, rows: int, width: int = 5, save=lambda df: df.checkpoint(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, canonical_id: the smallest id reachable over pairs with a Jaccard of ``threshold`` or more.
+
+    Equal shingle sets are one node from the start (grouped with map-side combine), so copies never meet in a bucket; rows
+    without an id are left out, texts without a word are alike.  Nothing is deleted: the map points alternates to the one that stays.
+    """
+    from gleanery.operators.graph import connected_components
+
+    sig = save(signatures(docs, id_col, text_col, width).where("id is not null"))
+    nodes = save(sig.groupBy("same").agg(F.min("id").alias("node"), F.min_by("sig", "id").alias("sig")))
+    links = similar_pairs(nodes.select(F.col("node").alias("id"), "sig"), docs, threshold, bands, rows, width, save=save, id_col=id_col, text_col=text_col)
+    found = connected_components(links, save)
+    reps = nodes.join(found, "node", "left").select("same", F.coalesce("component", "node").alias("canonical_id"))
+    return sig.select("id", "same").join(reps, "same").select(F.col("id").alias(id_col), "canonical_id").distinct()

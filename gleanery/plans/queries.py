@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions import text as T
 from gleanery.operators import chat, entities, graph, lake, literature, mining, minhash, ranking, simhash, vectors
+from gleanery.plans.save import checkpointed
 from gleanery.streaming.routing import windowed_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,13 +140,16 @@ def exact_dedupe_map(spark, sf):
     return mining.exact_dedupe_map(_t(spark, sf, "documents"))
 
 
-@query()
-def minhash_pairs(spark, sf):
-    """Pairs of distinct texts with a five-word Jaccard of .88 or more, over 32 bands of 4."""
-    d = _t(spark, sf, "documents")
-    sig = minhash.signatures(d).cache()
-    nodes = sig.groupBy("same").agg(F.min("id").alias("id"), F.min_by("sig", "id").alias("sig")).select("id", "sig").cache()
-    return minhash.similar_pairs(nodes, d, 0.88, 32, 4)
+_SHINGLES = r"""w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\s\x0b\x{1C}-\x{1F}\x{85}\x{A0}]+'), lambda t: t <> '') AS w FROM documents),
+  s AS (SELECT doc_id, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' ')))) AS s FROM w WHERE len(w) > 0),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+  e AS (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE k >= 0.88 * (p.n + q.n - k) UNION ALL SELECT x.doc_id, y.doc_id FROM w x, w y WHERE len(x.w) = 0 AND len(y.w) = 0)"""
+
+
+@query(f"""WITH RECURSIVE {_SHINGLES}, r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id WHERE r.c < e.b) SELECT doc_id, min(c) AS canonical_id FROM r GROUP BY doc_id""")
+def near_dedupe_map(spark, sf):
+    """Every document's smallest id reachable over five-word Jaccards of .88 or more; 32 bands of 4."""
+    return minhash.near_dedupe_map(_t(spark, sf, "documents"), 0.88, 32, 4, save=checkpointed(spark))
 
 
 _LINES = "list_filter(string_split(text, chr(10)), lambda x: x <> '')"

@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g").config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    s.sparkContext.setCheckpointDir(s.conf.get("spark.checkpoint.dir"))
     yield s
     s.stop()
 

@@ -129,7 +129,49 @@ def test_minhash_against_brute_force(spark):
     want = {(i, j) for i, j in itertools.combinations(range(len(docs)), 2) if 0.8 <= len(sets[i] & sets[j]) / len(sets[i] | sets[j])}
     sig = minhash.signatures(d).select("id", "sig")
     got = {(r.a, r.b) for r in minhash.similar_pairs(sig, d, 0.8, 21, 6).collect()}
-    assert got == want
+    assert got <= want and components(len(docs), got) == components(len(docs), want)
+    assert dict(minhash.near_dedupe_map(d, 0.8, 21, 6).collect()) == dict(enumerate(components(len(docs), want)))
+
+
+def components(n, pairs):
+    label = list(range(n))
+    for i, j in pairs:
+        x, y = sorted((label[i], label[j]))
+        label = [x if v == y else v for v in label]
+    return label
+
+
+def test_spanning_edges_keep_every_threshold():
+    rng = np.random.default_rng(3)
+    sk = rng.integers(0, 1 << 63, (4, 2), dtype=np.uint64)[rng.integers(0, 4, 60)]
+    for i in range(60):
+        for bit in rng.integers(0, 60, rng.integers(0, 12)):
+            sk[i, bit % 2] ^= np.uint64(1) << np.uint64(bit)
+    dist = np.bitwise_count(sk[:, None] ^ sk[None]).sum(axis=2, dtype=int)
+    edges = minhash.spanning_edges(sk)
+    assert len(edges) < 60
+
+    for t in range(0, minhash.SKETCH_CUT + 1, 3):
+        assert components(60, [(i, j) for i in range(60) for j in range(i) if dist[i, j] <= t]) == components(60, [(i, j) for i, j in edges if dist[i, j] <= t])
+
+
+@pytest.mark.parametrize("block", [4, 2048])
+def test_minhash_links_in_mixed_buckets(spark, monkeypatch, block):
+    """Documents that share a long passage fall into common buckets; the pairs among them that are alike must be found."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "OVERLAP", 2)
+    rnd = random.Random(8)
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    shared = [word() for _ in range(150)]
+    docs = []
+    for _ in range(60):
+        own = [word() for _ in range(50)]
+        twin = [*own[:40], *(word() for _ in range(4)), *own[44:]]
+        docs += [" ".join(shared + own), " ".join(shared + twin)]
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {(r.a, r.b) for r in minhash.similar_pairs(minhash.signatures(d).select("id", "sig"), d, 0.8, 21, 6).collect()}
+    twins = {(2 * i, 2 * i + 1) for i in range(60)}
+    assert len(twins & got) >= (59 if block > 4 else 40)
 
 
 def test_pagerank_sums_to_one(spark):
