@@ -2,32 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery.operators import graph
+from gleanery.plans.save import checkpointed, shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shared(spark: SparkSession) -> str:
-    """The cluster's shared folder.  Only where none is set (tests, a laptop) a folder of our own is."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gleanery-"))
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{_shared(spark)}/{name}"
+    return f"{shared_folder(spark)}/{name}"
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder, so that a lost executor costs a re-read and not a recomputation."""
-    _shared(df.sparkSession)
-    return df.checkpoint()
+    return checkpointed(df.sparkSession)(df)
 
 
 def id_text(docs: DataFrame, *more: str) -> DataFrame:
@@ -36,44 +28,6 @@ def id_text(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Smallest reachable node of every node that has an edge.
-
-    ``edges`` has long columns (a, b); loops, repeats and either direction are fine, nulls are ignored.  Returns
-    (node, component).
-
-    Contraction: each node hooks onto its smallest neighbour, the resulting forest is flattened by pointer
-    jumping, and the edges are rewritten to the roots.  Every root that still has an edge absorbs at least one
-    other node a round, so the rounds are logarithmic in the size of the largest component whatever its shape;
-    all steps are joins and partial aggregations, nothing is gathered per component.
-    """
-    e = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
-    e = checkpoint(e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    levels: list[DataFrame] = []
-    for _ in range(max_rounds):
-        if e.isEmpty():
-            break
-        both = e.union(e.select("b", "a"))
-        hook = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("p")).select("node", F.least("node", "p").alias("p"))
-        hook = checkpoint(hook)
-        while True:  # flatten: depth halves each time
-            up = hook.select(F.col("node").alias("p"), F.col("p").alias("pp"))
-            nxt = checkpoint(hook.join(up, "p", "left").select("node", F.coalesce("pp", "p").alias("q"), "p"))
-            moved = not nxt.where("q <> p").isEmpty()
-            hook = nxt.select("node", F.col("q").alias("p"))
-            if not moved:
-                break
-        levels.append(hook)
-        ra = hook.select(F.col("node").alias("a"), F.col("p").alias("x"))
-        rb = hook.select(F.col("node").alias("b"), F.col("p").alias("y"))
-        e = e.join(ra, "a").join(rb, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        e = checkpoint(e)
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    if not levels:
-        return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    found = levels.pop()
-    while levels:  # a root of one round is a node of the next, if it still had an edge
-        up = found.select(F.col("node").alias("p"), F.col("p").alias("pp"))
-        found = levels.pop().join(up, "p", "left").select("node", F.coalesce("pp", "p").alias("p"))
-    return found.select("node", F.col("p").alias("component"))
+def connected_components(edges: DataFrame) -> DataFrame:
+    """``operators.graph.connected_components`` with lineage cut in the shared folder."""
+    return graph.connected_components(edges, save=checkpoint)
