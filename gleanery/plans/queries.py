@@ -98,12 +98,26 @@ def html_to_text(spark, sf):
     return _t(spark, sf, "pages").select("page_id", F.sha2(T.html_to_text(F.col("html")), 256).alias("text_sha256"))
 
 
-@query()
+# the packer as a recursion over a document's paragraphs: one step each, and one that closes what is left
+_TEXT = "text"
+_STRIP = lambda x: rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+_chunked = lambda text, docs: rf"""RECURSIVE d AS (SELECT doc_id, regexp_split_to_array({text}, '\n\s*\n') AS ps FROM {docs}), q AS (SELECT doc_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS k, len(ps) AS n FROM d),
+  r AS (SELECT doc_id, p, k, n, {_STRIP("p")} = '' AS blank, {_NTOK.format("p")} AS t FROM q UNION ALL SELECT doc_id, NULL, len(ps) + 1, len(ps), false, 0 FROM d),
+  w AS (SELECT doc_id, CAST(0 AS BIGINT) AS k, '' AS buf, CAST(0 AS BIGINT) AS cur, CAST(0 AS BIGINT) AS start, CAST(NULL AS VARCHAR) AS body, CAST(0 AS BIGINT) AS from_ FROM d
+    UNION ALL SELECT doc_id, k, CASE WHEN p IS NULL THEN '' WHEN blank THEN buf WHEN cur + t <= 900 THEN more WHEN cur >= 120 THEN p ELSE '' END,
+      CAST(CASE WHEN p IS NULL THEN 0 WHEN blank THEN cur WHEN cur + t <= 900 THEN cur + t WHEN cur >= 120 THEN t ELSE 0 END AS BIGINT),
+      CAST(CASE WHEN p IS NULL THEN start WHEN blank THEN start + length(p) + 2 WHEN cur + t <= 900 THEN start WHEN cur >= 120 THEN start + length(buf) + 2 ELSE start + length(more) + 2 END AS BIGINT),
+      CASE WHEN p IS NULL THEN nullif(buf, '') WHEN blank OR cur + t <= 900 THEN NULL WHEN cur >= 120 THEN buf ELSE more END, start
+    FROM (SELECT w.doc_id, r.k, r.p, r.blank, r.t, w.buf, w.cur, w.start, CASE WHEN w.buf = '' THEN r.p ELSE w.buf || chr(10) || chr(10) || r.p END AS more FROM w JOIN r ON r.doc_id = w.doc_id AND r.k = w.k + 1)),
+  c AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS idx, from_ AS offset_start, from_ + length(body) AS offset_end, {_STRIP("body")} AS text FROM w WHERE body IS NOT NULL)"""
+
+
+@query("WITH " + _chunked("replace(text, chr(10), chr(10) || chr(10))", "documents") + " SELECT doc_id, idx, offset_start, offset_end, text FROM c")
 def paragraph_chunks(spark, sf):
     return mining.paragraph_chunks(docs_par(spark, sf))
 
 
-@query()
+@query("WITH " + _chunked("rtext", DOCS_RISK) + f" SELECT doc_id, count(*) AS chunk_count, {', '.join(f'CAST(max({_has(k, _TEXT)}) AS DOUBLE) AS {k}_score' for k in T.LEXICON)} FROM c GROUP BY doc_id")
 def chunk_scores(spark, sf):
     chunks = mining.scored(mining.paragraph_chunks(docs_risk(spark, sf)))
     return chunks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunk_count"), *[F.max(f"{k}_score").alias(f"{k}_score") for k in T.LEXICON])
@@ -403,7 +417,12 @@ def pagerank(spark, sf):
     return graph.personalised_pagerank(e, seeds, rounds=2).withColumn("rank", F.round("rank", 9))
 
 
-@query()
+def _rounds(n: int) -> str:
+    step = "l{0} AS (SELECT src AS node, first(label ORDER BY n DESC, label) AS label FROM (SELECT b.src, l.label, count(*) AS n FROM b JOIN l{1} l ON l.node = b.dst GROUP BY ALL) GROUP BY src)"
+    return ", ".join(step.format(i, i - 1) for i in range(1, n + 1))
+
+
+@query(f"WITH k AS ({_KNN}), b AS (SELECT src, dst FROM k UNION SELECT dst, src FROM k), l0 AS (SELECT DISTINCT src AS node, src AS label FROM b), {_rounds(5)} SELECT node, label FROM l5")
 def communities(spark, sf):
     return graph.communities(_knn(spark, sf).select("src", "dst"))
 
