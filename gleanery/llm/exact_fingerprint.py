@@ -58,48 +58,47 @@ def copy_groups(docs: DataFrame) -> DataFrame:
     return plain.join(clash.select("fingerprint").distinct(), "fingerprint", "left_anti").select("doc_id", "fingerprint", "copy_of").union(odd)
 
 
+def _range_of(key: Column, marks: list[int]) -> Column:
+    """How many of the sorted ``marks`` are smaller than ``key``, by binary search over one folded array literal."""
+    if not marks:
+        return F.lit(0)
+    arr = F.split(F.lit(",".join(map(str, marks))), ",").cast("array<bigint>")
+    mid = lambda a: ((a.lo + a.hi) / 2).cast("int")
+    found = F.aggregate(
+        F.sequence(F.lit(1), F.lit(len(marks).bit_length())),
+        F.struct(F.lit(0).alias("lo"), F.lit(len(marks)).alias("hi")),
+        lambda a, _: F.when(a.lo >= a.hi, a).when(F.get(arr, mid(a)) < key, F.struct((mid(a) + 1).alias("lo"), a.hi.alias("hi"))).otherwise(F.struct(a.lo.alias("lo"), mid(a).alias("hi"))),
+    )
+    return found.lo
+
+
 def with_next(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """doc_id, text, fingerprint, next_text, next_fingerprint: next by descending doc_id, after the last the first.
 
-    No global sort: ids are dealt into ranges by approximate quantiles, the successor within a range is a window
-    over that range, and the last row of a range continues with the first of the next one (one row a range).
-    Rows with the same doc_id follow each other in the order of their texts; a null doc_id comes last.
+    No global sort: ids are dealt into ranges by approximate quantiles, and a range's first row is also dealt, as a
+    guest, to the range before it, where it sorts last.  So the successor is a window over a range alone; texts travel
+    in that one shuffle, and all that is broadcast is two numbers a range.  Rows with the same doc_id follow each other
+    in the order of their texts; a null doc_id comes last.
     """
     spark = docs.sparkSession
     n = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    marks = docs.select(F.percentile_approx(F.col("doc_id").cast("long"), F.array(*[F.lit((i + 1) / n) for i in range(n - 1)]) if n > 1 else F.array(F.lit(0.5)), 10 * n)).first()[0] or [0]
+    marks = []
+    if n > 1:
+        marks = docs.select(F.percentile_approx(F.col("doc_id").cast("long"), F.array(*[F.lit((i + 1) / n) for i in range(n - 1)]), 10 * n)).first()[0] or []
     marks = sorted(set(marks))
-    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    # width of ranges by binary search over a literal array; 0 holds the largest ids
-    rank = F.lit(len(marks)) - F.size(F.filter(F.array(*[F.lit(m) for m in marks]), lambda m: m < key)) if len(marks) <= 64 else None
-    base = fingerprint_texts(docs)
-    if rank is None:
-        arr = F.array(*[F.lit(m) for m in marks])
-        lo, hi = F.lit(0), F.lit(len(marks))
-        steps = len(marks).bit_length()
-        found = F.aggregate(
-            F.sequence(F.lit(1), F.lit(steps)),
-            F.struct(lo.alias("lo"), hi.alias("hi")),
-            lambda a, _: F.when(
-                a.lo < a.hi,
-                F.when(F.get(arr, ((a.lo + a.hi) / 2).cast("int")) < key, F.struct((((a.lo + a.hi) / 2).cast("int") + 1).alias("lo"), a.hi.alias("hi"))).otherwise(F.struct(a.lo.alias("lo"), ((a.lo + a.hi) / 2).cast("int").alias("hi"))),
-            ).otherwise(a),
-        )
-        rank = F.lit(len(marks)) - found.lo
-    rank = F.coalesce(rank, F.lit(0))
-    base = base.withColumn("r", rank)
-    w = Window.partitionBy("r").orderBy(F.col("doc_id").desc_nulls_last(), F.col("text"))
-    rows = base.select("r", "doc_id", "text", "fingerprint", F.lead(F.struct("text", "fingerprint")).over(w).alias("nx"), F.row_number().over(w).alias("at"))
-    # first row of each range: its largest id and of equal ids the smallest text; a range more is one row more
-    tops = docs.select(F.col("doc_id").cast("long").alias("doc_id")).withColumn("r", rank).groupBy("r").agg(F.max("doc_id").alias("doc_id"))
-    heads = id_text(docs).withColumn("r", rank).join(F.broadcast(tops.select(F.col("r").alias("r2"), F.col("doc_id").alias("top"))), (F.col("r") == F.col("r2")) & F.col("doc_id").eqNullSafe(F.col("top")))
-    heads = heads.groupBy("r").agg(F.min("text").alias("text"))
-    heads = heads.select("r", F.struct("text", wide_hash(canonical(F.col("text"))).alias("fingerprint")).alias("head"))
-    order = Window.partitionBy(F.lit(0)).orderBy("r")  # one row a range
-    heads = heads.select("r", F.coalesce(F.lead("head").over(order), F.first("head").over(order)).alias("after"))
-    rows = rows.join(F.broadcast(heads), "r")
-    nx = F.coalesce("nx", "after")
-    return rows.select("doc_id", "text", "fingerprint", nx["text"].alias("next_text"), nx["fingerprint"].alias("next_fingerprint"))
+    # range 0 holds the largest ids
+    r = (F.lit(len(marks)) - _range_of(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))), marks)).alias("r")
+    base = fingerprint_texts(docs).select(r, "*")
+    tops = docs.select(F.col("doc_id").cast("long").alias("doc_id")).select(r, "doc_id").groupBy("r").agg(F.max("doc_id").alias("top"))
+    ring = Window.partitionBy(F.lit(0)).orderBy("r")  # one row a range
+    last = F.last("r").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    tops = tops.select(F.col("r").alias("r2"), "top", F.coalesce(F.lag("r").over(ring), last).alias("before"))
+    guests = id_text(docs).select(r, "doc_id", "text").join(F.broadcast(tops), (F.col("r") == F.col("r2")) & F.col("doc_id").eqNullSafe(F.col("top")))
+    guests = guests.groupBy("before").agg(F.min("text").alias("text")).select(F.col("before").alias("r"), F.lit(None).cast("long").alias("doc_id"), "text", wide_hash(canonical(F.col("text"))).alias("fingerprint"), F.lit(True).alias("guest"))
+    w = Window.partitionBy("r").orderBy("guest", F.col("doc_id").desc_nulls_last(), "text")
+    rows = base.select("r", "doc_id", "text", "fingerprint", F.lit(False).alias("guest")).union(guests)
+    rows = rows.withColumn("nx", F.lead(F.struct("text", "fingerprint")).over(w)).where(~F.col("guest"))
+    return rows.select("doc_id", "text", "fingerprint", F.col("nx.text").alias("next_text"), F.col("nx.fingerprint").alias("next_fingerprint"))
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
