@@ -2,8 +2,8 @@
 
 Headers (page, payload digest, length) are grouped by digest with map-side combine; the largest page_id of each group of
 equal payloads of ``MIN_REVISIT`` bytes or more keeps its payload, the others become revisit records that refer to it
-and carry headers only.  Only the payloads that are kept are joined with their headers again, so a payload that a third
-of all pages share is shuffled once a task at most as a digest, and never as itself.
+and carry headers only.  Payloads meet the list of revisits in an anti-join by page and digest, a key of one row, so a
+payload that a third of all pages share lies in no hot partition: grouped by digest are headers alone.
 
 Archives are written and read by Spark's own file sources, so any file system of the cluster will do and a lost task
 leaves nothing behind: a record is a row of text, the row separator is the end of a record.  Part files are gzip members
