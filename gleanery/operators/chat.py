@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions import text as T
+from gleanery.functions.batches import values
 from gleanery.functions.content import envelope
 
 _FENCE = re.compile(r"```(?:\w+)?\n(.*?)```", re.S)
@@ -179,7 +180,7 @@ def code_spans(messages: DataFrame, id_cols: list[str], text_col: str = "text")
         k = len(id_cols)
         for b in batches:
             at, spans = [], []
-            for i, t in enumerate(b.column(k).to_pylist()):
+            for i, t in enumerate(values(b.column(k))):
                 for m in _FENCE.finditer(t or ""):
                     at.append(i), spans.append((m.start(1), m.end(1), m[1]))
             pick = pa.array(at, pa.int64())

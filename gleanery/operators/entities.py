@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.functions.batches import values
+
 _WORD = re.compile(r"[^\W_]+")
 MENTION = "chunk_id long, key string, offset_start long, offset_end long"
 
@@ -28,7 +30,7 @@ def mentions(chunks: DataFrame, gazetteer: DataFrame, max_words: int = 3) -> Dat
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for chunk, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for chunk, text in zip(values(b.column(0)), values(b.column(1))):
                 spans = [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text or "")]
                 for lo in range(0, len(spans), 20_000):
                     rows = [(chunk, " ".join(w for w, _, _ in spans[i : i + n]), spans[i][1], spans[i + n - 1][2]) for i in range(lo, min(lo + 20_000, len(spans))) for n in range(1, max_words + 1) if i + n <= len(spans)]

@@ -10,6 +10,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.functions.batches import parts, values
+from gleanery.operators.joins import by_keys
+
 PERMS = 128
 _A = np.random.default_rng(20240229).integers(1, 1 << 63, PERMS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = np.random.default_rng(20240301).integers(0, 1 << 63, PERMS, dtype=np.uint64)
@@ -48,7 +51,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             same, n, sig = [], [], []
-            for t in b.column(1).to_pylist():
+            for t in values(b.column(1)):
                 h = shingle_hashes(t, width)
                 same.append(xxhash.xxh3_128_digest(h.tobytes())), n.append(len(h)), sig.append(signature(h).tobytes())
             yield pa.record_batch([b.column(0), pa.array(same, pa.binary()), pa.array(n, pa.int64()), pa.array(sig, pa.binary())], names=["id", "same", "n", "sig"])
@@ -163,7 +166,7 @@ def agreement(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(a, b, estimate): the share of equal signature values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (p for whole in batches for p in parts(whole, 1024)):
             x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), "<u4").reshape(-1, PERMS) for i in (2, 3))
             yield pa.record_batch([b.column(0), b.column(1), pa.array((x == y).mean(axis=1))], names=["a", "b", "estimate"])
 
@@ -178,7 +181,7 @@ def exact_jaccard(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+            for x, y in zip(values(b.column(2)), values(b.column(3))):
                 p, q = shingle_hashes(x, width), shingle_hashes(y, width)
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 out.append(both / max(1, len(p) + len(q) - both))
@@ -198,7 +201,8 @@ def similar_pairs(nodes: DataFrame, docs: DataFrame, threshold: float, bands: in
     sure = est.where(F.col("estimate") >= threshold + margin).select("a", "b")
     open_ = est.where(F.col("estimate") < threshold + margin).select("a", "b")
     ids = open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(ids, "id", "left_semi").dropDuplicates(["id"])
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    texts = by_keys(texts, ids, "id", "left_semi", save).dropDuplicates(["id"])
     return sure.union(exact_jaccard(open_, texts, width).where(F.col("jaccard") >= threshold).select("a", "b"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions import text as T
+from gleanery.functions.batches import values
 
 _BLANK_LINE = re.compile(r"\n\s*\n")
 CHUNK = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("text", pa.string())])
@@ -57,7 +58,7 @@ def paragraph_chunks(docs: DataFrame, least: int = 120, most: int = 900, id_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [[{"start": s, "end": e, "text": t} for s, e, t in pack_paragraphs(x or "", least, most)] for x in b.column(1).to_pylist()]
+            got = [[{"start": s, "end": e, "text": t} for s, e, t in pack_paragraphs(x or "", least, most)] for x in values(b.column(1))]
             yield pa.record_batch([b.column(0), pa.array(got, pa.list_(CHUNK))], names=["id", "chunks"])
 
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, chunks array<struct<start:long,end:long,text:string>>")

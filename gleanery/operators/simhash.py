@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.functions.batches import values
 from gleanery.operators.minhash import shingle_hashes
 
 
@@ -31,7 +32,7 @@ def simhash64(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = np.fromiter((simhash(t, width) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
+            s = np.fromiter((simhash(t, width) for t in values(b.column(1))), np.uint64, b.num_rows)
             yield pa.record_batch([b.column(0), pa.array(s.view(np.int64))], names=["id", "simhash64"])
 
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

@@ -36,6 +36,25 @@ def bow(texts: DataFrame) -> DataFrame:
     return texts.select("pos", F.explode(T.tokens(F.lower("text"))).alias("token")).groupBy("pos", "token").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def bow_vectors(texts: DataFrame, most: int = 50_000) -> DataFrame:
+    """id, vec of (pos, text): dense counts over the vocabulary, a zero vector for a text without tokens.  For vocabularies
+    of up to ``most`` tokens; larger ones need ``embedded`` with hashed words, whose length is fixed."""
+    words = vocabulary(texts)
+    size = words.count()
+    if size > most:
+        raise ValueError(f"{size} tokens are too many for dense vectors")
+    cells = bow(texts).join(words, "token").groupBy("pos").agg(F.map_from_entries(F.collect_list(F.struct("idx", F.col("cnt").cast("double")))).alias("m"))
+    zero = F.coalesce("m", F.create_map().cast("map<bigint,double>"))
+    places = F.sequence(F.lit(0).cast("long"), F.lit(size - 1).cast("long")) if size else F.array().cast("array<bigint>")
+    d = texts.select("pos").join(cells, "pos", "left").withColumn("m", zero)
+    return d.select(F.col("pos").alias("id"), F.transform(places, lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0.0))).alias("vec"))
+
+
+def cluster_texts(texts: DataFrame, k: int = 5, rounds: int = 10) -> DataFrame:
+    """id, label of (pos, text): deterministic K-means over bags of words."""
+    return kmeans(bow_vectors(texts), k, rounds)
+
+
 def squared_distances(a: DataFrame, b: DataFrame) -> DataFrame:
     """pos_a, pos_b, sqdist of stated pairs (pos_a, pos_b) over sparse counts: |a|^2 + |b|^2 - 2ab."""
     norm = a.groupBy("pos").agg(F.sum(F.col("cnt") * F.col("cnt")).alias("q"))
@@ -46,7 +65,8 @@ def squared_distances(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def _blocks(b: pa.RecordBatch, col: int) -> np.ndarray:
-    return np.array(b.column(col).to_pylist(), np.float64).reshape(b.num_rows, -1)
+    """Vectors of one length as rows."""
+    return b.column(col).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1)
 
 
 def _query_blocks(frame: DataFrame, block: int) -> Iterator[list]:

@@ -431,3 +431,13 @@ def test_ml_kmeans_and_embedder(spark):
     e = vectors.embedded(spark.createDataFrame([(1, "a b"), (2, "b a"), (3, None)], "id long, text string"), vectors.hashed_words).orderBy("id").collect()
     assert e[0].embedding == e[1].embedding and len(e[2].embedding) == 64 and vectors.mean_pool(np.array([[1.0, 2.0], [3.0, 4.0]])).tolist() == [2.0, 3.0]
     assert one(spark, "\n  x = 1\ny", vectors.first_code_line) == "x = 1" and one(spark, " \n", vectors.first_code_line) == ""
+
+
+def test_cluster_texts(spark):
+    """Two about cats, two about computers; equal snippets share a label."""
+    pets = ["cats purr and sleep", "cats sleep and purr a lot", "computers compute with chips", "computers use chips to compute"]
+    lab = [r.label for r in vectors.cluster_texts(spark.createDataFrame(list(enumerate(pets)), "pos long, text string"), 2).orderBy("id").collect()]
+    assert lab[0] == lab[1] != lab[2] == lab[3]
+    code = ["print(1)\nprint(2)", "print(1)\nprint(2)", "console.log('x')", None]
+    lab = [r.label for r in vectors.cluster_texts(spark.createDataFrame(list(enumerate(code)), "pos long, text string"), 2).orderBy("id").collect()]
+    assert lab[0] == lab[1] != lab[2]
