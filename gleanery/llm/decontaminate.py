@@ -25,8 +25,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.functions.batches import parts
 from gleanery.llm.bytewords import SPACE, bounds, hashes
 from gleanery.llm.common import checkpoint, id_text
+from gleanery.operators.joins import by_keys
 
 WINDOW = 8
 NEED = 13
@@ -183,7 +185,7 @@ def _windows(sizes: list[int] | None, known):
         def full(rows: list[tuple]) -> pa.RecordBatch:
             return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), ROWS)], schema=ROWS)
 
-        for b in batches:
+        for b in (p for whole in batches for p in parts(whole)):
             docs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             lo, size, rows = 0, 0, []
             for i, t in enumerate(texts):
@@ -246,6 +248,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, need: int = NEED) -> Dat
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, need: int = NEED) -> DataFrame:
     """The rows of ``docs``, all their columns, whose text repeats no benchmark item."""
-    bad = occurrences(docs, benchmark, need).select(F.col("doc_id").alias("_bad_id"), F.col("row").alias("_bad_row")).distinct()
-    bad = bad.select("_bad_id").distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_bad_id")), "left_anti")
+    return by_keys(docs, occurrences(docs, benchmark, need).select("doc_id"), "doc_id", "left_anti", checkpoint)

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.functions.batches import values
 from gleanery.llm.bytewords import SPACE, bounds, hashes
 from gleanery.llm.common import checkpoint, id_text
 
@@ -57,7 +58,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     np.seterr(over="ignore")
     total = np.zeros(BUCKETS, np.int64)
     for b in batches:
-        for t in b.column(b.num_columns - 1).to_pylist():
+        for t in values(b.column(b.num_columns - 1)):
             f = features(t)
             if len(f) > BUCKETS // 4:
                 total += np.bincount(f, minlength=BUCKETS)
@@ -89,7 +90,7 @@ def _scores(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
         r = held.value
         for b in batches:
             n, s = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
-            for i, t in enumerate(b.column(1).to_pylist()):
+            for i, t in enumerate(values(b.column(1))):
                 f = features(t)
                 n[i] = len(f)
                 s[i] = r[f].mean() if len(f) else 0.0
@@ -183,7 +184,7 @@ def resampled(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, tempe
         np.seterr(over="ignore")
         for b in batches:
             n, s = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
-            for i, t in enumerate(b.column(at).to_pylist()):
+            for i, t in enumerate(values(b.column(at))):
                 f = features(t or "")
                 n[i], s[i] = len(f), held.value[f].mean() if len(f) else 0.0
             yield pa.record_batch([*b.columns, pa.array(n), pa.array(s)], names=[*names, n_name, s_name])

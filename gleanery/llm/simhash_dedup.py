@@ -25,7 +25,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.functions.batches import values
 from gleanery.llm.common import checkpoint, connected_components, id_text
+from gleanery.operators.joins import by_keys
 
 RADIUS = 3
 HOT_BUCKET = 2048
@@ -53,7 +55,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.fromiter((simhash64(t, width) for t in b.column(1).cast(pa.binary()).to_pylist()), np.uint64, b.num_rows)
+            fp = np.fromiter((simhash64(t, width) for t in values(b.column(1).cast(pa.binary()))), np.uint64, b.num_rows)
             yield pa.record_batch([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
     return id_text(docs).mapInArrow(run, "doc_id long, fp long")
@@ -211,8 +213,7 @@ def deduplicated(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Da
     from pyspark.sql import Window
 
     groups = similar_groups(docs, width, similarity)
-    gone = checkpoint(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")))
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    kept = by_keys(docs, groups.where("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti", checkpoint)
     again = checkpoint(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again"))
     if again.isEmpty():
         return kept
