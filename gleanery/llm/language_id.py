@@ -6,8 +6,10 @@ the set bits are counted per language, each count is corrected for that language
 slots that have its bit, to the power of the number of hashes), and the largest share of explained n-grams decides.
 
 The filter is fitted on a bounded sample: of each language the ``SAMPLE`` training documents with the smallest hash of
-doc_id.  An n-gram enters a language's filter if at least ``min_count`` of those documents' n-grams are it.  Its size
-(2^20 slots of 64 bits) is fixed, so what is broadcast does not grow with the data.
+doc_id.  An n-gram enters a language's filter if at least ``MIN_COUNT`` of those documents have it, and the share that
+has it is at least ``MIN_SHARE`` of the share in the language where it is most common: passages in another language
+that some documents quote would otherwise make that language look like theirs.  The filter's size (2^20 slots of 64
+bits) is fixed, so what is broadcast does not grow with the data.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanery.functions.batches import parts, values
 from gleanery.llm.common import id_text
 
 SLOTS = 1 << 20
@@ -27,6 +30,7 @@ HASHES = 2
 GRAM = 4
 SAMPLE = 1500
 MIN_COUNT = 3
+MIN_SHARE = 0.1
 MAX_LANGUAGES = 64
 SPACE = 0x20
 
@@ -120,15 +124,18 @@ def fit(docs: DataFrame, per_language: int = SAMPLE, min_count: int = MIN_COUNT)
     number = {x: i for i, x in enumerate(langs)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (p for whole in batches for p in parts(whole, 128)):
             by: dict[int, list[np.ndarray]] = {}
             for t, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                by.setdefault(number[lang], []).append(gram_hashes(t))
+                by.setdefault(number[lang], []).append(np.unique(gram_hashes(t)))
             for lang, hs in by.items():
                 g, n = np.unique(np.concatenate(hs), return_counts=True)
                 yield pa.record_batch([pa.array(np.full(len(g), lang, np.int32)), pa.array(g.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
 
     grams = d.select("text", "lang").mapInArrow(count, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    docs_of = F.create_map(*[F.lit(x) for lang, n in counts for x in (number[lang], float(min(n, per_language)))])
+    grams = grams.withColumn("share", F.col("n") / docs_of[F.col("lang")])
+    grams = grams.withColumn("most", F.max("share").over(Window.partitionBy("gram"))).where(F.col("share") >= MIN_SHARE * F.col("most"))  # a row a language
     slot = F.explode(F.array(*[F.shiftrightunsigned("gram", 21 * i).bitwiseAND(F.lit(SLOTS - 1)) for i in range(HASHES)]))
     rows = grams.select(slot.alias("slot"), F.expr("shiftleft(1L, lang)").alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("mask")).toPandas()
     masks = np.zeros(SLOTS, np.uint64)
@@ -147,7 +154,7 @@ def identify(docs: DataFrame, model: Filter) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Filter(*held.value)
         for b in batches:
-            got = [f.score(t) for t in b.column(1).to_pylist()]
+            got = [f.score(t) for t in values(b.column(1))]
             yield pa.record_batch([b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     return id_text(docs).mapInArrow(run, "doc_id long, lang_pred string, score double")
@@ -172,7 +179,7 @@ def in_known_language(docs: DataFrame, least: float = LEAST, per_language: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Filter(*held.value)
         for b in batches:
-            got = [f.score(t) for t in b.column(at).to_pylist()]
+            got = [f.score(t) for t in values(b.column(at))]
             yield b.filter(pa.array([g[0] != "und" and g[1] >= least for g in got], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
