@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.functions.batches import values
 from gleanery.llm.common import checkpoint
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -98,7 +99,7 @@ def paths(conversations: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, keys, leaves = b.column(0), [], []
-            for roles, texts in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for roles, texts in zip(values(b.column(1)), values(b.column(2))):
                 chain, path = b"", []
                 for role, text in zip(roles, texts):
                     r = role.encode("utf-8", "surrogatepass")
@@ -123,7 +124,7 @@ def _grow(tokenizer: str):
         open_: list[tuple[bytes, int, int, int, list[tuple[int, int]]]] = []  # key, node, stream end, position end, intervals up to and with it
         for b in batches:
             rows = []
-            for path, leaf, roles, texts in zip(*(b.column(i).to_pylist() for i in range(4))):
+            for path, leaf, roles, texts in zip(*(values(b.column(i)) for i in range(4))):
                 n = len(roles)
                 shared = 0
                 while shared < min(n, len(open_)) and open_[shared][0] == path[8 * shared : 8 * shared + 8]:
@@ -157,8 +158,10 @@ def forest(conversations: DataFrame, tokenizer: str) -> tuple[DataFrame, DataFra
     """(nodes, leaves): nodes as in ``NODE``, one row a shared turn; leaves (conv_id, leaf): which node ends which conversation."""
     p = checkpoint(paths(conversations))
     n = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = p.groupBy("path", "leaf").agg(F.min_by(F.struct("roles", "texts"), F.struct(F.coalesce("conv_id", F.lit(1 << 62)))).alias("c"))
-    ranged = distinct.select("path", "leaf", "c.roles", "c.texts").repartitionByRange(n, "path").sortWithinPartitions("path")
+    # of equal conversations one goes on: chosen by id alone, so that the texts of a much repeated one don't meet in a task
+    first = p.groupBy("path", "leaf").agg(F.min("conv_id").alias("conv_id")).select(F.col("conv_id").alias("_first"), F.col("leaf").alias("_leaf"))
+    distinct = p.join(first, F.col("conv_id").eqNullSafe(F.col("_first")) & (F.col("leaf") == F.col("_leaf")), "left_semi")
+    ranged = distinct.select("path", "leaf", "roles", "texts").repartitionByRange(n, "path").sortWithinPartitions("path")
     return ranged.mapInArrow(_grow(tokenizer), NODE), p.select("conv_id", "leaf")
 
 
@@ -173,7 +176,7 @@ def read_back(nodes: DataFrame, tokenizer: str) -> DataFrame:
         tree, path = None, []
         for b in batches:
             leaves, rows = [], []
-            for tree_id, depth, ids, lo, hi, leaf in zip(*(b.column(i).to_pylist() for i in range(6))):
+            for tree_id, depth, ids, lo, hi, leaf in zip(*(values(b.column(i)) for i in range(6))):
                 if tree_id != tree:
                     tree, path = tree_id, []
                 del path[depth:]
