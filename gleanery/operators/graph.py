@@ -14,8 +14,8 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], version: str) -> Dat
 
 def personalised_pagerank(edges: DataFrame, seeds: DataFrame, rounds: int = 3, damping: float = 0.85, save=lambda df: df) -> DataFrame:
     """node, rank after a fixed number of rounds over (src, dst); rank of nodes without an edge out returns to the seeds."""
-    e = edges.select("src", "dst")
-    deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
+    e = save(edges.select("src", "dst"))
+    deg = save(e.groupBy("src").agg(F.count(F.lit(1)).alias("deg")))
     n = seeds.count()
     base = seeds.select("node", F.lit(1.0 / max(1, n)).alias("s"))
     rank = base.select("node", F.col("s").alias("rank"))
@@ -30,7 +30,7 @@ def personalised_pagerank(edges: DataFrame, seeds: DataFrame, rounds: int = 3, d
 
 def communities(edges: DataFrame, rounds: int = 5, save=lambda df: df) -> DataFrame:
     """node, label: synchronous label propagation, the most frequent label of the neighbours, ties to the smallest."""
-    both = edges.select("src", "dst").union(edges.select("dst", "src")).distinct()
+    both = save(edges.select("src", "dst").union(edges.select("dst", "src")).distinct())
     lab = both.select(F.col("src").alias("node")).distinct().withColumn("label", F.col("node"))
     for _ in range(rounds):
         votes = both.join(lab, both.dst == lab.node).groupBy("src", "label").agg(F.count(F.lit(1)).alias("n"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -98,6 +98,13 @@ def routed(df: DataFrame, empty: F.Column | None = None) -> DataFrame:
     return df.withColumn("risk_tags", tags).withColumn("zone", T.zone(F.col("risk_tags"))).withColumn("quarantine", F.size("risk_tags") > 0)
 
 
+def route_with(df: DataFrame, scorer: Callable[[F.Column], dict[str, F.Column]], thresholds: dict[str, float], order: tuple[str, ...] = ("illicit", "nsfw", "toxicity", "pii"), text_col: str = "text") -> DataFrame:
+    """Adds zone and reasons by a scorer of one's own: a function from the text column to columns by name (built-in
+    expressions or pandas UDFs).  A score it doesn't give is 0, a threshold that isn't given 1; reasons in ``order``."""
+    tags = T.risk_tags(scorer(F.col(text_col)), thresholds, order)
+    return df.withColumn("reasons", tags).withColumn("zone", T.zone(F.col("reasons")))
+
+
 def catalog(docs: DataFrame) -> DataFrame:
     """One row a document: checksum, ids, sizes, scores of the whole text, zone."""
     d = docs.withColumn("text", F.coalesce("text", F.lit("")))

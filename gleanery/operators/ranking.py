@@ -20,6 +20,14 @@ def rrf(rankings: DataFrame, k: int = 60, weights: dict[int, float] | None = Non
     return rankings.groupBy("doc").agg(F.sum(w / (F.col("rank") + F.lit(float(k)))).alias("score"))
 
 
+def rrf_ranked(rankings: DataFrame, k: int = 60, weights: dict[int, float] | None = None, n_lists: int | None = None) -> DataFrame:
+    """doc, score, place: ``rrf`` in order, ties by where a document first appears (list, then rank).  For fused pools: the
+    places are numbered in one task."""
+    first = rankings.groupBy("doc").agg(F.min(F.struct("list_id", "rank")).alias("first"))
+    d = rrf(rankings, k, weights, n_lists).join(first, "doc")
+    return d.select("doc", "score", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("score").desc(), "first")).cast("long").alias("place"))
+
+
 def z_fusion(scores: DataFrame, n_lists: int) -> DataFrame:
     """doc, score from (list_id, doc, score): mean over the lists of the z-score; a document that a non-empty list lacks
     gets that list's lowest.  Missing ones are added as a correction of sums, not by documents x lists."""

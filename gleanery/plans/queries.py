@@ -412,7 +412,7 @@ def _edges(spark, sf):
   r2 AS (SELECT node, sum(x) AS rank FROM (SELECT dst AS node, .85 * rank / deg AS x FROM r1 JOIN deg ON deg.src = node JOIN e ON e.src = node UNION ALL SELECT node, (.15 + .85 * (SELECT coalesce(sum(rank), 0) FROM r1 WHERE node NOT IN (SELECT src FROM deg))) / n FROM b, n) GROUP BY node)
   SELECT node, round(sum(rank), 9) AS rank FROM r2 GROUP BY node""")
 def pagerank(spark, sf):
-    e = _edges(spark, sf).cache()
+    e = checkpointed(spark)(_edges(spark, sf))
     seeds = e.where("src % 10 = 0").select(F.col("src").alias("node")).distinct()
     return graph.personalised_pagerank(e, seeds, rounds=2).withColumn("rank", F.round("rank", 9))
 
@@ -424,7 +424,7 @@ def _rounds(n: int) -> str:
 
 @query(f"WITH k AS ({_KNN}), b AS (SELECT src, dst FROM k UNION SELECT dst, src FROM k), l0 AS (SELECT DISTINCT src AS node, src AS label FROM b), {_rounds(5)} SELECT node, label FROM l5")
 def communities(spark, sf):
-    return graph.communities(_knn(spark, sf).select("src", "dst"))
+    return graph.communities(_knn(spark, sf).select("src", "dst"), save=checkpointed(spark))
 
 
 _BM = r"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS t FROM documents),

@@ -441,3 +441,12 @@ def test_cluster_texts(spark):
     code = ["print(1)\nprint(2)", "print(1)\nprint(2)", "console.log('x')", None]
     lab = [r.label for r in vectors.cluster_texts(spark.createDataFrame(list(enumerate(code)), "pos long, text string"), 2).orderBy("id").collect()]
     assert lab[0] == lab[1] != lab[2]
+
+
+def test_own_scorer_and_fused_order(spark):
+    d = spark.createDataFrame([(1, "x"), (2, "xx"), (3, None)], "doc_id long, text string")
+    got = mining.route_with(d, lambda t: {"nsfw": F.coalesce(F.length(t) / 2.0, F.lit(0.0)), "illicit": F.lit(0.4)}, {"nsfw": 1.0, "illicit": 0.35})
+    assert [(r.zone, r.reasons) for r in got.orderBy("doc_id").collect()] == [("red_quarantine", ["illicit"]), ("red_quarantine", ["illicit", "nsfw"]), ("red_quarantine", ["illicit"])]
+    assert {r.zone for r in mining.route_with(d, lambda t: {}, {}).collect()} == {"silver_normalized"}
+    r = spark.createDataFrame([(0, "b", 1), (0, "a", 2), (1, "a", 1), (1, "b", 2), (1, "c", 3)], "list_id int, doc string, rank int")
+    assert [x.doc for x in ranking.rrf_ranked(r).orderBy("place").collect()] == ["b", "a", "c"]
