@@ -1,7 +1,7 @@
 """Main text of web pages by a maximum-scoring subsequence.
 
-A page is a sequence of text runs and tags.  Every word scores positive, every tag negative; one linear scan finds the
-contiguous region with the largest sum.  Scripts, styles, comments and page heads are no part of the sequence.  A piece
+A page is a sequence of text runs and tags.  Every word scores positive, a word of a link much less unless labelled
+pages say otherwise, and every tag negative; one linear scan finds the contiguous region with the largest sum.  Scripts, styles, comments and page heads are no part of the sequence.  A piece
 of boilerplate (navigation, footers, forms, what a class or id calls an advert, a notice, a sidebar, comments ...) is in
 it with its outer tags alone, so that a long one in the middle of an article doesn't cut the article in two.
 
@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.functions.batches import values
+
 SAMPLE = 500
 LIMIT = 6.0  # of a log odds
 BORDER = 60.0  # times that, for a tag never seen inside
@@ -45,7 +47,7 @@ SKIP_OUTSIDE = frozenset(["header"])  # an article's own header holds its title
 ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 NAMED = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|adsense|sponsor|sponsored|promo|promotion|banner|sidebar|side-bar|cookie|cookies|consent|gdpr|notice|notices|notification|alert|popup|modal|overlay|newsletter|subscribe"
-    r"|subscription|signup|sign-up|login|comment|comments|commentlist|respond|disqus|reply|replies|share|sharing|social|related|recommended|breadcrumb|breadcrumbs|menu|nav|navbar|navigation|toolbar|footer|masthead|site-header|page-header|topbar|pagination|pager|widget|search|skip|copyright|legal|disclaimer)(?:$|[\s_-])"
+    r"|subscription|signup|sign-up|login|comment|comments|commentlist|respond|disqus|reply|replies|share|sharing|social|related|recommended|breadcrumb|breadcrumbs|menu|nav|navbar|navigation|toolbar|footer|masthead|site-header|page-header|topbar|foot|pagination|pager|widget|search|skip|copyright|legal|disclaimer)(?:$|[\s_-])"
 )
 MARKS = ("article", "main")
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
@@ -64,16 +66,17 @@ def _boilerplate(tag: str, attrs: str, inside: int) -> bool:
 
 
 def sequence(page: str) -> list[tuple[str, str, int]]:
-    """(class, text, words): class is ``w`` for a run of words, or a tag's ``<name`` or ``/name``, inside marked
-    content ``[name`` or ``]name``."""
+    """(class, text, words): class is ``w`` for a run of words, ``wa`` in a link outside marked content, or a tag's ``<name``
+    or ``/name``, inside marked content ``[name`` or ``]name``."""
     out: list[tuple[str, str, int]] = []
     skipped: list[str] = []  # open elements inside boilerplate, its root first
     inside = at = 0
+    link = False
 
     def text(end: int) -> None:
         run = page[at:end]
         if run and not skipped:
-            out.append(("w", run, len(run.split())))
+            out.append(("wa" if link and not inside else "w", run, len(run.split())))
 
     for m in TOKEN.finditer(page):
         text(m.start())
@@ -82,6 +85,7 @@ def sequence(page: str) -> list[tuple[str, str, int]]:
         if not tag:
             continue
         tag = tag.lower()
+        link = not m[2] if tag == "a" else link and tag not in BLOCKS
         if m[2]:
             if tag in skipped:
                 del skipped[len(skipped) - 1 - skipped[::-1].index(tag) :]
@@ -134,8 +138,8 @@ def weights(inside: Counter, outside: Counter) -> Weights:
     """Of counts inside and outside the labelled regions.  Words are positive and tags negative whatever the counts."""
     odds = lambda k: max(-LIMIT, min(LIMIT, math.log((inside[k] + 0.5) / (inside.total() + 1)) - math.log((outside[k] + 0.5) / (outside.total() + 1))))
     w = Weights()
-    w["w"] = max(0.5, odds("w"))
-    for k in {*inside, *outside} - {"w"}:
+    w["w"], w["wa"] = max(0.5, odds("w")), max(0.1, min(odds("w"), odds("wa")))
+    for k in {*inside, *outside} - {"w", "wa"}:
         w[k] = -BORDER * LIMIT if k[1:] in MARKS else -0.02 if k[0] in "[]" else min(-0.01, odds(k) - LIMIT) / 4 if odds(k) < 0 else -0.02
     return w
 
@@ -155,7 +159,7 @@ def label_counts(page: str) -> tuple[Counter, Counter] | None:
     lo, hi = kinds.index("<article"), kinds.index("/article")
     inside, outside = Counter(), Counter()
     for i, (k, _, n) in enumerate(seq):
-        (inside if lo < i < hi else outside)[k] += n if k == "w" else 1
+        (inside if lo < i < hi else outside)[k] += n if k[0] == "w" else 1
     return inside, outside
 
 
@@ -168,7 +172,7 @@ def fit(pages: DataFrame, sample: int = SAMPLE) -> Weights:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, outside = Counter(), Counter()
         for b in batches:
-            for page in b.column(0).to_pylist():
+            for page in values(b.column(0)):
                 if got := label_counts(page):
                     inside += got[0]
                     outside += got[1]
@@ -188,11 +192,11 @@ def main_text(page: str | None, w: Weights = DEFAULT) -> str:
     if not page:
         return ""
     seq = sequence(page)
-    lo, hi = best_region([w[k] * n if k == "w" else w[k] for k, _, n in seq])
+    lo, hi = best_region([w[k] * n if k[0] == "w" else w[k] for k, _, n in seq])
     blocks: list[str] = []
     run: list[str] = []
     for k, text, _ in seq[lo:hi]:
-        if k == "w":
+        if k[0] == "w":
             run.append(html.unescape(text))
         elif k[1:] == "br":
             run.append(" ")
@@ -216,6 +220,6 @@ def extract(pages: DataFrame, w: Weights | None = None, sample: int = SAMPLE) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = Weights(held.value)
         for b in batches:
-            yield pa.record_batch([b.column(0), b.column(1), pa.array([main_text(p, weight) for p in b.column(2).to_pylist()], pa.string())], names=["page_id", "url", "text"])
+            yield pa.record_batch([b.column(0), b.column(1), pa.array([main_text(p, weight) for p in values(b.column(2))], pa.string())], names=["page_id", "url", "text"])
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).mapInArrow(run, "page_id long, url string, text string")

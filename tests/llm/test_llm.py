@@ -218,6 +218,74 @@ def test_decontamination_slots(spark):
     assert decontaminate.decontaminated(frame(spark), items.limit(0)).count() == len(ODD)
 
 
+PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def brute_template(text):
+    """(literal, value, kind) of every template word, word by word."""
+    out, opens = [], True
+    for raw in text.split():
+        word = raw.strip(PUNCT)
+        ends = raw[-1] in '.!?:;"' or len(raw) > 1 and raw[-2] in ".!?"
+        if word:
+            low = word.lower()
+            if word[0].isdigit() and all(c in "0123456789.,:/-'" for c in word):
+                kind = "NUM"
+            elif out and out[-1][2] == "NUM" and low in decontaminate.UNITS:
+                kind = "UNIT"
+            elif not opens and len(word) > 1 and word[0].isupper() and word[1].islower():
+                kind = "NAME"
+            else:
+                kind = None
+            if kind == "NAME" and out and out[-1][2] == "NAME":
+                out[-1] = ("NAME", out[-1][1] + " " + low, "NAME")
+            else:
+                out.append((kind or low, low, kind))
+        opens = ends
+    return out
+
+
+def brute_contaminated(text, item):
+    d, q = brute_template(text), brute_template(item)
+    size = min(8, len(q))
+    if not size:
+        return False
+    hits = {}
+    for i in range(len(d) - size + 1):
+        for j in range(len(q) - size + 1):
+            if [x[0] for x in d[i : i + size]] == [x[0] for x in q[j : j + size]] and 2 * sum(x[2] is not None for x in q[j : j + size]) <= size:
+                hits.setdefault(i - j, set()).update(range(j, j + size))
+    for diagonal, covered in hits.items():
+        if len(covered) >= min(13, max(1, len(q) - 1)):
+            meet = {(q[j][2], q[j][1], d[j + diagonal][1]) for j in covered if q[j][2]}
+            if len({m[:2] for m in meet}) == len(meet) == len({(m[0], m[2]) for m in meet}):
+                return True
+    return False
+
+
+def test_decontamination_brute_force(spark):
+    rnd = random.Random(21)
+    names, units, plain = ["Alice", "Bob", "Carol", "Dan"], ["kg", "lb", "km"], ["has", "apples", "and", "gives", "some", "to", "then", "buys", "more", "how", "many", "does", "take", "home"]
+
+    def sentence(n):
+        w = []
+        while len(w) < n:
+            w += rnd.choice([[rnd.choice(plain)]] * 4 + [[rnd.choice(names)], [str(rnd.randint(1, 9)), rnd.choice(units)], [str(rnd.randint(1, 9)) + rnd.choice(["", ".", ","])]])
+        return " ".join(w) + "."
+
+    items = [sentence(rnd.choice([5, 12, 20, 30])) for _ in range(40)]
+    docs = []
+    for _ in range(150):
+        t = rnd.choice(items)
+        for old, new in (("Alice", rnd.choice(names)), (rnd.choice("123456789"), rnd.choice("123456789")), (rnd.choice(units), rnd.choice(units)), (rnd.choice(plain), rnd.choice(plain))):
+            if rnd.random() < 0.5:
+                t = t.replace(old, new)
+        docs.append(sentence(10) + " " + t + " " + sentence(8))
+    want = {(i, j) for i, t in enumerate(docs) for j, q in enumerate(items) if brute_contaminated(t, q)}
+    got = decontaminate.contaminated(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want and 60 < len(want)
+
+
 def test_decontamination_finds_every_passage(spark, sf, monkeypatch):
     docs, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
     want = {(d.doc_id, i.item_id) for d in docs.collect() for i in items.collect() if i.text in d.text}
@@ -240,6 +308,24 @@ def test_importance_held_out(spark):
     assert kept == {r.doc_id for r in importance.resample(docs, train).where("keep").collect()}
 
 
+def test_importance_brute_force(spark):
+    rnd = random.Random(12)
+    texts = [" ".join(rnd.choice(["good", "fine", "nice", "bad!!", "$$", "##"][3 * (i % 3 == 0) :][:3]) + str(rnd.randint(0, 3)) for _ in range(rnd.randint(1, 40))) for i in range(90)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(0, 90, 2)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in importance.resample(docs, labels, temperature=2.0).collect()}
+    count = lambda ids: np.bincount(np.concatenate([importance.features(texts[i]) for i in ids]), minlength=importance.BUCKETS)
+    target, raw = count([i for i in range(0, 90, 2) if i % 3]) + importance.SMOOTHING, count(range(90)) + importance.SMOOTHING
+    ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    mean = {i: ratio[importance.features(t)].mean() for i, t in enumerate(texts)}
+    assert all(abs(got[i].log_ratio - mean[i]) < 1e-9 and got[i].n_grams == len(importance.features(texts[i])) for i in mean)
+    cut = importance.best_cut(np.array([mean[i] for i in range(0, 90, 2) if i % 3]), np.array([mean[i] for i in range(0, 90, 6)]))
+    k = sum(m >= cut for m in mean.values())
+    noise = {i: got[i].gumbel_key - got[i].n_grams * (mean[i] - cut) for i in mean}  # 2 x Gumbel
+    assert abs(np.mean(list(noise.values())) / 2 - 0.5772) < 0.5 and len(set(noise.values())) == 90
+    assert {i for i in mean if got[i].keep} == set(sorted(mean, key=lambda i: -got[i].gumbel_key)[:k])
+
+
 def test_kth_largest(spark):
     x = [random.Random(1).gauss(0, 1) for _ in range(3000)] + [5.0] * 50
     d = spark.createDataFrame([(v,) for v in x], "key double").repartition(3)
@@ -267,6 +353,17 @@ def test_language_held_out(spark):
     assert (got.held_out == got.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 5 == 0)).all()
 
 
+def test_language_ignores_quotes(spark):
+    """A passage in another language that some documents quote doesn't make that language look like theirs."""
+    rnd = random.Random(6)
+    en = lambda n: " ".join(rnd.choice(["the", "with", "thing", "other", "which", "they", "have", "weather"]) for _ in range(n))
+    es = lambda n: " ".join(rnd.choice(["que", "ciudad", "donde", "mañana", "para", "nosotros", "cuando"]) for _ in range(n))
+    quote = en(60)
+    rows = [(i, en(80) if i % 2 else es(200) + (" " + quote if i % 40 == 0 else ""), "en" if i % 2 else "es") for i in range(400)] + [(1000, quote, None)]
+    got = {r.doc_id: r.lang_pred for r in language_id.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got == {i: lang or "en" for i, _, lang in rows}
+
+
 def test_language_popcounts_brute_force():
     texts = {"aa": ["the cat sat on the mat"] * 5, "bb": ["le chat est sur le tapis"] * 5}
     masks = np.zeros(language_id.SLOTS, np.uint64)
@@ -301,6 +398,15 @@ def test_main_text():
     assert html_main.main_text("just words here") == "just words here"
 
 
+def test_main_text_without_marks():
+    """No article element, no telling class: link lists on either side stay out, lists and links of the content stay in."""
+    p = '<p>Lorem ipsum dolor sit amet <a href="x">adipiscing elit</a> sed do eiusmod.</p>'
+    links = "<ul>" + "".join(f'<li><a href="/{k}">Link {k}</a></li>' for k in range(8)) + "</ul>"
+    page = f'<html><body><div id="t1">{links}</div><div id="x2"><h1>My title</h1>{p}<ul><li>item one</li><li>item two</li></ul>{p}</div><div id="x3">{links}</div></body></html>'
+    line = "Lorem ipsum dolor sit amet adipiscing elit sed do eiusmod."
+    assert html_main.main_text(page) == f"My title\n{line}\nitem one\nitem two\n{line}"
+
+
 def test_best_region_brute_force():
     rnd = random.Random(4)
     for _ in range(200):
