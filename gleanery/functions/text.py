@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,8 +60,19 @@ def token_count(c: Column) -> Column:
 
 
 def safety_scores(c: Column) -> dict[str, Column]:
-    """1.0 or 0.0 for each lexicon."""
-    return {k: F.coalesce(c.rlike(rf"(?iu){_EDGE_L}({p}){_EDGE_R}"), F.lit(False)).cast("double") for k, p in LEXICON.items()}
+    """1.0 or 0.0 for each lexicon.
+
+    Few texts hold any of the phrases, so a search for their bytes in the lower-cased text comes first and the pattern,
+    tens of times slower, runs on what it finds.  Letters that only case folding makes ASCII go to the pattern, too.
+    """
+    low = F.lower(c)
+    odd = [F.contains(c, F.lit(x)) for x in "\u017f\u0131\u0130\u212a"]
+    out = {}
+    for k, p in LEXICON.items():
+        words = ["-"] if "\\" in p else p.split("|")
+        maybe = reduce(or_, [F.contains(low, F.lit(w)) for w in words] + odd)
+        out[k] = F.when(maybe, F.coalesce(c.rlike(rf"(?iu){_EDGE_L}({p}){_EDGE_R}"), F.lit(False))).otherwise(F.lit(False)).cast("double")
+    return out
 
 
 def risk_tags(scores: dict[str, Column], thresholds: dict[str, float] = THRESHOLDS, order: tuple[str, ...] = ("nsfw", "toxicity", "illicit", "pii")) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -46,12 +49,20 @@ def bm25(docs: DataFrame, query: list[str], k1: float = 1.2, b: float = 0.75) ->
     """doc_id, bm25 of the documents with at least one query term; only the query's terms leave the scan."""
     terms = sorted({q.lower() for q in query})
     toks = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
-    d = docs.select("doc_id", F.size(toks).alias("len"), *[F.size(F.filter(toks, _equals(q))).alias(f"tf{i}") for i, q in enumerate(terms)])
+    # split once; what is counted for each term are the few tokens that are some term
+    def counts(rows: DataFrame) -> DataFrame:
+        r = rows.select("doc_id", toks.alias("toks")).select("doc_id", F.size("toks").alias("len"), F.filter("toks", lambda t: t.isin(terms)).alias("hits"))
+        return r.select("doc_id", "len", "hits", *[F.size(F.filter("hits", _equals(q))).alias(f"tf{i}") for i, q in enumerate(terms)])
+
+    d = counts(docs)
     st = d.agg(F.count(F.lit(1)).alias("n"), F.avg("len").alias("avgdl"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
     idf = lambda i: F.log(1 + (F.col("n") - F.col(f"df{i}") + 0.5) / (F.col(f"df{i}") + 0.5))
     part = lambda i: idf(i) * F.col(f"tf{i}") * (k1 + 1) / (F.col(f"tf{i}") + k1 * (1 - b + b * F.col("len") / F.col("avgdl")))
     score = sum((part(i) for i in range(1, len(terms))), part(0))
-    return d.where(" or ".join(f"tf{i} > 0" for i in range(len(terms)))).join(F.broadcast(st)).select("doc_id", score.alias("bm25"))
+    # a text without the bytes of any term is not split a second time
+    low = F.lower("text")
+    some = counts(docs.where(reduce(or_, [F.contains(low, F.lit(q)) for q in terms]))).where(F.size("hits") > 0)
+    return some.join(F.broadcast(st)).select("doc_id", score.alias("bm25"))
 
 
 def mmr_no_similarity(cands: DataFrame, k: int = 10, lam: float = 0.7, cap: int = 2) -> DataFrame:

@@ -52,6 +52,15 @@ def test_zones(spark):
     assert got[1] == ("red_quarantine", ["toxicity", "pii"]) and got[2] == ("silver_normalized", []) and got[3] == got[4] == ("red_quarantine", ["non_text"]) and got[5][0] == "silver_normalized"
 
 
+def test_lexicon_search_is_the_pattern(spark):
+    """What the byte search lets through and what the pattern alone finds are the same, also where only folding helps."""
+    texts = ["", None, "x-y", "123-45-6789", "STUPID", "\u017ftupid", "\u212aill", "\u0130diot", "\u0131diot", "killer", "how to  make a bomb", "How To Make A Bomb!", "préidiot", "hate_", "c2 server"]
+    d = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = {k: F.coalesce(F.col("t").rlike(rf"(?iu){T._EDGE_L}({p}){T._EDGE_R}"), F.lit(False)).cast("double") for k, p in T.LEXICON.items()}
+    rows = d.select("t", *[v.alias(k) for k, v in T.safety_scores(F.col("t")).items()], *[v.alias(f"{k}_plain") for k, v in plain.items()]).collect()
+    assert all(r[k] == r[f"{k}_plain"] for r in rows for k in T.LEXICON) and sum(r[k] for r in rows for k in T.LEXICON) >= 6
+
+
 def test_rrf_and_z(spark):
     r = spark.createDataFrame([(0, "a", 1), (0, "b", 2), (1, "b", 1)], "list_id int, doc string, rank int")
     got = {x.doc: x.score for x in ranking.rrf(r).collect()}
