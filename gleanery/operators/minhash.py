@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,6 +63,8 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 SKETCH_CUT = 36  # of 128 sketch bits; a pair at .68 differs in 20 on average, with a deviation of 4
 BLOCK, OVERLAP = 2048, 64
+ROUNDS = (8, 128, None)  # pairs a member brings in each further round; in the last all that are left
+BUCKETED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("band", pa.int32()), ("key", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64())])
 
 
 def sketch(sig: np.ndarray) -> np.ndarray:
@@ -88,12 +91,14 @@ def spanning_edges(sk: np.ndarray, cut: int = SKETCH_CUT) -> list[tuple[int, int
     return out
 
 
-def candidates(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(a, b), a < b: of every bucket of a band a spanning tree, nearest sketches first (see ``spanning_edges``).
+def bucketed(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
+    """(a, b, band, key, s1, s2): with a negative band an edge of the spanning tree of a bucket, nearest sketches first (see
+    ``spanning_edges``); else a is a member of a bucket of three or more, whose pairs a tree does not exhaust.
 
     Buckets are read as sorted runs.  One of over ``BLOCK`` members goes in overlapping blocks of an order by rotated
     sketch, in which alike members are neighbours more often than not; the rotation is the band's own.  So memory is
-    bounded, and a member brings at most one pair a band and block, however large the bucket.
+    bounded, and a member brings at most one edge a band and block, however large the bucket.  What the trees leave
+    apart is for ``remaining``.
     """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,6 +118,22 @@ def candidates(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
         key = None
         a: list[int] = []
         b: list[int] = []
+        members: list[pa.RecordBatch] = []
+        hot = False
+
+        def listed(rows: np.ndarray) -> None:
+            n = len(rows)
+            columns = [rows[:, 0], np.zeros(n, np.int64), np.full(n, key[0], np.int32), np.full(n, key[1], np.int64), rows[:, 1], rows[:, 2]]
+            members.append(pa.record_batch([pa.array(np.ascontiguousarray(c)) for c in columns], schema=BUCKETED))
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if a:
+                none = np.zeros(len(a), np.int64)
+                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(np.full(len(a), -1, np.int32)), *map(pa.array, (none, none, none))], schema=BUCKETED)
+                a.clear(), b.clear()
+            if members:
+                yield from pa.Table.from_batches(members).combine_chunks().to_batches()
+                members.clear()
 
         def close(rows: np.ndarray) -> None:
             if len(rows) == 2:
@@ -124,7 +145,10 @@ def candidates(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
 
         def shut() -> None:
             if held:
-                close(np.concatenate(held))
+                whole = np.concatenate(held)
+                close(whole)
+                if hot or len(whole) > 2:
+                    listed(whole)
                 held.clear()
 
         for batch in batches:
@@ -138,7 +162,7 @@ def candidates(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
                 mine = (int(band[lo]), int(hashed[lo]))
                 if mine != key:
                     shut()
-                    key = mine
+                    key, hot = mine, False
                     if hi - lo == 1 and hi < len(rows):  # alone in its bucket
                         lo = hi
                         continue
@@ -146,20 +170,98 @@ def candidates(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
                 while sum(map(len, held)) > BLOCK:
                     whole = np.concatenate(held)
                     close(whole[:BLOCK])
-                    held[:] = [whole[BLOCK - OVERLAP :]]
+                    listed(whole[: BLOCK - OVERLAP])
+                    held[:], hot = [whole[BLOCK - OVERLAP :]], True
                 lo = hi
-            if a:
-                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-                a.clear(), b.clear()
+            yield from out()
         shut()
-        if a:
-            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        yield from out()
 
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = nodes.select("id", "sig").mapInArrow(keys, "band int, key long, id long, s1 long, s2 long")
     turned = F.expr("shiftleft(s1, (band * 3) % 64) | shiftrightunsigned(s1, 64 - (band * 3) % 64)")
-    found = dealt.repartition(n, "band", "key").sortWithinPartitions("band", "key", turned, "id").mapInArrow(pairs, "a long, b long")
-    return found.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return dealt.repartition(n, "band", "key").sortWithinPartitions("band", "key", turned, "id").mapInArrow(pairs, "a long, b long, band int, key long, s1 long, s2 long")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def candidates(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
+    """(a, b), a < b: the tree edges of all buckets."""
+    return _ordered(bucketed(nodes, bands, rows).where("band < 0").select("a", "b"))
+
+
+def apart(rows: np.ndarray, most: int | None, cut: int = SKETCH_CUT) -> tuple[list[np.ndarray], bool]:
+    """Rows of id, two sketch words and component: pairs of ids of different components whose sketches are within
+    ``cut``, as [a..., b...] arrays, and whether pairs were left for later.  With ``most`` a member brings its nearest
+    ``most``, and the member with the most such pairs brings all of its own, which joins the copies of a text to it."""
+    sk = np.ascontiguousarray(rows[:, 1:3]).view(np.uint64)
+    ids, comp = rows[:, 0], rows[:, 3]
+    out, later, hub = [], False, (0, -1)
+
+    def near(lo: int, hi: int) -> np.ndarray:
+        d = np.bitwise_count(sk[lo:hi, None, 0] ^ sk[None, :, 0]) + np.bitwise_count(sk[lo:hi, None, 1] ^ sk[None, :, 1])
+        d[comp[lo:hi, None] == comp[None]] = 255
+        return d
+
+    for lo in range(0, len(rows), 256):
+        d = near(lo, min(lo + 256, len(rows)))
+        ok = d <= cut
+        if most is not None:
+            n = ok.sum(axis=1)
+            top = int(n.argmax())
+            hub = max(hub, (int(n[top]), lo + top))
+            over = np.flatnonzero(n > most)
+            if len(over):
+                later = True
+                best = np.argpartition(d[over], most - 1, axis=1)[:, :most]
+                ok[over] = False
+                ok[over[:, None], best] = True
+        i, j = np.nonzero(ok)
+        if most is None:
+            i, j = i[i + lo < j], j[i + lo < j]
+        if len(i):
+            out.append(np.stack([ids[i + lo], ids[j]]))
+    if later:
+        at = hub[1]
+        j = np.flatnonzero(near(at, at + 1)[0] <= cut)
+        out.append(np.stack([np.full(len(j), ids[at]), ids[j]]))
+    return out, later
+
+
+def remaining(members: DataFrame, most: int | None) -> DataFrame:
+    """(a, b, band, key) of (band, key, part, id, s1, s2, comp): the pairs of each part of a bucket by ``apart``, with a
+    negative band; other rows name the buckets that have more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def shut() -> Iterator[pa.RecordBatch]:
+            if held:
+                whole = np.concatenate(held)
+                held.clear()
+                found, later = apart(whole[:, 3:], most)
+                if later:
+                    found.append(np.zeros((2, 1), np.int64))
+                for k, pair in enumerate(found):
+                    mark = later and k == len(found) - 1
+                    n = pair.shape[1]
+                    yield pa.record_batch([pa.array(pair[0]), pa.array(pair[1]), pa.array(np.full(n, whole[0, 0] if mark else -1)), pa.array(np.full(n, whole[0, 1] if mark else 0))], names=["a", "b", "band", "key"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(7)], axis=1)
+            for lo, hi in itertools.pairwise([0, *(np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1).tolist(), len(rows)]):
+                if held and (held[0][0, :3] != rows[lo, :3]).any():
+                    yield from shut()
+                held.append(rows[lo:hi])
+        yield from shut()
+
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = members.select("band", "key", "part", "id", "s1", "s2", "comp").repartition(n, "band", "key", "part").sortWithinPartitions("band", "key", "part", "id")
+    return dealt.mapInArrow(run, "a long, b long, band long, key long")
 
 
 def agreement(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -191,19 +293,44 @@ def exact_jaccard(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return joined.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, jaccard double")
 
 
-def similar_pairs(nodes: DataFrame, docs: DataFrame, threshold: float, bands: int, rows: int, width: int = 5, margin: float = 0.12, save=lambda df: df, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(a, b): candidate pairs with a Jaccard similarity of at least ``threshold``.
+def similar_pairs(nodes: DataFrame, docs: DataFrame, threshold: float, bands: int, rows: int, width: int = 5, margin: float = 0.12, save=lambda df: df.checkpoint(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(a, b): pairs with a Jaccard similarity of at least ``threshold`` whose components are those of all such pairs
+    that share a bucket and whose sketches are within ``SKETCH_CUT``.
 
-    The signatures decide where their estimate is further than ``margin`` (over three standard deviations) from the
-    threshold; nearer, the shingle sets of the two texts do.  ``nodes`` is (id, sig), one row a distinct shingle set.
+    The trees of the buckets are verified first.  Of what that leaves in different components of a bucket, ``ROUNDS``
+    bring ever more pairs not tried yet, the last one all: only a bucket whose members are alike but not alike enough
+    comes that far.  The signatures decide where their estimate is further than ``margin`` (over three standard
+    deviations) from the threshold; nearer, the shingle sets of the two texts do.  ``nodes`` is (id, sig), one row a
+    distinct shingle set.
     """
-    est = save(agreement(candidates(nodes, bands, rows), nodes).where(F.col("estimate") >= threshold - margin))
-    sure = est.where(F.col("estimate") >= threshold + margin).select("a", "b")
-    open_ = est.where(F.col("estimate") < threshold + margin).select("a", "b")
-    ids = open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct()
+    from gleanery.operators.graph import connected_components
+
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    texts = by_keys(texts, ids, "id", "left_semi", save).dropDuplicates(["id"])
-    return sure.union(exact_jaccard(open_, texts, width).where(F.col("jaccard") >= threshold).select("a", "b"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        est = save(agreement(pairs, nodes).where(F.col("estimate") >= threshold - margin))
+        sure = est.where(F.col("estimate") >= threshold + margin).select("a", "b")
+        open_ = est.where(F.col("estimate") < threshold + margin).select("a", "b")
+        ids = open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct()
+        some = by_keys(texts, ids, "id", "left_semi", save).dropDuplicates(["id"])
+        return save(sure.union(exact_jaccard(open_, some, width).where(F.col("jaccard") >= threshold).select("a", "b")))
+
+    found = save(bucketed(nodes, bands, rows))
+    tried = save(_ordered(found.where("band < 0").select("a", "b")))
+    links = verified(tried)
+    members = found.where("band >= 0").select(F.col("band").cast("long").alias("band"), "key", F.col("a").alias("id"), "s1", "s2")
+    for most in ROUNDS:
+        comp = connected_components(links, save).select(F.col("node").alias("id"), "component")
+        labelled = save(members.join(comp, "id", "left").select("band", "key", "id", "s1", "s2", F.coalesce("component", "id").alias("comp")))
+        open_ = save(labelled.groupBy("band", "key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("band", "key"))
+        if open_.isEmpty():
+            break
+        members = save(labelled.join(open_, ["band", "key"], "left_semi"))
+        more = save(remaining(members.withColumn("part", F.lit(0)), most))
+        new = save(_ordered(more.where("band < 0").select("a", "b")).join(tried, ["a", "b"], "left_anti"))
+        links, tried = links.union(verified(new)), tried.union(new)
+        members = members.drop("comp").join(more.where("band >= 0").select("band", "key").distinct(), ["band", "key"], "left_semi")
+    return links
 
 
 def near_dedupe_map(docs: DataFrame, threshold: float, bands: int, rows: int, width: int = 5, save=lambda df: df.checkpoint(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

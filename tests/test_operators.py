@@ -183,6 +183,29 @@ def test_minhash_links_in_mixed_buckets(spark, monkeypatch, block):
     assert len(twins & got) >= (59 if block > 4 else 40)
 
 
+@pytest.mark.parametrize("block", [30, 2048])
+def test_minhash_joins_copies_that_are_nearer_to_each_other(spark, monkeypatch, block):
+    """Edited copies are alike enough to their base only; a copy's nearest sketch is another copy's, so that its tree edge fails."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "OVERLAP", 2)
+    rnd = random.Random(5)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(304)]
+    docs = [" ".join(base)]
+    for _ in range(300):
+        w = list(base)
+        for at in rnd.sample(range(8, 296), 5):
+            w[at] = f"q{rnd.randrange(10**6)}"
+        docs.append(" ".join(w))
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    sets = [set(minhash.shingle_hashes(t, 5).tolist()) for t in docs]
+    want = {(i, j) for i, j in itertools.combinations(range(len(docs)), 2) if 0.8 <= len(sets[i] & sets[j]) / len(sets[i] | sets[j])}
+    rows = minhash.signatures(d).select("id", "sig").collect()
+    words = [np.frombuffer(r.sig, "<u4") for r in sorted(rows)]
+    share = {(i, j) for i, j in want if any((words[i][k : k + 6] == words[j][k : k + 6]).all() for k in range(0, 126, 6))}
+    got = {(r.a, r.b) for r in minhash.similar_pairs(spark.createDataFrame(rows, "id long, sig binary"), d, 0.8, 21, 6).collect()}
+    assert got <= want and components(len(docs), got) == components(len(docs), share)
+
+
 def test_pagerank_sums_to_one(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (1, 3)], "src long, dst long")
     r = graph.personalised_pagerank(e, spark.createDataFrame([(1,)], "node long"), 5).agg(F.sum("rank")).first()[0]
