@@ -293,6 +293,21 @@ def exact_jaccard(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return joined.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, jaccard double")
 
 
+def dealt_out(members: DataFrame) -> DataFrame:
+    """(band, key, part, id, s1, s2, comp) of the members of buckets, with n, top and n_top: the bucket's size, its largest
+    component and that one's size.  A bucket of up to ``BLOCK`` is one part.  A larger one is cut into groups of about half as
+    many by hash, apart for the members in ``top`` and the others, and a part is two groups: any two members that are not both
+    in ``top`` have a part in common.  So a part is bounded, and only members outside ``top`` multiply with the bucket."""
+    half = max(1, BLOCK // 2)
+    d = members.withColumns({"_g": F.ceil((F.col("n") - F.col("n_top")) / half), "_h": F.ceil(F.col("n_top") / half)})
+    mine = F.when(F.col("comp") == F.col("top"), F.col("_g") + F.expr("pmod(xxhash64(id), _h)")).otherwise(F.expr("pmod(xxhash64(id), _g)"))
+    d = d.withColumn("_mine", F.when(F.col("n") > BLOCK, mine).otherwise(0).cast("long"))
+    others = F.when(F.col("n") <= BLOCK, F.array(F.lit(0).cast("long"))).when(F.col("comp") == F.col("top"), F.expr("sequence(0L, _g - 1)")).otherwise(F.expr("filter(sequence(0L, _g + _h - 1), x -> x <> _mine)"))
+    d = d.withColumn("_other", F.explode(others))
+    part = F.least("_mine", "_other") * (F.col("_g") + F.col("_h")) + F.greatest("_mine", "_other")
+    return d.select("band", "key", part.alias("part"), "id", "s1", "s2", "comp")
+
+
 def similar_pairs(nodes: DataFrame, docs: DataFrame, threshold: float, bands: int, rows: int, width: int = 5, margin: float = 0.12, save=lambda df: df.checkpoint(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(a, b): pairs with a Jaccard similarity of at least ``threshold`` whose components are those of all such pairs
     that share a bucket and whose sketches are within ``SKETCH_CUT``.
@@ -322,14 +337,15 @@ def similar_pairs(nodes: DataFrame, docs: DataFrame, threshold: float, bands: in
     for most in ROUNDS:
         comp = connected_components(links, save).select(F.col("node").alias("id"), "component")
         labelled = save(members.join(comp, "id", "left").select("band", "key", "id", "s1", "s2", F.coalesce("component", "id").alias("comp")))
-        open_ = save(labelled.groupBy("band", "key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("band", "key"))
+        sizes = labelled.groupBy("band", "key", "comp").count().groupBy("band", "key").agg(F.sum("count").alias("n"), F.max("count").alias("n_top"), F.max_by("comp", "count").alias("top"))
+        open_ = save(sizes.where("n > n_top"))
         if open_.isEmpty():
             break
-        members = save(labelled.join(open_, ["band", "key"], "left_semi"))
-        more = save(remaining(members.withColumn("part", F.lit(0)), most))
+        members = save(labelled.join(open_, ["band", "key"]))
+        more = save(remaining(dealt_out(members), most))
         new = save(_ordered(more.where("band < 0").select("a", "b")).join(tried, ["a", "b"], "left_anti"))
         links, tried = links.union(verified(new)), tried.union(new)
-        members = members.drop("comp").join(more.where("band >= 0").select("band", "key").distinct(), ["band", "key"], "left_semi")
+        members = members.drop("comp", "n", "n_top", "top").join(more.where("band >= 0").select("band", "key").distinct(), ["band", "key"], "left_semi")
     return links
 
 

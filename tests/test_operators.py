@@ -206,6 +206,20 @@ def test_minhash_joins_copies_that_are_nearer_to_each_other(spark, monkeypatch,
     assert got <= want and components(len(docs), got) == components(len(docs), share)
 
 
+def test_minhash_large_buckets_are_dealt_out(spark, monkeypatch):
+    """Any two members of different components meet, however large the bucket and whatever the order of their sketches."""
+    monkeypatch.setattr(minhash, "BLOCK", 40)
+    label = [i if i % 3 == 0 else 1 for i in range(300)]
+    rows = [(0, 7, i, 0, 0, c, 300, 200, 1) for i, c in enumerate(label)] + [(1, 7, i, 0, 0, i, 40, 1, 0) for i in range(40)]
+    d = spark.createDataFrame(rows, "band long, key long, id long, s1 long, s2 long, comp long, n long, n_top long, top long")
+    parts = {}
+    for r in minhash.dealt_out(d).collect():
+        parts.setdefault((r.band, r.part), []).append(r.id)
+    assert max(map(len, parts.values())) <= 80 and [k for k in parts if k[0] == 1] == [(1, 0)]
+    met = {p for (band, _), ids in parts.items() if band == 0 for p in itertools.combinations(sorted(ids), 2)}
+    assert met >= {(i, j) for i, j in itertools.combinations(range(300), 2) if label[i] != label[j]}
+
+
 def test_pagerank_sums_to_one(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (1, 3)], "src long, dst long")
     r = graph.personalised_pagerank(e, spark.createDataFrame([(1,)], "node long"), 5).agg(F.sum("rank")).first()[0]
