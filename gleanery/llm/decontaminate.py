@@ -3,7 +3,9 @@
 Words are white-space separated chunks without their outer punctuation, lower-cased (ASCII and Latin-1).  Typed placeholders replace
 numbers (NUM), units after a number (UNIT) and names (NAME: a title-case word that does not open a sentence; a run of
 them is one name).  Windows of ``WINDOW`` template words are hashed and hash-joined with those of the benchmark items,
-so a question whose numbers or names were exchanged still matches; a window needs half its words literal.
+so a question whose numbers or names were exchanged still matches; a window needs half its words literal.  One with
+more slots is hashed with the values as they stand (``slot_heavy``, which the query and the pipeline ask for) and counts only
+towards an occurrence that has the item's own values throughout.
 
 Matches of a document with an item on one diagonal (document position minus item position) are one occurrence.  It
 counts if its windows cover ``NEED`` words (or all but one of a shorter item) and its slots are consistent: every
@@ -129,20 +131,30 @@ def template(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return literal, value, kind, of
 
 
-def windows(literal: np.ndarray, kind: np.ndarray, of: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every window, and whether it lies in one text and at least half its words are literal."""
+def windows(literal: np.ndarray, value: np.ndarray, kind: np.ndarray, of: np.ndarray, size: int, slot_heavy: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every window, and whether it lies in one text.  One with under half its words literal is left out, or its hash
+    is that of the values, apart from the others."""
     n = len(literal) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64), np.empty(0, bool)
-    h = np.full(n, size, np.uint64)
-    for i in range(size):
-        h *= np.uint64(0x9E3779B97F4A7C15)
-        h += literal[i : i + n]
-    h ^= h >> np.uint64(31)
+
+    def hashed(words: np.ndarray, start: int) -> np.ndarray:
+        h = np.full(n, start, np.uint64)
+        for i in range(size):
+            h *= np.uint64(0x9E3779B97F4A7C15)
+            h += words[i : i + n]
+        h ^= h >> np.uint64(31)
+        return h
+
+    h = hashed(literal, size)
     ok = of[:n] == of[size - 1 :]
     if kind.any():
         slots = np.concatenate(([0], np.cumsum(kind != 0)))
-        ok &= 2 * (slots[size:] - slots[:-size]) <= size
+        heavy = 2 * (slots[size:] - slots[:-size]) > size
+        if not slot_heavy:
+            ok &= ~heavy
+        elif heavy.any():
+            h[heavy] = hashed(value, size + 64)[heavy]
     return h, ok
 
 
@@ -155,7 +167,7 @@ def _slots(value: np.ndarray, kind: np.ndarray, at: int, size: int) -> list[int]
     return [x for w in where.tolist() for x in ((w - at) * 64 + int(kind[w]), int(value[w].astype(np.int64)))]
 
 
-def _windows(sizes: list[int] | None, known):
+def _windows(sizes: list[int] | None, known, slot_heavy: bool):
     """sizes: the windows to take of every text; None: one size a text, that of an item.  known: broadcast sorted hashes or None."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +181,7 @@ def _windows(sizes: list[int] | None, known):
             literal, value, kind, of = template(texts)
             begin = np.searchsorted(of, np.arange(len(texts) + 1))
             for size in sizes or range(1, WINDOW + 1):
-                h, ok = windows(literal, kind, of, size)
+                h, ok = windows(literal, value, kind, of, size, slot_heavy)
                 if sizes is None:  # of an item: windows of WINDOW words, or the whole
                     ok &= np.minimum(np.diff(begin), WINDOW)[of[: len(ok)]] == size
                 if bits is not None:
@@ -207,11 +219,11 @@ def _windows(sizes: list[int] | None, known):
 SHAPE = "doc_id long, row long, hash long, pos long, size long, n_words long, slots array<long>"
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame, need: int = NEED) -> DataFrame:
+def occurrences(docs: DataFrame, benchmark: DataFrame, need: int = NEED, slot_heavy: bool = False) -> DataFrame:
     """doc_id, row, item_id, at, covered, item_words, verbatim: every occurrence that counts (see the module)."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    items = checkpoint(items.mapInArrow(_windows(None, None), SHAPE).select(F.col("doc_id").alias("item_id"), "hash", F.col("pos").alias("item_pos"), "size", F.col("n_words").alias("item_words"), F.col("slots").alias("item_slots")).distinct())
+    items = checkpoint(items.mapInArrow(_windows(None, None, slot_heavy), SHAPE).select(F.col("doc_id").alias("item_id"), "hash", F.col("pos").alias("item_pos"), "size", F.col("n_words").alias("item_words"), F.col("slots").alias("item_slots")).distinct())
     sizes = [r[0] for r in items.select("size").distinct().limit(WINDOW).collect()]
     if not sizes:
         sizes = [WINDOW]
@@ -219,33 +231,37 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, need: int = NEED) -> Data
     distinct = items.select("hash").distinct().limit(MAX_FILTER + 1)
     if distinct.count() <= MAX_FILTER:
         known = spark.sparkContext.broadcast(np.sort(distinct.toPandas()["hash"].to_numpy(np.int64).view(np.uint64)))
-    hits = id_text(docs).mapInArrow(_windows(sorted(sizes), known), SHAPE).select("doc_id", "row", "hash", "pos", "slots")
+    hits = id_text(docs).mapInArrow(_windows(sorted(sizes), known, slot_heavy), SHAPE).select("doc_id", "row", "hash", "pos", "slots")
     pairs = hits.join(items, "hash").withColumn("diagonal", F.col("pos") - F.col("item_pos"))
     # which words of the item are covered, and which slot values meet: both bounded by the item
     meet = F.expr("transform(sequence(0, cast(size(slots) / 2 as int) - 1), i -> struct(slots[2 * i] as place, item_slots[2 * i + 1] as theirs, slots[2 * i + 1] as ours))")
     meet = F.when(F.size("slots") > 0, F.transform(meet, lambda s: F.struct((s.place % 64).alias("kind"), s.theirs.alias("theirs"), s.ours.alias("ours")))).otherwise(F.expr("array()"))
+    few = F.size("item_slots") <= F.col("size")  # two entries a slot: at least half the words are literal
     occ = pairs.withColumn("meet", meet).groupBy("doc_id", "row", "item_id", "diagonal", "item_words").agg(
-        F.collect_set(F.struct("item_pos", "size")).alias("spots"), F.collect_set("meet").alias("meet"), F.min("pos").alias("at")
-    )
-    covered = F.expr("size(array_distinct(flatten(transform(spots, s -> sequence(s.item_pos, s.item_pos + s.size - 1)))))").cast("long")
-    occ = occ.withColumn("covered", covered).withColumn("meet", F.array_distinct(F.flatten("meet")))
+        F.collect_set(F.when(few, F.struct("item_pos", "size"))).alias("spots"), F.collect_set(F.when(few, F.col("meet"))).alias("meet"), F.min("pos").alias("at"),
+        F.collect_set(F.struct("item_pos", "size")).alias("all_spots"), F.collect_set("meet").alias("all_meet"),
+    )
+    covered = lambda c: F.expr(f"size(array_distinct(flatten(transform({c}, s -> sequence(s.item_pos, s.item_pos + s.size - 1)))))").cast("long")
+    occ = occ.withColumns({"covered": covered("spots"), "whole": covered("all_spots"), "meet": F.array_distinct(F.flatten("meet")), "all_meet": F.array_distinct(F.flatten("all_meet"))})
     fits = F.expr("size(array_distinct(transform(meet, m -> struct(m.kind, m.theirs)))) = size(meet) and size(array_distinct(transform(meet, m -> struct(m.kind, m.ours)))) = size(meet)")
-    enough = F.col("covered") >= F.least(F.lit(need), F.greatest(F.lit(1), F.col("item_words") - 1))
-    occ = occ.where(enough & fits)
-    return occ.select("doc_id", "row", "item_id", "at", "covered", "item_words", F.expr("forall(meet, m -> m.theirs = m.ours)").alias("verbatim"))
+    least = F.least(F.lit(need), F.greatest(F.lit(1), F.col("item_words") - 1))
+    own = F.expr("forall(all_meet, m -> m.theirs = m.ours)") & (F.col("whole") >= least)
+    occ = occ.withColumn("own", own).where(F.col("own") | (F.col("covered") >= least) & fits)
+    verbatim = F.col("own") | F.expr("forall(meet, m -> m.theirs = m.ours)")
+    return occ.select("doc_id", "row", "item_id", "at", F.when(F.col("own"), F.col("whole")).otherwise(F.col("covered")).alias("covered"), "item_words", verbatim.alias("verbatim"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, need: int = NEED) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, need: int = NEED, slot_heavy: bool = False) -> DataFrame:
     """doc_id, item_id, occurrences, covered, item_words, verbatim: one row for each document and item it repeats.
 
     ``verbatim``: some occurrence has the item's own slot values; else it was re-parameterised.  Null or empty texts
     match nothing, nor do items without words.  Repeated rows of a doc_id count as one document; rows with a null
     doc_id are one document too.  Empty tables give no rows.
     """
-    occ = occurrences(docs, benchmark, need)
+    occ = occurrences(docs, benchmark, need, slot_heavy)
     return occ.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("occurrences"), F.max("covered").alias("covered"), F.max("item_words").alias("item_words"), F.max("verbatim").alias("verbatim"))
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, need: int = NEED) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, need: int = NEED, slot_heavy: bool = True) -> DataFrame:
     """The rows of ``docs``, all their columns, whose text repeats no benchmark item."""
-    return by_keys(docs, occurrences(docs, benchmark, need).select("doc_id"), "doc_id", "left_anti", checkpoint)
+    return by_keys(docs, occurrences(docs, benchmark, need, slot_heavy).select("doc_id"), "doc_id", "left_anti", checkpoint)

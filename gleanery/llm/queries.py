@@ -17,7 +17,7 @@ CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slot_heavy=True)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

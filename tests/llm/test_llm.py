@@ -263,6 +263,17 @@ def brute_contaminated(text, item):
     return False
 
 
+def test_decontamination_of_slot_heavy_items(spark):
+    """Windows of mostly numbers count as they stand; with other numbers they are no match."""
+    short, table = "Compute 12 + 7 * 3 - 45 / 9.", "Add these now: 3 kg 14 kg 15 kg 92 kg 65 kg 35 kg 89 kg and 79 kg"
+    items = spark.createDataFrame([(0, short), (1, table)], "item_id long, text string")
+    docs = [(1, f"We ask. {short} Yes."), (2, f"Before. {table} after it"), (3, short.replace("45", "46")), (4, table.replace("15 kg 92", "16 kg 93"))]
+    got = {(r.doc_id, r.item_id, r.verbatim) for r in decontaminate.contaminated(frame(spark, [(i, t, None, None, None) for i, t in docs]), items, slot_heavy=True).collect()}
+    assert got == {(1, 0, True), (2, 1, True)}
+    left = decontaminate.decontaminated(frame(spark, [(i, t, None, None, None) for i, t in docs]), items)
+    assert {r.doc_id for r in left.collect()} == {3, 4}
+
+
 def test_decontamination_brute_force(spark):
     rnd = random.Random(21)
     names, units, plain = ["Alice", "Bob", "Carol", "Dan"], ["kg", "lb", "km"], ["has", "apples", "and", "gives", "some", "to", "then", "buys", "more", "how", "many", "does", "take", "home"]
