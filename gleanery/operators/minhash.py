@@ -63,7 +63,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 SKETCH_CUT = 36  # of 128 sketch bits; a pair at .68 differs in 20 on average, with a deviation of 4
 BLOCK, OVERLAP = 2048, 64
-ROUNDS = (8, 128, None)  # pairs a member brings in each further round; in the last all that are left
+ROUNDS = (8, None)  # pairs a member brings in each further round; in the last all that are left
 BUCKETED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("band", pa.int32()), ("key", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64())])
 
 
@@ -333,19 +333,25 @@ def similar_pairs(nodes: DataFrame, docs: DataFrame, threshold: float, bands: in
     found = save(bucketed(nodes, bands, rows))
     tried = save(_ordered(found.where("band < 0").select("a", "b")))
     links = verified(tried)
+    comp = connected_components(links, save).select(F.col("node").alias("id"), "component")
     members = found.where("band >= 0").select(F.col("band").cast("long").alias("band"), "key", F.col("a").alias("id"), "s1", "s2")
+    members = save(members.join(comp, "id", "left").select("band", "key", "id", "s1", "s2", F.coalesce("component", "id").alias("comp")))
     for most in ROUNDS:
-        comp = connected_components(links, save).select(F.col("node").alias("id"), "component")
-        labelled = save(members.join(comp, "id", "left").select("band", "key", "id", "s1", "s2", F.coalesce("component", "id").alias("comp")))
-        sizes = labelled.groupBy("band", "key", "comp").count().groupBy("band", "key").agg(F.sum("count").alias("n"), F.max("count").alias("n_top"), F.max_by("comp", "count").alias("top"))
+        sizes = members.groupBy("band", "key", "comp").count().groupBy("band", "key").agg(F.sum("count").alias("n"), F.max("count").alias("n_top"), F.max_by("comp", "count").alias("top"))
         open_ = save(sizes.where("n > n_top"))
         if open_.isEmpty():
             break
-        members = save(labelled.join(open_, ["band", "key"]))
-        more = save(remaining(dealt_out(members), most))
+        more = save(remaining(dealt_out(members.join(open_, ["band", "key"])), most))
         new = save(_ordered(more.where("band < 0").select("a", "b")).join(tried, ["a", "b"], "left_anti"))
-        links, tried = links.union(verified(new)), tried.union(new)
-        members = members.drop("comp", "n", "n_top", "top").join(more.where("band >= 0").select("band", "key").distinct(), ["band", "key"], "left_semi")
+        fresh = verified(new)
+        links, tried = links.union(fresh), tried.union(new)
+        if most is None:
+            break
+        of = members.select("id", "comp").distinct()  # only the components that were joined get a new name
+        joined = fresh.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        named = connected_components(joined, save).toDF("comp", "component")
+        rest = members.join(more.where("band >= 0").select("band", "key").distinct(), ["band", "key"], "left_semi")
+        members = save(rest.join(named, "comp", "left").select("band", "key", "id", "s1", "s2", F.coalesce("component", "comp").alias("comp")))
     return links
 
 
