@@ -75,11 +75,12 @@ def mmr_no_similarity(cands: DataFrame, k: int = 10, lam: float = 0.7, cap: int
 
 def mmr(cands: DataFrame, k: int = 10, lam: float = 0.7, cap: int = 2) -> DataFrame:
     """query_id, chunk_id, rank by greedy maximal marginal relevance with cosine similarity; candidates are
-    (query_id, doc_uid, chunk_id, score, embedding, pos).  A query's candidates are one group (a retrieved list)."""
+    (query_id, doc_uid, chunk_id, score, embedding, pos); one without an embedding is similar to none.  A query's candidates are one group (a retrieved list)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["score", "pos"], ascending=[False, True], kind="stable").reset_index(drop=True)
-        v = np.array(pdf.embedding.tolist(), np.float64)
+        none = np.zeros(next((len(x) for x in pdf.embedding if x is not None), 1))
+        v = np.array([none if x is None else x for x in pdf.embedding], np.float64)
         v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
         rel, near = pdf.score.to_numpy(), np.full(len(pdf), -np.inf)
         free, used, out = np.ones(len(pdf), bool), {}, []
@@ -140,7 +141,8 @@ def policy(mode: F.Column, texts: dict[str, str] = POLICIES) -> F.Column:
 def hybrid_search(chunks: DataFrame, query: list[str], query_vector: list[float], pool: int = 100, k: int = 10, lam: float = 0.7, cap: int = 2) -> DataFrame:
     """rank, doc_uid, chunk_id, score, text: lexical and dense retrieval, fused, reranked, diversified.
 
-    ``chunks`` is (doc_uid, chunk_id, text, embedding) and, if known, authority and recency_days.  Both retrievers keep
+    ``chunks`` is (doc_uid, chunk_id, text, embedding) and, if known, authority and recency_days.  A chunk without an
+    embedding is found by its words only.  Both retrievers keep
     the ``pool`` best (a top-k per task before anything is shuffled), ranks are fused, the pool is scored by
     ``rerank_score`` with the fused score as the cross feature, and MMR picks k.  Only the pool carries texts.
     """
@@ -151,7 +153,7 @@ def hybrid_search(chunks: DataFrame, query: list[str], query_vector: list[float]
     v = F.col("embedding").cast("array<double>")
     qv = F.array(*[F.lit(x) for x in q])
     dot = F.aggregate(F.zip_with(v, qv, lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    dense = chunks.select(F.col("chunk_id").alias("doc_id"), (dot / F.greatest(norm(v) * norm(qv), F.lit(1e-12))).alias("dense_sim")).orderBy(F.col("dense_sim").desc(), "doc_id").limit(pool)
+    dense = chunks.where("embedding is not null").select(F.col("chunk_id").alias("doc_id"), (dot / F.greatest(norm(v) * norm(qv), F.lit(1e-12))).alias("dense_sim")).orderBy(F.col("dense_sim").desc(), "doc_id").limit(pool)
     ranked = lambda d, c, i: d.select(F.lit(i).alias("list_id"), F.col("doc_id").alias("doc"), F.row_number().over(Window.partitionBy(F.lit(i)).orderBy(F.col(c).desc(), "doc_id")).alias("rank"))  # noqa: E731  of a pool
     fused = rrf(ranked(lex, "bm25", 0).union(ranked(dense, "dense_sim", 1)), n_lists=2)
     rows = fused.join(lex, fused.doc == lex.doc_id, "left").drop("doc_id").join(dense.withColumnRenamed("doc_id", "_d"), F.col("doc") == F.col("_d"), "left")

@@ -611,11 +611,11 @@ def inverted_index(spark, sf):
 
 @query()
 def hybrid_search(spark, sf):
-    """Documents that have a vector of the same number, searched by three words and the vector of row 0."""
+    """All documents, searched by three words and, where there is a vector of the same number, the vector of row 0."""
     v = _vecs(spark, sf).select("id", F.col("vec").alias("embedding"))
     d = _t(spark, sf, "documents").select(F.col("source").alias("doc_uid"), F.col("doc_id").alias("chunk_id"), "text")
     first = v.where("id = 0").first()
-    return ranking.hybrid_search(d.join(v, d.chunk_id == v.id).drop("id"), ["idiot", "pour", "under"], list(first.embedding))
+    return ranking.hybrid_search(d.join(v, d.chunk_id == v.id, "left").drop("id"), ["idiot", "pour", "under"], list(first.embedding))
 
 
 @query(f"SELECT doc_id, CASE mode " + " ".join(f"WHEN '{m}' THEN '{x.splitlines()[0]}'" for m, x in ranking.POLICIES.items()) + f" END AS policy FROM ({_ORACLE['answer_mode']})")

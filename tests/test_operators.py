@@ -470,6 +470,20 @@ def test_hybrid_search(spark):
     assert ranking.hybrid_search(c.limit(0), ["apple"], [1.0, 0.0]).count() == 0
 
 
+def test_hybrid_search_finds_documents_without_a_vector(spark, sf):
+    from gleanery.plans import queries
+
+    rows = [(f"d{i}", i, ("apple " if i == 5 else "") + "other words", [1.0, 0.0] if i < 4 else None) for i in range(12)]
+    c = spark.createDataFrame(rows, "doc_uid string, chunk_id long, text string, embedding array<double>")
+    got = {r.chunk_id for r in ranking.hybrid_search(c, ["apple"], [1.0, 0.0], pool=20, k=12).collect()}
+    assert got == {0, 1, 2, 3, 5}
+    seen = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(ranking, "hybrid_search", lambda chunks, *a: seen.append(chunks))
+        queries.hybrid_search(spark, sf)
+    assert seen[0].count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
 def test_ml_kmeans_and_embedder(spark):
     d = spark.createDataFrame([(i, [x, 0.0]) for i, x in enumerate([0.0, 0.1, 10.0, 10.1])], "id long, vec array<double>")
     lab = [r.label for r in vectors.ml_kmeans(d, 2).orderBy("id").collect()]
