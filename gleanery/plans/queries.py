@@ -529,13 +529,14 @@ def simhash_signatures(spark, sf):
 
 
 @query()
-def simhash_pairs(spark, sf):
-    """Candidate pairs of the banded search whose 64-bit signatures differ in at most 8 bits."""
-    d = _t(spark, sf, "documents")
-    nodes = minhash.signatures(d).groupBy("same").agg(F.min("id").alias("id"), F.min_by("sig", "id").alias("sig")).select("id", "sig")
-    s = simhash.simhash64(d)
-    pairs = minhash.candidates(nodes, 32, 4).join(s.withColumnsRenamed({"doc_id": "a", "simhash64": "sa"}), "a").join(s.withColumnsRenamed({"doc_id": "b", "simhash64": "sb"}), "b")
-    return pairs.select("a", "b", simhash.hamming(F.col("sa"), F.col("sb")).alias("bits")).where("bits <= 8")
+def simhash_distances(spark, sf):
+    """Of every document the differing signature bits to its text with a word more, and to its first half."""
+    d = _t(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    of = lambda text, name: simhash.simhash64(d.select("doc_id", text.alias("text"))).withColumnRenamed("simhash64", name)
+    more = of(F.concat("text", F.lit(" more")), "more")
+    half = of(F.expr("left(text, cast(length(text) / 2 as int))"), "half")
+    s = simhash.simhash64(d).join(more, "doc_id").join(half, "doc_id")
+    return s.select("doc_id", simhash.hamming(F.col("simhash64"), F.col("more")).alias("bits_more"), simhash.hamming(F.col("simhash64"), F.col("half")).alias("bits_half"))
 
 
 @query(r"""WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(text, ' ')) AS t FROM documents) SELECT doc_id, count(*) AS n_chunks FROM (SELECT doc_id, unnest(range(0, count(*), 600)) FROM w GROUP BY doc_id) GROUP BY doc_id""")

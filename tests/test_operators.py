@@ -3,6 +3,7 @@ import json
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,24 +123,9 @@ def test_kmeans(spark):
     assert vectors.choose_best_k(d, 2, 3) == 2
 
 
-def test_minhash_against_brute_force(spark):
-    rnd = random.Random(3)
-    base = [" ".join(rnd.choice("abcdefghij") + str(rnd.randint(0, 99)) for _ in range(120)) for _ in range(12)]
-    docs = []
-    for t in base:
-        docs.append(t)
-        for edits in (1, 2, 6):
-            w = t.split()
-            for _ in range(edits):
-                w[rnd.randrange(len(w))] = "zz"
-            docs.append(" ".join(w))
-    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+def near_pairs(docs, threshold=0.8):
     sets = [set(minhash.shingle_hashes(t, 5).tolist()) for t in docs]
-    want = {(i, j) for i, j in itertools.combinations(range(len(docs)), 2) if 0.8 <= len(sets[i] & sets[j]) / len(sets[i] | sets[j])}
-    sig = minhash.signatures(d).select("id", "sig")
-    got = {(r.a, r.b) for r in minhash.similar_pairs(sig, d, 0.8, 21, 6).collect()}
-    assert got <= want and components(len(docs), got) == components(len(docs), want)
-    assert dict(minhash.near_dedupe_map(d, 0.8, 21, 6).collect()) == dict(enumerate(components(len(docs), want)))
+    return {(i, j) for i, j in itertools.combinations(range(len(docs)), 2) if threshold <= len(sets[i] & sets[j]) / max(1, len(sets[i] | sets[j]))}
 
 
 def components(n, pairs):
@@ -150,74 +136,93 @@ def components(n, pairs):
     return label
 
 
-def test_spanning_edges_keep_every_threshold():
+def similar(spark, docs):
+    """Components and links of the library for a list of texts."""
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    nodes = minhash.distinct_sets(minhash.signatures(d)).select("id", "n", "sig")
+    got = {(min(r.a, r.b), max(r.a, r.b)) for r in minhash.similar_links(nodes, d, 0.8, 21, 6).collect()}
+    return got, components(len(docs), got)
+
+
+def edited(rnd, words, edits):
+    w = list(words)
+    for at in rnd.sample(range(len(w)), edits):
+        w[at] = f"q{rnd.randrange(10**9)}"
+    return w
+
+
+def test_minhash_against_brute_force(spark):
+    rnd = random.Random(3)
+    base = [[rnd.choice("abcdefghij") + str(rnd.randint(0, 99)) for _ in range(120)] for _ in range(12)]
+    docs = [" ".join(x) for t in base for x in (t, edited(rnd, t, 1), edited(rnd, t, 2), edited(rnd, t, 6))]
+    want = near_pairs(docs)
+    got, comp = similar(spark, docs)
+    assert got <= want and comp == components(len(docs), want)
+    d = spark.createDataFrame([*enumerate(docs), (None, docs[0]), (1, docs[1]), (100, None), (101, " ")], "doc_id long, text string")
+    assert dict(minhash.near_dedupe_map(d, 0.8, 21, 6).collect()) == {**dict(enumerate(components(len(docs), want))), 100: 100, 101: 100}
+    assert minhash.near_dedupe_map(d.limit(0), 0.8, 21, 6).count() == 0
+
+
+def test_minhash_forests_brute_force():
     rng = np.random.default_rng(3)
     sk = rng.integers(0, 1 << 63, (4, 2), dtype=np.uint64)[rng.integers(0, 4, 60)]
     for i in range(60):
         for bit in rng.integers(0, 60, rng.integers(0, 12)):
             sk[i, bit % 2] ^= np.uint64(1) << np.uint64(bit)
     dist = np.bitwise_count(sk[:, None] ^ sk[None]).sum(axis=2, dtype=int)
-    edges = minhash.spanning_edges(sk)
-    assert len(edges) < 60
-
-    for t in range(0, minhash.SKETCH_CUT + 1, 3):
-        assert components(60, [(i, j) for i in range(60) for j in range(i) if dist[i, j] <= t]) == components(60, [(i, j) for i, j in edges if dist[i, j] <= t])
-
-
-@pytest.mark.parametrize("block", [4, 2048])
+    for t in (0, 5, 10, 20):
+        assert components(60, minhash.sketch_forest(sk, t)) == components(60, [(i, j) for i in range(60) for j in range(i) if dist[i, j] <= t])
+    sets = [np.unique(rng.integers(0, 14, 9).astype(np.uint64)) for _ in range(80)]
+    jac = {(i, j): len(np.intersect1d(sets[i], sets[j])) / len(np.union1d(sets[i], sets[j])) for i, j in itertools.combinations(range(80), 2)}
+    for t in (0.5, 0.8, 1.0):
+        want = [p for p, x in jac.items() if x >= t]
+        assert components(80, minhash.exact_forest(sets, t)) == components(80, want)
+        label = components(80, [p for p in want if sum(p) % 3 == 0])
+        top = max(set(label), key=label.count)
+        ties = minhash.exact_ties(sets, label, [x != top for x in label], t)
+        assert components(80, [*ties, *((i, j) for i, j in jac if label[i] == label[j])]) == components(80, [*want, *((i, j) for i, j in jac if label[i] == label[j])])
+
+
+@pytest.mark.parametrize("block", [24, 2048])
 def test_minhash_links_in_mixed_buckets(spark, monkeypatch, block):
     """Documents that share a long passage fall into common buckets; the pairs among them that are alike must be found."""
     monkeypatch.setattr(minhash, "BLOCK", block)
-    monkeypatch.setattr(minhash, "OVERLAP", 2)
     rnd = random.Random(8)
-    word = lambda: f"w{rnd.randrange(10**6)}"
-    shared = [word() for _ in range(150)]
+    shared = [f"s{rnd.randrange(10**6)}" for _ in range(150)]
     docs = []
-    for _ in range(60):
-        own = [word() for _ in range(50)]
-        twin = [*own[:40], *(word() for _ in range(4)), *own[44:]]
-        docs += [" ".join(shared + own), " ".join(shared + twin)]
-    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
-    got = {(r.a, r.b) for r in minhash.similar_pairs(minhash.signatures(d).select("id", "sig"), d, 0.8, 21, 6).collect()}
-    twins = {(2 * i, 2 * i + 1) for i in range(60)}
-    assert len(twins & got) >= (59 if block > 4 else 40)
+    for k in range(60):
+        own = [f"w{k}x{i}" for i in range(50)]
+        docs += [" ".join(shared + own), " ".join([*shared, *own[:40], *(f"v{k}x{i}" for i in range(4)), *own[44:]])]
+    got, comp = similar(spark, docs)
+    want = components(len(docs), near_pairs(docs))
+    assert sum(x == y for x, y in zip(comp, want)) >= 119 and got <= near_pairs(docs)
 
 
 @pytest.mark.parametrize("block", [30, 2048])
-def test_minhash_joins_copies_that_are_nearer_to_each_other(spark, monkeypatch, block):
-    """Edited copies are alike enough to their base only; a copy's nearest sketch is another copy's, so that its tree edge fails."""
+def test_minhash_dense_family(spark, monkeypatch, block):
+    """Hundreds of edited copies of one text, alike to some of the others only: all that is within reach is joined, whether the
+    group is looked at whole or in slices."""
     monkeypatch.setattr(minhash, "BLOCK", block)
-    monkeypatch.setattr(minhash, "OVERLAP", 2)
     rnd = random.Random(5)
-    base = [f"w{rnd.randrange(10**6)}" for _ in range(304)]
-    docs = [" ".join(base)]
-    for _ in range(300):
-        w = list(base)
-        for at in rnd.sample(range(8, 296), 5):
-            w[at] = f"q{rnd.randrange(10**6)}"
-        docs.append(" ".join(w))
-    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
-    sets = [set(minhash.shingle_hashes(t, 5).tolist()) for t in docs]
-    want = {(i, j) for i, j in itertools.combinations(range(len(docs)), 2) if 0.8 <= len(sets[i] & sets[j]) / len(sets[i] | sets[j])}
-    rows = minhash.signatures(d).select("id", "sig").collect()
-    words = [np.frombuffer(r.sig, "<u4") for r in sorted(rows)]
-    share = {(i, j) for i, j in want if any((words[i][k : k + 6] == words[j][k : k + 6]).all() for k in range(0, 126, 6))}
-    got = {(r.a, r.b) for r in minhash.similar_pairs(spark.createDataFrame(rows, "id long, sig binary"), d, 0.8, 21, 6).collect()}
-    assert got <= want and components(len(docs), got) == components(len(docs), share)
-
-
-def test_minhash_large_buckets_are_dealt_out(spark, monkeypatch):
-    """Any two members of different components meet, however large the bucket and whatever the order of their sketches."""
-    monkeypatch.setattr(minhash, "BLOCK", 40)
-    label = [i if i % 3 == 0 else 1 for i in range(300)]
-    rows = [(0, 7, i, 0, 0, c, 300, 200, 1) for i, c in enumerate(label)] + [(1, 7, i, 0, 0, i, 40, 1, 0) for i in range(40)]
-    d = spark.createDataFrame(rows, "band long, key long, id long, s1 long, s2 long, comp long, n long, n_top long, top long")
-    parts = {}
-    for r in minhash.dealt_out(d).collect():
-        parts.setdefault((r.band, r.part), []).append(r.id)
-    assert max(map(len, parts.values())) <= 80 and [k for k in parts if k[0] == 1] == [(1, 0)]
-    met = {p for (band, _), ids in parts.items() if band == 0 for p in itertools.combinations(sorted(ids), 2)}
-    assert met >= {(i, j) for i, j in itertools.combinations(range(300), 2) if label[i] != label[j]}
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(400)]
+    docs = [" ".join(edited(rnd, base, 2 + k % 9)) for k in range(400)] + [" ".join(edited(rnd, base, 40)) for _ in range(5)]
+    pairs = near_pairs(docs)
+    want = components(len(docs), pairs)
+    got, comp = similar(spark, docs)
+    assert got <= pairs
+    removed = lambda c: sum(x != i for i, x in enumerate(c))
+    assert removed(want) > 250 and removed(comp) >= 0.99 * removed(want)
+
+
+def test_minhash_common_bucket_is_joined_before_the_shuffle(spark):
+    """A bucket with many members in a batch sends one row on."""
+    rows = np.full((500, minhash.PERMS), 7, "<u4")
+    rows[:, 6:] = np.random.default_rng(1).integers(0, 1 << 32, (500, minhash.PERMS - 6))
+    batch = pa.record_batch([pa.array(range(500), pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())], names=["id", "sig"])
+    out = pa.Table.from_batches(minhash._deal(21, 6)([batch])).to_pandas()
+    assert len(out[out.band == 0]) == 1 and bool(out[out.band == 0].many.all()) and sorted(out[out.band == -1].id) == list(range(1, 500)) and len(out[out.band == 1]) == 500
+    joined = list(minhash._join_buckets(27)(pa.Table.from_pandas(out.sort_values(["band", "key", "id"]), schema=minhash._KEYED).to_batches()))
+    assert {(x, y) for t in joined for x, y in zip(t.column(0).to_pylist(), t.column(1).to_pylist())} >= {(0, i) for i in range(1, 500)}
 
 
 def test_pagerank_sums_to_one(spark):
