@@ -22,12 +22,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions.batches import values
 from gleanery.llm.common import checkpoint, connected_components, id_text
-from gleanery.operators.joins import by_keys
+from gleanery.operators import minhash
+from gleanery.operators.joins import by_keys, free_name
 
 RADIUS = 3
 HOT_BUCKET = 2048
@@ -185,38 +186,64 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = RADIUS, hot_b
     return fps.join(reps, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _prints(docs: DataFrame, width: int) -> DataFrame:
+    """id, fp, same, n, sig: SimHash and MinHash of every row, texts being read once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp, same, n, sig = [], [], [], []
+            for t in values(b.column(1)):
+                h = minhash.shingle_hashes(t, width)
+                fp.append(simhash64(t.encode("utf-8", "surrogatepass"), width)), same.append(xxhash.xxh3_128_digest(h.tobytes())), n.append(len(h)), sig.append(minhash.signature(h).tobytes())
+            yield pa.record_batch([b.column(0), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(same, pa.binary()), pa.array(n, pa.int64()), pa.array(sig, pa.binary())], names=["id", "fp", "same", "n", "sig"])
+
+    return id_text(docs).mapInArrow(run, "id long, fp long, same binary, n long, sig binary")
+
+
+def _similar_nodes(docs: DataFrame, width: int, similarity: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(prints, nodes, twice).  A node is a distinct shingle set under its smallest id: (same, id, component).  Everything but
+    the two ends works on nodes, so that copies, however many, are never a key of a join.  ``twice`` holds ids of
+    several rows; the nodes of one id belong together."""
+    prints = checkpoint(_prints(docs, width).where("id is not null"))
+    nodes = checkpoint(minhash.distinct_sets(prints))
+    alike = minhash.similar_links(nodes.where("n > 0").select("id", "n", "sig"), docs, similarity, bands, rows, width, save=checkpoint)
+    of = checkpoint(prints.groupBy("same", "fp").agg(F.min("id").alias("id")).join(nodes.select("same", F.col("id").alias("node")), "same").select("node", "fp").distinct())
+    leads = checkpoint(of.groupBy("fp").agg(F.min("node").alias("node")))
+    close = links(leads, RADIUS)
+    equal = of.join(leads.withColumnRenamed("node", "lead"), "fp").where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
+    twice = checkpoint(prints.groupBy("id").count().where("count > 1").select("id"))
+    both = prints.join(twice, "id").select("id", "same").distinct().join(nodes.select("same", F.col("id").alias("b")), "same").where("id <> b").select(F.col("id").alias("a"), "b")
+    found = connected_components(alike.union(close).union(equal).union(both))
+    named = nodes.select("same", "id").join(found, F.col("id") == F.col("node"), "left").select("same", "id", F.coalesce("component", "id").alias("component"))
+    return prints, checkpoint(named), twice
+
+
 def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, bands: int = 21, rows: int = 6) -> DataFrame:
     """doc_id, component_id: SimHash links over shingles of ``width`` words and, as three bits of 64 reach only the
     closest copies, the links of the shingle sets with a Jaccard similarity of ``similarity`` or more.
 
-    The second kind comes from the library's banded MinHash search (a pair at 0.8 is a candidate with probability
-    0.998), verified.  Rows are treated as in ``near_duplicates``.
+    The second kind comes from the library's banded MinHash search (a pair at 0.8 shares a band with probability
+    0.998), whose groups are then searched exactly.  One row an id; rows without one are left out.  Null text counts
+    as empty, and all texts without a word are alike.  The rows of a repeated id are one document.  An empty table
+    gives an empty result.
     """
-    from gleanery.operators.minhash import signatures, similar_pairs
+    prints, nodes, _ = _similar_nodes(docs, width, similarity, bands, rows)
+    return prints.select("id", "same").join(nodes.select("same", "component"), "same").groupBy(F.col("id").alias("doc_id")).agg(F.min("component").alias("component_id"))
 
-    fps = checkpoint(fingerprints(docs, width))
-    sig = checkpoint(signatures(docs, "doc_id", "text", width))
-    nodes = checkpoint(sig.where("id is not null").groupBy("same").agg(F.min("id").alias("id"), F.min_by("sig", "id").alias("sig")).select("same", "id", "sig"))
-    same = sig.where("id is not null").join(nodes.select("same", F.col("id").alias("b")), "same").where("id <> b").select(F.col("id").alias("a"), "b")
-    prints = fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node"))
-    close = links(checkpoint(prints.select("node", "fp")))
-    alike = similar_pairs(nodes.where("sig is not null").select("id", "sig"), docs, similarity, bands, rows, width, save=checkpoint)
-    equal = fps.join(prints, "fp").where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    found = connected_components(checkpoint(same.union(close).union(alike).union(equal)))
-    ids = fps.select("doc_id").distinct()
-    return ids.join(found, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.coalesce("component", "doc_id").alias("component_id"))
-
-
-def deduplicated(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs``, all columns, of the smallest doc_id of each group; rows without an id stay.  Of rows that
-    repeat an id one stays (the one with the smallest text)."""
-    from pyspark.sql import Window
-
-    groups = similar_groups(docs, width, similarity)
-    kept = by_keys(docs, groups.where("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti", checkpoint)
-    again = checkpoint(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again"))
-    if again.isEmpty():
+
+def deduplicated(docs: DataFrame, width: int = 5, similarity: float = 0.8, bands: int = 21, rows: int = 6) -> DataFrame:
+    """The rows of ``docs``, all columns, of the smallest doc_id of each group (see ``similar_groups``).
+
+    Rows without an id stay.  Of rows that repeat an id one stays (the one with the smallest text).  Null and empty texts
+    are one group.  Columns may have any names.  An empty table gives an empty result.
+    """
+    prints, nodes, twice = _similar_nodes(docs, width, similarity, bands, rows)
+    stay = nodes.select("component").distinct()  # of every group the smallest id
+    gone = prints.select("id").distinct().join(stay, F.col("id") == F.col("component"), "left_anti")
+    kept = by_keys(docs, gone, "doc_id", "left_anti", checkpoint)
+    if twice.isEmpty():
         return kept
-    twice = kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi")
-    one = twice.withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("_nth = 1").drop("_nth")
-    return kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti").unionByName(one)
+    nth = free_name(docs.columns, "_nth")
+    repeated = by_keys(kept.where("doc_id is not null"), twice, "doc_id", "left_semi", checkpoint)
+    one = repeated.withColumn(nth, F.row_number().over(Window.partitionBy(F.col("doc_id").cast("long")).orderBy("text"))).where(F.col(nth) == 1).drop(nth)
+    return by_keys(kept, twice, "doc_id", "left_anti", checkpoint).unionByName(one)

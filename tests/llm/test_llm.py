@@ -25,10 +25,13 @@ ODD = [
 ]
 
 
+CLASHES = "fp node fingerprint _n0 _s0 component_id row key _key _key0 _again _nth _nth0 _id h hash window length id same n sig a b comp part label ask item_id pos slots keep k importance".split()
+
+
 def frame(spark, rows=ODD, shape=DOCS):
     """Rows with extra columns whose names the operators use themselves."""
     d = spark.createDataFrame(rows, shape)
-    return d.withColumns({c: F.lit("x") for c in ("fp", "node", "fingerprint", "_n0", "component_id", "row", "key", "h", "window", "length")})
+    return d.withColumns({c: F.lit("x") for c in CLASHES})
 
 
 def table(spark, sf, name):
@@ -122,6 +125,34 @@ def test_pipeline_dedup_finds_similar(spark):
     assert set(kept[0].asDict()) >= {"doc_id", "text", "lang", "source", "n_chars", "fp"}
 
 
+def test_pipeline_dedup_of_a_dense_family(spark):
+    """Hundreds of near copies of one text, few of which are within reach of each other: as many go as comparing all pairs says."""
+    rnd = random.Random(4)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(400)]
+    texts = []
+    for k in range(300):
+        w = list(base)
+        for at in rnd.sample(range(400), 2 + k % 9):
+            w[at] = f"q{rnd.randrange(10**9)}"
+        texts.append(" ".join(w))
+    texts += [" ".join(f"o{k}x{i}" for i in range(60)) for k in range(20)]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    up = list(range(len(texts)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+            a, b = sorted((find(i), find(j)))
+            up[b] = a
+    want = {i for i in range(len(texts)) if find(i) == i}
+    got = {r.doc_id for r in simhash_dedup.deduplicated(frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)])).collect()}
+    assert set(range(300, 320)) <= got and len(want) < 150 and len(got - want) <= 0.02 * (320 - len(want))
+
+
 # 4
 
 
