@@ -28,7 +28,7 @@ from gleanery.operators.joins import BROADCAST_ROWS
 PERMS = 128
 _A = np.random.default_rng(20240229).integers(1, 1 << 63, PERMS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = np.random.default_rng(20240301).integers(0, 1 << 63, PERMS, dtype=np.uint64)
-BLOCK = 2048  # members of a group, or of a bucket, that are worked on at once
+BLOCK = 1024  # members of a group, or of a bucket, that are worked on at once
 SHINGLES = 1 << 20  # and their shingles, unless a single text has more
 LOCAL = 16  # members of a bucket in one batch that go on as they are
 HUBS = 16  # expected number of members that are in every slice of a group
