@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gleanery.llm import decontaminate, exact_fingerprint, html_main, importance, language_id, packing, prefix_tree, queries, simhash_dedup, token_rollup, warc, wordbpe
-from gleanery.llm.common import connected_components
+from gleanery.operators import graph
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -55,8 +55,9 @@ def test_components(spark, seed):
     for a, b in edges:
         a, b = find(a), find(b)
         up[max(a, b)] = min(a, b)
-    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
+    for small in (0, 20, 10**6):
+        got = {r.node: r.component for r in graph.connected_components(spark.createDataFrame(edges, "a long, b long"), small=small).collect()}
+        assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
 
 
 # 2
