@@ -1,9 +1,12 @@
 """Brute force, round trips, held-out accuracy and edge cases of the training-data operators."""
 
 import hashlib
+import html as html_lib
 import itertools
 import random
+import re
 import unicodedata
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -450,6 +453,60 @@ def test_main_text_without_marks():
     assert html_main.main_text(page) == f"My title\n{line}\nitem one\nitem two\n{line}"
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<article><p title=it's>Hello world</p><p>Don't stop</p></article>", "Hello world\nDon't stop"),
+        ('<article><h2 id="search">Search</h2><p>a b</p><h2 id="comments">Comments in code</h2><p class="alert">be careful</p></article>', "Search\na b\nComments in code\nbe careful"),
+        ('<nav><a>x</a></nav><article><h1>One</h1><p>first part</p></article><div class="ad">buy</div><p>between</p><article><p>second</p></article><footer>f</footer>', "One\nfirst part\nsecond"),
+        ('<article><p>x</p><div class="post-comments"><p>nice post</p></div><ul class=share><li>Tweet</ul><p>y</p></article>', "x\ny"),
+        ('<article class="post"><p>one two</p></article><section class="comments"><article class="comment"><p>a reader says</p></article></section>', "one two"),
+        ("<div class=ad>buy<article><p>after a tag that stays open</p></article>", "after a tag that stays open"),
+        ("<form id=all><div><p>" + "word " * 30 + "</p></div></form>", "word " * 29 + "word"),
+        ("<article><p>a<p>b<ul><li>c<li>d</ul>e<blockquote>q<footer>who</footer></blockquote></article>", "a\nb\nc\nd\ne\nq\nwho"),
+        ("<div><a href=x>Home</a> <a>About</a></div><div><h1>A title</h1><p>" + "word " * 40 + "</p><p>Short one.</p></div><div>Sign up here <input></div><div>Copyright 2020</div>", "A title\n" + "word " * 39 + "word\nShort one."),
+        ("<p " * 50_000, ""),
+        ("<div>" * 20_000 + "deep", "deep"),
+    ],
+)
+def test_main_text_cases(page, want):
+    assert html_main.main_text(page) == want
+
+
+def token_f1(got, want):
+    a, b = Counter(got.split()), Counter(want.split())
+    return 2 * (a & b).total() / max(1, a.total() + b.total())
+
+
+def test_main_text_held_out(spark, sf):
+    """Pages that weights were not fitted on: corpus pages with and without their marks, and each layout by weights from the
+    others alone."""
+    pages = table(spark, sf, "pages")
+    w = html_main.fit(pages.where("page_id % 2 = 0"))
+    scores = []
+    for r in pages.where("page_id % 2 = 1").collect():
+        article = re.search("<article>(.*)</article>", r.html, re.S)[1]
+        want = html_main.main_text(f"<article>{article}</article>")
+        assert html_main.main_text(r.html, w) == want and want.split() == html_lib.unescape(re.sub("<[^>]*>", " ", article)).split()
+        scores.append(token_f1(html_main.main_text(re.sub("(</?)article>", r"\1div>", r.html), w), want))
+    assert np.mean(scores) >= 0.97
+    scores = []
+    for k, line in enumerate(html_main.LAYOUTS):
+        inside, outside = Counter(), Counter()
+        for other in html_main.LAYOUTS[:k] + html_main.LAYOUTS[k + 1 :]:
+            x, y = html_main.label_counts(*html_main._layout(other))
+            inside += x
+            outside += y
+        page, spans = html_main._layout(line)
+        at = [any(a <= m.start() < b for a, b in spans) for m in re.finditer(r"\bw\b(?![^<]*>)", page)]
+        number = itertools.count()
+        page = re.sub(r"\bw\b(?![^<]*>)", lambda m: ("in" if at[(i := next(number))] else "out") + str(i), page)
+        got = html_main.main_text(page, html_main.weights(inside, outside))
+        scores.append(token_f1(got, " ".join(f"in{i}" for i, x in enumerate(at) if x)))
+    print(scores)
+    assert np.mean(scores) >= 0.9
+
+
 def test_best_region_brute_force():
     rnd = random.Random(4)
     for _ in range(200):
