@@ -1,14 +1,15 @@
 """Quality classifier by importance resampling.
 
 Two generative models over hashed n-grams, one of target text (documents labelled good) and one of the raw corpus (all
-documents).  A document's importance is the sum over its n-grams of log target - log raw; the resample is drawn
-without replacement by Gumbel top-k: importance plus Gumbel noise, the k largest stay, the others are rejected.
+documents).  A document's importance is the sum over its n-grams of log target - log raw.  The resample is drawn
+without replacement, with odds that follow the importance weights, by Gumbel top-k: importance plus standard Gumbel
+noise, the k largest stay, the others are rejected.  Noise is in nats, like importance; a text whose importance is far
+from the k-th key has its fate settled by its words, a short or mixed one by chance.
 
 n-grams: words as they stand, pairs of words, word shapes and pairs of shapes, hashed into ``BUCKETS``.  The target
-model and the cut between good and bad are fitted on a bounded sample (``SAMPLE`` labelled documents of either quality,
-those with the smallest hash of doc_id); the raw model counts every document.  k is the number of documents in the
-whole corpus whose mean log ratio reaches that cut, and importance is measured from it, so that the size of the sample
-follows the corpus.  ``temperature`` scales the noise.
+model is fitted on a bounded sample (``SAMPLE`` good documents, those with the smallest hash of doc_id); the raw model
+counts every document.  k is a number or a share of the documents; by default as many as there are documents that the
+target model finds more probable than the raw one does, so that the size of the resample follows the corpus.
 """
 
 from __future__ import annotations
@@ -19,15 +20,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleanery.functions.batches import values
 from gleanery.llm.bytewords import SPACE, bounds, hashes
 from gleanery.llm.common import checkpoint, id_text
+from gleanery.operators.joins import free_name
 
 BUCKETS = 1 << 16
 SAMPLE = 2000
-SMOOTHING = 0.5
-TEMPERATURE = 0.05
+SMOOTHING = 60.0  # occurrences a bucket; of 1, 5, 20 and 60 the one that kept most held-out good documents of the sf tables
 SEED = 17
 
 # byte classes of word shapes: letters to a or A, digits to 9, bytes over 127 count as letters, others stand for themselves
@@ -76,55 +78,39 @@ def _counts(texts: DataFrame) -> np.ndarray:
 
 
 def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """Of every bucket: log of its probability in the target model less that in the raw one."""
-    p = (target + SMOOTHING) / (target.sum() + SMOOTHING * BUCKETS)
-    q = (raw + SMOOTHING) / (raw.sum() + SMOOTHING * BUCKETS)
-    return np.log(p) - np.log(q)
+    """Of every bucket: log of its probability in the target model less that in the raw one.  Raw counts are scaled to the
+    target's total first, so that both models are smoothed alike and a bucket too rare to say anything has a ratio near 0."""
+    scaled = raw * (target.sum() / max(1, raw.sum()))
+    return np.log(target + SMOOTHING) - np.log(scaled + SMOOTHING)
 
 
-def _scores(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
+def _scored(docs: DataFrame, ratio: np.ndarray, n_name: str, s_name: str) -> DataFrame:
+    """All columns of ``docs``, the number of its n-grams and their importance (null text: empty)."""
     held = docs.sparkSession.sparkContext.broadcast(ratio)
+    at = docs.columns.index("text")
+    names = [*docs.columns, n_name, s_name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         r = held.value
         for b in batches:
             n, s = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
-            for i, t in enumerate(values(b.column(1))):
-                f = features(t)
-                n[i] = len(f)
-                s[i] = r[f].mean() if len(f) else 0.0
-            yield pa.record_batch([b.column(0), pa.array(n), pa.array(s)], names=["doc_id", "n_grams", "log_ratio"])
+            for i, t in enumerate(values(b.column(at))):
+                f = features(t or "")
+                n[i], s[i] = len(f), r[f].sum()
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n), pa.array(s)], names=names)
 
-    return id_text(docs).mapInArrow(run, "doc_id long, n_grams long, log_ratio double")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(n_name, T.LongType()), T.StructField(s_name, T.DoubleType())]))
 
 
-def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
-    """Where the balanced error is least; between the values at both sides, the middle of the widest such gap."""
-    if not len(good) or not len(bad):
-        return -np.inf
-    x = np.unique(np.concatenate([good, bad]))
-    mids = np.concatenate(([x[0] - 1], (x[1:] + x[:-1]) / 2, [x[-1] + 1]))
-    err = np.searchsorted(np.sort(good), mids) / len(good) + 1 - np.searchsorted(np.sort(bad), mids) / len(bad)
-    best = np.flatnonzero(err <= err.min() + 1e-12)
-    wide = np.concatenate(([0], np.diff(x), [0]))[best]
-    return float(mids[best[np.argmax(wide)]])
-
-
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> tuple[np.ndarray, float]:
-    """The buckets' log ratios and the cut.  Labels with a null id or quality are ignored; an id whose labels differ
-    counts as bad.  Without good labels every ratio is 0, without both kinds nothing is rejected."""
-    lab = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    pick = lab.where("quality > 0").orderBy(*order).limit(per_class).union(lab.where("quality <= 0").orderBy(*order).limit(per_class))
-    known = checkpoint(id_text(docs).join(F.broadcast(pick.withColumnRenamed("doc_id", "_id")), F.col("doc_id") == F.col("_id")).select("doc_id", "quality", "text"))
-    raw = _counts(id_text(docs).select("text"))
-    target = _counts(known.where("quality > 0").select("text"))
-    if not target.sum():
-        return np.zeros(BUCKETS), -np.inf
-    ratio = log_ratio(target, raw)
-    got = _scores(known, ratio).join(pick, "doc_id").where("n_grams > 0").select("quality", "log_ratio").toPandas()
-    return ratio, best_cut(got.log_ratio[got.quality > 0].to_numpy(), got.log_ratio[got.quality <= 0].to_numpy())
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> np.ndarray | None:
+    """The buckets' log ratios.  Labels with a null id or quality are ignored; an id whose labels differ counts as bad; of rows
+    that repeat an id the smallest text is learned from.  None without good labels."""
+    lab = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min("quality").alias("quality"))
+    pick = lab.where("quality > 0").select("_id").orderBy(F.xxhash64("_id"), "_id").limit(per_class)
+    known = id_text(docs).join(F.broadcast(pick), F.col("doc_id") == F.col("_id"), "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    target = _counts(known.select("text"))
+    return log_ratio(target, _counts(id_text(docs).select("text"))) if target.sum() else None
 
 
 def kth_largest(df: DataFrame, key: str, k: int, gather: int = 10_000, bins: int = 4096) -> float:
@@ -150,46 +136,40 @@ def kth_largest(df: DataFrame, key: str, k: int, gather: int = 10_000, bins: int
             k -= c
 
 
-def resample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
-    """doc_id, n_grams, log_ratio (mean over the n-grams), importance (their sum, measured from the cut), gumbel_key,
-    keep: one row per input row.
-
-    Texts are scored whole; a null or empty text has no n-gram and is rejected, whatever the noise.  Noise depends on
-    doc_id and seed only, so a run can be repeated; rows with equal keys stay or go together.  Without labels of both
-    kinds every document with an n-gram is kept.  An empty table gives an empty result.
+def _keyed(docs: DataFrame, labels: DataFrame, per_class: int, k: float | None, seed: int, names: tuple[str, str, str]) -> tuple[DataFrame, float]:
+    """``docs`` with its n-grams, importance and key under the given names, and the least key that stays.  Texts are read twice:
+    for the raw model, and to be scored."""
+    ratio = fit(docs, labels, per_class)
+    n_name, s_name, key = names
+    u = (F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")).bitwiseAND(F.lit((1 << 53) - 1)) + 0.5) / float(1 << 53)
+    d = _scored(docs, np.zeros(BUCKETS) if ratio is None else ratio, n_name, s_name)
+    d = checkpoint(d.withColumn(key, F.when(F.col(n_name) > 0, F.col(s_name) - F.log(-F.log(u)))))
+    if k is None and ratio is None:
+        return d, -np.inf
+    alive = d.where(F.col(n_name) > 0)
+    if k is None:
+        k = alive.where(F.col(s_name) > 0).count()
+    elif k < 1:
+        k = round(k * alive.count())
+    return d, kth_largest(d, key, int(k))
+
+
+def resample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, k: float | None = None, seed: int = SEED) -> DataFrame:
+    """doc_id, n_grams, log_ratio (mean over the n-grams), importance (their sum), gumbel_key, keep: one row per input row.
+
+    ``k``: how many stay, below 1 which share (of the documents with an n-gram); None: see the module.  Texts are scored
+    whole; a null or empty text has no n-gram and is rejected, whatever the noise.  Noise depends on doc_id and seed
+    only, so a run can be repeated; rows with equal keys stay or go together.  Without good labels all importances are
+    0 and, if ``k`` isn't given, every document with an n-gram is kept.  An empty table gives an empty result.
     """
-    ratio, cut = fit(docs, labels, per_class)
-    u = (F.xxhash64(F.lit(seed), "doc_id").bitwiseAND(F.lit((1 << 53) - 1)) + 0.5) / float(1 << 53)
-    d = _scores(docs, ratio)
-    d = d.withColumn("importance", F.col("n_grams") * (F.col("log_ratio") - F.lit(cut if np.isfinite(cut) else 0.0)))
-    d = d.withColumn("gumbel_key", F.when(F.col("n_grams") > 0, F.col("importance") - F.lit(temperature) * F.log(-F.log(u))))
-    d = checkpoint(d)
-    k = d.where((F.col("n_grams") > 0) & (F.col("log_ratio") >= F.lit(cut))).count()
-    return d.withColumn("keep", F.coalesce(F.col("gumbel_key") >= F.lit(kth_largest(d, "gumbel_key", k)), F.lit(False)))
-
-
-def resampled(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``resample`` keeps; no row is shuffled for it."""
-    ratio, cut = fit(docs, labels, per_class)
-    key = lambda n, s: F.when(n > 0, n * (s - F.lit(cut if np.isfinite(cut) else 0.0)) - F.lit(temperature) * F.log(-F.log((F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")).bitwiseAND(F.lit((1 << 53) - 1)) + 0.5) / float(1 << 53))))
-    d = checkpoint(_scores(docs, ratio).withColumn("key", key(F.col("n_grams"), F.col("log_ratio"))))
-    k = d.where((F.col("n_grams") > 0) & (F.col("log_ratio") >= F.lit(cut))).count()
-    least = kth_largest(d, "key", k)
-    held = docs.sparkSession.sparkContext.broadcast(ratio)
-    names = docs.columns
-    at = names.index("text")
-    n_name, s_name = (next(c for c in iter(lambda i=iter(range(10**6)): f"_{p}{next(i)}", None) if c not in names) for p in ("n", "s"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        np.seterr(over="ignore")
-        for b in batches:
-            n, s = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
-            for i, t in enumerate(values(b.column(at))):
-                f = features(t or "")
-                n[i], s[i] = len(f), held.value[f].mean() if len(f) else 0.0
-            yield pa.record_batch([*b.columns, pa.array(n), pa.array(s)], names=[*names, n_name, s_name])
+    d, least = _keyed(id_text(docs), labels, per_class, k, seed, ("n_grams", "importance", "gumbel_key"))
+    mean = F.when(F.col("n_grams") > 0, F.col("importance") / F.col("n_grams")).otherwise(0.0)
+    return d.select("doc_id", "n_grams", mean.alias("log_ratio"), "importance", "gumbel_key", F.coalesce(F.col("gumbel_key") >= F.lit(least), F.lit(False)).alias("keep"))
 
-    from pyspark.sql import types as T
 
-    shape = T.StructType([*docs.schema.fields, T.StructField(n_name, T.LongType()), T.StructField(s_name, T.DoubleType())])
-    return docs.mapInArrow(run, shape).where(key(F.col(n_name), F.col(s_name)) >= F.lit(least)).drop(n_name, s_name)
+def resampled(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, k: float | None = None, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``resample`` keeps, whatever the columns' names; no row is shuffled for it.
+    Repeated rows stay or go together; an empty table gives an empty result."""
+    names = tuple(free_name(docs.columns, x) for x in ("_n", "_s", "_key"))
+    d, least = _keyed(docs, labels, per_class, k, seed, names)
+    return d.where(F.col(names[2]) >= F.lit(least)).drop(*names)

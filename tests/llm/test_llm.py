@@ -359,17 +359,34 @@ def test_importance_brute_force(spark):
     texts = [" ".join(rnd.choice(["good", "fine", "nice", "bad!!", "$$", "##"][3 * (i % 3 == 0) :][:3]) + str(rnd.randint(0, 3)) for _ in range(rnd.randint(1, 40))) for i in range(90)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(0, 90, 2)], "doc_id long, quality int")
-    got = {r.doc_id: r for r in importance.resample(docs, labels, temperature=2.0).collect()}
     count = lambda ids: np.bincount(np.concatenate([importance.features(texts[i]) for i in ids]), minlength=importance.BUCKETS)
-    target, raw = count([i for i in range(0, 90, 2) if i % 3]) + importance.SMOOTHING, count(range(90)) + importance.SMOOTHING
-    ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
-    mean = {i: ratio[importance.features(t)].mean() for i, t in enumerate(texts)}
-    assert all(abs(got[i].log_ratio - mean[i]) < 1e-9 and got[i].n_grams == len(importance.features(texts[i])) for i in mean)
-    cut = importance.best_cut(np.array([mean[i] for i in range(0, 90, 2) if i % 3]), np.array([mean[i] for i in range(0, 90, 6)]))
-    k = sum(m >= cut for m in mean.values())
-    noise = {i: got[i].gumbel_key - got[i].n_grams * (mean[i] - cut) for i in mean}  # 2 x Gumbel
-    assert abs(np.mean(list(noise.values())) / 2 - 0.5772) < 0.5 and len(set(noise.values())) == 90
-    assert {i for i in mean if got[i].keep} == set(sorted(mean, key=lambda i: -got[i].gumbel_key)[:k])
+    target, raw = count([i for i in range(0, 90, 2) if i % 3]), count(range(90))
+    p, q = target + importance.SMOOTHING, raw * (target.sum() / raw.sum()) + importance.SMOOTHING
+    ratio = np.log(p / p.sum()) - np.log(q / q.sum())
+    weight = {i: ratio[importance.features(t)].sum() for i, t in enumerate(texts)}
+    for asked, k in ((None, sum(w > 0 for w in weight.values())), (0.5, 45), (7, 7)):
+        got = {r.doc_id: r for r in importance.resample(docs, labels, k=asked).collect()}
+        assert all(abs(got[i].importance - weight[i]) < 1e-9 and got[i].n_grams == len(importance.features(texts[i])) for i in weight)
+        noise = {i: got[i].gumbel_key - weight[i] for i in weight}  # standard Gumbel
+        assert abs(np.mean(list(noise.values())) - 0.5772) < 0.5 and 0.8 < np.std(list(noise.values())) < 1.8 and len(set(noise.values())) == 90
+        assert {i for i in weight if got[i].keep} == set(sorted(weight, key=lambda i: -got[i].gumbel_key)[:k])
+
+
+def test_importance_is_a_sample(spark):
+    """At the default settings: seeds give different sets, and of texts of one kind the inclusion follows the weight."""
+    rnd = random.Random(2)
+    texts = [" ".join(rnd.choice("abcdefgh") for _ in range(10)) for _ in range(400)]  # short: chance decides
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(t.count("a") + t.count("b") > 2)) for i, t in enumerate(texts) if i % 2 == 0], "doc_id long, quality int")
+    runs = [importance.resample(docs, labels, seed=s).orderBy("doc_id").toPandas() for s in range(6)]
+    sets = [frozenset(r.doc_id[r.keep]) for r in runs]
+    assert len(set(sets)) == 6 and len({len(s) for s in sets}) == 1
+    share = np.mean([r.keep for r in runs], axis=0)
+    thirds = np.array_split(share[np.argsort(runs[0].importance.to_numpy())], 3)
+    assert 0 < thirds[0].mean() < thirds[1].mean() < thirds[2].mean() < 1 and thirds[0].mean() + 0.2 < thirds[2].mean()
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    one, two = ({r.doc_id for r in importance.resampled(docs, labels, seed=s).select("doc_id").collect()} for s in (1, 2))
+    assert 0 < len(one ^ two) < 0.05 * len(one)
 
 
 def test_kth_largest(spark):
