@@ -6,10 +6,10 @@ the set bits are counted per language, each count is corrected for that language
 slots that have its bit, to the power of the number of hashes), and the largest share of explained n-grams decides.
 
 The filter is fitted on a bounded sample: of each language the ``SAMPLE`` training documents with the smallest hash of
-doc_id.  An n-gram enters a language's filter if at least ``MIN_COUNT`` of those documents have it, and the share that
-has it is at least ``MIN_SHARE`` of the share in the language where it is most common: passages in another language
-that some documents quote would otherwise make that language look like theirs.  The filter's size (2^20 slots of 64
-bits) is fixed, so what is broadcast does not grow with the data.
+doc_id.  An n-gram enters a language's filter if at least ``MIN_COUNT`` of those documents have it (a tenth of them, if a
+language has fewer than 30), and the share that has it is at least ``MIN_SHARE`` of the share in the language where it
+is most common: passages in another language that some documents quote would otherwise make that language look like
+theirs.  The filter has 2^20 slots with one 64-bit word for every 64 languages (8 MB each), whatever the data's size.
 """
 
 from __future__ import annotations
@@ -31,7 +31,6 @@ GRAM = 4
 SAMPLE = 1500
 MIN_COUNT = 3
 MIN_SHARE = 0.1
-MAX_LANGUAGES = 64
 SPACE = 0x20
 
 _tables: dict[str, np.ndarray] = {}
@@ -83,11 +82,11 @@ def held_out() -> Column:
 
 
 class Filter:
-    """languages, and the slots' masks."""
+    """languages, and the slots' masks: an array of 2^20 words for every 64 languages."""
 
     def __init__(self, languages: list[str], masks: np.ndarray):
         self.languages, self.masks = languages, masks
-        fill = [(masks >> np.uint64(i) & np.uint64(1)).mean() for i in range(len(languages))]
+        fill = [(masks[i // 64] >> np.uint64(i % 64) & np.uint64(1)).mean() for i in range(len(languages))]
         self.false_rate = np.array([f**HASHES for f in fill])
 
     def score(self, text: str | None) -> tuple[str, float]:
@@ -95,32 +94,34 @@ class Filter:
         if not len(h) or not self.languages:
             return "und", 0.0
         first, *more = slots_of(h)
-        mask = self.masks[first]
-        for s in more:
-            mask &= self.masks[s]
-        count = np.array([np.count_nonzero(mask & np.uint64(1 << i)) for i in range(len(self.languages))])
+        count = np.zeros(len(self.languages), np.int64)
+        for w, masks in enumerate(self.masks):
+            mask = masks[first]
+            for s in more:
+                mask &= masks[s]
+            for i in range(64 * w, min(64 * w + 64, len(count))):
+                count[i] = np.count_nonzero(mask & np.uint64(1 << i % 64))
         share = (count / len(h) - self.false_rate) / np.maximum(1 - self.false_rate, 1e-9)
         best = int(np.argmax(share))  # a tie: the first language in order of name
         return self.languages[best], float(min(1.0, max(0.0, share[best])))
 
 
 def fit(docs: DataFrame, per_language: int = SAMPLE, min_count: int = MIN_COUNT) -> Filter:
-    """Learn from text and lang of the rows of ``docs`` with neither null."""
-    spark = docs.sparkSession
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where("lang is not null and text is not null")
-    counts = [tuple(r) for r in d.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()]
-    langs = sorted(lang for lang, _ in counts)
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages do not fit in a slot")
+    """Learn from text and lang of the rows of ``docs`` with neither null, and with an id; of rows that repeat id and language
+    the smallest text is learned from.  What is held is one row a language and the filter."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where("doc_id is not null and lang is not null and text is not null")
+    counts = sorted(tuple(r) for r in d.groupBy("lang").count().collect())
+    langs = [lang for lang, _ in counts]
+    words = -(-len(langs) // 64)
     if not langs:
-        return Filter([], np.zeros(SLOTS, np.uint64))
+        return Filter([], np.zeros((0, SLOTS), np.uint64))
     # ids first (the text is not sorted), then the texts of at most per_language x languages rows.  Hashes over twice the
     # share a language's sample needs can't be among its smallest, so a language that holds most rows is not ranked whole
     cut = F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, int((1 << 62) * min(1.0, 2 * max(per_language, 500) / n)))])
-    pick = d.select("lang", F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 62) - 1)).alias("h"), "doc_id").where(F.col("h") <= cut[F.col("lang")])
-    pick = pick.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("k") <= per_language)
-    pick = pick.select("doc_id").distinct()
-    d = d.join(F.broadcast(pick), "doc_id", "left_semi")
+    pick = d.select(F.col("lang").alias("_lang"), F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 62) - 1)).alias("h"), F.col("doc_id").alias("_id")).where(F.col("h") <= cut[F.col("_lang")])
+    pick = pick.distinct().withColumn("k", F.row_number().over(Window.partitionBy("_lang").orderBy("h", "_id"))).where(F.col("k") <= per_language)
+    d = d.join(F.broadcast(pick.select("_lang", "_id")), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
+    d = d.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
     number = {x: i for i, x in enumerate(langs)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,14 +133,16 @@ def fit(docs: DataFrame, per_language: int = SAMPLE, min_count: int = MIN_COUNT)
                 g, n = np.unique(np.concatenate(hs), return_counts=True)
                 yield pa.record_batch([pa.array(np.full(len(g), lang, np.int32)), pa.array(g.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
 
-    grams = d.select("text", "lang").mapInArrow(count, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
     docs_of = F.create_map(*[F.lit(x) for lang, n in counts for x in (number[lang], float(min(n, per_language)))])
+    least = F.least(F.lit(float(min_count)), F.ceil(docs_of[F.col("lang")] / 10).cast("double"))
+    grams = d.select("text", "lang").mapInArrow(count, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     grams = grams.withColumn("share", F.col("n") / docs_of[F.col("lang")])
     grams = grams.withColumn("most", F.max("share").over(Window.partitionBy("gram"))).where(F.col("share") >= MIN_SHARE * F.col("most"))  # a row a language
     slot = F.explode(F.array(*[F.shiftrightunsigned("gram", 21 * i).bitwiseAND(F.lit(SLOTS - 1)) for i in range(HASHES)]))
-    rows = grams.select(slot.alias("slot"), F.expr("shiftleft(1L, lang)").alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("mask")).toPandas()
-    masks = np.zeros(SLOTS, np.uint64)
-    masks[rows["slot"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64).view(np.uint64)
+    rows = grams.select(F.expr("lang div 64").cast("int").alias("word"), slot.alias("slot"), F.expr("shiftleft(1L, lang % 64)").alias("bit"))
+    rows = rows.groupBy("word", "slot").agg(F.bit_or("bit").alias("mask")).toPandas()
+    masks = np.zeros((words, SLOTS), np.uint64)
+    masks[rows["word"].to_numpy(np.int64), rows["slot"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64).view(np.uint64)
     return Filter(langs, masks)
 
 
@@ -147,7 +150,8 @@ def identify(docs: DataFrame, model: Filter) -> DataFrame:
     """doc_id, lang_pred, score for every row, from its whole text alone.
 
     ``und`` with score 0 for a text that is null or has no letter, and for any text if no language was learned.  The
-    score is the corrected share of the text's n-grams that the predicted language explains.
+    score is the corrected share of the text's n-grams that the predicted language explains.  Repeated rows are
+    returned as often, a null doc_id stays null, and an empty table gives an empty result.
     """
     held = docs.sparkSession.sparkContext.broadcast((model.languages, model.masks))
 
@@ -161,8 +165,12 @@ def identify(docs: DataFrame, model: Filter) -> DataFrame:
 
 
 def language_id(docs: DataFrame, per_language: int = SAMPLE) -> DataFrame:
-    """doc_id, held_out, lang_pred, score: fitted on the documents that are not held out (see ``fit``)."""
-    model = fit(docs.where(~F.coalesce(held_out(), F.lit(False))), per_language)
+    """doc_id, held_out, lang_pred, score: fitted on the documents that are not held out (see ``fit``).
+
+    One row per input row.  A row without an id is learned from by no one and counts as not held out.  Null and
+    letterless texts are ``und``; without any learned language all are.  An empty table gives an empty result.
+    """
+    model = fit(docs.where(~held_out()), per_language)
     return identify(docs, model).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
@@ -171,8 +179,9 @@ LEAST = 0.3
 
 def in_known_language(docs: DataFrame, least: float = LEAST, per_language: int = SAMPLE) -> DataFrame:
     """The rows of ``docs``, all columns, whose text is in a learned language: predicted with a score of ``least`` or
-    more.  Texts without letters go.  No row is shuffled for it."""
-    model = fit(docs.where(~F.coalesce(held_out(), F.lit(False))), per_language)
+    more.  Null texts and texts without letters go; repeated rows stay or go together; without a learned language all
+    rows go; an empty table gives an empty result.  No row is shuffled for it."""
+    model = fit(docs.where(~held_out()), per_language)
     held = docs.sparkSession.sparkContext.broadcast((model.languages, model.masks))
     at = docs.columns.index("text")
 
