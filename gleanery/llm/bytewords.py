@@ -16,8 +16,11 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+CHUNK = 1 << 20  # bytes of a text that are hashed at once
+
+
 def powers(n: int) -> list[np.ndarray]:
-    """The first n powers of the base and of its inverse; 16 bytes for each byte of the longest text so far."""
+    """The first n powers of the base and of its inverse."""
     if len(_powers[0]) < n:
         m = max(n, 1 << 16)
         with np.errstate(over="ignore"):
@@ -37,7 +40,21 @@ def bounds(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Of every span of a byte array."""
+    """Of every span of a byte array; spans in ascending order.  A hash doesn't depend on the place, so a long text is taken in
+    runs of spans of about ``CHUNK`` bytes, and what is kept between calls is bounded by that or the longest span."""
+    if len(b) <= CHUNK:
+        return _hashes(b, starts, ends)
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        lo = int(starts[at])
+        to = max(at + 1, int(np.searchsorted(ends, lo + CHUNK, "right")))
+        out[at:to] = _hashes(b[lo : int(ends[to - 1])], starts[at:to] - lo, ends[at:to] - lo)
+        at = to
+    return out
+
+
+def _hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     p, q = powers(len(b) + 1)
     total = np.zeros(len(b) + 1, np.uint64)
     np.cumsum(_VALUE[b] * p[: len(b)], out=total[1:])

@@ -11,9 +11,10 @@ Matches of a document with an item on one diagonal (document position minus item
 counts if its windows cover ``NEED`` words (or all but one of a shorter item) and its slots are consistent: every
 value of the item stands for one value in the document and the other way round.
 
-Scale: documents are read once and only their windows that hit the benchmark leave Python.  The hit test is a
-broadcast array of window hashes, used only up to ``MAX_FILTER`` of them (16 MB); beyond, all windows go to the
-join.  An occurrence's aggregate is bounded by the item's length; no list of a document's or an item's matches is built.
+Scale: documents are read once and only their windows that seem to hit the benchmark leave Python.  The hit test is a
+Bloom filter of a fixed size (``FILTER_BITS``, 8 MB) whatever the benchmark's; a larger benchmark only lets more windows
+through to the join, which is exact.  An occurrence's aggregate is bounded by the item's length; no list of a document's
+or an item's matches is built.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ from gleanery.operators.joins import by_keys
 
 WINDOW = 8
 NEED = 13
-MAX_FILTER = 2_000_000
+FILTER_BITS = 26  # as a power of two
+FILTER_HASHES = 2
 SLAB = 100_000  # characters that are worked on at once
 UNITS = frozenset(
     "mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg t ton tons tonne tonnes lb lbs oz pound pounds ounce ounces ml cl dl l liter liters litre litres gal gallon gallons"
@@ -167,16 +169,31 @@ def _slots(value: np.ndarray, kind: np.ndarray, at: int, size: int) -> list[int]
     return [x for w in where.tolist() for x in ((w - at) * 64 + int(kind[w]), int(value[w].astype(np.int64)))]
 
 
+def bloom(hashes: DataFrame) -> np.ndarray:
+    """Words of the Bloom filter of a column of hashes: set bits meet per word before they are gathered, at most 2^20 words."""
+    bit = lambda i: F.shiftrightunsigned(hashes.columns[0], i * (64 - FILTER_BITS)).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    bits = hashes.select(F.explode(F.array(*[bit(i) for i in range(FILTER_HASHES)])).alias("bit"))
+    rows = bits.groupBy(F.shiftrightunsigned("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask")).toPandas()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    out[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def in_bloom(words: np.ndarray, h: np.ndarray) -> np.ndarray:
+    ok = np.ones(len(h), bool)
+    for i in range(FILTER_HASHES):
+        bit = h >> np.uint64(i * (64 - FILTER_BITS)) & np.uint64((1 << FILTER_BITS) - 1)
+        ok &= (words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return ok
+
+
 def _windows(sizes: list[int] | None, known, slot_heavy: bool):
-    """sizes: the windows to take of every text; None: one size a text, that of an item.  known: broadcast sorted hashes or None."""
+    """sizes: the windows to take of every text; None: one size a text, that of an item.  known: broadcast Bloom filter or None."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
-        hashes = known.value if known is not None else None
-        bits = None
-        if hashes is not None:
-            bits = np.zeros(1 << 23, bool)
-            bits[(hashes & np.uint64((1 << 23) - 1)).astype(np.int64)] = True
+        held = known.value if known is not None else None
+
         def rows_of(docs: list, texts: list[str]) -> Iterator[tuple]:
             literal, value, kind, of = template(texts)
             begin = np.searchsorted(of, np.arange(len(texts) + 1))
@@ -184,12 +201,9 @@ def _windows(sizes: list[int] | None, known, slot_heavy: bool):
                 h, ok = windows(literal, value, kind, of, size, slot_heavy)
                 if sizes is None:  # of an item: windows of WINDOW words, or the whole
                     ok &= np.minimum(np.diff(begin), WINDOW)[of[: len(ok)]] == size
-                if bits is not None:
-                    ok &= bits[(h & np.uint64((1 << 23) - 1)).astype(np.int64)]
+                if held is not None:
+                    ok &= in_bloom(held, h)
                 at = np.flatnonzero(ok)
-                if hashes is not None and len(at):
-                    place = np.searchsorted(hashes, h[at])
-                    at = at[hashes[np.minimum(place, len(hashes) - 1)] == h[at]]
                 for i in at.tolist():
                     d = int(of[i])
                     yield docs[d], xxhash.xxh64_intdigest(texts[d]) - (1 << 63), int(h[i].astype(np.int64)), i - int(begin[d]), size, int(begin[d + 1] - begin[d]), _slots(value, kind, i, size)
@@ -227,10 +241,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, need: int = NEED, slot_he
     sizes = [r[0] for r in items.select("size").distinct().limit(WINDOW).collect()]
     if not sizes:
         sizes = [WINDOW]
-    known = None
-    distinct = items.select("hash").distinct().limit(MAX_FILTER + 1)
-    if distinct.count() <= MAX_FILTER:
-        known = spark.sparkContext.broadcast(np.sort(distinct.toPandas()["hash"].to_numpy(np.int64).view(np.uint64)))
+    known = spark.sparkContext.broadcast(bloom(items.select("hash")))
     hits = id_text(docs).mapInArrow(_windows(sorted(sizes), known, slot_heavy), SHAPE).select("doc_id", "row", "hash", "pos", "slots")
     pairs = hits.join(items, "hash").withColumn("diagonal", F.col("pos") - F.col("item_pos"))
     # which words of the item are covered, and which slot values meet: both bounded by the item
@@ -263,5 +274,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, need: int = NEED, slot_h
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, need: int = NEED, slot_heavy: bool = True) -> DataFrame:
-    """The rows of ``docs``, all their columns, whose text repeats no benchmark item."""
+    """The rows of ``docs``, all their columns (of any names), whose text repeats no benchmark item.
+
+    Rows that share a doc_id with one that repeats an item go with it, those without an id likewise; null and empty
+    texts stay.  An empty benchmark keeps all rows, an empty table gives an empty result.
+    """
     return by_keys(docs, occurrences(docs, benchmark, need, slot_heavy).select("doc_id"), "doc_id", "left_anti", checkpoint)
