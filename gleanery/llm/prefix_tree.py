@@ -11,7 +11,7 @@ besides themselves.
 
 Scale: a conversation's path is the list of digests of its prefixes.  Equal conversations collapse first, with map-side
 combine.  Sorting by path puts conversations with a common beginning next to each other, so each sorted range builds
-its trees in one pass, with the open path as its only state; ranges are cut by sampled paths, so a first turn that a third
+its trees in one pass, with the open path as its only state (two turns are one if role and text are equal, whatever their digests); ranges are cut by sampled paths, so a first turn that a third
 of all conversations share is spread over as many tasks as it takes (each range's tree repeats the shared turns once).
 """
 
@@ -121,13 +121,15 @@ def _grow(tokenizer: str):
         turn = tokens(tokenizer).turn
         base = TaskContext.get().partitionId() << 32
         tree, stream, count = -1, 0, 0
-        open_: list[tuple[bytes, int, int, int, list[tuple[int, int]]]] = []  # key, node, stream end, position end, intervals up to and with it
+        # key, node, stream end, position end, intervals up to and with it, role, text
+        open_: list[tuple[bytes, int, int, int, list[tuple[int, int]], str, str]] = []
         for b in batches:
             rows = []
             for path, leaf, roles, texts in zip(*(values(b.column(i)) for i in range(4))):
                 n = len(roles)
                 shared = 0
-                while shared < min(n, len(open_)) and open_[shared][0] == path[8 * shared : 8 * shared + 8]:
+                # keys only bring turns together; whether two are the same turn their role and text say
+                while shared < min(n, len(open_)) and open_[shared][0] == path[8 * shared : 8 * shared + 8] and open_[shared][5:] == (roles[shared], texts[shared]):
                     shared += 1
                 del open_[shared:]
                 if not shared:
@@ -141,9 +143,9 @@ def _grow(tokenizer: str):
                     rows.append((base + tree, count, above[1] if above else None, i, ids, stream, position, [{"start": x, "end": y} for x, y in before], lo if loss else None, hi if loss else None, leaf if i == n - 1 else None))
                     end = stream + len(ids)
                     mine = [*before[:-1], (before[-1][0], end)] if before and before[-1][1] == stream else [*before, (stream, end)]
-                    open_.append((path[8 * i : 8 * i + 8], count, end, position + len(ids), mine))
+                    open_.append((path[8 * i : 8 * i + 8], count, end, position + len(ids), mine, roles[i], texts[i]))
                     stream, count = end, count + 1
-                if shared == n:  # can't be: equal paths are one, and a prefix sorts before what it begins
+                if shared == n and n:  # can't be: equal paths are one, and a prefix sorts before what it begins
                     raise ValueError("paths are not sorted or not distinct")
                 if len(rows) > 2000:
                     yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
