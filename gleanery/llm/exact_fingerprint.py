@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import checkpoint, id_text
+from gleanery.operators.joins import BROADCAST_ROWS
 
 SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 
@@ -38,24 +39,43 @@ def fingerprint_texts(docs: DataFrame) -> DataFrame:
     return id_text(docs).withColumn("canon", canonical(F.col("text"))).select("doc_id", "text", wide_hash(F.col("canon")).alias("fingerprint"))
 
 
-def copy_groups(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint, copy_of: the smallest doc_id with the same canonical bytes.
+def copy_classes(docs: DataFrame) -> DataFrame:
+    """c_fingerprint, c_canon, copy_of: a row for each class of two or more rows with the same canonical bytes, whose smallest
+    doc_id is ``copy_of``.  c_canon is null unless its fingerprint has several classes.
 
     Buckets of one row need no look.  In the others the canonical texts are compared byte for byte: equal texts
     collapse before the shuffle (grouping with map-side combine, so a text that a third of all rows repeat is sent
-    once a task), and a bucket that holds different texts gives each its own class.  A null doc_id is copy of the
-    smallest id like any other row; null if there is none.
+    once a task), and a bucket that holds different texts gives each its own class.
     """
     sig = checkpoint(fingerprint_texts(docs).select("doc_id", "fingerprint"))
-    multi = sig.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lead")).where("n > 1")
+    multi = sig.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("fingerprint").alias("m"))
     canon = id_text(docs).select("doc_id", canonical(F.col("text")).alias("canon")).withColumn("fingerprint", wide_hash(F.col("canon")))
-    classes = canon.join(multi.select("fingerprint"), "fingerprint", "left_semi").groupBy("fingerprint", "canon").agg(F.min("doc_id").alias("copy_of"))
-    clash = checkpoint(classes.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("fingerprint"))).where("k > 1").select("fingerprint", "canon", "copy_of"))
-    plain = sig.join(multi.select("fingerprint", "lead"), "fingerprint", "left").select("doc_id", "fingerprint", F.coalesce("lead", "doc_id").alias("copy_of"))
-    if clash.isEmpty():
-        return plain
-    odd = canon.join(clash, ["fingerprint", "canon"]).select("doc_id", "fingerprint", "copy_of")
-    return plain.join(clash.select("fingerprint").distinct(), "fingerprint", "left_anti").select("doc_id", "fingerprint", "copy_of").union(odd)
+    classes = canon.join(multi, F.col("fingerprint") == F.col("m"), "left_semi").groupBy("fingerprint", "canon").agg(F.min("doc_id").alias("copy_of"))
+    # the bucket's classes are few: equal texts are one by now
+    classes = classes.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("fingerprint")))
+    return checkpoint(classes.select(F.col("fingerprint").alias("c_fingerprint"), F.when(F.col("k") > 1, F.col("canon")).alias("c_canon"), "copy_of"))
+
+
+def with_copies(rows: DataFrame, classes: DataFrame, text: Column) -> DataFrame:
+    """``rows`` (doc_id, fingerprint, ...) with copy_of; ``text`` is the text that was fingerprinted."""
+    match = F.col("fingerprint") == F.col("c_fingerprint")
+    if classes.where("c_canon is not null").isEmpty():
+        classes = classes.drop("c_canon")
+        if classes.count() <= BROADCAST_ROWS:
+            classes = F.broadcast(classes)
+    else:
+        rows = rows.withColumn("_canon", canonical(text))
+        match &= F.col("c_canon").isNull() | (F.col("c_canon") == F.col("_canon"))
+    return rows.join(classes, match, "left").withColumn("copy_of", F.coalesce("copy_of", "doc_id")).drop("c_fingerprint", "c_canon", "_canon")
+
+
+def copy_groups(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint, copy_of (the smallest doc_id with the same canonical bytes): one row per input row.
+
+    Null text counts as empty.  A row with a null doc_id is a copy of the smallest id like any other; null if there is
+    none.  Repeated rows are returned as often; an empty table gives an empty result.
+    """
+    return with_copies(fingerprint_texts(docs), copy_classes(docs), F.col("text")).select("doc_id", "fingerprint", "copy_of")
 
 
 def _range_of(key: Column, marks: list[int]) -> Column:
@@ -102,14 +122,18 @@ def with_next(docs: DataFrame, buckets: int | None = None) -> DataFrame:
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
-    """The contract's row for every document; equal hashes count as alike only if the canonical bytes are equal."""
+    """The contract's row for every document, and copy_of (see ``copy_groups``); equal hashes count as alike only if the
+    canonical bytes are equal.
+
+    Null text counts as empty, and so is the edited text of an empty one.  Rows that repeat an id, or have none, are edited
+    by the row that follows them (see ``with_next``), repeated rows are returned as often, and an empty table gives an
+    empty result.
+    """
     d = with_next(docs)
     n = F.length("text").cast("long")
     d = d.withColumn("n_chars", n).withColumn("edited", F.concat(F.expr("left(text, cast(n_chars as int) - cast(floor(n_chars / 2) as int))"), F.expr("left(next_text, cast(floor(n_chars / 2) as int))")))
     d = d.withColumn("edited_canon", canonical(F.col("edited"))).withColumn("edited_fingerprint", wide_hash(F.col("edited_canon")))
     same = lambda print_, other: F.when(F.col("fingerprint") == print_, F.when(canonical(F.col("text")) == other, 1.0).otherwise(0.0)).otherwise(0.0)
-    return d.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        same(F.col("edited_fingerprint"), F.col("edited_canon")).alias("near_edited"),
-        same(F.col("next_fingerprint"), canonical(F.col("next_text"))).alias("near_next"),
-    )
+    d = d.withColumns({"near_edited": same(F.col("edited_fingerprint"), F.col("edited_canon")), "near_next": same(F.col("next_fingerprint"), canonical(F.col("next_text")))})
+    d = with_copies(d, copy_classes(docs), F.col("text"))
+    return d.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next", "copy_of")
