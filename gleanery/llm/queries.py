@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm import decontaminate, exact_fingerprint, html_main, importance, language_id, packing, prefix_tree, simhash_dedup, token_rollup, warc
-from gleanery.llm.common import shared_path, table
+from gleanery.llm.common import checkpoint, shared_path, table
 
 BPE_WORDS, BPE_BYTES = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
 CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -25,11 +25,20 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as one batch of inserts, committed twice: the second time changes nothing."""
+    """Totals of all documents after a history of batches over the whole table, each committed twice: inserted with words
+    for tokens, all revised to the tokenizer's counts (another version, so other keys), all inserted once more and,
+    after a compaction, those deleted again."""
     rollup = token_rollup.Rollup(spark, shared_path(spark, f"rollup-{uuid.uuid4().hex}"))
-    counts = token_rollup.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_WORDS), "word_bpe_49k")
-    for _ in range(2):
-        rollup.commit("documents", token_rollup.inserts(counts))
+    docs = table(spark, sf_dir, "documents")
+    words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda w: w != "")).cast("long")
+    draft = docs.select("doc_id", "source", "lang", F.lit("words").alias("tokenizer_version"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), words.alias("n_tokens"))
+    counts = checkpoint(token_rollup.count_tokens(docs, public_tokenizers.path(BPE_WORDS), "word_bpe_49k"))
+    history = [("draft", token_rollup.inserts(draft)), ("revised", token_rollup.revisions(draft, counts)), ("again", token_rollup.inserts(counts)), ("taken back", token_rollup.deletes(counts))]
+    for batch, changes in history:
+        if batch == "taken back":
+            rollup.compact()
+        for _ in range(2):
+            rollup.commit(batch, changes)
     return rollup.totals()
 
 

@@ -1,5 +1,6 @@
 """Brute force, round trips, held-out accuracy and edge cases of the training-data operators."""
 
+import gzip
 import hashlib
 import html as html_lib
 import itertools
@@ -10,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -17,7 +19,7 @@ import zlib
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gleanery.llm import decontaminate, exact_fingerprint, html_main, importance, language_id, packing, prefix_tree, queries, simhash_dedup, token_rollup, warc, wordbpe
+from gleanery.llm import bytewords, decontaminate, exact_fingerprint, html_main, importance, language_id, packing, prefix_tree, queries, simhash_dedup, token_rollup, warc, wordbpe
 from gleanery.operators import graph
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -173,6 +175,7 @@ def test_fingerprint_edits(spark):
         t, nx = t or "", order[(k + 1) % len(order)][1] or ""
         edited = t[: len(t) - len(t) // 2] + nx[: len(t) // 2]
         r = got[i]
+        assert r.copy_of == min(j for j, x in rows if canonical(x or "") == canonical(t))
         assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
         assert r.near_edited == float(canonical(t) == canonical(edited)) and r.near_next == float(canonical(t) == canonical(nx))
     same = lambda a, b: got[a].fingerprint == got[b].fingerprint
@@ -332,13 +335,25 @@ def test_decontamination_brute_force(spark):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want and 60 < len(want)
 
 
-def test_decontamination_finds_every_passage(spark, sf, monkeypatch):
+def test_decontamination_filter(spark):
+    """The Bloom filter loses no hash, however full it is, and lets few others through."""
+    h = np.random.default_rng(4).integers(0, 1 << 64, 30_000, dtype=np.uint64)
+    held = decontaminate.bloom(spark.createDataFrame([(int(x),) for x in h[:10_000].view(np.int64)], "hash long"))
+    assert held.nbytes == 8 << 20 and decontaminate.in_bloom(held, h[:10_000]).all() and decontaminate.in_bloom(held, h[10_000:]).sum() < 5
+
+
+def test_hashes_of_long_texts_are_those_of_short_ones(monkeypatch):
+    b = np.frombuffer((b"some words of " * 300 + b"x" * 900 + b" end ") * 3, np.uint8)
+    want = bytewords.hashes(b, *bytewords.bounds(b))
+    monkeypatch.setattr(bytewords, "CHUNK", 100)
+    assert (bytewords.hashes(b, *bytewords.bounds(b)) == want).all() and len(want) == 3 * 902
+
+
+def test_decontamination_finds_every_passage(spark, sf):
     docs, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
     want = {(d.doc_id, i.item_id) for d in docs.collect() for i in items.collect() if i.text in d.text}
-    for limit in (2_000_000, 0):  # with the broadcast test and without it
-        monkeypatch.setattr(decontaminate, "MAX_FILTER", limit)
-        got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}
-        assert want <= got and len(got - want) <= 2
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}
+    assert want <= got and len(got - want) <= 2
 
 
 # 6
@@ -429,15 +444,54 @@ def test_language_ignores_quotes(spark):
 
 def test_language_popcounts_brute_force():
     texts = {"aa": ["the cat sat on the mat"] * 5, "bb": ["le chat est sur le tapis"] * 5}
-    masks = np.zeros(language_id.SLOTS, np.uint64)
+    masks = np.zeros((1, language_id.SLOTS), np.uint64)
     for i, k in enumerate(sorted(texts)):
         for t in texts[k]:
             for s in language_id.slots_of(language_id.gram_hashes(t)):
-                masks[s] |= np.uint64(1 << i)
+                masks[0][s] |= np.uint64(1 << i)
     f = language_id.Filter(sorted(texts), masks)
     assert f.score("the mat") == ("aa", 1.0) and f.score("le tapis")[0] == "bb" and f.score("12 %%")[0] == "und" and f.score(None) == ("und", 0.0)
 
 
+def test_language_brute_force(spark, sf):
+    """The whole prediction against sets of n-grams as strings: no filter, so nothing to correct."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang").toPandas()
+
+    def grams(text):
+        t = "".join(c.lower() if c.isalpha() and len(c.lower()) == 1 else c if c.isalpha() else " " for c in text or "")
+        t = re.sub(" +", " ", t)
+        t = f" {t.lstrip(' ')}  "
+        return [t[i : i + 4] for i in range(len(t) - 3)] if t.strip() else []
+
+    train = docs[docs.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 5 != 0) & docs.lang.notna()]
+    have = {lang: Counter(g for t in d.text for g in set(grams(t))) for lang, d in train.groupby("lang")}
+    size = train.lang.value_counts()
+    share = {lang: {g: n / size[lang] for g, n in c.items() if n >= min(language_id.MIN_COUNT, -(-size[lang] // 10))} for lang, c in have.items()}
+    most = Counter()
+    for c in share.values():
+        for g, x in c.items():
+            most[g] = max(most[g], x)
+    sets = {lang: {g for g, x in c.items() if x >= language_id.MIN_SHARE * most[g]} for lang, c in sorted(share.items())}
+    got = {r.doc_id: r for r in language_id.language_id(spark.createDataFrame(docs)).collect()}
+    for i, t in zip(docs.doc_id, docs.text):
+        g = grams(t)
+        score = {lang: sum(x in s for x in g) / len(g) for lang, s in sets.items()} if g else {}
+        best = max(score.values(), default=0)
+        assert got[i].lang_pred == "und" if not g else score[got[i].lang_pred] > best - 0.01
+        assert abs(got[i].score - best) < 0.02
+
+
+def test_language_beyond_one_word(spark):
+    """More languages than a word has bits, most of them with few documents; a hot repeated id and ids that are null."""
+    rnd = random.Random(3)
+    letters = [chr(c) for c in range(0x561, 0x561 + 38)] + list("abcdefghijklmnopqrstuvwxyz")
+    words = {f"l{k:03}": ["".join(rnd.choice(letters) for _ in range(5)) for _ in range(12)] for k in range(150)}
+    text = lambda lang: " ".join(rnd.choice(words[lang]) for _ in range(30))
+    rows = [(k * 10 + i, text(lang), lang) for k, lang in enumerate(words) for i in range(10)] + [(5, text("l000"), "l000")] * 300 + [(None, text("l001"), "l000")] * 50
+    got = language_id.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len(got) == len(rows) and all(r.lang_pred == f"l{r.doc_id // 10:03}" for r in got if r.doc_id is not None) and {r.lang_pred for r in got if r.doc_id is None} == {"l001"}
+
+
 def test_language_odd(spark):
     got = language_id.language_id(frame(spark)).collect()
     assert len(got) == len(ODD) and all(r.lang_pred == "und" for r in got if r.doc_id in (1, 2, 3))
@@ -545,11 +599,23 @@ def test_extract(spark):
 def test_warc_round_trip(spark, tmp_path):
     long = "é" * 600
     d = spark.createDataFrame([(1, None, None), (None, "u\r\nx", "<p>\r\n\r\nWARC/1.1"), (2, "a", long), (2, "a", long), (1, "b", long), (7, "c", "short"), (8, "d", "short"), (None, "e", long)], "page_id long, url string, html string").withColumn("payload", F.lit(1))
-    warc.write(d, str(tmp_path / "w"), part_rows=2)
+    warc.write(d, str(tmp_path / "w"), row_bytes=300, part_rows=2)
     got = warc.read(spark, str(tmp_path / "w")).collect()
     assert sorted((r.page_id or -1, r.record_type, r.refers_to or 0) for r in got) == [(-1, "response", 0), (-1, "revisit", 2), (1, "response", 0), (1, "revisit", 2), (2, "response", 0), (2, "response", 0), (7, "response", 0), (8, "response", 0)]
     assert {r.payload for r in got if r.record_type == "response"} == {"", "<p>\r\n\r\nWARC/1.1", long, "short"}
     assert warc.archive(d.limit(0)).count() == 0
+    parts = [f.read_bytes() for f in (tmp_path / "w").glob("part-*")]
+    assert sum(gzip.decompress(b).count(b"WARC-Type:") for b in parts) == len(got)  # any reader of gzip can read a part
+    records = [m for b in parts for m in warc.members(memoryview(b)) if m]
+    assert len(records) == len(got) and all(m.startswith(b"WARC/1.1\r\n") and m.endswith(b"\r\n\r\n") for m in records)
+
+
+def test_warc_long_payloads(spark, tmp_path):
+    """Records of 16 MB and more, whose length fills the last byte of a member; parts are cut by bytes."""
+    d = spark.range(3).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.expr("repeat(concat('é', id), 6000000)").alias("html")).coalesce(1)
+    warc.write(d, str(tmp_path / "w"), row_bytes=1000, part_rows=1)
+    assert sorted((r.page_id, r.payload_bytes) for r in warc.read(spark, str(tmp_path / "w"), payload=False).collect()) == [(i, 18_000_000) for i in range(3)]
+    assert len(list((tmp_path / "w").glob("part-*"))) == 3
 
 
 # 5
@@ -577,6 +643,24 @@ def test_prefix_tree(spark):
             assert r.position_start == at and {i for s in r.ancestors for i in range(s["start"], s["end"])} == {i for a, b in spans for i in range(a, b)}
 
 
+def test_prefix_tree_compares_turns():
+    """Paths whose digests collide: role and text decide which turns are one."""
+    rows = [(b"k" * 8, b"x" * 16, ["user"], ["one"]), (b"k" * 16, b"y" * 16, ["user", "user"], ["two", "more"]), (b"k" * 8 + b"l" * 8, b"z" * 16, ["user", "user"], ["two", "other"])]
+    import unittest.mock as mock
+
+    with mock.patch.object(prefix_tree, "TaskContext") as context:
+        context.get.return_value.partitionId.return_value = 0
+        batch = pa.record_batch([pa.array(c) for c in zip(*rows)], names=["path", "leaf", "roles", "texts"])
+        out = [r for b in prefix_tree._grow(BYTES)([batch]) for r in b.to_pylist()]
+    t = prefix_tree.tokens(BYTES)
+    assert [(r["tree_id"], r["depth"], t.text(r["token_ids"]).split("\n")[1].partition("<")[0]) for r in out] == [(0, 0, "one"), (1, 0, "two"), (1, 1, "more"), (1, 1, "other")]
+
+
+def test_prefix_tree_of_long_texts(spark):
+    d = spark.createDataFrame([(c, i, "assistant", f"turn {i} " * 20_000) for c in (1, 2) for i in range(3)], "conv_id long, turn long, role string, text string")
+    assert [(r.n_turns, r.loss_chars) for r in prefix_tree.formatted_digests(d, BYTES).collect()] == [(3, 3 * 140_000)] * 2
+
+
 def test_prefix_tree_odd(spark):
     shape = "conv_id long, turn long, role string, text string"
     d = spark.createDataFrame([(None, None, None, None), (None, None, None, None), (1, 0, "user", None)], shape)
@@ -623,6 +707,34 @@ def test_rollup_redoes_what_died(spark, tmp_path):
     assert e.totals().count() == 0
 
 
+def test_rollup_compacts_itself(spark, tmp_path):
+    r = token_rollup.Rollup(spark, str(tmp_path / "r"), compact_every=3)
+    c = token_rollup.inserts(token_rollup.count_tokens(frame(spark), WORDS, "v")).cache()
+    for i in range(7):
+        assert r.commit(f"b{i}", c)
+    assert not any(r.commit(f"b{i}", c) for i in range(7)) and r.totals().agg(F.sum("n_docs")).first()[0] == 7 * len(ODD)
+    assert len(list((tmp_path / "r/snapshots").glob("0*"))) == 1 and len(list((tmp_path / "r/deltas").glob("*"))) == 1
+    # a compaction that died after its snapshot: the folders it took in are still there, their markers are not
+    (tmp_path / "r/done").rename(tmp_path / "kept")
+    for batch in [x.batch for x in spark.read.parquet(str(next((tmp_path / "r/snapshots").glob("0*")))).where("batch is not null").collect()]:
+        c.limit(0).groupBy(*token_rollup.KEYS).agg(*[F.sum(x).cast("long").alias(x) for x in token_rollup.SUMS]).write.parquet(str(tmp_path / f"r/deltas/{batch}"))
+    assert not r.commit("b5", c) and r.totals().agg(F.sum("n_docs")).first()[0] == 7 * len(ODD)
+    r.compact()
+    assert r.totals().agg(F.sum("n_docs")).first()[0] == 7 * len(ODD) and not list((tmp_path / "r/deltas").glob("*"))
+
+
+def test_rollup_query(spark, sf):
+    """What is left of the query's history of batches is a plain recount."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(WORDS)
+    pdf = table(spark, sf, "documents").toPandas()
+    pdf["t"] = [len(whole.encode(t, add_special_tokens=False).ids) for t in pdf.text]
+    want = {(a, b, "word_bpe_49k", len(g), g.text.map(len).sum(), g.t.sum()) for (a, b), g in pdf.groupby(["source", "lang"], dropna=False)}
+    none = lambda x: None if x != x else x
+    assert {(r.source, r.lang, r.tokenizer_version, r.n_docs, r.n_chars, r.n_tokens) for r in queries.op3_token_rollup(spark, sf).collect()} == {(none(a), none(b), *x) for a, b, *x in want}
+
+
 # the whole
 
 
