@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 #: Word borders that Java and other engines agree on (letters of any script count as word characters).
 _EDGE_L, _EDGE_R = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
+# The word lists, thresholds and patterns that results depend on.
 LEXICON = {
     "nsfw": "nude|porn|xxx|explicit|nsfw|sexual|fetish",
     "toxicity": "idiot|stupid|hate|kill|slur",

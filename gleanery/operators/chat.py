@@ -158,6 +158,11 @@ def search(turns: DataFrame, needle: str, fields: list[str]) -> DataFrame:
     return turns.where(F.contains(F.lower(F.concat_ws(" ", *fields)), F.lit(needle.lower())))
 
 
+def find_conversations(convs: DataFrame, needle: str, conv: str = "conv_id") -> DataFrame:
+    """Conversations whose title or id contains ``needle``, whatever the case; a null title is empty."""
+    return search(convs, needle, ["title"]).union(search(convs, needle, [conv])).dropDuplicates([conv]) if "title" in convs.columns else search(convs, needle, [conv])
+
+
 def tool_traces(turns: DataFrame) -> DataFrame:
     """conv_id, seq, tool_name, direction, text_preview, urls, and where known payload and time, of calls and results."""
     d = classify_tools(turns).where("tool_call or tool_result")

@@ -23,6 +23,11 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], version: str) -> Dat
     return both.withColumn(nth, F.row_number().over(w)).where(F.col(nth) == 1).drop(nth, side)
 
 
+def repeated_keys(nodes: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys, and n, that several nodes have: a graph whose keys are unique has no row.  A null is a key like any other."""
+    return nodes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def personalised_pagerank(edges: DataFrame, seeds: DataFrame, rounds: int = 3, damping: float = 0.85, save=lambda df: df) -> DataFrame:
     """node, rank after a fixed number of rounds over (src, dst); rank of nodes without an edge out returns to the seeds."""
     e = save(edges.select("src", "dst"))

@@ -6,16 +6,18 @@ content hashes (SHA-256 over the text and the recipe's version), so a stage that
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gleanery.functions import text as T
-from gleanery.operators.minhash import signatures
-from gleanery.operators.simhash import simhash64
+from gleanery.functions.batches import values
+from gleanery.operators.minhash import shingle_hashes, signature
+from gleanery.operators.simhash import simhash
 
 SCHEMAS = {
     "sources": "source_id string, uri string, collected_at long, mime string, size_bytes long, sha256 string, blob_cid string, headers string, license string, labels string",
@@ -57,8 +59,27 @@ def text_stats(text: Column, lang: Column) -> Column:
     return F.to_json(F.struct(F.length(text).cast("long").alias("chars"), T.token_count(text).alias("tokens"), lang.alias("lang")))
 
 
+def extracted(found: DataFrame, extractors: dict[str, Callable[[bytes], str | None]]) -> DataFrame:
+    """``found`` (mime, content, ...) with text by an extractor of one's own for each MIME type: a function from bytes to text.
+    A type without one, null content, and what an extractor raises on give null: the job goes on without that file."""
+    names = [*found.columns, "text"]
+    at, kind = names.index("content"), names.index("mime")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = []
+            for data, mime in zip(values(b.column(at), 8), values(b.column(kind))):
+                try:
+                    texts.append(extractors[mime](data) if data is not None and mime in extractors else None)
+                except Exception:
+                    texts.append(None)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=names)
+
+    return found.mapInArrow(run, StructType([*found.schema.fields, StructField("text", StringType())]))
+
+
 def extractions(texts: DataFrame, recipe: str = "v1") -> DataFrame:
-    """Of (blob_cid, text): texts that are null are no extraction.  Other formats than text and HTML plug in ahead."""
+    """Of (blob_cid, text): texts that are null are no extraction.  Other formats than text and HTML plug in ahead: ``extracted``."""
     return texts.where("text is not null").select(_cid(F.col("text"), recipe).alias("ext_cid"), "blob_cid", F.lit(recipe).alias("recipe_v"), text_stats(F.col("text"), F.lit("und")).alias("text_stats"), "text")
 
 
@@ -67,20 +88,29 @@ def normalized(extracted: DataFrame, recipe: str = "v1", lower: bool = False) ->
     text = T.normalize_recipe(F.col("text"))
     n = extracted.select("ext_cid", (F.lower(text) if lower else text).alias("text")).dropDuplicates(["ext_cid"])
     n = n.withColumn("norm_hash", F.sha2("text", 256)).withColumn("norm_cid", _cid(F.concat("ext_cid", "norm_hash"), recipe))
-    key = F.xxhash64("norm_hash")  # signatures are computed once a distinct text
-    once = n.groupBy("norm_hash").agg(F.min("text").alias("text")).select(F.xxhash64("norm_hash").alias("k"), "text")
-    marks = simhash64(once, "k").join(signatures(once, "k").select(F.col("id").alias("k"), F.col("sig").alias("minhash_sig")), "k")
-    return n.join(marks, key == F.col("k"), "left").select("norm_cid", "ext_cid", "norm_hash", "simhash64", "minhash_sig", F.lit("und").alias("lang"), "text")
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            both = [(simhash(t), signature(shingle_hashes(t, 5)).tobytes()) for t in values(b.column(1))]
+            fp = np.array([x for x, _ in both], np.uint64).view(np.int64)
+            yield pa.record_batch([b.column(0), pa.array(fp), pa.array([x for _, x in both], pa.binary())], names=["norm_hash", "simhash64", "minhash_sig"])
+
+    once = n.groupBy("norm_hash").agg(F.min("text").alias("text"))  # signatures are computed once a distinct text
+    return n.join(once.mapInArrow(marks, "norm_hash string, simhash64 long, minhash_sig binary"), "norm_hash", "left").select("norm_cid", "ext_cid", "norm_hash", "simhash64", "minhash_sig", F.lit("und").alias("lang"), "text")
 
 
 def window_chunks(norm: DataFrame, recipe: str = "v1", size: int = 800, overlap: int = 200, longest: int = 8000) -> DataFrame:
-    """Fixed windows of tokens with spans into the normalized text (single spaces between tokens, so that spans map back)."""
-    t = F.split("text", " ")
-    n = norm.where("text <> ''").select("norm_cid", "text", t.alias("t"))
-    n = n.select("norm_cid", "text", "t", F.explode(F.sequence(F.lit(0), F.size("t") - 1, F.lit(size - overlap))).alias("at"))
-    before = F.when(F.col("at") > 0, F.length(F.array_join(F.slice("t", F.lit(1), F.col("at")), " ")) + 1).otherwise(0)
-    piece = F.left(F.array_join(F.slice("t", F.col("at") + 1, F.lit(size)), " "), F.lit(longest))
-    c = n.select("norm_cid", before.cast("long").alias("span_start"), piece.alias("text"))
+    """Fixed windows of tokens with spans into the normalized text (single spaces between tokens, so that spans map back); one of
+    over ``longest`` characters goes in several chunks, so that no text is lost."""
+    step = size - overlap
+    n = norm.where("text <> ''").select("norm_cid", F.split("text", " ").alias("t"))
+    # characters of every step's tokens, and their running sum: each token is measured once
+    wide = F.transform(F.sequence(F.lit(0), F.size("t") - 1, F.lit(step)), lambda at: F.length(F.array_join(F.slice(F.col("t"), at + 1, step), " ")) + 1)
+    sums = F.aggregate(wide, F.struct(F.array().cast("array<bigint>").alias("starts"), F.lit(0).cast("long").alias("at")), lambda s, w: F.struct(F.concat(s.starts, F.array(s["at"])).alias("starts"), (s["at"] + w).cast("long").alias("at")), lambda s: s.starts)
+    n = n.select("norm_cid", "t", F.posexplode(sums).alias("k", "start"))
+    n = n.select("norm_cid", "start", F.array_join(F.slice("t", F.col("k") * step + 1, F.lit(size)), " ").alias("w"))
+    n = n.select("norm_cid", "start", "w", F.explode(F.sequence(F.lit(1), F.length("w"), F.lit(longest))).alias("from_"))
+    c = n.select("norm_cid", (F.col("start") + F.col("from_") - 1).cast("long").alias("span_start"), F.substring("w", F.col("from_"), F.lit(longest)).alias("text"))
     return c.select(_cid(F.concat("norm_cid", F.col("span_start").cast("string"), "text"), recipe).alias("chunk_id"), "norm_cid", "span_start", (F.col("span_start") + F.length("text")).alias("span_end"), "text", F.sha2("text", 256).alias("norm_hash"))
 
 

@@ -2,87 +2,70 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions import text as T
-from gleanery.functions.batches import values
 
-_BLANK_LINE = re.compile(r"\n\s*\n")
-CHUNK = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("text", pa.string())])
+CHUNK = "struct<start:bigint,end:bigint,text:string>"
 
 
-def pack_paragraphs(text: str, least: int = 120, most: int = 900) -> list[tuple[int, int, str]]:
-    """(start, end, chunk): paragraphs gathered until the next would exceed ``most`` tokens.
+def packed(text: Column, least: int = 120, most: int = 900) -> Column:
+    """Array of (start, end, text): paragraphs gathered until the next would exceed ``most`` tokens, as a fold.
 
     A gathering below ``least`` takes the long paragraph in and closes, so a chunk can exceed ``most``.  Offsets are
-    nominal: separators count two characters.
+    nominal: a chunk is as long as its text without the white space at its ends, separators and what lies between two chunks
+    count two characters.
     """
-    out: list[tuple[int, int, str]] = []
-    held: list[str] = []
-    size = start = 0
-
-    def close() -> int:
-        body = "\n\n".join(held)
-        chunk = body.strip()
-        out.append((start, start + len(body), chunk))
-        return start + len(body) + 2
-
-    for p in _BLANK_LINE.split(text):
-        if not p.strip():
-            start += len(p) + 2
-            continue
-        n = max(1, len(p.split()))
-        if size + n <= most:
-            held.append(p)
-            size += n
-        elif size >= least:
-            start = close()
-            held, size = [p], n
-        else:
-            held.append(p)
-            start = close()
-            held, size = [], 0
-    if held:
-        close()
-    return out
+    long = lambda c: c.cast("long")
+    paragraph = lambda p: F.struct(p.alias("p"), T.token_count(p).alias("n"), (T.strip(p) == "").alias("blank"))
+    empty = F.struct(F.array().cast(f"array<{CHUNK}>").alias("out"), F.lit("").alias("held"), F.lit(False).alias("any"), long(F.lit(0)).alias("size"), long(F.lit(0)).alias("start"))
+    state = lambda out, held, some, size, start: F.struct(out.alias("out"), held.alias("held"), F.lit(some).alias("any"), long(size).alias("size"), long(start).alias("start"))
+
+    def closed(s: Column, body: Column) -> tuple[Column, Column]:
+        """What is out with the chunk of ``body``, and where the next starts."""
+        end = s.start + F.length(T.strip(body))
+        chunk = F.struct(s.start.alias("start"), long(end).alias("end"), T.strip(body).alias("text"))
+        return F.concat(s.out, F.array(chunk)), end + 2
+
+    def step(s: Column, x: Column) -> Column:
+        more = F.when(s.any, F.concat(s.held, F.lit("\n\n"), x.p)).otherwise(x.p)
+        full, low = closed(s, s.held), closed(s, more)
+        return (
+            F.when(x.blank, F.struct(s.out.alias("out"), s.held.alias("held"), s.any.alias("any"), s["size"].alias("size"), long(s.start + F.length(x.p) + 2).alias("start")))
+            .when(s["size"] + x.n <= most, state(s.out, more, True, s["size"] + x.n, s.start))
+            .when(s["size"] >= least, state(full[0], x.p, True, x.n, full[1]))
+            .otherwise(state(low[0], F.lit(""), False, F.lit(0), low[1]))
+        )
+
+    paragraphs = F.transform(F.split(F.coalesce(text, F.lit("")), r"(?U)\n\s*\n"), paragraph)
+    return F.aggregate(paragraphs, empty, step, lambda s: F.when(s.any, closed(s, s.held)[0]).otherwise(s.out))
 
 
 def paragraph_chunks(docs: DataFrame, least: int = 120, most: int = 900, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, idx, offset_start, offset_end, text.  Row-local: no shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = [[{"start": s, "end": e, "text": t} for s, e, t in pack_paragraphs(x or "", least, most)] for x in values(b.column(1))]
-            yield pa.record_batch([b.column(0), pa.array(got, pa.list_(CHUNK))], names=["id", "chunks"])
-
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, chunks array<struct<start:long,end:long,text:string>>")
-    return d.select("id", F.posexplode("chunks").alias("idx", "c")).select(F.col("id").alias(id_col), F.col("idx").cast("long").alias("idx"), F.col("c.start").alias("offset_start"), F.col("c.end").alias("offset_end"), F.col("c.text").alias("text"))
+    d = docs.select(F.col(id_col).cast("long").alias("id"), F.posexplode(packed(F.col(text_col), least, most)).alias("idx", "c"))
+    return d.select(F.col("id").alias(id_col), F.col("idx").cast("long").alias("idx"), F.col("c.start").alias("offset_start"), F.col("c.end").alias("offset_end"), F.col("c.text").alias("text"))
 
 
 def chunk_arrays(docs: DataFrame, least: int = 120, most: int = 900) -> DataFrame:
     """Adds chunks: an array of (start, end, text, *_score) in the row of its document."""
-
-    @F.pandas_udf("array<struct<start:long,end:long,text:string>>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda x: [{"start": s, "end": e, "text": t} for s, e, t in pack_paragraphs(x or "", least, most)])
-
-    d = docs.withColumn("_cut", cut(F.col("text")))
-    return d.withColumn("chunks", F.transform("_cut", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["text"].alias("text"), *[v.alias(f"{k}_score") for k, v in T.safety_scores(c["text"]).items()]))).drop("_cut")
+    scores = lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["text"].alias("text"), *[v.alias(f"{k}_score") for k, v in T.safety_scores(c["text"]).items()])
+    return docs.withColumn("chunks", F.transform(packed(F.col("text"), least, most), scores))
 
 
 def token_windows(docs: DataFrame, size: int = 800, overlap: int = 200, longest: int = 8000) -> DataFrame:
-    """doc_id, idx, text: windows of ``size`` tokens every ``size - overlap``, cut at ``longest`` characters."""
+    """doc_id, idx, part, text: windows of ``size`` tokens every ``size - overlap``; one of over ``longest`` characters goes in
+    several parts, so that no text is lost."""
     toks = T.tokens(F.coalesce("text", F.lit("")))
     d = docs.select("doc_id", toks.alias("t")).where(F.size("t") > 0)
     starts = F.sequence(F.lit(0), F.greatest(F.size("t") - 1, F.lit(0)), F.lit(size - overlap))
     d = d.select("doc_id", "t", F.posexplode(starts).alias("idx", "at"))
-    return d.select("doc_id", F.col("idx").cast("long").alias("idx"), F.left(F.array_join(F.slice("t", F.col("at") + 1, F.lit(size)), " "), F.lit(longest)).alias("text"))
+    d = d.select("doc_id", F.col("idx").cast("long").alias("idx"), F.array_join(F.slice("t", F.col("at") + 1, F.lit(size)), " ").alias("w"))
+    d = d.select("doc_id", "idx", "w", F.posexplode(F.sequence(F.lit(1), F.length("w"), F.lit(longest))).alias("part", "from_"))
+    return d.select("doc_id", "idx", F.col("part").cast("long").alias("part"), F.substring("w", F.col("from_"), F.lit(longest)).alias("text"))
 
 
 def scored(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -137,17 +120,22 @@ def exact_dedupe_map(docs: DataFrame) -> DataFrame:
     return h.join(h.groupBy("norm_hash").agg(F.min("doc_id").alias("canonical_id")), "norm_hash").select("doc_id", "norm_hash", "canonical_id")
 
 
+def _dup_ratio(text: Column) -> tuple[Column, Column]:
+    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x != "")
+    n = F.size(lines).cast("long")
+    return n, F.when(n > 0, 1 - F.size(F.array_distinct(lines)).cast("long") / n).otherwise(0.0)
+
+
 def line_dup_ratio(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, dup_ratio: share of a document's non-empty lines that repeat an earlier one of it."""
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x != "")
-    d = docs.select("doc_id", F.size(lines).cast("long").alias("n_lines"), F.size(F.array_distinct(lines)).cast("long").alias("k"))
-    return d.select("doc_id", "n_lines", F.when(F.col("n_lines") > 0, 1 - F.col("k") / F.col("n_lines")).otherwise(0.0).alias("dup_ratio"))
+    n, ratio = _dup_ratio(F.col("text"))
+    return docs.select("doc_id", n.alias("n_lines"), ratio.alias("dup_ratio"))
 
 
 def quality_gate(docs: DataFrame, min_tokens: int = 60, max_dup: float = 0.9) -> DataFrame:
-    """doc_id, n_tokens, dup_ratio, keep."""
-    d = line_dup_ratio(docs).select("doc_id", "dup_ratio").join(docs.select("doc_id", T.token_count(F.coalesce("text", F.lit(""))).alias("n_tokens")), "doc_id")
-    return d.select("doc_id", "n_tokens", "dup_ratio", ((F.col("n_tokens") >= min_tokens) & (F.col("dup_ratio") <= max_dup)).alias("keep"))
+    """doc_id, n_tokens, dup_ratio, keep: one row per input row, without a shuffle."""
+    d = docs.select("doc_id", T.token_count(F.coalesce("text", F.lit(""))).alias("n_tokens"), _dup_ratio(F.col("text"))[1].alias("dup_ratio"))
+    return d.withColumn("keep", (F.col("n_tokens") >= min_tokens) & (F.col("dup_ratio") <= max_dup))
 
 
 def scrub_pii(c: F.Column) -> F.Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -73,15 +74,20 @@ def mmr_no_similarity(cands: DataFrame, k: int = 10, lam: float = 0.7, cap: int
     return d.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= k).drop("c")
 
 
-def mmr(cands: DataFrame, k: int = 10, lam: float = 0.7, cap: int = 2) -> DataFrame:
-    """query_id, chunk_id, rank by greedy maximal marginal relevance with cosine similarity; candidates are
-    (query_id, doc_uid, chunk_id, score, embedding, pos); one without an embedding is similar to none.  A query's candidates are one group (a retrieved list)."""
+def mmr(cands: DataFrame, k: int = 10, lam: float = 0.7, cap: int = 2, sim: Callable[[pd.Series, pd.Series], float] | None = None) -> DataFrame:
+    """query_id, chunk_id, rank by greedy maximal marginal relevance; candidates are (query_id, doc_uid, chunk_id, score,
+    embedding, pos).  ``sim``: similarity of two candidates (rows), by default the cosine of their embeddings, where one
+    without an embedding is similar to none.  A query's candidates are one group (a retrieved list)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["score", "pos"], ascending=[False, True], kind="stable").reset_index(drop=True)
-        none = np.zeros(next((len(x) for x in pdf.embedding if x is not None), 1))
-        v = np.array([none if x is None else x for x in pdf.embedding], np.float64)
-        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+        if sim is None:
+            none = np.zeros(next((len(x) for x in pdf.embedding if x is not None), 1))
+            v = np.array([none if x is None else x for x in pdf.embedding], np.float64)
+            v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+            to = lambda i: v @ v[i]
+        else:
+            to = lambda i: np.array([sim(row, pdf.loc[i]) for _, row in pdf.iterrows()])
         rel, near = pdf.score.to_numpy(), np.full(len(pdf), -np.inf)
         free, used, out = np.ones(len(pdf), bool), {}, []
         while len(out) < k and free.any():
@@ -95,7 +101,7 @@ def mmr(cands: DataFrame, k: int = 10, lam: float = 0.7, cap: int = 2) -> DataFr
             used[d] = used.get(d, 0) + 1
             if used[d] >= cap:
                 free &= (pdf.doc_uid != d).to_numpy()
-            near = np.maximum(near, v @ v[i])
+            near = np.maximum(near, to(i))
         got = pdf.loc[out, ["query_id", "chunk_id"]].copy()
         got["rank"] = range(1, len(out) + 1)
         return got

@@ -57,7 +57,7 @@ def docs_risk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def docs_par(spark: SparkSession, sf: str) -> DataFrame:
-    return _t(spark, sf, "documents").withColumn("text", F.replace("text", F.lit("\n"), F.lit("\n\n")))
+    return _t(spark, sf, "documents").withColumn("text", F.concat(F.lit("  "), F.replace("text", F.lit("\n"), F.lit(" \n\n\t")), F.lit(" \n")))
 
 
 def conv_dec(spark: SparkSession, sf: str) -> DataFrame:
@@ -106,13 +106,13 @@ _chunked = lambda text, docs: rf"""RECURSIVE d AS (SELECT doc_id, regexp_split_t
   w AS (SELECT doc_id, CAST(0 AS BIGINT) AS k, '' AS buf, CAST(0 AS BIGINT) AS cur, CAST(0 AS BIGINT) AS start, CAST(NULL AS VARCHAR) AS body, CAST(0 AS BIGINT) AS from_ FROM d
     UNION ALL SELECT doc_id, k, CASE WHEN p IS NULL THEN '' WHEN blank THEN buf WHEN cur + t <= 900 THEN more WHEN cur >= 120 THEN p ELSE '' END,
       CAST(CASE WHEN p IS NULL THEN 0 WHEN blank THEN cur WHEN cur + t <= 900 THEN cur + t WHEN cur >= 120 THEN t ELSE 0 END AS BIGINT),
-      CAST(CASE WHEN p IS NULL THEN start WHEN blank THEN start + length(p) + 2 WHEN cur + t <= 900 THEN start WHEN cur >= 120 THEN start + length(buf) + 2 ELSE start + length(more) + 2 END AS BIGINT),
+      CAST(CASE WHEN p IS NULL THEN start WHEN blank THEN start + length(p) + 2 WHEN cur + t <= 900 THEN start WHEN cur >= 120 THEN start + length({_STRIP("buf")}) + 2 ELSE start + length({_STRIP("more")}) + 2 END AS BIGINT),
       CASE WHEN p IS NULL THEN nullif(buf, '') WHEN blank OR cur + t <= 900 THEN NULL WHEN cur >= 120 THEN buf ELSE more END, start
     FROM (SELECT w.doc_id, r.k, r.p, r.blank, r.t, w.buf, w.cur, w.start, CASE WHEN w.buf = '' THEN r.p ELSE w.buf || chr(10) || chr(10) || r.p END AS more FROM w JOIN r ON r.doc_id = w.doc_id AND r.k = w.k + 1)),
-  c AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS idx, from_ AS offset_start, from_ + length(body) AS offset_end, {_STRIP("body")} AS text FROM w WHERE body IS NOT NULL)"""
+  c AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS idx, from_ AS offset_start, from_ + length({_STRIP("body")}) AS offset_end, {_STRIP("body")} AS text FROM w WHERE body IS NOT NULL)"""
 
 
-@query("WITH " + _chunked("replace(text, chr(10), chr(10) || chr(10))", "documents") + " SELECT doc_id, idx, offset_start, offset_end, text FROM c")
+@query("WITH " + _chunked("'  ' || replace(text, chr(10), ' ' || chr(10) || chr(10) || chr(9)) || ' ' || chr(10)", "documents") + " SELECT doc_id, idx, offset_start, offset_end, text FROM c")
 def paragraph_chunks(spark, sf):
     return mining.paragraph_chunks(docs_par(spark, sf))
 
@@ -140,10 +140,10 @@ def quality_vs_labels(spark, sf):
 
 
 @query(r"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[\s\x0b\x{85}\x{A0}]+'), lambda t: t <> '') AS t FROM documents)
-  SELECT doc_id, CAST(i / 600 AS BIGINT) AS idx, sha256(left(array_to_string(t[i + 1 : i + 800], ' '), 8000)) AS text_sha256
-  FROM (SELECT doc_id, t, unnest(range(0, len(t), 600)) AS i FROM d)""")
+  , w AS (SELECT doc_id, CAST(i / 600 AS BIGINT) AS idx, array_to_string(t[i + 1 : i + 800], ' ') AS w FROM (SELECT doc_id, t, unnest(range(0, len(t), 600)) AS i FROM d))
+  SELECT doc_id, idx, CAST(c / 8000 AS BIGINT) AS part, sha256(substr(w, c + 1, 8000)) AS text_sha256 FROM (SELECT *, unnest(range(0, length(w), 8000)) AS c FROM w)""")
 def token_windows(spark, sf):
-    return mining.token_windows(_t(spark, sf, "documents")).select("doc_id", "idx", F.sha2("text", 256).alias("text_sha256"))
+    return mining.token_windows(_t(spark, sf, "documents")).select("doc_id", "idx", "part", F.sha2("text", 256).alias("text_sha256"))
 
 
 _NORM = r"sha256(regexp_replace(regexp_replace(nfc_normalize(text), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g'))"
@@ -366,7 +366,7 @@ def mmr_nosim(spark, sf):
 
 @query()
 def mmr_cosine(spark, sf):
-    e = _vecs(spark, sf).where("id % 100 = 7")
+    e = _vecs(spark, sf).where("id % 100 = 0")
     near = vectors.knn(_vecs(spark, sf).select("id", "vec"), e.select("id", "vec"), 50)
     c = near.join(_vecs(spark, sf).select(F.col("id").alias("dst"), "vec", "label"), "dst")
     return ranking.mmr(c.select(F.col("src").alias("query_id"), F.col("label").cast("string").alias("doc_uid"), F.col("dst").alias("chunk_id"), "score", F.col("vec").alias("embedding"), F.col("rank").alias("pos")))
@@ -414,7 +414,7 @@ def _edges(spark, sf):
 def pagerank(spark, sf):
     e = checkpointed(spark)(_edges(spark, sf))
     seeds = e.where("src % 10 = 0").select(F.col("src").alias("node")).distinct()
-    return graph.personalised_pagerank(e, seeds, rounds=2).withColumn("rank", F.round("rank", 9))
+    return graph.personalised_pagerank(e, seeds, rounds=2, save=checkpointed(spark)).withColumn("rank", F.round("rank", 9))
 
 
 def _rounds(n: int) -> str:
@@ -539,7 +539,8 @@ def simhash_distances(spark, sf):
     return s.select("doc_id", simhash.hamming(F.col("simhash64"), F.col("more")).alias("bits_more"), simhash.hamming(F.col("simhash64"), F.col("half")).alias("bits_half"))
 
 
-@query(r"""WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(text, ' ')) AS t FROM documents) SELECT doc_id, count(*) AS n_chunks FROM (SELECT doc_id, unnest(range(0, count(*), 600)) FROM w GROUP BY doc_id) GROUP BY doc_id""")
+@query(r"""WITH w AS (SELECT doc_id, unnest(p) AS t, generate_subscripts(p, 1) AS k FROM (SELECT doc_id, regexp_split_to_array(text, ' ') AS p FROM documents)) SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_chunks FROM (SELECT doc_id, CAST(ceil(length(array_to_string(t[i + 1 : i + 800], ' ')) / 8000) AS BIGINT) AS n
+  FROM (SELECT doc_id, list(t ORDER BY k) AS t, unnest(range(0, count(*), 600)) AS i FROM w GROUP BY doc_id)) GROUP BY doc_id""")
 def lake_chunks(spark, sf):
     """Windows over texts that are single-spaced already but for their line feeds: as many as their tokens ask for."""
     n = _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("norm_cid"), "text")

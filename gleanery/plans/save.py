@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir.  Only where none is set (tests, a laptop) a folder of our own is."""
+    """spark.checkpoint.dir.  Only on a local master (tests, a laptop) a folder of our own is made where none is set; a cluster
+    has to name one that all its machines see."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gleanery-"))
+        at = spark.conf.get("spark.checkpoint.dir", None)
+        if not at and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(at or tempfile.mkdtemp(prefix="gleanery-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 

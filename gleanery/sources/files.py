@@ -163,9 +163,11 @@ def write_jsonl(df: DataFrame, path: str, nulls: bool = True) -> None:
 
 
 def store_blobs(files: DataFrame, path: str) -> None:
-    """Content-addressed: each checksum once, those already there are left alone."""
+    """Content-addressed: each checksum once, those already there are left alone.  Which file gives a checksum's content is
+    settled by paths alone, so contents are not shuffled."""
     spark = files.sparkSession
-    new = files.select("checksum", "content").dropDuplicates(["checksum"])
+    one = files.groupBy("checksum").agg(F.min("path").alias("path"))
+    new = files.join(one, ["checksum", "path"], "left_semi").select("checksum", "content")
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         new = new.join(spark.read.parquet(path).select("checksum"), "checksum", "left_anti")

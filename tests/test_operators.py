@@ -33,18 +33,59 @@ def test_epoch_iso(spark):
     assert one(spark, 60.0, T.epoch_iso, "double") == "1970-01-01T00:01:00+00:00"
 
 
-def test_packer():
+def packed(spark, texts, least=120, most=900):
+    return [[tuple(c) for c in r.c] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", mining.packed(F.col("t"), least, most).alias("c")).orderBy("i").collect()]
+
+
+def test_packer(spark):
     two = "a b"
-    assert [c for _, _, c in mining.pack_paragraphs("\n\n".join([two] * 3), 2, 3)] == [two] * 3
-    assert [c for _, _, c in mining.pack_paragraphs("a b c d e", 2, 3)] == ["a b c d e"]
-    assert mining.pack_paragraphs("") == []
+    got = packed(spark, ["\n\n".join([two] * 3), "a b c d e", "", None, " \n\n\t"], 2, 3)
+    assert [[c for _, _, c in g] for g in got] == [[two] * 3, ["a b c d e"], [], [], []]
+
+
+def test_packer_offsets(spark):
+    """A chunk is as long as its stripped text, whatever stands at its ends."""
+    assert packed(spark, ["  alpha beta  \n\ngamma"], 1, 2) == [[(0, 10, "alpha beta"), (12, 17, "gamma")]]
+    assert packed(spark, ["\n \n a b \n\n c d e f \n\n g"], 3, 4) == [[(2, 16, "a b \n\n c d e f"), (18, 19, "g")]]
 
 
-def test_packer_keeps_every_token():
+def test_packer_keeps_every_token(spark):
     rnd = random.Random(1)
-    for _ in range(100):
-        text = "\n\n".join(" ".join("w" * rnd.randint(1, 3) for _ in range(rnd.randint(1, 9))) for _ in range(rnd.randint(1, 12)))
-        assert " ".join(c for _, _, c in mining.pack_paragraphs(text, 5, 12)).split() == text.split()
+    texts = ["\n\n".join(" ".join("w" * rnd.randint(1, 3) for _ in range(rnd.randint(1, 9))) for _ in range(rnd.randint(1, 12))) for _ in range(100)]
+    assert [" ".join(c for _, _, c in g).split() for g in packed(spark, texts, 5, 12)] == [t.split() for t in texts]
+
+
+def test_windows_lose_no_text(spark):
+    from gleanery.operators import lake
+
+    text = " ".join(["x" * 30] * 1000)
+    got = mining.token_windows(spark.createDataFrame([(1, text)], "doc_id long, text string")).orderBy("idx", "part").collect()
+    assert max(len(r.text) for r in got) == 8000 and "".join(r.text for r in got if r.idx == 0) == " ".join(["x" * 30] * 800)
+    chunks = lake.window_chunks(spark.createDataFrame([("n", text), ("m", "")], "norm_cid string, text string")).collect()
+    assert all(text[r.span_start : r.span_end] == r.text and len(r.text) <= 8000 for r in chunks) and {i for r in chunks for i in range(r.span_start, r.span_end)} == set(range(len(text)))
+
+
+def test_quality_gate_keeps_rows(spark):
+    d = spark.createDataFrame([(1, "a\na"), (1, "b"), (None, None)], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.dup_ratio) for r in mining.quality_gate(d).collect()) == [(0, 0.0), (1, 0.0), (1, 0.5)]
+
+
+def test_extractors_and_find(spark):
+    from gleanery.operators import lake
+
+    d = spark.createDataFrame([("a/x", b"1"), ("a/y", b"2"), ("a/x", None), ("a/z", b"3")], "mime string, content binary")
+    got = lake.extracted(d, {"a/x": lambda b: b.decode() * 2, "a/z": lambda b: 1 / 0}).collect()
+    assert [r.text for r in got] == ["11", None, None, None]
+    c = spark.createDataFrame([("id-1", "My Title"), ("TITLE", None), ("x", "y")], "conv_id string, title string")
+    assert {r.conv_id for r in chat.find_conversations(c, "title").collect()} == {"id-1", "TITLE"}
+    assert [tuple(r) for r in graph.repeated_keys(c, ["title"]).collect()] == []
+
+
+def test_mmr_with_own_similarity(spark):
+    rows = [("q", f"d{i}", i, 1.0 - i / 10, i) for i in range(4)]
+    d = spark.createDataFrame(rows, "query_id string, doc_uid string, chunk_id int, score double, pos int")
+    got = ranking.mmr(d, k=3, lam=0.5, sim=lambda a, b: float(a.chunk_id // 2 == b.chunk_id // 2)).orderBy("rank").collect()
+    assert [r.chunk_id for r in got] == [0, 2, 1]
 
 
 def test_zones(spark):
@@ -234,6 +275,8 @@ def test_pagerank_sums_to_one(spark):
 def test_upsert(spark):
     a, b = (spark.createDataFrame(x, "id long, v long, t long") for x in ([(1, 1, 1), (2, 1, 1)], [(1, 2, 2)]))
     assert {(r.id, r.v) for r in graph.upsert(a, b, ["id"], "t").collect()} == {(1, 2), (2, 1)}
+    a, b = (spark.createDataFrame(x, "id long, v long, t long") for x in ([(1, 0, 1), (2, 9, None), (2, 8, None)], [(1, 7, 1), (1, 5, 1)]))  # ties
+    assert {(r.id, r.v) for r in graph.upsert(a, b, ["id"], "t").collect()} == {(1, 5), (2, 8)}
 
 
 def test_files(spark, tmp_path):
@@ -298,7 +341,7 @@ def message(node, up, kids, role, content, t=None, **more):
 
 def test_export_content(spark, tmp_path):
     """Parts of every kind, assets, links behind escapes, a child that no node describes, ids that are missing."""
-    parts = ["see https:\/\/x.y\/a".replace("\\/", "/"), {"content_type": "image_asset_pointer", "size_bytes": 5, "asset_pointer": "s://1"}, {"content_type": "t", "text": None}, {"text": {"k": 1}}, {"text": "end "}]
+    parts = [r"see https:\/\/x.y\/a".replace("\\/", "/"), {"content_type": "image_asset_pointer", "size_bytes": 5, "asset_pointer": "s://1"}, {"content_type": "t", "text": None}, {"text": {"k": 1}}, {"text": "end "}]
     av = {"content_type": "real_time_user_audio_video_asset_pointer", "audio_asset_pointer": {"asset_pointer": "s://2", "format": "wav"}}
     mapping = {
         "r": {"id": "r", "parent": None, "children": ["b", "a", "gone"], "message": None},
