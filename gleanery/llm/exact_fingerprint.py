@@ -48,7 +48,9 @@ def copy_classes(docs: DataFrame) -> DataFrame:
     once a task), and a bucket that holds different texts gives each its own class.
     """
     sig = checkpoint(fingerprint_texts(docs).select("doc_id", "fingerprint"))
-    multi = sig.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("fingerprint").alias("m"))
+    multi = checkpoint(sig.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("fingerprint").alias("m")))
+    if multi.count() <= BROADCAST_ROWS:  # then texts stay where they are until equal ones have collapsed
+        multi = F.broadcast(multi)
     canon = id_text(docs).select("doc_id", canonical(F.col("text")).alias("canon")).withColumn("fingerprint", wide_hash(F.col("canon")))
     classes = canon.join(multi, F.col("fingerprint") == F.col("m"), "left_semi").groupBy("fingerprint", "canon").agg(F.min("doc_id").alias("copy_of"))
     # the bucket's classes are few: equal texts are one by now
