@@ -98,16 +98,23 @@ def safe_name(c: Column) -> Column:
     return F.left(F.regexp_replace(c, r"[^\w\-]+", "_"), F.lit(80))
 
 
+def _utc(us: Column) -> Column:
+    """Microseconds since the epoch to the ISO date and time in UTC without a fraction, whatever the session's time zone."""
+    at = F.timestamp_add("MICROSECOND", us, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("string")
+    return F.replace(F.substring_index(at, ".", 1), F.lit(" "), F.lit("T"))
+
+
 def epoch_iso(c: Column) -> Column:
     """Seconds since the epoch to ISO 8601 in UTC, microseconds only where there are any; null stays null."""
     us = F.round(c * 1_000_000).cast("long")
-    at = F.timestamp_micros(us)
-    return F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.when(us % 1_000_000 != 0, F.date_format(at, ".SSSSSS")).otherwise(""), F.lit("+00:00"))
+    part = F.pmod(us, F.lit(1_000_000))
+    return F.concat(_utc(us), F.when(part != 0, F.concat(F.lit("."), F.lpad(part.cast("string"), 6, "0"))).otherwise(""), F.lit("+00:00"))
 
 
 def epoch_ms_iso(c: Column) -> Column:
     """Seconds since the epoch to ISO 8601 with milliseconds and Z; null is a dash."""
-    return F.coalesce(F.date_format(F.timestamp_millis(F.floor(c * 1000).cast("long")), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), F.lit("—"))
+    ms = F.floor(c * 1000).cast("long")
+    return F.coalesce(F.concat(_utc(ms * 1000), F.lit("."), F.lpad(F.pmod(ms, F.lit(1000)).cast("string"), 3, "0"), F.lit("Z")), F.lit("—"))
 
 
 def squeezed(c: Column, longest: int = 120) -> Column:

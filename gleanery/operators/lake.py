@@ -171,7 +171,7 @@ def cut_points(data: bytes, average: int, least: int, most: int) -> list[int]:
     b = np.frombuffer(data, np.uint8)
     h = np.zeros(len(b), np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(32):
+        for k in range(min(32, len(b))):
             h[k:] += _GEAR[b[: len(b) - k]] << np.uint64(k) if k else _GEAR[b]
     bits = max(1, average.bit_length() - 1)
     hits = np.flatnonzero((h >> np.uint64(32)) & np.uint64((1 << bits) - 1) == 0) + 1

@@ -300,7 +300,22 @@ def _vecs(spark, sf):
     return _t(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), "label")
 
 
-@query()
+def _kmeans_sql(k: int, rounds: int) -> str:
+    """Farthest-point start and rounds of assignment and means, one step a common table expression."""
+    out = ["p AS MATERIALIZED (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)", "c0 AS MATERIALIZED (SELECT 0 AS j, v FROM p ORDER BY id LIMIT 1)"]
+    for j in range(1, k):
+        out.append(f"c{j} AS MATERIALIZED (SELECT * FROM c{j - 1} UNION ALL SELECT * FROM (SELECT {j}, v FROM (SELECT p.id, p.v, min(list_distance(p.v, c.v)) AS d FROM p, c{j - 1} c GROUP BY ALL) ORDER BY d DESC, id LIMIT 1))")
+    at = f"c{k - 1}"
+    for r in range(rounds):
+        out.append(f"a{r} AS MATERIALIZED (SELECT p.id, arg_min(c.j, row(list_distance(p.v, c.v), c.j)) AS j FROM p, {at} c GROUP BY p.id)")
+        if r < rounds - 1:
+            means = f"SELECT j, list(m ORDER BY i) AS v FROM (SELECT j, i, avg(x) AS m FROM (SELECT a.j, unnest(p.v) AS x, generate_subscripts(p.v, 1) AS i FROM a{r} a JOIN p USING (id)) GROUP BY j, i) GROUP BY j"
+            out.append(f"m{r} AS MATERIALIZED (SELECT c.j, coalesce(n.v, c.v) AS v FROM {at} c LEFT JOIN ({means}) n USING (j))")
+            at = f"m{r}"
+    return "WITH " + ", ".join(out) + f" SELECT id, CAST(j AS BIGINT) AS label FROM a{rounds - 1}"
+
+
+@query(_kmeans_sql(5, 10))
 def kmeans_labels(spark, sf):
     return vectors.kmeans(_vecs(spark, sf).select("id", "vec"), 5)
 
@@ -364,7 +379,22 @@ def mmr_nosim(spark, sf):
     return ranking.mmr_no_similarity(_cands(spark, sf)).select("query_id", "doc_uid", "chunk_id", F.col("rank").cast("long").alias("rank"))
 
 
-@query()
+def _mmr_sql(k: int, lam: float, cap: int) -> str:
+    """Greedy picks, one a common table expression: ``c`` (query_id, doc_uid, chunk_id, score, v, pos) are the candidates."""
+    out = ["p0 AS MATERIALIZED (SELECT query_id, doc_uid, chunk_id, v, 0 AS rank FROM c WHERE false)"]
+    for r in range(1, k + 1):
+        seen = f"p{r - 1}"
+        free = f"SELECT * FROM c WHERE (query_id, chunk_id) NOT IN (SELECT query_id, chunk_id FROM {seen}) AND (query_id, doc_uid) NOT IN (SELECT query_id, doc_uid FROM {seen} GROUP BY ALL HAVING count(*) >= {cap})"
+        near = f"SELECT *, {lam} * score - (1 - {lam}) * coalesce((SELECT max(list_cosine_similarity(f.v, s.v)) FROM {seen} s WHERE s.query_id = f.query_id), 0) AS sc FROM ({free}) f"
+        out.append(f"p{r} AS MATERIALIZED (SELECT * FROM {seen} UNION ALL SELECT query_id, doc_uid, chunk_id, v, {r} FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sc DESC, score DESC, pos) AS best FROM ({near}) WHERE sc > -1) WHERE best = 1)")
+    return ", ".join(out) + f" SELECT query_id, chunk_id, CAST(rank AS BIGINT) AS rank FROM p{k}"
+
+
+_NEAR50 = """SELECT src AS query_id, CAST(e.label AS VARCHAR) AS doc_uid, dst AS chunk_id, score, CAST(e.embedding AS DOUBLE[]) AS v, pos FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY score DESC, dst) AS pos FROM (SELECT a.vec_id AS src, b.vec_id AS dst,
+  round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS score FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0)) JOIN embeddings e ON e.vec_id = dst WHERE pos <= 50"""
+
+
+@query(f"WITH c AS MATERIALIZED ({_NEAR50}), " + _mmr_sql(10, 0.7, 2))
 def mmr_cosine(spark, sf):
     e = _vecs(spark, sf).where("id % 100 = 0")
     near = vectors.knn(_vecs(spark, sf).select("id", "vec"), e.select("id", "vec"), 50)
@@ -636,3 +666,6 @@ def ranking_quality(spark, sf):
 def event_windows(spark, sf):
     """Outside the reference: what the windowed stream counts, over the whole table at once."""
     return windowed_counts(_t(spark, sf, "events")).select("event_type", "start", "n")
+
+
+from gleanery.plans import roundtrips  # noqa: E402,F401  registers its queries

@@ -558,3 +558,34 @@ def test_own_scorer_and_fused_order(spark):
     assert {r.zone for r in mining.route_with(d, lambda t: {}, {}).collect()} == {"silver_normalized"}
     r = spark.createDataFrame([(0, "b", 1), (0, "a", 2), (1, "a", 1), (1, "b", 2), (1, "c", 3)], "list_id int, doc string, rank int")
     assert [x.doc for x in ranking.rrf_ranked(r).orderBy("place").collect()] == ["b", "a", "c"]
+
+
+def test_epoch_times_do_not_depend_on_the_sessions_time_zone(spark):
+    from datetime import datetime, timezone
+
+    from gleanery.functions import text as T
+
+    seconds = [0.0, -1.5, 1_604_210_400.0, 1_604_206_800.25, 1_583_649_000.123456, 1_699_999_999.999, None]
+    d = spark.createDataFrame([(i, x) for i, x in enumerate(seconds)], "i int, s double")
+    was = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # these hours are in its changes of clocks
+        got = {r.i: (r.a, r.b) for r in d.select("i", T.epoch_iso(F.col("s")).alias("a"), T.epoch_ms_iso(F.col("s")).alias("b")).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", was)
+    for i, x in enumerate(seconds):
+        if x is None:
+            assert got[i] == (None, "—")
+        else:
+            assert got[i][0] == datetime.fromtimestamp(x, timezone.utc).isoformat()
+    assert got[1][1] == "1969-12-31T23:59:58.500Z" and got[5][1] == "2023-11-14T22:13:19.999Z"
+
+
+def test_fragments_of_short_and_empty_files(spark):
+    from gleanery.operators import lake
+
+    d = spark.createDataFrame([("a", b"x"), ("b", b"y" * 31), ("c", b"z" * 5000), ("d", b""), ("e", None)], "checksum string, content binary")
+    got = {}
+    for r in sorted(lake.fragments(d, 1).collect(), key=lambda r: (r.checksum, r.idx)):
+        got[r.checksum] = got.get(r.checksum, b"") + bytes(r.content)
+    assert got == {"a": b"x", "b": b"y" * 31, "c": b"z" * 5000}
