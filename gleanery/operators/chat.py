@@ -159,8 +159,12 @@ def search(turns: DataFrame, needle: str, fields: list[str]) -> DataFrame:
 
 
 def find_conversations(convs: DataFrame, needle: str, conv: str = "conv_id") -> DataFrame:
-    """Conversations whose title or id contains ``needle``, whatever the case; a null title is empty."""
-    return search(convs, needle, ["title"]).union(search(convs, needle, [conv])).dropDuplicates([conv]) if "title" in convs.columns else search(convs, needle, [conv])
+    """Rows of conversations whose title or id contains ``needle``, whatever the case; a null is empty."""
+    hit = F.lit(False)
+    for c in ("title", conv):
+        if c in convs.columns:
+            hit = hit | F.contains(F.lower(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit(needle.lower()))
+    return convs.where(hit)
 
 
 def tool_traces(turns: DataFrame) -> DataFrame:

@@ -162,6 +162,52 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = 4096)
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def index_lists(vectors: DataFrame, lists: int = 64, sample: int = 20_000, seed: int = 42) -> np.ndarray:
+    """Unit centres of an inverted-list index over (id, vec), fitted on the ``sample`` rows with the smallest hash of the id.
+    No more centres than there are distinct vectors in the sample; none for an empty table."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    some = vectors.where("vec is not null").orderBy(F.xxhash64("id"), "id").limit(sample).select(array_to_vector(F.col("vec").cast("array<double>")).alias("features"))
+    if some.isEmpty():
+        return np.zeros((0, 0))
+    centres = np.array(KMeans(k=max(2, lists), seed=seed, maxIter=10, distanceMeasure="cosine").fit(some).clusterCenters())
+    return centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
+
+
+def _nearest_lists(rows: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
+    """id, unit, list: every row once for each of the ``probes`` lists whose centre is nearest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            v = _blocks(b, 1)
+            v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+            best = np.argsort(-(v @ centres.T), axis=1, kind="stable")[:, :probes]
+            at = np.repeat(np.arange(len(v)), best.shape[1])
+            yield pa.record_batch([b.column(0).take(pa.array(at)), pa.array(list(v[at]), pa.list_(pa.float64())), pa.array(best.ravel().astype(np.int64))], names=["id", "unit", "list"])
+
+    return rows.where("vec is not null").select(F.col("id").cast("long").alias("id"), "vec").mapInArrow(run, "id long, unit array<double>, list long")
+
+
+def indexed(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
+    """id, unit, list: every row of (id, vec) in the list of its nearest centre; to be written by list and searched often.
+    A null vector is in no list."""
+    return _nearest_lists(vectors, centres, 1)
+
+
+def search_index(index: DataFrame, queries: DataFrame, centres: np.ndarray, k: int = 20, probes: int = 16) -> DataFrame:
+    """src, dst, score, rank like ``knn``, but only of the ``probes`` lists nearest to a query (all lists: exact).  Queries meet
+    lists by an equi-join, so a list that holds many rows is split where it is skewed, and each task keeps k rows a
+    query before anything is shuffled again."""
+    q = _nearest_lists(queries, centres, probes).withColumnsRenamed({"id": "src", "unit": "q"})
+    dot = F.aggregate(F.zip_with("q", "unit", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    near = q.join(index, "list").where(F.col("src") != F.col("id")).select("src", F.col("id").alias("dst"), F.round(dot, 6).alias("score"))
+    w = Window.partitionBy("src").orderBy(F.col("score").desc(), "dst")
+    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
 def silhouette(points: DataFrame, block: int = 4096) -> DataFrame:
     """id, label, silhouette of (id, vec, label): exact Euclidean; a cluster of one has 0.
 

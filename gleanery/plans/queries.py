@@ -423,6 +423,24 @@ def knn_edges(spark, sf):
     return _knn(spark, sf)
 
 
+@query(_KNN)
+def index_search_all(spark, sf):
+    """The inverted-list index with every list probed, which is exact."""
+    return _index_search(spark, sf, 16)
+
+
+@query()
+def index_search(spark, sf):
+    """Half of the lists probed; recall is measured against brute force in the tests."""
+    return _index_search(spark, sf, 8)
+
+
+def _index_search(spark, sf, probes):
+    v = _vecs(spark, sf).select("id", "vec")
+    centres = vectors.index_lists(v, 16)
+    return vectors.search_index(vectors.indexed(v, centres), v.where("id % 100 = 0"), centres, probes=probes).withColumn("rank", F.col("rank").cast("long"))
+
+
 @query(f"SELECT src, round(avg(score), 5) AS density FROM ({_KNN}) GROUP BY src")
 def knn_density(spark, sf):
     return _knn(spark, sf).groupBy("src").agg(F.round(F.avg("score"), 5).alias("density"))

@@ -589,3 +589,23 @@ def test_fragments_of_short_and_empty_files(spark):
     for r in sorted(lake.fragments(d, 1).collect(), key=lambda r: (r.checksum, r.idx)):
         got[r.checksum] = got.get(r.checksum, b"") + bytes(r.content)
     assert got == {"a": b"x", "b": b"y" * 31, "c": b"z" * 5000}
+
+
+def test_index_search_finds_what_brute_force_finds(spark):
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(12, 16))
+    rows = [(i, [float(x) for x in base[i % 12] + 0.6 * rng.normal(size=16)]) for i in range(1500)]
+    d = spark.createDataFrame(rows + [(9999, None)], "id long, vec array<double>")
+    centres = vectors.index_lists(d, 12, 500)
+    index, q = vectors.indexed(d, centres), d.where("id % 100 = 0")
+    pairs = lambda df: {(r.src, r.dst) for r in df.collect()}
+    want = pairs(vectors.knn(d.where("vec is not null"), q, 10))
+    got = pairs(vectors.search_index(index, q, centres, 10, probes=4))
+    assert index.count() == 1500 and len(got & want) >= 0.9 * len(want)
+    assert pairs(vectors.search_index(index, q, centres, 10, probes=len(centres))) == want
+
+
+def test_index_of_an_empty_table(spark):
+    d = spark.createDataFrame([], "id long, vec array<double>")
+    centres = vectors.index_lists(d)
+    assert vectors.search_index(vectors.indexed(d, centres), d, centres).count() == 0
