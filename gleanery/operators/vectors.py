@@ -198,9 +198,9 @@ def indexed(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
 
 
 def search_index(index: DataFrame, queries: DataFrame, centres: np.ndarray, k: int = 20, probes: int = 16) -> DataFrame:
-    """src, dst, score, rank like ``knn``, but only of the ``probes`` lists nearest to a query (all lists: exact).  Queries meet
-    lists by an equi-join, so a list that holds many rows is split where it is skewed, and each task keeps k rows a
-    query before anything is shuffled again."""
+    """src, dst, score, rank like ``knn``, but only of the ``probes`` lists nearest to a query (all lists: exact); how many
+    give the wanted recall depends on the vectors and has to be measured.  Queries meet lists by an equi-join, so a list
+    that holds many rows is split where it is skewed, and each task keeps k rows a query before anything is shuffled again."""
     q = _nearest_lists(queries, centres, probes).withColumnsRenamed({"id": "src", "unit": "q"})
     dot = F.aggregate(F.zip_with("q", "unit", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
     near = q.join(index, "list").where(F.col("src") != F.col("id")).select("src", F.col("id").alias("dst"), F.round(dot, 6).alias("score"))

@@ -431,8 +431,8 @@ def index_search_all(spark, sf):
 
 @query()
 def index_search(spark, sf):
-    """Half of the lists probed; recall is measured against brute force in the tests."""
-    return _index_search(spark, sf, 8)
+    """13 of 16 lists probed: these vectors hardly cluster, and with 8 a recall of 0.9 is not reached."""
+    return _index_search(spark, sf, 13)
 
 
 def _index_search(spark, sf, probes):

@@ -609,3 +609,10 @@ def test_index_of_an_empty_table(spark):
     d = spark.createDataFrame([], "id long, vec array<double>")
     centres = vectors.index_lists(d)
     assert vectors.search_index(vectors.indexed(d, centres), d, centres).count() == 0
+
+
+def test_registered_index_search_has_the_recall_it_states(spark, sf):
+    from gleanery.plans import queries
+
+    got, want = ({(r.src, r.dst) for r in queries.queries()[name](spark, sf).collect()} for name in ("index_search", "knn_edges"))
+    assert len(got & want) >= 0.9 * len(want)
