@@ -69,12 +69,24 @@ def _blocks(b: pa.RecordBatch, col: int) -> np.ndarray:
     return b.column(col).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1)
 
 
-def _query_blocks(frame: DataFrame, block: int) -> Iterator[list]:
-    """The rows of (id, ...) in parts of about ``block``, dealt by the hash of the id; one part at a time is gathered."""
-    n = -(-frame.count() // block)
-    for k in range(n):
-        if part := frame.where(F.pmod(F.xxhash64("id"), F.lit(n)) == k).collect():
-            yield part
+def _block_pairs(queries: DataFrame, rows: DataFrame, block: int, row_block: int, run: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``run`` over every pair of a block of ``queries`` and a block of ``rows`` (both id, vec, ...; a null vector is in none),
+    one task a pair.  Blocks are dealt by the hash of the row and hold about ``block`` and ``row_block`` rows; queries are
+    copied once a block of rows and rows once a block of queries, and nothing but the two counts reaches the driver."""
+    q = queries.where("vec is not null").select(*[F.col(c).alias(c) for c in queries.columns])  # also where both are one frame
+    r = rows.where("vec is not null")
+    nq, nr = max(1, -(-q.count() // block)), max(1, -(-r.count() // row_block))
+    at = lambda n: F.pmod(F.xxhash64("id", "vec"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = q.withColumn("qb", at(nq)).withColumn("rb", every(nr))
+    r = r.withColumn("rb", at(nr)).withColumn("qb", every(nq))
+    return q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInArrow(run, schema)
+
+
+def _matrix(t: pa.Table) -> np.ndarray:
+    """The vectors of a block as rows."""
+    v = t.column("vec").combine_chunks()
+    return v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(t.num_rows, -1)
 
 
 def kmeans(points: DataFrame, k: int, rounds: int = 10) -> DataFrame:
@@ -132,32 +144,27 @@ def kmeans(points: DataFrame, k: int, rounds: int = 10) -> DataFrame:
     return pts.mapInArrow(assign(cs), "id long, label long")
 
 
-def knn(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = 4096) -> DataFrame:
+def knn(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = 16_384, row_block: int = 16_384) -> DataFrame:
     """src, dst, score, rank: for every query the k rows with the largest cosine, itself not counted, ties to the smaller
-    id.  Exact.  Queries go out in blocks of bounded size; each task keeps k rows a query before anything is shuffled."""
-    out = None
-    for part in _query_blocks(queries.select(F.col("id").cast("long").alias("id"), "vec"), block):
-        qi, qv = np.array([r.id for r in part]), np.array([r.vec for r in part], np.float64)
-        qv /= np.maximum(np.linalg.norm(qv, axis=1, keepdims=True), 1e-12)
-        held = vectors.sparkSession.sparkContext.broadcast((qi, qv))
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            qi, qv = held.value
-            for b in batches:
-                v = _blocks(b, 1)
-                v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-                ids, sim = b.column(0).to_numpy(), np.round(qv @ v.T, 6)
-                src, dst, sc = [], [], []
-                for i in range(len(qi)):
-                    ok = np.flatnonzero(ids != qi[i])
-                    best = ok[np.lexsort((ids[ok], -sim[i, ok]))[:k]]
-                    src.append(np.full(len(best), qi[i])), dst.append(ids[best]), sc.append(sim[i, best])
-                yield pa.record_batch([pa.array(np.concatenate(src)), pa.array(np.concatenate(dst)), pa.array(np.concatenate(sc))], names=["src", "dst", "score"])
-
-        got = vectors.select(F.col("id").cast("long").alias("id"), "vec").mapInArrow(run, "src long, dst long, score double")
-        out = got if out is None else out.union(got)
-    if out is None:
-        return vectors.sparkSession.createDataFrame([], "src long, dst long, score double, rank int")
+    id.  Exact.  Blocks of queries meet blocks of rows; each pair of blocks keeps k rows a query before they are shuffled
+    again.  A null vector neither asks nor answers."""
+
+    def run(q: pa.Table, r: pa.Table) -> pa.Table:
+        src, dst, score = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
+        if q.num_rows and r.num_rows:
+            unit = lambda v: v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+            qi, ids, qv, v = q.column("id").to_numpy(), r.column("id").to_numpy(), unit(_matrix(q)), unit(_matrix(r)).T
+            for lo in range(0, len(qi), 256):  # 32 MB of scores at a time
+                for i, sim in zip(qi[lo : lo + 256], np.round(qv[lo : lo + 256] @ v, 6)):
+                    ok = np.flatnonzero(ids != i)
+                    if len(ok) > k:  # all that are as good as the k-th: ties are settled by id
+                        ok = ok[sim[ok] >= np.partition(sim[ok], -k)[-k]]
+                    best = ok[np.lexsort((ids[ok], -sim[ok]))[:k]]
+                    src.append(np.full(len(best), i)), dst.append(ids[best]), score.append(sim[best])
+        return pa.table({"src": np.concatenate(src), "dst": np.concatenate(dst), "score": np.concatenate(score)})
+
+    both = (d.select(F.col("id").cast("long").alias("id"), "vec") for d in (queries, vectors))
+    out = _block_pairs(*both, block, row_block, run, "src long, dst long, score double")
     w = Window.partitionBy("src").orderBy(F.col("score").desc(), "dst")
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -208,29 +215,25 @@ def search_index(index: DataFrame, queries: DataFrame, centres: np.ndarray, k: i
     return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def silhouette(points: DataFrame, block: int = 4096) -> DataFrame:
+def silhouette(points: DataFrame, block: int = 4096, row_block: int = 16_384) -> DataFrame:
     """id, label, silhouette of (id, vec, label): exact Euclidean; a cluster of one has 0.
 
-    Points go out in blocks of bounded size, each task adds up distances per block point and label.
+    Blocks of points meet blocks of points; each pair of blocks adds up distances per point and label.
     """
     p = points.select(F.col("id").cast("long").alias("id"), "vec", F.col("label").cast("long").alias("label"))
-    out = None
-    for part in _query_blocks(p, block):
-        held = p.sparkSession.sparkContext.broadcast((np.array([r.id for r in part]), np.array([r.vec for r in part], np.float64)))
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            qi, qv = held.value
-            for b in batches:
-                v, lab = _blocks(b, 1), b.column(2).to_numpy()
-                dist = np.stack([np.sqrt(((qv - x) ** 2).sum(1)) for x in v], axis=1)
-                for one in np.unique(lab):
-                    at_ = lab == one
-                    yield pa.record_batch([pa.array(qi), pa.array(np.full(len(qi), one)), pa.array(dist[:, at_].sum(1)), pa.array(np.full(len(qi), at_.sum()))], names=["id", "other", "s", "n"])
-
-        got = p.mapInArrow(run, "id long, other long, s double, n long")
-        out = got if out is None else out.union(got)
-    if out is None:
-        return p.select("id", "label", F.lit(0.0).alias("silhouette"))
+    def run(q: pa.Table, r: pa.Table) -> pa.Table:
+        qi, lab = q.column("id").to_numpy(), r.column("label").to_numpy()
+        labels, at = np.unique(lab, return_inverse=True)
+        total = np.zeros((len(labels), len(qi)))
+        if len(qi) and len(lab):
+            qv = _matrix(q)
+            for x, j in zip(_matrix(r), at):
+                total[j] += np.sqrt(((qv - x) ** 2).sum(1))
+        n = np.bincount(at, minlength=len(labels)).astype(np.int64)
+        return pa.table({"id": np.tile(qi, len(labels)).astype(np.int64), "other": np.repeat(labels, len(qi)).astype(np.int64), "s": total.ravel(), "n": np.repeat(n, len(qi))})
+
+    out = _block_pairs(p.select("id", "vec"), p, block, row_block, run, "id long, other long, s double, n long")
     d = out.groupBy("id", "other").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).join(p.select("id", "label"), "id")
     own = F.col("other") == F.col("label")
     ab = d.groupBy("id", "label").agg(F.max(F.when(own & (F.col("n") > 1), F.col("s") / (F.col("n") - 1))).alias("a"), F.min(F.when(~own, F.col("s") / F.col("n"))).alias("b"))

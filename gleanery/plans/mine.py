@@ -17,7 +17,7 @@ def mine_dataset(spark: SparkSession, source: str, root: str, dataset_id: str, r
     Chunks are built within the row of their file, so documents need no shuffle to get their scores; an empty folder
     gives empty, valid tables.
     """
-    found = files.scan(spark, source, include, exclude, empty=True)
+    found = files.scan(spark, source, include, exclude, every=True)
     files.store_blobs(found, f"{root}/bronze_raw")
     text = files.decoded(found)
     rows = mining.chunk_arrays(text.drop("content"))

@@ -385,7 +385,7 @@ def _mmr_sql(k: int, lam: float, cap: int) -> str:
     for r in range(1, k + 1):
         seen = f"p{r - 1}"
         free = f"SELECT * FROM c WHERE (query_id, chunk_id) NOT IN (SELECT query_id, chunk_id FROM {seen}) AND (query_id, doc_uid) NOT IN (SELECT query_id, doc_uid FROM {seen} GROUP BY ALL HAVING count(*) >= {cap})"
-        near = f"SELECT *, {lam} * score - (1 - {lam}) * coalesce((SELECT max(list_cosine_similarity(f.v, s.v)) FROM {seen} s WHERE s.query_id = f.query_id), 0) AS sc FROM ({free}) f"
+        near = f"SELECT *, {lam} * score - (1 - {lam}) * coalesce((SELECT max(coalesce(list_cosine_similarity(f.v, s.v), 0)) FROM {seen} s WHERE s.query_id = f.query_id), 0) AS sc FROM ({free}) f"
         out.append(f"p{r} AS MATERIALIZED (SELECT * FROM {seen} UNION ALL SELECT query_id, doc_uid, chunk_id, v, {r} FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sc DESC, score DESC, pos) AS best FROM ({near}) WHERE sc > -1) WHERE best = 1)")
     return ", ".join(out) + f" SELECT query_id, chunk_id, CAST(rank AS BIGINT) AS rank FROM p{k}"
 
@@ -571,6 +571,19 @@ def recipe_normalized(spark, sf):
     return lake.normalized(lake.extractions(d)).drop("text", "minhash_sig")
 
 
+_FOLDED = r"trim(regexp_replace(text, '[\s\x0b\x1c-\x1f\x{85}\p{Z}]+', ' ', 'g'))"
+
+
+@query(f"""WITH d AS (SELECT doc_id, sha256(rtext || 'v1') AS ext_cid, sha256({_FOLDED.replace('text', 'rtext')}) AS norm_hash, length({_FOLDED.replace('text', 'rtext')}) AS chars FROM {DOCS_RISK})
+  SELECT min(doc_id) AS first_doc, sha256(ext_cid || norm_hash || 'v1') AS norm_cid, ext_cid, norm_hash, chars FROM d GROUP BY ALL""")
+def recipe_ids(spark, sf):
+    """What of the normalized rows SQL can say: their ids, hash and length, one row a distinct text."""
+    d = docs_risk(spark, sf)
+    ext = lake.extractions(d.select(F.col("doc_id").cast("string").alias("blob_cid"), "text"))
+    first = ext.groupBy("ext_cid").agg(F.min(F.col("blob_cid").cast("long")).alias("first_doc"))
+    return lake.normalized(ext).join(first, "ext_cid").select("first_doc", "norm_cid", "ext_cid", "norm_hash", F.length("text").alias("chars"))
+
+
 @query()
 def simhash_signatures(spark, sf):
     return simhash.simhash64(_t(spark, sf, "documents"))
@@ -659,13 +672,32 @@ def inverted_index(spark, sf):
     return ranking.inverted_index(_t(spark, sf, "documents"))
 
 
+_WORDS = ["idiot", "pour", "under"]
+_HYBRID = f"""tok AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '') AS t FROM documents),
+  q AS (SELECT unnest({_WORDS}) AS term), size AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM tok), tf AS (SELECT doc_id, len(t) AS len, term, len(list_filter(t, lambda x: x = term)) AS tf FROM tok, q),
+  df AS (SELECT term, count(*) AS df FROM tf WHERE tf > 0 GROUP BY term),
+  lex AS (SELECT doc_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))) AS bm25 FROM tf JOIN df USING (term), size WHERE tf > 0 GROUP BY doc_id ORDER BY bm25 DESC, doc_id LIMIT 100),
+  e AS (SELECT vec_id AS doc_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents)),
+  dense AS (SELECT doc_id, list_cosine_similarity(v, (SELECT v FROM e WHERE doc_id = 0)) AS sim FROM e ORDER BY sim DESC, doc_id LIMIT 100),
+  places AS (SELECT doc_id, row_number() OVER (ORDER BY bm25 DESC, doc_id) AS place FROM lex UNION ALL SELECT doc_id, row_number() OVER (ORDER BY sim DESC, doc_id) FROM dense),
+  c AS MATERIALIZED (SELECT 'q' AS query_id, d.source AS doc_uid, d.doc_id AS chunk_id, d.doc_id AS pos, e.v, d.text,
+    1 / (1 + exp(-(1.2 * rrf + 0.6 * coalesce(sim, 0) + 0.3 * coalesce(bm25, 0) - 0.1 * coalesce(length(d.text), 0) / 10000.0 - 0.2 * 365 / 30.0))) AS score
+    FROM (SELECT doc_id, sum(0.5 / (60.0 + place)) AS rrf FROM places GROUP BY doc_id) f JOIN documents d USING (doc_id) LEFT JOIN lex USING (doc_id) LEFT JOIN dense USING (doc_id) LEFT JOIN e USING (doc_id))"""
+
+
 @query()
 def hybrid_search(spark, sf):
     """All documents, searched by three words and, where there is a vector of the same number, the vector of row 0."""
     v = _vecs(spark, sf).select("id", F.col("vec").alias("embedding"))
     d = _t(spark, sf, "documents").select(F.col("source").alias("doc_uid"), F.col("doc_id").alias("chunk_id"), "text")
     first = v.where("id = 0").first()
-    return ranking.hybrid_search(d.join(v, d.chunk_id == v.id, "left").drop("id"), ["idiot", "pour", "under"], list(first.embedding))
+    return ranking.hybrid_search(d.join(v, d.chunk_id == v.id, "left").drop("id"), _WORDS, list(first.embedding))
+
+
+@query(f"WITH {_HYBRID}, p AS ({{picks}}) SELECT p.rank, c.doc_uid, p.chunk_id, round(c.score, 6) AS score, c.text FROM p JOIN c USING (chunk_id)".replace("{picks}", "WITH " + _mmr_sql(10, 0.7, 2)))
+def hybrid_search_rounded(spark, sf):
+    """The same with scores rounded, as logarithms differ in their last digit between engines."""
+    return hybrid_search(spark, sf).withColumn("score", F.round("score", 6))
 
 
 @query(f"SELECT doc_id, CASE mode " + " ".join(f"WHEN '{m}' THEN '{x.splitlines()[0]}'" for m, x in ranking.POLICIES.items()) + f" END AS policy FROM ({_ORACLE['answer_mode']})")

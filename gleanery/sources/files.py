@@ -15,18 +15,20 @@ from gleanery.functions.content import deep_urls, part_assets, part_types, parts
 from gleanery.functions.text import epoch_iso
 
 
-def scan(spark: SparkSession, path: str, include: str | None = None, exclude: str | None = None, empty: bool = False) -> DataFrame:
-    """path, mime, bytes, checksum, modified_ts, content of every regular file below ``path``; names that begin with a dot
-    or an underscore are left out.  Spark's listing passes over files without a byte; ``empty`` adds them, from a listing
-    on the driver of file states alone."""
+def scan(spark: SparkSession, path: str, include: str | None = None, exclude: str | None = None, every: bool = False) -> DataFrame:
+    """path, mime, bytes, checksum, modified_ts, content of the regular files below ``path``.  Spark's listing passes over
+    files without a byte, and over names (of folders too) that begin with a dot or an underscore; ``every`` adds those.
+    They are found by a listing of file states on the driver and read by the executors, which must be able to open the
+    path themselves: a mounted folder, or a store that pyarrow knows.  One that can't be opened is left out."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
     if include:
         reader = reader.option("pathGlobFilter", include)
     d = reader.load(path).select("path", "length", "modificationTime", "content")
-    if empty:
-        rows = [r for r in _empty_files(spark, path) if not include or fnmatch.fnmatch(r[0].rsplit("/", 1)[1], include)]
-        none = spark.createDataFrame(rows, "path string, ms long")
-        d = d.union(none.select("path", F.lit(0).cast("long"), F.timestamp_millis("ms"), F.lit(b"")))
+    if every:
+        rows = [r for r in _passed_over(spark, path) if not include or fnmatch.fnmatch(r[0].rsplit("/", 1)[1], include)]
+        rest = spark.createDataFrame(rows, "path string, length long, ms long").repartition(max(1, min(len(rows), spark.sparkContext.defaultParallelism)))
+        rest = rest.mapInArrow(_with_content, "path string, length long, ms long, content binary").where("content is not null")
+        d = d.union(rest.select("path", "length", F.timestamp_millis("ms"), "content"))
     if exclude:
         d = d.where(~F.col("path").rlike(exclude))
     known = F.create_map(*[F.lit(x) for e, m in sorted(mimetypes.types_map.items()) for x in (e, m)])
@@ -34,16 +36,49 @@ def scan(spark: SparkSession, path: str, include: str | None = None, exclude: st
     return d.select("path", F.coalesce(F.try_element_at(known, ext), F.lit("application/octet-stream")).alias("mime"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("checksum"), F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("modified_ts"), "content")
 
 
-def _empty_files(spark: SparkSession, root: str) -> list[tuple[str, int]]:
+def _passed_over(spark: SparkSession, root: str) -> list[tuple[str, int, int]]:
+    """path, length and time of the files below ``root`` that Spark's listing leaves out."""
     p = spark._jvm.org.apache.hadoop.fs.Path(root)
-    found, every = [], p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True)
-    while every.hasNext():
-        f = every.next()
-        if f.getLen() == 0 and not f.getPath().getName().startswith((".", "_")):
-            found.append((f.getPath().toString(), f.getModificationTime()))
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    top = len(fs.makeQualified(p).toString().rstrip("/"))
+    found, each = [], fs.listFiles(p, True)
+    while each.hasNext():
+        f = each.next()
+        at, n = f.getPath().toString(), f.getLen()
+        if n == 0 or any(map(_hidden, at[top:].split("/"))):
+            found.append((at, n, f.getModificationTime()))
     return found
 
 
+def _hidden(name: str) -> bool:
+    """Whether Spark's listing leaves a file or folder of this name out."""
+    if name.startswith(("_metadata", "_common_metadata")):
+        return False
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+def _with_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds each path's content, a file at a time; null where it can't be opened."""
+    from pyarrow import fs
+
+    def read(path: str) -> bytes | None:
+        try:
+            if path.startswith("file:"):  # not every character that a file's name can have is one of a URI
+                with open("/" + path[5:].lstrip("/"), "rb") as f:
+                    return f.read()
+            store, at = fs.FileSystem.from_uri(path)
+            with store.open_input_stream(at) as f:
+                return f.read()
+        except (OSError, pa.ArrowInvalid):
+            return None
+
+    for b in batches:
+        for i in range(b.num_rows):
+            n = b.column(1)[i].as_py()
+            data = b"" if n == 0 else read(b.column(0)[i].as_py())
+            yield pa.record_batch([*b.slice(i, 1).columns, pa.array([data], pa.binary())], names=[*b.schema.names, "content"])
+
+
 def detect_charset(data: bytes) -> str:
     """By byte order mark, else UTF-8 where the first 100,000 bytes are valid (a cut character at their end aside), else Latin-1."""
     for mark, name in ((codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF32_LE, "utf-32"), (codecs.BOM_UTF32_BE, "utf-32"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16")):

@@ -320,7 +320,7 @@ def test_knn_is_exact(spark):
     v = rng.normal(size=(60, 8))
     d = spark.createDataFrame([(i, v[i].tolist()) for i in range(60)], "id long, vec array<double>")
     u = v / np.linalg.norm(v, axis=1, keepdims=True)
-    got = {(r.src, r["rank"]): r.dst for r in vectors.knn(d, d.where("id < 3"), 4, block=2).collect()}
+    got = {(r.src, r["rank"]): r.dst for r in vectors.knn(d, d.where("id < 3"), 4, block=2, row_block=9).collect()}
     for q in range(3):
         order = [i for i in np.argsort(-(u @ u[q])) if i != q][:4]
         assert [got[q, k + 1] for k in range(4)] == order
@@ -616,3 +616,30 @@ def test_registered_index_search_has_the_recall_it_states(spark, sf):
 
     got, want = ({(r.src, r.dst) for r in queries.queries()[name](spark, sf).collect()} for name in ("index_search", "knn_edges"))
     assert len(got & want) >= 0.9 * len(want)
+
+
+def test_scan_of_hidden_and_empty_files(spark, tmp_path):
+    for name in (".env", ".git/config", "_notes/a b#1.txt", "sub/_x.txt", "k=1/_y=2.txt", "empty.txt", ".none", "plain.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if name in ("empty.txt", ".none") else name.encode())
+    names = lambda d: {r.path.split(tmp_path.name + "/", 1)[1]: bytes(r.content) for r in d.collect()}
+    got = names(files.scan(spark, str(tmp_path), every=True))
+    want = {str(p.relative_to(tmp_path)): p.read_bytes() for p in tmp_path.rglob("*") if p.is_file()}
+    assert {k.replace("%20", " ").replace("%23", "#"): v for k, v in got.items()} == want and len(got) == 8
+    assert files.scan(spark, str(tmp_path), every=True).count() == 8  # none of them twice
+    assert set(names(files.scan(spark, str(tmp_path), include="*.txt", exclude="/_notes/", every=True))) == {"sub/_x.txt", "k=1/_y=2.txt", "empty.txt", "plain.txt"}
+
+
+def test_silhouette_in_blocks_and_null_vectors(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=4).tolist(), i % 3) for i in range(50)]
+    schema = "id long, vec array<double>, label long"
+    whole, cut = ({r.id: r.silhouette for r in vectors.silhouette(spark.createDataFrame(x, schema), *b).collect()} for x, b in ((rows, ()), (rows + [(99, None, 1)], (7, 11))))
+    v, lab = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    dist = np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1))
+    for i in range(50):
+        a = dist[i, lab == lab[i]].sum() / ((lab == lab[i]).sum() - 1)
+        b = min(dist[i, lab == x].mean() for x in range(3) if x != lab[i])
+        assert whole[i] == pytest.approx((b - a) / max(a, b)) == cut[i]
+    assert vectors.silhouette(spark.createDataFrame([], schema)).count() == 0
+    assert vectors.knn(spark.createDataFrame(rows[:1] + [(99, None, 1)], schema), spark.createDataFrame(rows[:1], schema)).count() == 0
