@@ -1,9 +1,9 @@
-"""Entity mentions by gazetteer: word runs of the texts meet the names of a list in a hash join."""
+"""Entity mentions: by gazetteer, where word runs of the texts meet the names of a list in a hash join, or by a recogniser."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -62,3 +62,25 @@ def mentions(chunks: DataFrame, gazetteer: DataFrame, max_words: int = 3) -> Dat
 
     found = chunks.select(F.col("chunk_id").cast("long").alias("chunk_id"), "text").mapInArrow(runs, MENTION)
     return found.join(names, "key").select("chunk_id", "entity_id", "offset_start", "offset_end")
+
+
+Recogniser = Callable[[list[str]], list[list[tuple[int, int, str]]]]
+
+
+def recognised(chunks: DataFrame, make: Callable[[], Recogniser], batch: int = 128) -> DataFrame:
+    """chunk_id, label, name, offset_start, offset_end (characters) of what a recogniser of one's own finds in (chunk_id, text):
+    of every text its (start, end, label).  ``make`` builds it once a task, so a model is loaded there; it gets ``batch``
+    texts at a time.  A null text counts as empty; topics of whole texts are spans from 0 to the text's end."""
+    shape = pa.schema([("chunk_id", pa.int64()), ("label", pa.string()), ("name", pa.string()), ("offset_start", pa.int64()), ("offset_end", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = make()
+        for b in batches:
+            for lo in range(0, b.num_rows, batch):
+                ids, texts = b.column(0).slice(lo, batch).to_pylist(), b.column(1).slice(lo, batch).to_pylist()
+                rows = [(i, label, t[start:end], start, end) for i, t, found in zip(ids, texts, find(texts)) for start, end, label in found]
+                if rows:
+                    yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), shape)], schema=shape)
+
+    d = chunks.select(F.col("chunk_id").cast("long").alias("chunk_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return d.mapInArrow(run, "chunk_id long, label string, name string, offset_start long, offset_end long")

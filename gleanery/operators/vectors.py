@@ -141,6 +141,7 @@ def kmeans(points: DataFrame, k: int, rounds: int = 10) -> DataFrame:
             total[r.label] += np.array(r.s)
             n[r.label] += r.n
         cs = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], cs)
+    pts.unpersist()  # labels are read once, from the source
     return pts.mapInArrow(assign(cs), "id long, label long")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import codecs
 import fnmatch
 import mimetypes
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -79,31 +80,43 @@ def _with_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.record_batch([*b.slice(i, 1).columns, pa.array([data], pa.binary())], names=[*b.schema.names, "content"])
 
 
+_C1 = re.compile(rb"[\x80-\x9f]")
+
+
 def detect_charset(data: bytes) -> str:
-    """By byte order mark, else UTF-8 where the first 100,000 bytes are valid (a cut character at their end aside), else Latin-1."""
+    """By byte order mark, else by the first 100,000 bytes: UTF-8 where they are valid (a cut character at their end aside),
+    UTF-16 where every second byte of a text of plain letters is zero, Windows-1252 where there are bytes that Latin-1 has
+    only control characters for, else Latin-1."""
     for mark, name in ((codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF32_LE, "utf-32"), (codecs.BOM_UTF32_BE, "utf-32"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16")):
         if data.startswith(mark):
             return name
+    head = data[:100_000]
+    even, odd = head[::2], head[1::2]
+    for zero, full, name in ((odd, even, "utf-16-le"), (even, odd, "utf-16-be")):
+        if len(zero) > 1 and not any(zero) and all(full):
+            return name
     try:
-        codecs.getincrementaldecoder("utf-8")().decode(data[:100_000])
+        codecs.getincrementaldecoder("utf-8")().decode(head)
         return "utf-8"
     except UnicodeDecodeError:
-        return "latin-1"
+        return "cp1252" if _C1.search(head) else "latin-1"
 
 
-def decode_bytes(data: bytes) -> str:
+def decode_bytes(data: bytes, charset: str | None = None) -> str:
     """What cannot be decoded is left out."""
-    return data.decode(detect_charset(data), "ignore")
+    return data.decode(charset or detect_charset(data), "ignore")
 
 
-def decoded(files: DataFrame) -> DataFrame:
-    """Adds charset and text (normalized); html has its scripts, styles and tags removed."""
+def decoded(files: DataFrame, detect: Callable[[bytes], str] = detect_charset) -> DataFrame:
+    """Adds charset and text (normalized); html has its scripts, styles and tags removed.  ``detect``: names the charset of
+    a file's bytes, as Python knows it."""
     from gleanery.functions.text import html_to_text, norm_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data = [x.as_py() for x in b.column(b.num_columns - 1)]
-            yield pa.record_batch([*b.columns[:-1], pa.array([detect_charset(x) if x is not None else None for x in data], pa.string()), pa.array([decode_bytes(x) if x is not None else None for x in data], pa.string())], names=[*b.schema.names[:-1], "charset", "text"])
+            sets = [detect(x) if x is not None else None for x in data]
+            yield pa.record_batch([*b.columns[:-1], pa.array(sets, pa.string()), pa.array([decode_bytes(x, c) if x is not None else None for x, c in zip(data, sets)], pa.string())], names=[*b.schema.names[:-1], "charset", "text"])
 
     names = [c for c in files.columns if c != "content"]
     shape = ", ".join(f"{n} {t}" for n, t in files.select(*names).dtypes)
@@ -147,12 +160,13 @@ def messages(spark: SparkSession, path: str) -> DataFrame:
 CONVERSATION = "struct<conversation_id:string,id:string,title:string,mapping:map<string,variant>>"
 
 
-def conversation_nodes(spark: SparkSession, path: str, null_text: str = "None") -> DataFrame:
+def conversation_nodes(spark: SparkSession, path: str, null_text: str = "None", place: bool = False) -> DataFrame:
     """Nodes of conversation exports (files hold one object or an array).  A file that isn't JSON gives no node.
 
     conv_id (conversation_id, id or title; else a digest of the file's path and the place in it), title, node_id,
     parent_id, children, create_time, create_time_iso, role, author_name, recipient, end_turn, status, type, part_types, text,
     assets, urls (of every string anywhere in the node), raw_content (JSON).  ``null_text`` is what a part's null text counts as.
+    ``place`` adds file and nth (the conversation's place in it), so that rows can be put in the order of the files' paths.
     """
     raw = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True).select("value", F.input_file_name().alias("file"))
     many = F.from_json("value", f"array<{CONVERSATION}>")
@@ -160,16 +174,17 @@ def conversation_nodes(spark: SparkSession, path: str, null_text: str = "None")
     c = raw.select("file", F.posexplode(F.when(F.ltrim("value").startswith("["), many).otherwise(one)).alias("at", "c")).where("c.mapping is not null")
     blank = lambda x: F.nullif(x, F.lit(""))
     conv_id = F.coalesce(blank(F.col("c.conversation_id")), blank(F.col("c.id")), blank(F.col("c.title")), F.sha2(F.concat_ws("|", "file", F.col("at").cast("string")), 256))
-    n = c.select(conv_id.alias("conv_id"), F.coalesce("c.title", F.lit("(untitled)")).alias("title"), F.explode("c.mapping").alias("node_id", "n"))
+    where = ["file", "nth"] if place else []
+    n = c.withColumn("nth", F.col("at").cast("long")).select(*where, conv_id.alias("conv_id"), F.coalesce("c.title", F.lit("(untitled)")).alias("title"), F.explode("c.mapping").alias("node_id", "n"))
     get = lambda path, kind="string": F.try_variant_get("n", f"$.{path}", kind)
     m = "message"
     n = n.select(
-        "conv_id", "title", "node_id", get("parent").alias("parent_id"), F.coalesce(get("children", "array<string>"), F.array().cast("array<string>")).alias("children"), get(f"{m}.create_time", "double").alias("create_time"), get(f"{m}.author.role").alias("role"), get(f"{m}.author.name").alias("author_name"),
+        *where, "conv_id", "title", "node_id", get("parent").alias("parent_id"), F.coalesce(get("children", "array<string>"), F.array().cast("array<string>")).alias("children"), get(f"{m}.create_time", "double").alias("create_time"), get(f"{m}.author.role").alias("role"), get(f"{m}.author.name").alias("author_name"),
         get(f"{m}.recipient").alias("recipient"), get(f"{m}.end_turn", "boolean").alias("end_turn"), get(f"{m}.status").alias("status"), get(f"{m}.content.content_type").alias("type"),
         F.coalesce(get(f"{m}.content.parts", "array<variant>"), F.array().cast("array<variant>")).alias("parts"), get(f"{m}.content", "variant").alias("content"), F.to_json("n").alias("node"),
     )
     return n.select(
-        "conv_id", "title", "node_id", "parent_id", "children", "create_time", epoch_iso(F.col("create_time")).alias("create_time_iso"), "role", "author_name", "recipient", "end_turn", "status", "type",
+        *where, "conv_id", "title", "node_id", "parent_id", "children", "create_time", epoch_iso(F.col("create_time")).alias("create_time_iso"), "role", "author_name", "recipient", "end_turn", "status", "type",
         part_types(F.col("type"), F.col("parts")).alias("part_types"), parts_text(F.col("type"), F.col("parts"), null_text).alias("text"), part_assets(F.col("parts")).alias("assets"), deep_urls(F.col("node")).alias("urls"), F.to_json("content").alias("raw_content"),
     )
 

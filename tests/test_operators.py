@@ -643,3 +643,34 @@ def test_silhouette_in_blocks_and_null_vectors(spark):
         assert whole[i] == pytest.approx((b - a) / max(a, b)) == cut[i]
     assert vectors.silhouette(spark.createDataFrame([], schema)).count() == 0
     assert vectors.knn(spark.createDataFrame(rows[:1] + [(99, None, 1)], schema), spark.createDataFrame(rows[:1], schema)).count() == 0
+
+
+def test_charsets(spark):
+    d = spark.createDataFrame([("a", "plain"), ("b", "naïve")], "path string, text string")
+    for name, text in (("utf-8", "naïve"), ("utf-16-le", "plain words"), ("utf-16-be", "plain words"), ("cp1252", "“naïve”"), ("latin-1", "naïve")):
+        data = text.encode(name)
+        assert files.detect_charset(data) == name and files.decode_bytes(data) == text
+    assert files.detect_charset(b"") == files.detect_charset(b"a\0") == files.detect_charset(b"a\0b") == "utf-8"
+    got = files.decoded(d.select("path", F.encode("text", "UTF-16BE").alias("content")), lambda _: "utf-16-be").collect()
+    assert {(r.path, r.charset, r.text) for r in got} == {("a", "utf-16-be", "plain"), ("b", "utf-16-be", "naïve")}
+
+
+def test_own_recogniser(spark):
+    import re
+
+    from gleanery.operators import entities
+
+    d = spark.createDataFrame([(1, "Anna met Bob."), (2, None), (3, "nobody")], "chunk_id int, text string")
+    make = lambda: lambda texts: [[(m.start(), m.end(), "PERSON") for m in re.finditer(r"[A-Z][a-z]+", t)] for t in texts]
+    got = [tuple(r) for r in entities.recognised(d, make, batch=2).orderBy("offset_start").collect()]
+    assert got == [(1, "PERSON", "Anna", 0, 4), (1, "PERSON", "Bob", 9, 12)]
+    assert entities.recognised(d.limit(0), make).count() == 0
+
+
+def test_nodes_in_the_order_of_their_files(spark, tmp_path):
+    conv = lambda i: {"conversation_id": i, "mapping": {"n" + i: {"id": "n" + i}}}
+    (tmp_path / "b.json").write_text(json.dumps([conv("1"), conv("0")]))
+    (tmp_path / "a.json").write_text(json.dumps(conv("2")))
+    d = files.conversation_nodes(spark, str(tmp_path), place=True)
+    assert [r.conv_id for r in d.orderBy("file", "nth").collect()] == ["2", "1", "0"]
+    assert d.drop("file", "nth").columns == files.conversation_nodes(spark, str(tmp_path)).columns
