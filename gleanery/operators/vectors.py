@@ -75,7 +75,7 @@ def _block_pairs(queries: DataFrame, rows: DataFrame, block: int, row_block: int
     copied once a block of rows and rows once a block of queries, and nothing but the two counts reaches the driver."""
     q = queries.where("vec is not null").select(*[F.col(c).alias(c) for c in queries.columns])  # also where both are one frame
     r = rows.where("vec is not null")
-    nq, nr = max(1, -(-q.count() // block)), max(1, -(-r.count() // row_block))
+    nq, nr = max(1, -(-queries.count() // block)), max(1, -(-rows.count() // row_block))  # reads no vector
     at = lambda n: F.pmod(F.xxhash64("id", "vec"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     q = q.withColumn("qb", at(nq)).withColumn("rb", every(nr))
