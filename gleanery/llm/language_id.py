@@ -180,15 +180,16 @@ LEAST = 0.3
 def in_known_language(docs: DataFrame, least: float = LEAST, per_language: int = SAMPLE) -> DataFrame:
     """The rows of ``docs``, all columns, whose text is in a learned language: predicted with a score of ``least`` or
     more.  Null texts and texts without letters go; repeated rows stay or go together; without a learned language all
-    rows go; an empty table gives an empty result.  No row is shuffled for it."""
+    rows go; an empty table gives an empty result.  No row is shuffled for it, and Python gets the texts alone and gives
+    back a boolean each, so that no Arrow batch holds the rows a second time on their way back."""
     model = fit(docs.where(~held_out()), per_language)
     held = docs.sparkSession.sparkContext.broadcast((model.languages, model.masks))
-    at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def known(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         f = Filter(*held.value)
-        for b in batches:
-            got = [f.score(t) for t in values(b.column(at))]
-            yield b.filter(pa.array([g[0] != "und" and g[1] >= least for g in got], pa.bool_()))
+        for column in columns:
+            got = (f.score(t) for t in values(column))
+            yield pa.array([lang != "und" and score >= least for lang, score in got], pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(known(F.col("text")))

@@ -492,6 +492,16 @@ def test_language_beyond_one_word(spark):
     assert len(got) == len(rows) and all(r.lang_pred == f"l{r.doc_id // 10:03}" for r in got if r.doc_id is not None) and {r.lang_pred for r in got if r.doc_id is None} == {"l001"}
 
 
+def test_known_language_reads_texts_alone(spark, sf):
+    docs = table(spark, sf, "documents").unionByName(frame(spark), allowMissingColumns=True)
+    got = language_id.in_known_language(docs)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and re.search(r"ArrowEvalPython \[known\(text#\d+\)", plan), plan  # no row goes to Python and back
+    model = language_id.fit(docs.where(~language_id.held_out()))
+    want = [r for r in docs.collect() if (p := model.score(r.text))[0] != "und" and p[1] >= language_id.LEAST]
+    assert got.schema == docs.schema and Counter(got.collect()) == Counter(want) and 0 < len(want) < docs.count()
+
+
 def test_language_odd(spark):
     got = language_id.language_id(frame(spark)).collect()
     assert len(got) == len(ODD) and all(r.lang_pred == "und" for r in got if r.doc_id in (1, 2, 3))
