@@ -109,7 +109,7 @@ def window_chunks(norm: DataFrame, recipe: str = "v1", size: int = 800, overlap:
     sums = F.aggregate(wide, F.struct(F.array().cast("array<bigint>").alias("starts"), F.lit(0).cast("long").alias("at")), lambda s, w: F.struct(F.concat(s.starts, F.array(s["at"])).alias("starts"), (s["at"] + w).cast("long").alias("at")), lambda s: s.starts)
     n = n.select("norm_cid", "t", F.posexplode(sums).alias("k", "start"))
     n = n.select("norm_cid", "start", F.array_join(F.slice("t", F.col("k") * step + 1, F.lit(size)), " ").alias("w"))
-    n = n.select("norm_cid", "start", "w", F.explode(F.sequence(F.lit(1), F.length("w"), F.lit(longest))).alias("from_"))
+    n = n.where("w <> ''").select("norm_cid", "start", "w", F.explode(F.sequence(F.lit(1), F.length("w"), F.lit(longest))).alias("from_"))
     c = n.select("norm_cid", (F.col("start") + F.col("from_") - 1).cast("long").alias("span_start"), F.substring("w", F.col("from_"), F.lit(longest)).alias("text"))
     return c.select(_cid(F.concat("norm_cid", F.col("span_start").cast("string"), "text"), recipe).alias("chunk_id"), "norm_cid", "span_start", (F.col("span_start") + F.length("text")).alias("span_end"), "text", F.sha2("text", 256).alias("norm_hash"))
 

@@ -7,7 +7,7 @@ import pytest
 
 from gleanery.plans import queries as q
 
-ODD = ["doc_catalog", "zones_written", "dataset_card", "card_written"]
+ODD = ["doc_catalog", "zones_written", "dataset_card", "card_written", "lake_chunks"]
 
 
 @pytest.fixture(scope="module")
