@@ -16,7 +16,7 @@ from gleanery.functions.content import envelope
 _FENCE = re.compile(r"```(?:\w+)?\n(.*?)```", re.S)
 
 
-def tree_order(nodes: DataFrame, max_depth: int = 10_000) -> DataFrame:
+def tree_order(nodes: DataFrame) -> DataFrame:
     """conv_id, seq, node_id, parent_id, depth: depth-first order of (conv_id, node_id, parent_id, create_time).
 
     Roots have no parent.  Siblings go by time, a missing time last, then by id; a node is visited once; one
@@ -32,7 +32,7 @@ def tree_order(nodes: DataFrame, max_depth: int = 10_000) -> DataFrame:
         rows, todo = [], [(n, None, 0) for _, n in sorted(kids.get(None, []), reverse=True)]
         while todo:
             node, parent, depth = todo.pop()
-            if node in seen or depth > max_depth:
+            if node in seen:
                 continue
             seen.add(node)
             rows.append((key[0].as_py(), len(rows), node, parent, depth))

@@ -5,6 +5,7 @@ import shutil
 import duckdb
 import pytest
 
+from gleanery.operators import chat
 from gleanery.plans import queries as q
 
 ODD = ["doc_catalog", "zones_written", "dataset_card", "card_written", "lake_chunks"]
@@ -29,3 +30,11 @@ def test_odd_texts(spark, odd, name):
     cols = sorted(got.columns)
     want = con.sql("SELECT " + ", ".join(cols) + f" FROM ({q.oracle_sql()[name]})").fetchall()
     assert sorted(map(tuple, got.select(cols).collect()), key=str) == sorted(want, key=str)
+
+
+def test_deep_conversation_is_whole(spark):
+    n = 10_050
+    schema = "conv_id string, node_id string, parent_id string, create_time double, children array<string>, role string, recipient string, author_name string"
+    nodes = spark.createDataFrame([("c", str(i), str(i - 1) if i else None, float(i), [str(i + 1)] if i < n - 1 else [], "user", None, None) for i in range(n)], schema)
+    got = chat.ordered_turns(nodes).orderBy("seq").collect()
+    assert [(r.node_id, r.depth, r.role) for r in got] == [(str(i), i, "user") for i in range(n)]
