@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -216,25 +217,57 @@ def search_index(index: DataFrame, queries: DataFrame, centres: np.ndarray, k: i
     return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def _distance_sums(a: np.ndarray, a_from: np.ndarray, b: np.ndarray, b_from: np.ndarray, tile: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of Euclidean distances from every row of ``a`` to each group of ``b`` and from every row of ``b`` to each group
+    of ``a``; ``*_from`` are the rows where the groups start.  Each distance is computed once, as the product of rows that hold
+    their squares, too; where that would cancel, from the differences."""
+    x, y = a - b.mean(0), b - b.mean(0)
+    aa, bb = (x * x).sum(1), (y * y).sum(1)
+    left, right = np.hstack([x, aa[:, None], np.ones((len(a), 1))]), np.vstack([-2 * y.T, np.ones((1, len(b))), bb[None]])
+    to_b, to_a = np.empty((len(a), len(b_from))), np.zeros((len(a_from), len(b)))
+    for lo in range(0, len(a), tile):
+        d = left[lo : lo + tile] @ right
+        near = np.flatnonzero(d < 1e-4 * (aa[lo : lo + tile, None] + bb.max()))
+        np.sqrt(np.maximum(d, 0, out=d), out=d)
+        for k in range(0, len(near), 16_384):
+            i, j = np.divmod(near[k : k + 16_384], len(b))
+            d[i, j] = np.sqrt(((a[lo + i] - b[j]) ** 2).sum(1))
+        to_b[lo : lo + tile] = np.add.reduceat(d, b_from, axis=1)
+        first, last = np.searchsorted(a_from, [lo, lo + len(d) - 1], "right") - 1
+        to_a[first : last + 1] += np.add.reduceat(d, np.maximum(a_from[first : last + 1] - lo, 0), axis=0)
+    return to_b, to_a
+
+
 def silhouette(points: DataFrame, block: int = 4096, row_block: int = 16_384) -> DataFrame:
     """id, label, silhouette of (id, vec, label): exact Euclidean; a cluster of one has 0.
 
-    Blocks of points meet blocks of points; each pair of blocks adds up distances per point and label.
+    Blocks of points meet blocks of points, each two of them once and in one task; a pair of blocks adds up distances per point
+    and label, both ways.  A block holds ``block`` rows or, where there are eight blocks of that size, up to
+    ``row_block``; only ``block`` where over 1024 labels would make the sums of a pair large.
     """
     p = points.select(F.col("id").cast("long").alias("id"), "vec", F.col("label").cast("long").alias("label"))
-
-    def run(q: pa.Table, r: pa.Table) -> pa.Table:
-        qi, lab = q.column("id").to_numpy(), r.column("label").to_numpy()
-        labels, at = np.unique(lab, return_inverse=True)
-        total = np.zeros((len(labels), len(qi)))
-        if len(qi) and len(lab):
-            qv = _matrix(q)
-            for x, j in zip(_matrix(r), at):
-                total[j] += np.sqrt(((qv - x) ** 2).sum(1))
-        n = np.bincount(at, minlength=len(labels)).astype(np.int64)
-        return pa.table({"id": np.tile(qi, len(labels)).astype(np.int64), "other": np.repeat(labels, len(qi)).astype(np.int64), "s": total.ravel(), "n": np.repeat(n, len(qi))})
-
-    out = _block_pairs(p.select("id", "vec"), p, block, row_block, run, "id long, other long, s double, n long")
+    r = p.where("vec is not null")
+    rows, labels = r.agg(F.count(F.lit(1)), F.count_distinct("label")).first()  # reads no vector
+    n = max(1, -(-rows // (row_block if labels <= 1024 else block)), min(8, -(-rows // block)))
+
+    def run(t: pa.Table) -> pa.Table:
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        t = t.sort_by("label")
+        sides = [t.filter(pc.equal(t.column("at"), x)) for x in ({i: 0, j: 0} if i != j else (i,))]
+        ids, vecs = [x.column("id").to_numpy() for x in sides], [_matrix(x) for x in sides]
+        groups = [np.unique(x.column("label").to_numpy(), return_index=True, return_counts=True) for x in sides]
+        out = {"id": [np.empty(0, np.int64)], "other": [np.empty(0, np.int64)], "s": [np.empty(0)], "n": [np.empty(0, np.int64)]}
+        if all(map(len, ids)):
+            to_b, to_a = _distance_sums(vecs[0], groups[0][1], vecs[-1], groups[-1][1])
+            for x, (labels, _, size), sums in ((ids[0], groups[-1], to_b), (ids[-1], groups[0], to_a.T))[: len(sides)]:
+                for k, v in (("id", np.repeat(x, len(labels))), ("other", np.tile(labels, len(x))), ("s", sums.ravel()), ("n", np.tile(size, len(x)))):
+                    out[k].append(v.astype(out[k][0].dtype))
+        return pa.table({k: np.concatenate(v) for k, v in out.items()})
+
+    at = F.pmod(F.xxhash64("id", "vec"), F.lit(n)).cast("int")
+    r = r.withColumn("at", at).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select("id", "vec", "label", "at", F.least("at", "k").alias("i"), F.greatest("at", "k").alias("j"))
+    # partitions by number: what is small to read is long to compute, so none are put together
+    out = r.repartition(min(n * (n + 1), 4096), "i", "j").groupBy("i", "j").applyInArrow(run, "id long, other long, s double, n long")
     d = out.groupBy("id", "other").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).join(p.select("id", "label"), "id")
     own = F.col("other") == F.col("label")
     ab = d.groupBy("id", "label").agg(F.max(F.when(own & (F.col("n") > 1), F.col("s") / (F.col("n") - 1))).alias("a"), F.min(F.when(~own, F.col("s") / F.col("n"))).alias("b"))

@@ -3,9 +3,10 @@
 import shutil
 
 import duckdb
+import numpy as np
 import pytest
 
-from gleanery.operators import chat
+from gleanery.operators import chat, vectors
 from gleanery.plans import queries as q
 
 ODD = ["doc_catalog", "zones_written", "dataset_card", "card_written", "lake_chunks"]
@@ -38,3 +39,28 @@ def test_deep_conversation_is_whole(spark):
     nodes = spark.createDataFrame([("c", str(i), str(i - 1) if i else None, float(i), [str(i + 1)] if i < n - 1 else [], "user", None, None) for i in range(n)], schema)
     got = chat.ordered_turns(nodes).orderBy("seq").collect()
     assert [(r.node_id, r.depth, r.role) for r in got] == [(str(i), i, "user") for i in range(n)]
+
+
+def test_distance_sums_both_ways():
+    """Groups over tiles' borders, copies and near copies far from the origin."""
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=(150, 5)) + 1000, rng.normal(size=(90, 5)) + 1000
+    b[:40], b[40:50] = a[:40], a[40:50] + 1e-7
+    a_from, b_from = np.array([0, 3, 64, 100]), np.array([0, 1, 60])
+    d = np.sqrt(((a[:, None] - b[None]) ** 2).sum(-1))
+    to_b, to_a = vectors._distance_sums(a, a_from, b, b_from)
+    assert np.allclose(to_b, np.add.reduceat(d, b_from, axis=1), rtol=1e-12, atol=0) and np.allclose(to_a, np.add.reduceat(d, a_from, axis=0), rtol=1e-12, atol=0)
+
+
+def test_silhouette_of_copies_is_exact(spark):
+    """Copies of one point are 0 apart, in one block or in two, and each pair of blocks is dealt once."""
+    rows = [(i, [1000.1, 0.3 + (i % 2 if i > 40 else 0)], i % 2) for i in range(60)]
+    d = spark.createDataFrame(rows, "id long, vec array<double>, label long")
+    v, lab = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    dist = np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1))
+    for blocks in ((), (7, 11)):
+        got = vectors.silhouette(d, *blocks)
+        assert "FlatMapCoGroups" not in got._jdf.queryExecution().optimizedPlan().toString()
+        for r in got.collect():
+            a, b = dist[r.id, lab == r.label].sum() / ((lab == r.label).sum() - 1), dist[r.id, lab != r.label].mean()
+            assert abs(r.silhouette - (b - a) / max(a, b)) < 1e-12
