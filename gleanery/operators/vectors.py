@@ -84,9 +84,9 @@ def _block_pairs(queries: DataFrame, rows: DataFrame, block: int, row_block: int
     return q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInArrow(run, schema)
 
 
-def _matrix(t: pa.Table) -> np.ndarray:
+def _matrix(t: pa.Table, column: str = "vec") -> np.ndarray:
     """The vectors of a block as rows."""
-    v = t.column("vec").combine_chunks()
+    v = t.column(column).combine_chunks()
     return v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(t.num_rows, -1)
 
 
@@ -146,24 +146,32 @@ def kmeans(points: DataFrame, k: int, rounds: int = 10) -> DataFrame:
     return pts.mapInArrow(assign(cs), "id long, label long")
 
 
+def _unit(v: np.ndarray) -> np.ndarray:
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+
+
+def _best(qi: np.ndarray, qv: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> pa.Table:
+    """src, dst, score: for every query (qi, qv) the k rows of (ids, v) with the largest product, itself not counted."""
+    src, dst, score = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
+    if len(qi) and len(ids):
+        for lo in range(0, len(qi), 256):  # 32 MB of scores at a time
+            for i, sim in zip(qi[lo : lo + 256], np.round(qv[lo : lo + 256] @ v.T, 6)):
+                ok = np.flatnonzero(ids != i)
+                if len(ok) > k:  # all that are as good as the k-th: ties are settled by id
+                    ok = ok[sim[ok] >= np.partition(sim[ok], -k)[-k]]
+                best = ok[np.lexsort((ids[ok], -sim[ok]))[:k]]
+                src.append(np.full(len(best), i)), dst.append(ids[best]), score.append(sim[best])
+    return pa.table({"src": np.concatenate(src), "dst": np.concatenate(dst), "score": np.concatenate(score)})
+
+
 def knn(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = 16_384, row_block: int = 16_384) -> DataFrame:
     """src, dst, score, rank: for every query the k rows with the largest cosine, itself not counted, ties to the smaller
     id.  Exact.  Blocks of queries meet blocks of rows; each pair of blocks keeps k rows a query before they are shuffled
     again.  A null vector neither asks nor answers."""
 
     def run(q: pa.Table, r: pa.Table) -> pa.Table:
-        src, dst, score = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
-        if q.num_rows and r.num_rows:
-            unit = lambda v: v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-            qi, ids, qv, v = q.column("id").to_numpy(), r.column("id").to_numpy(), unit(_matrix(q)), unit(_matrix(r)).T
-            for lo in range(0, len(qi), 256):  # 32 MB of scores at a time
-                for i, sim in zip(qi[lo : lo + 256], np.round(qv[lo : lo + 256] @ v, 6)):
-                    ok = np.flatnonzero(ids != i)
-                    if len(ok) > k:  # all that are as good as the k-th: ties are settled by id
-                        ok = ok[sim[ok] >= np.partition(sim[ok], -k)[-k]]
-                    best = ok[np.lexsort((ids[ok], -sim[ok]))[:k]]
-                    src.append(np.full(len(best), i)), dst.append(ids[best]), score.append(sim[best])
-        return pa.table({"src": np.concatenate(src), "dst": np.concatenate(dst), "score": np.concatenate(score)})
+        unit = lambda t: _unit(_matrix(t)) if t.num_rows else np.zeros((0, 0))
+        return _best(q.column("id").to_numpy(), unit(q), r.column("id").to_numpy(), unit(r), k)
 
     both = (d.select(F.col("id").cast("long").alias("id"), "vec") for d in (queries, vectors))
     out = _block_pairs(*both, block, row_block, run, "src long, dst long, score double")
@@ -195,7 +203,8 @@ def _nearest_lists(rows: DataFrame, centres: np.ndarray, probes: int) -> DataFra
             v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
             best = np.argsort(-(v @ centres.T), axis=1, kind="stable")[:, :probes]
             at = np.repeat(np.arange(len(v)), best.shape[1])
-            yield pa.record_batch([b.column(0).take(pa.array(at)), pa.array(list(v[at]), pa.list_(pa.float64())), pa.array(best.ravel().astype(np.int64))], names=["id", "unit", "list"])
+            unit = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * v.shape[1]), pa.array(v[at].ravel()))
+            yield pa.record_batch([b.column(0).take(pa.array(at)), unit, pa.array(best.ravel().astype(np.int64))], names=["id", "unit", "list"])
 
     return rows.where("vec is not null").select(F.col("id").cast("long").alias("id"), "vec").mapInArrow(run, "id long, unit array<double>, list long")
 
@@ -206,13 +215,25 @@ def indexed(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
     return _nearest_lists(vectors, centres, 1)
 
 
-def search_index(index: DataFrame, queries: DataFrame, centres: np.ndarray, k: int = 20, probes: int = 16) -> DataFrame:
+def search_index(index: DataFrame, queries: DataFrame, centres: np.ndarray, k: int = 20, probes: int = 16, block: int = 16_384, row_block: int = 16_384) -> DataFrame:
     """src, dst, score, rank like ``knn``, but only of the ``probes`` lists nearest to a query (all lists: exact); how many
-    give the wanted recall depends on the vectors and has to be measured.  Queries meet lists by an equi-join, so a list
-    that holds many rows is split where it is skewed, and each task keeps k rows a query before anything is shuffled again."""
-    q = _nearest_lists(queries, centres, probes).withColumnsRenamed({"id": "src", "unit": "q"})
-    dot = F.aggregate(F.zip_with("q", "unit", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    near = q.join(index, "list").where(F.col("src") != F.col("id")).select("src", F.col("id").alias("dst"), F.round(dot, 6).alias("score"))
+    give the wanted recall depends on the vectors and has to be measured.  A list is dealt into blocks of about ``row_block``
+    rows, its queries into blocks of ``block``; each pair of blocks is a task's matrix product, of which k rows a query are kept
+    before anything is shuffled again.  The sizes of the lists pass the driver."""
+    sizes = {r.list: r.n for r in index.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
+    nq = max(1, -(-queries.where("vec is not null").count() // block))  # reads no vector
+    nr = F.element_at(F.create_map(*[F.lit(x) for at, n in sizes.items() for x in (at, max(1, -(-n // row_block)))]), F.col("list")) if sizes else F.lit(1)
+    at = lambda n: F.pmod(F.xxhash64("id", "unit"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    q = _nearest_lists(queries, centres, probes).where(F.col("list").isin(list(sizes))).withColumn("qb", at(F.lit(nq))).withColumn("rb", every(nr))
+    r = index.select("id", "unit", "list").withColumn("rb", at(nr)).withColumn("qb", every(F.lit(nq)))
+    keys, tasks = ["list", "qb", "rb"], min(2 * nq * sum(-(-n // row_block) for n in sizes.values()) + 1, 4096)
+
+    def run(q: pa.Table, r: pa.Table) -> pa.Table:
+        unit = lambda t: _matrix(t, "unit") if t.num_rows else np.zeros((0, 0))
+        return _best(q.column("id").to_numpy(), unit(q), r.column("id").to_numpy(), unit(r), k)
+
+    near = q.repartition(tasks, *keys).groupBy(*keys).cogroup(r.repartition(tasks, *keys).groupBy(*keys)).applyInArrow(run, "src long, dst long, score double")
     w = Window.partitionBy("src").orderBy(F.col("score").desc(), "dst")
     return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

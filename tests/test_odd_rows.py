@@ -64,3 +64,15 @@ def test_silhouette_of_copies_is_exact(spark):
         for r in got.collect():
             a, b = dist[r.id, lab == r.label].sum() / ((lab == r.label).sum() - 1), dist[r.id, lab != r.label].mean()
             assert abs(r.silhouette - (b - a) / max(a, b)) < 1e-12
+
+
+def test_index_search_in_blocks(spark):
+    """Lists and queries in several blocks give what one block gives, and no pair of rows is a row of the plan."""
+    rng = np.random.default_rng(2)
+    d = spark.createDataFrame([(i, rng.normal(size=6).tolist()) for i in range(300)] + [(999, None)], "id long, vec array<double>")
+    centres = vectors.index_lists(d, 5, 200)
+    index, q = vectors.indexed(d, centres), d.where("id % 3 = 0")
+    found = [vectors.search_index(index, q, centres, 7, probes=len(centres), **b) for b in ({}, {"block": 30, "row_block": 20})]
+    assert "Join" not in found[0]._jdf.queryExecution().optimizedPlan().toString()
+    want = sorted(map(tuple, vectors.knn(d, q, 7).collect()))
+    assert sorted(map(tuple, found[0].collect())) == sorted(map(tuple, found[1].collect())) == want and len(want) == 700
