@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 from operator import or_
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions import text as T
+from gleanery.functions.batches import parts
 
 
 def rrf(rankings: DataFrame, k: int = 60, weights: dict[int, float] | None = None, n_lists: int | None = None) -> DataFrame:
@@ -122,13 +125,30 @@ def reranked(features: DataFrame) -> DataFrame:
 
 
 def inverted_index(docs: DataFrame, fields: tuple[str, ...] = ("text",)) -> DataFrame:
-    """term, doc_id, field, tf: postings of the named fields; one shuffle, with counts combined before it."""
+    """term, doc_id, field, tf: postings of the named fields.  A document's terms are counted in its row, so postings are not
+    shuffled; only rows whose doc_id repeats are counted together, by a shuffle."""
     toks = lambda c: F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
-    parts = [docs.select("doc_id", F.lit(c).alias("field"), F.explode(toks(c)).alias("term")) for c in fields]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.union(p)
-    return every.groupBy("term", "doc_id", "field").agg(F.count(F.lit(1)).alias("tf"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for p in parts(b):
+                terms = p.column(1).flatten().dictionary_encode()
+                of, n = len(terms.dictionary), np.asarray(pc.list_value_length(p.column(1)))
+                cell, tf = np.unique(np.repeat(np.arange(len(n), dtype=np.int64), n) * of + terms.indices.to_numpy(), return_counts=True)
+                at, term = np.divmod(cell, max(of, 1))
+                yield pa.record_batch([terms.dictionary.take(pa.array(term)), p.column(0).take(pa.array(at)), pa.array(tf.astype(np.int64))], names=["term", "doc_id", "tf"])
+
+    def postings(rows: DataFrame) -> DataFrame:
+        kind = rows.schema["doc_id"].dataType.simpleString()
+        each = [rows.select("doc_id", toks(c).alias("t")).mapInArrow(count, f"term string, doc_id {kind}, tf long").select("term", "doc_id", F.lit(c).alias("field"), "tf") for c in fields]
+        return reduce(DataFrame.union, each)
+
+    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_again"))
+    if again.isEmpty():
+        return postings(docs)
+    is_again = F.col("doc_id").eqNullSafe(F.col("_again"))
+    some = postings(docs.join(again, is_again, "left_semi")).groupBy("term", "doc_id", "field").agg(F.sum("tf").alias("tf"))
+    return postings(docs.join(again, is_again, "left_anti")).union(some)
 
 
 # fixed values: what an answer in a mode must do (the other modes have no policy)

@@ -6,7 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from gleanery.operators import chat, vectors
+from gleanery.operators import chat, ranking, vectors
 from gleanery.plans import queries as q
 from gleanery.plans import roundtrips
 from gleanery.sources import files
@@ -86,3 +86,15 @@ def test_exports_are_as_many_files_as_the_turns_ask_for(spark, sf):
     found = files.list_files(spark, at, ".json")
     assert 1 < len(found) <= 4 < turns.select("conv_id").distinct().count()
     assert files.conversation_nodes(spark, f"{at}/*").select("conv_id", "node_id").distinct().count() == turns.count()
+
+
+def test_postings_without_a_shuffle_and_of_repeated_ids(spark):
+    rows = [(1, "b a b", "x"), (2, "", None), (3, None, "É x-x"), (4, " ., ", "x")]
+    shape = "doc_id long, text string, title string"
+    want = [("a", 1, "text", 1), ("b", 1, "text", 2), ("x", 1, "title", 1), ("x", 3, "title", 2), ("x", 4, "title", 1), ("é", 3, "title", 1)]
+    got = ranking.inverted_index(spark.createDataFrame(rows, shape), ("text", "title"))
+    assert sorted(map(tuple, got.collect())) == want and "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
+    more = spark.createDataFrame([*rows, (1, "b c", None), (None, "n", None), (None, "n n", None)], shape)
+    want = [w for w in want if w[0] != "b"] + [("b", 1, "text", 3), ("c", 1, "text", 1), ("n", None, "text", 3)]
+    assert sorted(map(tuple, ranking.inverted_index(more, ("text", "title")).collect()), key=str) == sorted(want, key=str)
+    assert ranking.inverted_index(spark.createDataFrame([], shape)).count() == 0
